@@ -87,6 +87,10 @@ CASTS = {
     "year": parse_year,
     "dmy": parse_day_month_year,
     "safe_long": lambda c, tolerant=False: safe_int(c),
+    "timestamp": lambda c, tolerant=False: (as_col(c).try_cast("timestamp") if tolerant
+                                            else as_col(c).cast("timestamp")),
+    "date": lambda c, tolerant=False: (as_col(c).try_cast("date") if tolerant
+                                       else as_col(c).cast("date")),
 }
 
 

@@ -142,3 +142,414 @@ def q_datamart(spark, sf_dir):
     out = build_datamart(A.schools(spark, sf_dir), A.statistics(spark, sf_dir),
                          levels=A.SEGMENT_LEVELS, bands=BANDS)
     return _round(out, ["CORRELACAO_SOCIOECONOMICA_ENEM", *BANDS.ratio_names])
+
+
+# =============================================================== casts and projections
+
+def _table(spark, sf_dir, name):
+    return A.table(spark, sf_dir, name)
+
+
+LINEITEM_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                    "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                    "l_shipdate")
+
+
+@query("raw_projection", f"SELECT {', '.join(LINEITEM_COLUMNS)} FROM lineitem")
+def q_raw_projection(spark, sf_dir):
+    """The explicit RAW column list over a whole table."""
+    from laminar.plans.contracts import Contract
+    li = _table(spark, sf_dir, "lineitem")
+    contract = Contract.from_schema("lineitem", li.select(*LINEITEM_COLUMNS).schema, "l_orderkey")
+    contract.check(li)
+    return li.select(*contract.land_columns)
+
+
+@query("typed_cast", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
+  l_tax, l_returnflag, l_linestatus, (l_linestatus = 'F') AS l_is_final
+FROM lineitem""")
+def q_typed_cast(spark, sf_dir):
+    """Lineitem landed as text, then the strict TRUSTED casts."""
+    from laminar.functions import stringify
+    from laminar.plans.contracts import Contract, Field
+    li = _table(spark, sf_dir, "lineitem")
+    text = stringify(li.withColumn(
+        "l_is_final", F.when(F.col("l_linestatus") == "F", "TRUE").otherwise("false")))
+    kinds = {"l_orderkey": "long", "l_linenumber": "long", "l_partkey": "long",
+             "l_suppkey": "long", "l_quantity": "double", "l_extendedprice": "double",
+             "l_discount": "double", "l_tax": "double", "l_returnflag": "string",
+             "l_linestatus": "string", "l_is_final": "bool"}
+    contract = Contract("lineitem_text", tuple(Field(c, c, k) for c, k in kinds.items()),
+                        "l_orderkey")
+    return text.select(*contract.typed_columns())
+
+
+@query("safe_int", """
+SELECT l_orderkey, l_linenumber, CAST(round((l_quantity - 25) / 2) AS BIGINT) AS half_qty
+FROM lineitem""")
+def q_safe_int(spark, sf_dir):
+    """Float text rounded half away from zero to a 64-bit integer."""
+    from laminar.functions import safe_int
+    li = _table(spark, sf_dir, "lineitem")
+    text = ((F.col("l_quantity") - 25) / 2).cast("string")
+    return li.select("l_orderkey", "l_linenumber", safe_int(text).alias("half_qty"))
+
+
+@query("parse_dates", """
+SELECT o_orderkey, make_date(CAST(year(o_orderdate) AS INTEGER), 1, 1) AS ano_censo,
+  CAST(o_orderdate AS DATE) AS inicio_ano, CAST(o_orderdate AS DATE) AS fim_ano
+FROM orders""")
+def q_parse_dates(spark, sf_dir):
+    """P10, P11: '%Y' and '%d/%m/%Y' text, the latter both unpadded and padded."""
+    from laminar.functions import parse_day_month_year, parse_year
+    o = _table(spark, sf_dir, "orders")
+    return o.select(
+        "o_orderkey",
+        parse_year(F.date_format("o_orderdate", "yyyy")).alias("ano_censo"),
+        parse_day_month_year(F.date_format("o_orderdate", "d/M/yyyy")).alias("inicio_ano"),
+        parse_day_month_year(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("fim_ano"))
+
+
+# Fixed values of the analogue: order priorities, lowest first; '4-NOT SPECIFIED'
+# is left out so it maps to NULL like an unknown label.
+PRIORITY_LEVELS = ("5-LOW", "3-MEDIUM", "2-HIGH", "1-URGENT")
+
+
+@query("ordinal_case", f"""
+SELECT o_orderkey, o_orderpriority, {A.ordinal_sql("o_orderpriority", PRIORITY_LEVELS)} AS priority_rank
+FROM orders""")
+def q_ordinal_case(spark, sf_dir):
+    """Ordinal CASE from one ordered label list; unknown -> NULL."""
+    from laminar.functions import ordinal
+    o = _table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", "o_orderpriority",
+                    ordinal("o_orderpriority", PRIORITY_LEVELS).alias("priority_rank"))
+
+
+# =============================================================== layers
+
+def _events_contract(events: DataFrame):
+    from laminar.plans.contracts import Contract
+    return Contract.from_schema("events", events.schema, "event_id")
+
+
+_EVENT_COLS = "event_id, ts, user_id, event_type, value, props"
+_BATCH_1 = "2024-02-01 00:00:00"
+_BATCH_2 = "2024-03-01 00:00:00"
+
+
+def _ts(text: str):
+    from datetime import datetime
+    return datetime.fromisoformat(text)
+
+
+@query("raw_append", f"""
+SELECT {_EVENT_COLS}, TIMESTAMP '{_BATCH_1}' AS partition_time, DATE '2024-02-01' AS load_month
+FROM events
+UNION ALL
+SELECT {_EVENT_COLS}, TIMESTAMP '{_BATCH_2}' AS partition_time, DATE '2024-03-01' AS load_month
+FROM events""")
+def q_raw_append(spark, sf_dir):
+    """Two daily runs (land, copy to RAW, truncate); RAW keeps both."""
+    from laminar.plans import layers
+    from laminar.session import workspace
+    events = _table(spark, sf_dir, "events")
+    contract = _events_contract(events)
+    root = workspace(spark, "raw_append")
+    for batch in (_BATCH_1, _BATCH_2):
+        layers.land(events, contract, f"{root}/land", F.lit(_ts(batch)))
+        layers.refresh_raw(spark, contract, f"{root}/land", f"{root}/raw")
+        layers.truncate(spark, contract, f"{root}/land")
+    raw = spark.read.parquet(f"{root}/raw")
+    return raw.select(*contract.typed_columns(), "partition_time", "load_month")
+
+
+@query("latest_batch", f"""
+SELECT {_EVENT_COLS}, date_trunc('day', ts) AS partition_time
+FROM events
+WHERE date_trunc('day', ts) = (SELECT max(date_trunc('day', ts)) FROM events)""")
+def q_latest_batch(spark, sf_dir):
+    """RAW holds one batch per day; TRUSTED keeps only the newest, typed."""
+    from laminar.plans import layers
+    from laminar.session import workspace
+    events = _table(spark, sf_dir, "events")
+    contract = _events_contract(events)
+    root = workspace(spark, "latest_batch")
+    layers.land(events, contract, f"{root}/land", F.date_trunc("day", F.col("ts")))
+    layers.refresh_raw(spark, contract, f"{root}/land", f"{root}/raw")
+    layers.refresh_trusted(spark, contract, f"{root}/raw", f"{root}/trusted")
+    return spark.read.parquet(f"{root}/trusted").select(*contract.land_columns, "partition_time")
+
+
+_NOW = "2024-02-01 12:00:00"
+_SPLIT_DAY = "2024-01-16"
+
+
+@query("stamp_nulls", f"""
+SELECT event_id, event_type,
+  CASE WHEN ts < TIMESTAMP '{_SPLIT_DAY} 00:00:00' THEN date_trunc('day', ts)
+       ELSE TIMESTAMP '{_NOW}' - INTERVAL 3 HOUR END AS partition_time
+FROM events""")
+def q_stamp_nulls(spark, sf_dir):
+    """Rows landed without a stamp get now - 3 h; stamped rows keep theirs."""
+    from laminar.plans import layers
+    from laminar.session import workspace
+    events = _table(spark, sf_dir, "events")
+    contract = _events_contract(events)
+    root = workspace(spark, "stamp_nulls")
+    early = F.col("ts") < F.lit(_SPLIT_DAY).cast("timestamp_ntz")
+    layers.land(events.where(early), contract, f"{root}/land", F.date_trunc("day", F.col("ts")))
+    layers.land(events.where(~early), contract, f"{root}/land", None)
+    landed = layers.read_land(spark, contract, f"{root}/land")
+    filled = layers.fill_missing_stamps(landed, layers.batch_instant(_ts(_NOW)))
+    return filled.select(F.col("event_id").cast("bigint"), "event_type", "partition_time")
+
+
+@query("dated_layout", """
+SELECT o_orderkey, o_custkey, o_orderdate AS partition_time,
+  CAST(date_trunc('month', o_orderdate) AS DATE) AS load_month,
+  strftime(o_orderdate, '%Y/%m/%d') AS archive_dir
+FROM orders""")
+def q_dated_layout(spark, sf_dir):
+    """Orders stamped by order date, written month-partitioned and
+    sorted by key, read back; the dated archive folder of each stamp."""
+    from laminar.plans import layers
+    from laminar.plans.contracts import Contract, Field
+    from laminar.session import workspace
+    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    contract = Contract("orders", (Field("o_orderkey", "o_orderkey", "long"),
+                                   Field("o_custkey", "o_custkey", "long")), "o_orderkey")
+    root = workspace(spark, "dated_layout")
+    stamped = o.select(F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"),
+                       F.col("o_orderdate").cast("timestamp").alias("partition_time"))
+    layers.append_raw(stamped, contract, f"{root}/raw")
+    raw = spark.read.parquet(f"{root}/raw")
+    return raw.select(*contract.typed_columns(), "partition_time", "load_month",
+                      layers.archive_path_column("partition_time").alias("archive_dir"))
+
+
+@query("land_truncate", """
+SELECT count(*) AS rows_in_raw, CAST(0 AS BIGINT) AS rows_in_land FROM events""")
+def q_land_truncate(spark, sf_dir):
+    """K9: after the RAW copy, LAND is emptied but keeps its schema."""
+    from laminar.plans import layers
+    from laminar.session import workspace
+    events = _table(spark, sf_dir, "events")
+    contract = _events_contract(events)
+    root = workspace(spark, "land_truncate")
+    layers.land(events, contract, f"{root}/land", F.lit(_ts(_BATCH_1)))
+    layers.refresh_raw(spark, contract, f"{root}/land", f"{root}/raw")
+    layers.truncate(spark, contract, f"{root}/land")
+    land = layers.read_land(spark, contract, f"{root}/land")
+    raw = spark.read.parquet(f"{root}/raw")
+    return raw.agg(F.count(F.lit(1)).alias("rows_in_raw")).select(
+        "rows_in_raw", land.select(F.count(F.lit(1))).scalar().alias("rows_in_land"))
+
+
+@query("raw_stream", f"""
+SELECT {_EVENT_COLS}, TIMESTAMP '{_BATCH_1}' AS partition_time FROM events
+UNION ALL
+SELECT {_EVENT_COLS}, TIMESTAMP '{_BATCH_2}' AS partition_time FROM events""")
+def q_raw_stream(spark, sf_dir):
+    """K5 (safe form): LAND -> RAW as an availableNow file stream with a checkpoint;
+    two landings, two incremental runs, each LAND file copied exactly once."""
+    from laminar.plans import layers
+    from laminar.session import workspace
+    from laminar.streaming import stream_land_to_raw
+    events = _table(spark, sf_dir, "events")
+    contract = _events_contract(events)
+    root = workspace(spark, "raw_stream")
+    for batch in (_BATCH_1, _BATCH_2):
+        layers.land(events, contract, f"{root}/land", F.lit(_ts(batch)))
+        stream_land_to_raw(spark, contract, f"{root}/land", f"{root}/raw", f"{root}/_checkpoint")
+    raw = spark.read.parquet(f"{root}/raw")
+    return raw.select(*contract.typed_columns(), "partition_time")
+
+
+# =============================================================== payload sources
+
+def _orders_payload_contract():
+    from laminar.plans.contracts import Contract
+    return Contract.from_text("orders_payload", "long: orderKey custKey\nstring: orderStatus orderPriority",
+                              "order_key")
+
+
+@query("rename_stringify", """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_key, CAST(o_custkey AS VARCHAR) AS cust_key,
+  o_orderstatus AS order_status, o_orderpriority AS order_priority
+FROM orders""")
+def q_rename_stringify(spark, sf_dir):
+    """JSON objects with camelCase keys -> contract rename -> all text."""
+    from laminar.sources import parse_objects
+    o = _table(spark, sf_dir, "orders")
+    payloads = o.select(F.to_json(F.struct(
+        F.col("o_orderkey").alias("orderKey"), F.col("o_custkey").alias("custKey"),
+        F.col("o_orderstatus").alias("orderStatus"),
+        F.col("o_orderpriority").alias("orderPriority"))).alias("value"))
+    return parse_objects(payloads, _orders_payload_contract())
+
+
+@query("nested_explode", """
+SELECT role AS secao, 'turn_' || CAST(turn AS VARCHAR) AS tema, m.entidade,
+  CAST(CASE WHEN m.entidade = 'chars' THEN length(text) ELSE strlen(text) END AS VARCHAR) AS porcentagem,
+  CAST(turn AS VARCHAR) AS escolas, role AS sigla_uf, CAST(conv_id AS VARCHAR) AS total_escolas,
+  CAST(conv_id AS VARCHAR) AS ano,
+  CASE WHEN role = 'assistant' THEN 'Privada' ELSE 'Pública' END AS tipo_escolas
+FROM conversations, (VALUES ('chars'), ('octets')) m(entidade)""")
+def q_nested_explode(spark, sf_dir):
+    """Conversations nested as section (role) -> items (turns) -> values, then flattened.
+
+    One payload per (conversation, dependency, block of 64 turns), so no
+    payload grows with a long conversation.
+    """
+    from laminar.sources import flatten_infrastructure
+    c = _table(spark, sf_dir, "conversations")
+    dep = F.when(F.col("role") == "assistant", 4).otherwise(5)
+    values = F.array(*[F.struct(F.lit(name).alias("entidade"), size.cast("string").alias("value"),
+                                F.col("turn").cast("string").alias("escolas"),
+                                F.col("role").alias("slug"),
+                                F.col("conv_id").cast("string").alias("qtd_escolas"))
+                       for name, size in (("chars", F.length("text")),
+                                          ("octets", F.octet_length("text")))])
+    turns = c.select("conv_id", dep.alias("dep"), "role", F.floor(F.col("turn") / 64).alias("blk"),
+                     F.struct(F.concat(F.lit("turn_"), F.col("turn").cast("string")).alias("label"),
+                              values.alias("values")).alias("item"))
+    sections = (turns.groupBy("conv_id", "dep", "blk", "role")
+                .agg(F.collect_list("item").alias("items"))
+                .select("conv_id", "dep", "blk",
+                        F.struct(F.col("role").alias("section"), "items").alias("sec")))
+    payloads = (sections.groupBy("conv_id", "dep", "blk")
+                .agg(F.to_json(F.collect_list("sec")).alias("value"))
+                .select(F.col("conv_id").alias("ano"), "dep", "value"))
+    return flatten_infrastructure(payloads, "ano", "dep")
+
+
+# Orders per envelope are capped by the order-key block, so a customer with
+# very many orders spreads over many envelopes instead of one huge document.
+_ENVELOPE_BLOCK = 64
+
+
+@query("envelope_explode", """
+SELECT o_custkey AS cidade, CAST(o_orderkey AS VARCHAR) AS cod FROM orders""")
+def q_envelope_explode(spark, sf_dir):
+    """[count, [ {cod} ]] envelopes (with [0, []] for customers without
+    orders), count guard, explode."""
+    from laminar.sources import bag_union, envelope_ids
+    o = _table(spark, sf_dir, "orders")
+    c = _table(spark, sf_dir, "customer")
+    full = (o.groupBy(F.col("o_custkey").alias("cidade"),
+                      F.floor(F.col("o_orderkey") / _ENVELOPE_BLOCK).alias("_blk"))
+            .agg(F.concat(F.lit("["), F.count(F.lit(1)).cast("string"), F.lit(","),
+                          F.to_json(F.collect_list(F.struct(F.col("o_orderkey").alias("cod")))),
+                          F.lit("]")).alias("value"))
+            .select("cidade", "value"))
+    has_orders = o.select(F.col("o_custkey").alias("c_custkey")).distinct()
+    empty = (c.join(has_orders, "c_custkey", "left_anti")
+             .select(F.col("c_custkey").alias("cidade"), F.lit("[0,[]]").alias("value")))
+    return envelope_ids(bag_union([full, empty]), guard=True, keep=["cidade"])
+
+
+@query("param_grid", """
+SELECT DISTINCT CAST(year(o_orderdate) AS BIGINT) AS ano, d.dep,
+  CASE WHEN d.dep = 4 THEN 'Privada' ELSE 'Pública' END AS tipo_escolas
+FROM orders, (VALUES (4), (5)) d(dep)""")
+def q_param_grid(spark, sf_dir):
+    """The (year, dependency) request grid over the years present in orders."""
+    from laminar.sources import parameter_grid
+    years = _table(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").cast("bigint").alias("ano")).distinct()
+    return parameter_grid(years, "ano")
+
+
+# Fixed values of the analogue: balance shards with shared endpoints.
+BALANCE_SHARDS = ((-1000, 0), (0, 2500), (2500, 5000), (5000, 7500), (7500, 10000))
+
+
+@query("bag_union", " UNION ALL ".join(
+    f"SELECT {i} AS shard, c_custkey, c_acctbal FROM customer WHERE c_acctbal BETWEEN {lo} AND {hi}"
+    for i, (lo, hi) in enumerate(BALANCE_SHARDS)))
+def q_bag_union(spark, sf_dir):
+    """Overlapping range requests, bag union (no dedup), in one scan."""
+    from laminar.sources import shard_filter
+    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return shard_filter(c, "c_acctbal", BALANCE_SHARDS).select("shard", "c_custkey", "c_acctbal")
+
+
+@query("id_lookup", """
+SELECT o_orderkey, c_custkey, c_name, c_acctbal, c_mktsegment
+FROM orders JOIN customer ON o_custkey = c_custkey""")
+def q_id_lookup(spark, sf_dir):
+    """One detail row per requested id (order's customer), repeats kept."""
+    from laminar.sources import id_lookup
+    ids = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    details = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal",
+                                                       "c_mktsegment")
+    return id_lookup(ids, details, "c_custkey").select("o_orderkey", "c_custkey", "c_name",
+                                                       "c_acctbal", "c_mktsegment")
+
+
+# The analogue's "capital": customer 0, excluded from the city list.
+_EXCLUDED_ID = "0000000"
+_CITY_BLOCK = 1000
+
+
+@query("prefix_antifilter", f"""
+SELECT c_nationkey, lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS cidade FROM customer
+WHERE lpad(CAST(c_custkey AS VARCHAR), 7, '0') <> '{_EXCLUDED_ID}'""")
+def q_prefix_antifilter(spark, sf_dir):
+    """JSON arrays of 'id - name' strings; first 7 chars; one id excluded."""
+    from laminar.sources import city_ids
+    c = _table(spark, sf_dir, "customer")
+    label = F.concat(F.lpad(F.col("c_custkey").cast("string"), 7, "0"), F.lit(" - "), F.col("c_name"))
+    payloads = (c.groupBy("c_nationkey", F.floor(F.col("c_custkey") / _CITY_BLOCK).alias("_blk"))
+                .agg(F.to_json(F.collect_list(label)).alias("value")))
+    return city_ids(payloads, exclude=_EXCLUDED_ID, keep=["c_nationkey"])
+
+
+# =============================================================== README indicators
+
+_FOCUS_STATE = "NATION_0"
+
+
+@query("growth_5y", f"""
+WITH y AS (
+  SELECT CAST(year(o_orderdate) AS BIGINT) AS ano, count(*) AS total,
+         count(*) FILTER (WHERE n_name = '{_FOCUS_STATE}') AS focus
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+       LEFT JOIN nation ON c_nationkey = n_nationkey
+  GROUP BY 1)
+SELECT cur.ano, cur.focus AS focus_orders, cur.total AS total_orders,
+  round((cur.focus - past.focus) / NULLIF(past.focus, 0) * 100, 6) AS focus_growth_pct,
+  round((cur.total - past.total) / NULLIF(past.total, 0) * 100, 6) AS total_growth_pct
+FROM y cur JOIN y past ON past.ano = cur.ano - 5""")
+def q_growth_5y(spark, sf_dir):
+    """X1 (our definition): 5-year growth of one state's order count against all states."""
+    from laminar.operators.indicators import growth_vs_total
+    o = _table(spark, sf_dir, "orders")
+    c = _table(spark, sf_dir, "customer")
+    n = _table(spark, sf_dir, "nation")
+    out = growth_vs_total(o, c, n, _FOCUS_STATE)
+    return _round(out, ["focus_growth_pct", "total_growth_pct"])
+
+
+@query("rank_groups", """
+SELECT n_name AS SIGLA_UF, round(avg(c_acctbal), 6) AS media,
+  rank() OVER (ORDER BY avg(c_acctbal) DESC) AS posicao
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
+def q_rank_groups(spark, sf_dir):
+    """X2 (our definition): states ranked by mean score."""
+    from laminar.operators.indicators import rank_states
+    s = A.schools(spark, sf_dir).where(F.col("sigla_uf").isNotNull())
+    return _round(rank_states(s, "sigla_uf", "enem_media_geral"), ["media"])
+
+
+@query("vs_overall", """
+SELECT c_custkey, c_acctbal, round((SELECT avg(c_acctbal) FROM customer), 6) AS media_geral,
+  round(c_acctbal - (SELECT avg(c_acctbal) FROM customer), 6) AS diferenca
+FROM customer""")
+def q_vs_overall(spark, sf_dir):
+    """X3 (our definition): each school's score against the overall mean."""
+    from laminar.operators.indicators import against_overall
+    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return _round(against_overall(c, "c_acctbal"), ["media_geral", "diferenca"])
