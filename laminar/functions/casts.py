@@ -74,7 +74,7 @@ def parse_day_month_year(c, tolerant: bool = False) -> Column:
 def _parse_date(c, pattern: str, tolerant: bool) -> Column:
     c = as_col(c)
     if tolerant:
-        return F.try_to_date(c, F.lit(pattern))
+        return F.try_to_date(c, pattern)
     return F.to_date(c, pattern)
 
 
