@@ -4,28 +4,28 @@ The per-state sides of the mart (statistics, band shares, correlation) are
 aggregates whose row count is bounded by the number of distinct states, a
 property of the data, not of the code. Spark's static estimate for an
 aggregate is the size of its input, so the planner would pick a sort-merge
-join and shuffle the large school table. Instead the small side is written
-to the checkpoint folder (which also cuts its lineage, so a lost executor
-does not recompute the aggregate), counted, and broadcast only if the count
-is within the bound; beyond it the join stays a shuffle join.
+join and shuffle the large school table. Instead the small side is cached,
+counted, and broadcast only if the count is within the bound; beyond it the
+cache is dropped and the join stays a shuffle join (where AQE still splits
+skewed partitions). A lost executor only loses cache blocks, which Spark
+recomputes from the (short) lineage of the aggregate.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laminar.session import checkpoint_root
-
 # Rows of a per-key side that may be shipped to every executor. States are
 # tens; a few hundred thousand narrow rows are still a few MB.
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Materialise ``df`` and mark it for broadcast only when it has at most ``max_rows`` rows."""
-    checkpoint_root(df.sparkSession)
-    materialised = df.checkpoint(eager=True)
-    if materialised.count() <= max_rows:
-        return F.broadcast(materialised)
-    return materialised
+    """``df`` marked for broadcast when it has at most ``max_rows`` rows, else ``df`` unchanged."""
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if cached.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df

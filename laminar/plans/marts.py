@@ -3,9 +3,9 @@
 Plan shape: the school table is the only large input and is never shuffled.
 Every other side is keyed by state and aggregated first (statistics: one
 row per state; band shares: up to three rows per state; correlation: one
-row per state); each is materialised, counted and broadcast when within the
-bound (``bounded_broadcast``), so all three joins are broadcast hash joins
-streaming the school scan. Inner joins drop schools whose state is NULL or
+row per state); they are joined to each other while small, counted, and
+broadcast when within the bound (``bounded_broadcast``), so the school scan
+streams through one broadcast hash join. Inner joins drop schools whose state is NULL or
 has no statistics row; a school repeats once per school type present in
 its state (the reference's fan-out, kept on purpose).
 """
@@ -78,17 +78,39 @@ def school_means(schools: DataFrame, statistics: DataFrame, levels: Sequence[str
                          + [SOCIO_COLUMN, SOCIO_NUMBER])
 
 
+def state_side(schools: DataFrame, statistics: DataFrame, levels: Sequence[str] = SOCIO_LEVELS,
+               bands: Bands = DEFAULT_BANDS, state_key: str = "nome_local") -> DataFrame:
+    """Everything the mart attaches per state, joined while it is small.
+
+    statistics (one row per state) x band shares (one row per school type
+    present in the state) x correlation (one row per state), on state.
+    Inner joins on one key are associative, so joining these first and the
+    schools last gives the reference's rows, with one probe per school.
+    """
+    stats = statistics.select(F.col(state_key).alias("_uf"),
+                              *[F.col(src).alias(dst) for dst, src in STATE_COLUMNS])
+    shares = band_shares(schools, bands=bands).withColumnRenamed("SIGLA_UF", "_uf_p")
+    indicator = socio_correlation(schools, levels=levels).withColumnRenamed("SIGLA_UF", "_uf_i")
+    return (stats.join(shares, stats["_uf"] == shares["_uf_p"], "inner")
+            .join(indicator, stats["_uf"] == indicator["_uf_i"], "inner")
+            .drop("_uf_p", "_uf_i"))
+
+
 def build_datamart(schools: DataFrame, statistics: DataFrame, levels: Sequence[str] = SOCIO_LEVELS,
                    bands: Bands = DEFAULT_BANDS, state_key: str = "nome_local",
                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """MEDIAS x PORCENTAGEM_MEDIAS x INDICADOR on state -> the 32-column mart."""
-    means = school_means(schools, statistics, levels, state_key, max_broadcast_rows)
-    shares = bounded_broadcast(band_shares(schools, bands=bands), max_broadcast_rows)
-    indicator = bounded_broadcast(socio_correlation(schools, levels=levels), max_broadcast_rows)
-    shares = shares.withColumnRenamed("SIGLA_UF", "_uf_p")
-    indicator = indicator.withColumnRenamed("SIGLA_UF", "_uf_i")
-    joined = (means.join(shares, means["SIGLA_UF"] == shares["_uf_p"], "inner")
-              .join(indicator, means["SIGLA_UF"] == indicator["_uf_i"], "inner"))
+    """MEDIAS x PORCENTAGEM_MEDIAS x INDICADOR on state -> the 32-column mart.
+
+    The school table is scanned for the per-state aggregates (column-pruned,
+    partially aggregated) and once more for the output rows, which stream
+    through a single broadcast hash join against the per-state side.
+    """
+    side = bounded_broadcast(state_side(schools, statistics, levels, bands, state_key),
+                             max_broadcast_rows)
+    left = schools.select(*[F.col(src).alias(dst) for dst, src in SCHOOL_COLUMNS],
+                          F.col("socio_economico").alias(SOCIO_COLUMN),
+                          ordinal("socio_economico", levels).alias(SOCIO_NUMBER))
+    joined = left.join(side, left["SIGLA_UF"] == side["_uf"], "inner")
     return joined.select(mart_columns(bands))
 
 
