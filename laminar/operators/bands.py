@@ -50,23 +50,34 @@ def band_counts(df: DataFrame, score: str, keys: list = (), bands: Bands = DEFAU
     return df.agg(*bands.counts(score))
 
 
-def band_shares(schools: DataFrame, score: str = "enem_media_geral", state: str = "sigla_uf",
+def band_groups(schools: DataFrame, score: str = "enem_media_geral", state: str = "sigla_uf",
                 dependency: str = "dependencia_administrativa",
                 bands: Bands = DEFAULT_BANDS) -> DataFrame:
-    """PORCENTAGEM_MEDIAS: per (school type, state) band counts and their share of all schools.
+    """Band counts per (school type, state), plus ``N_ESCOLAS`` = schools in the group."""
+    keyed = schools.select(school_type(dependency).alias("TIPO_ESCOLA"),
+                           F.col(state).alias("SIGLA_UF"), F.col(score).alias("_score"))
+    return keyed.groupBy("TIPO_ESCOLA", "SIGLA_UF").agg(
+        *bands.counts("_score"), F.count(F.lit(1)).alias("N_ESCOLAS"))
+
+
+def shares_from_groups(grouped: DataFrame, bands: Bands = DEFAULT_BANDS) -> DataFrame:
+    """PORCENTAGEM_MEDIAS from ``band_groups``.
 
     The totals are the same counts over the whole table (NULL types and
-    states included). They are the sums of the grouped counts, taken as one
-    scalar subquery over the grouped result, so the school table is scanned
+    states included), i.e. the sums of the grouped counts, taken as one
+    scalar subquery over the grouped result: the school table is scanned
     once and no join with a one-row table is needed.
     """
-    grouped = band_counts(
-        schools.select(school_type(dependency).alias("TIPO_ESCOLA"),
-                       F.col(state).alias("SIGLA_UF"), F.col(score).alias("_score")),
-        "_score", ["TIPO_ESCOLA", "SIGLA_UF"], bands)
     totals = grouped.select(
         F.struct(*[F.sum(n).alias(n) for n in bands.names]).alias("t")).scalar()
     cols = [F.col("TIPO_ESCOLA"), F.col("SIGLA_UF")]
     for name, ratio in zip(bands.names, bands.ratio_names):
         cols += [F.col(name), percent(F.col(name), totals.getField(name)).alias(ratio)]
     return grouped.select(*cols)
+
+
+def band_shares(schools: DataFrame, score: str = "enem_media_geral", state: str = "sigla_uf",
+                dependency: str = "dependencia_administrativa",
+                bands: Bands = DEFAULT_BANDS) -> DataFrame:
+    """PORCENTAGEM_MEDIAS: per (school type, state) band counts and their share of all schools."""
+    return shares_from_groups(band_groups(schools, score, state, dependency, bands), bands)

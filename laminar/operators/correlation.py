@@ -51,11 +51,13 @@ def corr_by_group(df: DataFrame, x: str, y: str, keys: Sequence[str]) -> DataFra
 def socio_correlation(schools: DataFrame, label: str = "socio_economico",
                       score: str = "enem_media_geral", state: str = "sigla_uf",
                       levels: Sequence[str] = SOCIO_LEVELS,
-                      out: str = "CORRELACAO_SOCIOECONOMICA_ENEM") -> DataFrame:
+                      out: str = "CORRELACAO_SOCIOECONOMICA_ENEM",
+                      state_counts: DataFrame | None = None) -> DataFrame:
     """INDICADOR: one row per distinct state (NULL included) with the correlation.
 
     No rows at all when no school has both a label and a score (the
-    reference's cross join is then empty).
+    reference's cross join is then empty). ``state_counts`` (columns
+    ``SIGLA_UF``, ``k``) may be passed when the caller already has them.
     """
     scored = (schools.where(F.col(label).isNotNull() & F.col(score).isNotNull())
               .select(ordinal(label, levels).cast("double").alias("x"),
@@ -63,7 +65,8 @@ def socio_correlation(schools: DataFrame, label: str = "socio_economico",
     moments = scored.select(
         F.struct(F.count(F.lit(1)).alias("rows"), *pair_moments(scored, "x", "y")).alias("m")
     ).scalar()
-    per_state = schools.groupBy(F.col(state).alias("SIGLA_UF")).agg(F.count(F.lit(1)).alias("k"))
+    per_state = state_counts if state_counts is not None else (
+        schools.groupBy(F.col(state).alias("SIGLA_UF")).agg(F.count(F.lit(1)).alias("k")))
     n_pairs = moments.getField("pairs") * F.col("k")
     return (per_state.where(moments.getField("rows") > 0)
             .select(guarded_corr(n_pairs, moments.getField("cov"), moments.getField("sd_x"),

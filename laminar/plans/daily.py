@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from laminar.plans import layers
 from laminar.plans.contracts import INFRASTRUCTURE, SCHOOLS, STATISTICS, Contract
 from laminar.plans.marts import build_datamart, write_datamart
+from laminar.sources.payloads import STATE_CODES
 from laminar.sources import (bag_union, city_ids, envelope_ids, flatten_infrastructure, id_lookup,
                              read_objects, read_payloads)
 
@@ -62,9 +63,11 @@ def extract_schools(spark: SparkSession, payload_dir: str) -> DataFrame:
     return id_lookup(ids, details, "cod").select(SCHOOLS.land_columns)
 
 
-def extract_statistics(spark: SparkSession, payload_dir: str) -> DataFrame:
-    """U2 without the write."""
-    return read_objects(spark, f"{payload_dir}/estatisticas", STATISTICS)
+def extract_statistics(spark: SparkSession, payload_dir: str,
+                       states: tuple[str, ...] | None = STATE_CODES) -> DataFrame:
+    """U2 without the write: one object per requested state code."""
+    objects = read_objects(spark, f"{payload_dir}/estatisticas", STATISTICS)
+    return objects if states is None else objects.where(F.col("nome_local").isin(*states))
 
 
 def extract_infrastructure(spark: SparkSession, payload_dir: str) -> DataFrame:

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laminar.functions import SOCIO_LEVELS, ordinal
-from laminar.operators import DEFAULT_BANDS, Bands, band_shares, socio_correlation
+from laminar.operators import DEFAULT_BANDS, Bands, socio_correlation
+from laminar.operators.bands import band_groups, shares_from_groups
 from laminar.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
 # Mart column <- school column, in the mart's order (MEDIAS).
@@ -89,8 +90,12 @@ def state_side(schools: DataFrame, statistics: DataFrame, levels: Sequence[str]
     """
     stats = statistics.select(F.col(state_key).alias("_uf"),
                               *[F.col(src).alias(dst) for dst, src in STATE_COLUMNS])
-    shares = band_shares(schools, bands=bands).withColumnRenamed("SIGLA_UF", "_uf_p")
-    indicator = socio_correlation(schools, levels=levels).withColumnRenamed("SIGLA_UF", "_uf_i")
+    grouped = band_groups(schools, bands=bands)
+    shares = shares_from_groups(grouped, bands).withColumnRenamed("SIGLA_UF", "_uf_p")
+    # schools per state = the group sizes summed over school types (no extra scan)
+    counts = grouped.groupBy("SIGLA_UF").agg(F.sum("N_ESCOLAS").alias("k"))
+    indicator = socio_correlation(schools, levels=levels, state_counts=counts)
+    indicator = indicator.withColumnRenamed("SIGLA_UF", "_uf_i")
     return (stats.join(shares, stats["_uf"] == shares["_uf_p"], "inner")
             .join(indicator, stats["_uf"] == indicator["_uf_i"], "inner")
             .drop("_uf_p", "_uf_i"))

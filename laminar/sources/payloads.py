@@ -28,6 +28,10 @@ CITY_ID_WIDTH = 7
 CAPITAL_SCORE_SHARDS = ((1, 507), (507, 530), (530, 551), (551, 566), (566, 585),
                         (585, 627), (627, 999))
 
+# The state codes whose statistics are requested, in request order.
+STATE_CODES = ("SP", "AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG",
+               "PA", "PB", "PR", "PE", "PI", "RJ", "RN", "RS", "RO", "RR", "SC", "SE", "TO")
+
 # Infrastructure request grid.
 INFRA_YEARS = tuple(range(2012, 2024))
 INFRA_DEPENDENCIES = (4, 5)
