@@ -40,8 +40,10 @@ _ST = A.statistics_sql()
 
 def _band_sql(score: str) -> list[str]:
     e0, e1, e2, e3 = BANDS.edges
-    return [f"count_if({score} BETWEEN {e0} AND {e1})", f"count_if({score} BETWEEN {e1} AND {e2})",
-            f"count_if({score} BETWEEN {e2} AND {e3})", f"count_if({score} > {e3})"]
+    preds = [f"{score} BETWEEN {e0} AND {e1}", f"{score} BETWEEN {e1} AND {e2}",
+             f"{score} BETWEEN {e2} AND {e3}", f"{score} > {e3}"]
+    # COUNTIF is INT64 in the reference (DuckDB's count_if would be HUGEINT)
+    return [f"CAST(count_if({p}) AS BIGINT)" for p in preds]
 
 
 _TYPE_SQL = ("CASE WHEN dependencia_administrativa IN (1, 2, 3) THEN 'Pública' "
@@ -166,8 +168,8 @@ def q_raw_projection(spark, sf_dir):
 
 
 @query("typed_cast", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
-  l_tax, l_returnflag, l_linestatus, (l_linestatus = 'F') AS l_is_final
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_quantity,
+  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, (l_linestatus = 'F') AS l_is_final
 FROM lineitem""")
 def q_typed_cast(spark, sf_dir):
     """Lineitem landed as text, then the strict TRUSTED casts."""
@@ -535,7 +537,7 @@ def q_growth_5y(spark, sf_dir):
 
 @query("rank_groups", """
 SELECT n_name AS SIGLA_UF, round(avg(c_acctbal), 6) AS media,
-  rank() OVER (ORDER BY avg(c_acctbal) DESC) AS posicao
+  CAST(rank() OVER (ORDER BY avg(c_acctbal) DESC) AS INTEGER) AS posicao
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
 def q_rank_groups(spark, sf_dir):
     """X2 (our definition): states ranked by mean score."""

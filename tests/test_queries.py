@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, normalise  # noqa: E402
+from type_check import SPARK_TO_DUCK  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
@@ -30,7 +31,10 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF_DIR).toPandas()
+    df = E.queries()[name](spark, SF_DIR)
+    want_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == want_types
+    got = df.toPandas()
     want = con.execute(E.oracle_sql()[name]).fetchdf()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
