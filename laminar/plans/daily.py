@@ -51,7 +51,7 @@ class LayerPaths:
         return f"{self.root}/archive/original"
 
 
-def extract_schools(spark: SparkSession, payload_dir: str) -> DataFrame:
+def extract_schools(spark: SparkSession, payload_dir: str, strict: bool = True) -> DataFrame:
     """U1 without the write: city ids, the two searches, bag union, detail lookup."""
     cities = city_ids(read_payloads(spark, f"{payload_dir}/cidades"))
     capital = envelope_ids(read_payloads(spark, f"{payload_dir}/busca_capital"), guard=False)
@@ -59,14 +59,14 @@ def extract_schools(spark: SparkSession, payload_dir: str) -> DataFrame:
     listed = searches.join(cities.distinct(), "cidade", "left_semi")
     rest = envelope_ids(listed, guard=True)
     ids = bag_union([capital, rest])
-    details = read_objects(spark, f"{payload_dir}/escolas", SCHOOLS)
+    details = read_objects(spark, f"{payload_dir}/escolas", SCHOOLS, strict)
     return id_lookup(ids, details, "cod").select(SCHOOLS.land_columns)
 
 
 def extract_statistics(spark: SparkSession, payload_dir: str,
-                       states: tuple[str, ...] | None = STATE_CODES) -> DataFrame:
+                       states: tuple[str, ...] | None = STATE_CODES, strict: bool = True) -> DataFrame:
     """U2 without the write: one object per requested state code."""
-    objects = read_objects(spark, f"{payload_dir}/estatisticas", STATISTICS)
+    objects = read_objects(spark, f"{payload_dir}/estatisticas", STATISTICS, strict)
     return objects if states is None else objects.where(F.col("nome_local").isin(*states))
 
 

@@ -389,7 +389,7 @@ def q_rename_stringify(spark, sf_dir):
         F.col("o_orderkey").alias("orderKey"), F.col("o_custkey").alias("custKey"),
         F.col("o_orderstatus").alias("orderStatus"),
         F.col("o_orderpriority").alias("orderPriority"))).alias("value"))
-    return parse_objects(payloads, _orders_payload_contract())
+    return parse_objects(payloads, _orders_payload_contract(), strict=True)
 
 
 @query("nested_explode", """

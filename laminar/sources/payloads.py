@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from laminar.functions import id_prefix, rename_columns, request_school_type, stringify
-from laminar.plans.contracts import Contract
+from laminar.plans.contracts import Contract, ContractError
 
 # The capital's city id, fetched through score shards instead
 # of the city-wide search, and the width of a city id.
@@ -103,16 +103,39 @@ def id_lookup(ids: DataFrame, details: DataFrame, key: str) -> DataFrame:
     return ids.join(details, key, "inner")
 
 
-def parse_objects(payloads: DataFrame, contract: Contract) -> DataFrame:
+def key_differences(payloads: DataFrame, contract: Contract) -> tuple[list[str], list[str]]:
+    """Keys present in no object (missing) and keys outside the contract (unexpected).
+
+    The distinct keys are found on the executors (``json_object_keys`` +
+    ``distinct``); only the differences, a handful of names, reach the driver.
+    """
+    spark = payloads.sparkSession
+    seen = payloads.select(F.explode(F.json_object_keys("value")).alias("key")).distinct()
+    expected = spark.createDataFrame([(f.source,) for f in contract.fields], "key string")
+    unexpected = [r["key"] for r in seen.join(expected, "key", "left_anti").collect()]
+    missing = [r["key"] for r in expected.join(seen, "key", "left_anti").collect()]
+    return sorted(missing), sorted(unexpected)
+
+
+def check_keys(payloads: DataFrame, contract: Contract) -> None:
+    """Strict mode: fail listing the difference, as the reference's load and cast do."""
+    missing, unexpected = key_differences(payloads, contract)
+    if missing or unexpected:
+        raise ContractError(f"{contract.name}: keys missing from every object {missing}, "
+                            f"keys outside the contract {unexpected}")
+
+
+def parse_objects(payloads: DataFrame, contract: Contract, strict: bool = False) -> DataFrame:
     """Flat JSON objects -> contract keys as text, renamed to LAND names."""
+    if strict:
+        check_keys(payloads, contract)
     parsed = payloads.select(F.from_json("value", contract.source_schema()).alias("_o")).select("_o.*")
     return stringify(rename_columns(parsed, contract.rename_map))
 
 
-def read_objects(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """S6/S7 from files of JSON objects (one per line), schema from the contract."""
-    parsed = spark.read.schema(contract.source_schema()).json(path)
-    return stringify(rename_columns(parsed, contract.rename_map))
+def read_objects(spark: SparkSession, path: str, contract: Contract, strict: bool = False) -> DataFrame:
+    """S6/S7 from files of JSON objects, one per line, schema from the contract."""
+    return parse_objects(read_payloads(spark, path, whole_files=False), contract, strict)
 
 
 def flatten_infrastructure(payloads: DataFrame, year: str = "ano", dependency: str = "dep") -> DataFrame:

@@ -66,3 +66,19 @@ def test_literal_grid(spark):
     g = literal_grid(spark)
     assert g.count() == 24
     assert rows(g.where("ano = 2012"), "dep", "tipo_escolas") == [(4, "Privada"), (5, "Pública")]
+
+
+def test_strict_keys_report_missing_and_unexpected(spark):
+    import pytest
+
+    from laminar.plans.contracts import Contract, ContractError
+    from laminar.sources.payloads import key_differences, parse_objects
+    c = Contract.from_text("t", "long: orderKey\nstring: orderStatus", "order_key")
+    ok = texts(spark, '{"orderKey": 1, "orderStatus": "F"}', '{"orderKey": 2}')
+    assert key_differences(ok, c) == ([], [])
+    assert rows(parse_objects(ok, c, strict=True), "order_key", "order_status") == \
+        [("1", "F"), ("2", None)]
+    bad = texts(spark, '{"orderKey": 1, "extraField": 3}')
+    assert key_differences(bad, c) == (["orderStatus"], ["extraField"])
+    with pytest.raises(ContractError, match="extraField"):
+        parse_objects(bad, c, strict=True)
