@@ -13,6 +13,9 @@ recomputes from the (short) lineage of the aggregate.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,3 +32,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
         return F.broadcast(cached)
     cached.unpersist()
     return df
+
+
+@contextmanager
+def bounded_side(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> Iterator[DataFrame]:
+    """``bounded_broadcast`` whose cache is released when the block ends.
+
+    Use it around the action (a write) that consumes the join::
+
+        with bounded_side(per_state) as side:
+            big.join(side, "uf").write.parquet(out)
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield F.broadcast(cached) if cached.limit(max_rows + 1).count() <= max_rows else df
+    finally:
+        cached.unpersist()

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from laminar.plans import layers
 from laminar.plans.contracts import INFRASTRUCTURE, SCHOOLS, STATISTICS, Contract
-from laminar.plans.marts import build_datamart, write_datamart
+from laminar.plans.marts import write_datamart
 from laminar.sources.payloads import STATE_CODES
 from laminar.sources import (bag_union, city_ids, envelope_ids, flatten_infrastructure, id_lookup,
                              read_objects, read_payloads)
@@ -97,9 +97,8 @@ def run_daily(spark: SparkSession, payload_dir: str, root: str, now: datetime |
         layers.refresh_raw(spark, contract, paths.land(contract), paths.raw(contract))
     for contract, _ in EXTRACTS:
         layers.refresh_trusted(spark, contract, paths.raw(contract), paths.trusted(contract))
-    mart = build_datamart(spark.read.parquet(paths.trusted(SCHOOLS)),
-                          spark.read.parquet(paths.trusted(STATISTICS)))
-    write_datamart(mart, paths.mart)
+    write_datamart(spark.read.parquet(paths.trusted(SCHOOLS)),
+                   spark.read.parquet(paths.trusted(STATISTICS)), paths.mart)
     for contract, _ in EXTRACTS:
         layers.truncate(spark, contract, paths.land(contract))
     return paths

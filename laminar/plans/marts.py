@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from laminar.functions import SOCIO_LEVELS, ordinal
 from laminar.operators import DEFAULT_BANDS, Bands, socio_correlation
 from laminar.operators.bands import band_groups, shares_from_groups
-from laminar.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from laminar.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, bounded_side
 
 # Mart column <- school column, in the mart's order (MEDIAS).
 SCHOOL_COLUMNS = (
@@ -101,24 +101,37 @@ def state_side(schools: DataFrame, statistics: DataFrame, levels: Sequence[str]
             .drop("_uf_p", "_uf_i"))
 
 
+def join_state_side(schools: DataFrame, side: DataFrame, levels: Sequence[str] = SOCIO_LEVELS,
+                    bands: Bands = DEFAULT_BANDS) -> DataFrame:
+    """The school rows joined with the (broadcast) per-state side -> the 32 mart columns."""
+    left = schools.select(*[F.col(src).alias(dst) for dst, src in SCHOOL_COLUMNS],
+                          F.col("socio_economico").alias(SOCIO_COLUMN),
+                          ordinal("socio_economico", levels).alias(SOCIO_NUMBER))
+    joined = left.join(side, left["SIGLA_UF"] == side["_uf"], "inner")
+    return joined.select(mart_columns(bands))
+
+
 def build_datamart(schools: DataFrame, statistics: DataFrame, levels: Sequence[str] = SOCIO_LEVELS,
                    bands: Bands = DEFAULT_BANDS, state_key: str = "nome_local",
                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """MEDIAS x PORCENTAGEM_MEDIAS x INDICADOR on state -> the 32-column mart.
+    """MEDIAS x PORCENTAGEM_MEDIAS x INDICADOR on state -> the 32-column mart, lazily.
 
     The school table is scanned for the per-state aggregates (column-pruned,
     partially aggregated) and once more for the output rows, which stream
-    through a single broadcast hash join against the per-state side.
+    through a single broadcast hash join against the per-state side. The
+    side stays cached for the returned DataFrame; ``write_datamart``
+    releases it after writing.
     """
     side = bounded_broadcast(state_side(schools, statistics, levels, bands, state_key),
                              max_broadcast_rows)
-    left = schools.select(*[F.col(src).alias(dst) for dst, src in SCHOOL_COLUMNS],
-                          F.col("socio_economico").alias(SOCIO_COLUMN),
-                          ordinal("socio_economico", levels).alias(SOCIO_NUMBER))
-    joined = left.join(side, left["SIGLA_UF"] == side["_uf"], "inner")
-    return joined.select(mart_columns(bands))
+    return join_state_side(schools, side, levels, bands)
 
 
-def write_datamart(mart: DataFrame, path: str) -> None:
-    """Full replace, no partitioning."""
-    mart.write.mode("overwrite").parquet(path)
+def write_datamart(schools: DataFrame, statistics: DataFrame, path: str,
+                   levels: Sequence[str] = SOCIO_LEVELS, bands: Bands = DEFAULT_BANDS,
+                   state_key: str = "nome_local",
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> None:
+    """Build the mart and write it as a full replace, no partitioning."""
+    with bounded_side(state_side(schools, statistics, levels, bands, state_key),
+                      max_broadcast_rows) as side:
+        join_state_side(schools, side, levels, bands).write.mode("overwrite").parquet(path)

@@ -110,11 +110,15 @@ def key_differences(payloads: DataFrame, contract: Contract) -> tuple[list[str],
     ``distinct``); only the differences, a handful of names, reach the driver.
     """
     spark = payloads.sparkSession
-    seen = payloads.select(F.explode(F.json_object_keys("value")).alias("key")).distinct()
-    expected = spark.createDataFrame([(f.source,) for f in contract.fields], "key string")
-    unexpected = [r["key"] for r in seen.join(expected, "key", "left_anti").collect()]
-    missing = [r["key"] for r in expected.join(seen, "key", "left_anti").collect()]
-    return sorted(missing), sorted(unexpected)
+    seen = (payloads.select(F.explode(F.json_object_keys("value")).alias("key")).distinct()
+            .withColumn("_seen", F.lit(True)))
+    expected = spark.createDataFrame([(f.source, True) for f in contract.fields],
+                                     "key string, _expected boolean")
+    diff = (seen.join(expected, "key", "full_outer")
+            .where(F.col("_seen").isNull() | F.col("_expected").isNull()).collect())
+    missing = sorted(r["key"] for r in diff if r["_seen"] is None)
+    unexpected = sorted(r["key"] for r in diff if r["_expected"] is None)
+    return missing, unexpected
 
 
 def check_keys(payloads: DataFrame, contract: Contract) -> None:

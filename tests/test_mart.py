@@ -55,3 +55,12 @@ def test_mart_plan_broadcasts_every_side(spark, tmp_path):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BroadcastHashJoin" in plan
     assert "SortMergeJoin" not in plan
+
+
+def test_write_datamart_releases_its_cache(spark, tmp_path):
+    from laminar.plans.marts import write_datamart
+    s, st = fixture(spark)
+    spark.catalog.clearCache()
+    write_datamart(s, st, str(tmp_path / "mart"))
+    assert spark.read.parquet(str(tmp_path / "mart")).count() == 9
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
