@@ -44,3 +44,16 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert len(df.columns) == 32 and df.count() >= 0
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_cross_product_or_python(spark, name):
+    import contextlib
+    import io
+
+    from plan_report import WATCH
+    df = E.queries()[name](spark, SF_DIR)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    assert [w for w in WATCH if w in buf.getvalue()] == []
