@@ -56,13 +56,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     temporary folder is chosen and registered, so ``checkpoint()`` works too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local SparkContext
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="laminar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -71,13 +75,4 @@ def workspace(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/laminar/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True if ``path`` exists, through Hadoop's FileSystem (any scheme)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
-
-
-__all__ = ["SESSION_CONF", "build_session", "apply_conf", "checkpoint_root", "workspace",
-           "path_exists"]
+__all__ = ["SESSION_CONF", "build_session", "apply_conf", "checkpoint_root", "workspace"]
