@@ -3,7 +3,7 @@
 Payloads are JSON text: one document per file (``wholetext``) or one per
 line. Every reader takes a DataFrame with a text column ``value`` (from
 ``read_payloads`` or built with ``to_json``) and returns rows; all parsing is
-``from_json`` / ``get_json_object`` / ``explode``, so the work is spread over
+``from_json`` / ``parse_json`` + ``variant_get`` / ``explode``, so the work is spread over
 the payload files and never passes through the driver.
 """
 
@@ -62,12 +62,16 @@ def envelope_ids(payloads: DataFrame, id_field: str = "cod", guard: bool = True,
                  keep: Sequence[str] = ()) -> DataFrame:
     """``[count, [ {cod, ...}, ... ]]`` -> one row per object's id.
 
-    With ``guard`` only envelopes whose count is not 0 are read (S3); an
-    empty or null list yields no rows either way.
+    The mixed-type envelope is parsed once into a VARIANT and both parts are
+    read from it with typed paths. Malformed JSON fails, as decoding the
+    response does in the reference. With ``guard`` only envelopes whose
+    count is not 0 are read (S3); an empty or null list yields no rows
+    either way.
     """
-    count = F.get_json_object("value", "$[0]").cast("bigint")
-    items = F.from_json(F.get_json_object("value", "$[1]"), f"array<struct<{id_field}:string>>")
-    parsed = payloads.select(*keep, count.alias("_n"), items.alias("_items"))
+    doc = F.parse_json("value")
+    parsed = payloads.select(*keep, doc.alias("_doc")).select(
+        *keep, F.variant_get("_doc", "$[0]", "bigint").alias("_n"),
+        F.variant_get("_doc", "$[1]", f"array<struct<{id_field}:string>>").alias("_items"))
     if guard:
         parsed = parsed.where(F.col("_n") != 0)
     return parsed.select(*keep, F.explode("_items").alias("_o")).select(
