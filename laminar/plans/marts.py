@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laminar.functions import SOCIO_LEVELS, ordinal
-from laminar.operators import DEFAULT_BANDS, Bands, socio_correlation
-from laminar.operators.bands import band_groups, shares_from_groups
+from laminar.operators import DEFAULT_BANDS, Bands
+from laminar.operators.profile import state_profile
 from laminar.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, bounded_side
 
 # Mart column <- school column, in the mart's order (MEDIAS).
@@ -83,22 +83,15 @@ def state_side(schools: DataFrame, statistics: DataFrame, levels: Sequence[str]
                bands: Bands = DEFAULT_BANDS, state_key: str = "nome_local") -> DataFrame:
     """Everything the mart attaches per state, joined while it is small.
 
-    statistics (one row per state) x band shares (one row per school type
-    present in the state) x correlation (one row per state), on state.
+    statistics (one row per state) x band shares and correlation (one row
+    per school type present in the state, from ``state_profile``), on state.
     Inner joins on one key are associative, so joining these first and the
     schools last gives the reference's rows, with one probe per school.
     """
     stats = statistics.select(F.col(state_key).alias("_uf"),
                               *[F.col(src).alias(dst) for dst, src in STATE_COLUMNS])
-    grouped = band_groups(schools, bands=bands)
-    shares = shares_from_groups(grouped, bands).withColumnRenamed("SIGLA_UF", "_uf_p")
-    # schools per state = the group sizes summed over school types (no extra scan)
-    counts = grouped.groupBy("SIGLA_UF").agg(F.sum("N_ESCOLAS").alias("k"))
-    indicator = socio_correlation(schools, levels=levels, state_counts=counts)
-    indicator = indicator.withColumnRenamed("SIGLA_UF", "_uf_i")
-    return (stats.join(shares, stats["_uf"] == shares["_uf_p"], "inner")
-            .join(indicator, stats["_uf"] == indicator["_uf_i"], "inner")
-            .drop("_uf_p", "_uf_i"))
+    profile = state_profile(schools, levels=levels, bands=bands).withColumnRenamed("SIGLA_UF", "_uf_p")
+    return stats.join(profile, stats["_uf"] == profile["_uf_p"], "inner").drop("_uf_p")
 
 
 def join_state_side(schools: DataFrame, side: DataFrame, levels: Sequence[str] = SOCIO_LEVELS,

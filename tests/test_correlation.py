@@ -78,3 +78,25 @@ def test_same_value_in_every_state(spark):
     data = [("A", "Alto", 700.0), ("A", "Baixo", 420.0), ("B", "Médio", 515.0), ("C", None, None)]
     vals = [v for v in ours(spark, data).values()]
     assert len(vals) == 3 and all(same(v, vals[0]) for v in vals)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_single_pass_profile_equals_shares_join_indicator(spark, seed):
+    from laminar.operators import band_shares
+    from laminar.operators.profile import state_profile
+    rnd = random.Random(seed)
+    labels = list(SOCIO_LEVELS) + ["Desconhecido", None]
+    data = [(rnd.choice(["SP", "RJ", None]), rnd.choice(labels), rnd.choice([1, 2, 4, 7, None]),
+             None if rnd.random() < 0.1 else float(rnd.choice([400, 500, 550, 600, 700, 750])))
+            for _ in range(120)]
+    df = spark.createDataFrame(data, "sigla_uf string, socio_economico string, "
+                                     "dependencia_administrativa long, enem_media_geral double")
+    shares = band_shares(df)
+    ind = socio_correlation(df).withColumnRenamed("SIGLA_UF", "_u")
+    joined = shares.join(ind, shares["SIGLA_UF"] == ind["_u"]).drop("_u")
+    cols = sorted(joined.columns)
+
+    def key(rows):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) and not math.isnan(v) else v
+                            for v in (r[c] for c in cols)) for r in rows)
+    assert key(state_profile(df).collect()) == key(joined.collect())
