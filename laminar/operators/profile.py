@@ -65,7 +65,9 @@ def state_profile(schools: DataFrame, score: str = "enem_media_geral", state: st
         *[total(n).alias(f"_t_{n}") for n in bands.names],
         *[total(c).alias(f"_t{c}") for c in ("_scored_rows", "pairs", "cov", "sd_x", "sd_y")],
         F.sum(F.when(F.col("_gid") == _BY_GROUP, F.col("_n"))).over(per_state).alias("_k"))
-    rows = spread.where((F.col("_gid") == _BY_GROUP) & (F.col("_t_scored_rows") > 0))
+    # the reference joins the two CTEs on state: NULL states never match
+    rows = spread.where((F.col("_gid") == _BY_GROUP) & F.col("SIGLA_UF").isNotNull()
+                        & (F.col("_t_scored_rows") > 0))
     cols = [F.col("TIPO_ESCOLA"), F.col("SIGLA_UF")]
     for name, ratio in zip(bands.names, bands.ratio_names):
         cols += [F.col(name), percent(F.col(name), F.col(f"_t_{name}")).alias(ratio)]
