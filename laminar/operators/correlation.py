@@ -7,14 +7,14 @@ u). Repeating all pairs the same number of times leaves a correlation
 unchanged, so the value is the correlation over S for every state, and only
 the "fewer than two pairs" rule depends on k_u (m * k_u < 2, m = pairs with
 both values present). Nothing pairs rows: one global aggregate over S, one
-count per state, joined through a scalar subquery.
+count per state, from one grouping-sets aggregate.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laminar.functions import SOCIO_LEVELS, ordinal
@@ -51,24 +51,28 @@ def corr_by_group(df: DataFrame, x: str, y: str, keys: Sequence[str]) -> DataFra
 def socio_correlation(schools: DataFrame, label: str = "socio_economico",
                       score: str = "enem_media_geral", state: str = "sigla_uf",
                       levels: Sequence[str] = SOCIO_LEVELS,
-                      out: str = "CORRELACAO_SOCIOECONOMICA_ENEM",
-                      state_counts: DataFrame | None = None) -> DataFrame:
+                      out: str = "CORRELACAO_SOCIOECONOMICA_ENEM") -> DataFrame:
     """INDICADOR: one row per distinct state (NULL included) with the correlation.
 
+    One pass: ``GROUPING SETS ((state), ())`` gives the school count of each
+    state and, in the grand-total row, the moments over the scored schools;
+    a window over that small result hands the moments to every state row.
     No rows at all when no school has both a label and a score (the
-    reference's cross join is then empty). ``state_counts`` (columns
-    ``SIGLA_UF``, ``k``) may be passed when the caller already has them.
+    reference's cross join is then empty).
     """
-    scored = (schools.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-              .select(ordinal(label, levels).cast("double").alias("x"),
-                      F.col(score).cast("double").alias("y")))
-    moments = scored.select(
-        F.struct(F.count(F.lit(1)).alias("rows"), *pair_moments(scored, "x", "y")).alias("m")
-    ).scalar()
-    per_state = state_counts if state_counts is not None else (
-        schools.groupBy(F.col(state).alias("SIGLA_UF")).agg(F.count(F.lit(1)).alias("k")))
-    n_pairs = moments.getField("pairs") * F.col("k")
-    return (per_state.where(moments.getField("rows") > 0)
-            .select(guarded_corr(n_pairs, moments.getField("cov"), moments.getField("sd_x"),
-                                 moments.getField("sd_y")).alias(out),
-                    F.col("SIGLA_UF")))
+    scored = F.col(label).isNotNull() & F.col(score).isNotNull()
+    keyed = schools.select(F.col(state).alias("SIGLA_UF"), scored.alias("_scored"),
+                           F.col(score).cast("double").alias("_y"),
+                           F.when(scored, ordinal(label, levels).cast("double")).alias("_x"))
+    agg = keyed.groupingSets([["SIGLA_UF"], []], "SIGLA_UF").agg(
+        F.count(F.lit(1)).alias("_k"), F.count_if("_scored").alias("_rows"),
+        # _x is NULL outside the scored rows, so (x, y) pairs are exactly the scored pairs
+        *pair_moments(keyed, "_x", "_y"), F.grouping_id().alias("_gid"))
+    whole = Window.partitionBy()            # over one row per state plus the total
+    is_total = F.col("_gid") == 1
+    spread = agg.select("_gid", "SIGLA_UF", "_k", *[
+        F.max(F.when(is_total, F.col(c))).over(whole).alias(f"_t{c}")
+        for c in ("_rows", "pairs", "cov", "sd_x", "sd_y")])
+    rows = spread.where((F.col("_gid") == 0) & (F.col("_t_rows") > 0))
+    corr = guarded_corr(F.col("_tpairs") * F.col("_k"), "_tcov", "_tsd_x", "_tsd_y")
+    return rows.select(corr.alias(out), "SIGLA_UF")
