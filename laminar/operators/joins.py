@@ -28,7 +28,7 @@ DEFAULT_MAX_BROADCAST_ROWS = 200_000
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast when it has at most ``max_rows`` rows, else ``df`` unchanged."""
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if cached.limit(max_rows + 1).count() <= max_rows:
+    if cached.count() <= max_rows:
         return F.broadcast(cached)
     cached.unpersist()
     return df
@@ -45,6 +45,6 @@ def bounded_side(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> I
     """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield F.broadcast(cached) if cached.limit(max_rows + 1).count() <= max_rows else df
+        yield F.broadcast(cached) if cached.count() <= max_rows else df
     finally:
         cached.unpersist()
