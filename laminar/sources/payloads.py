@@ -83,7 +83,8 @@ def bag_union(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def shard_filter(df: DataFrame, score: str, shards: Sequence[tuple[float, float]],
+def shard_filter(df: DataFrame, score: str = "enem_media_geral",
+                 shards: Sequence[tuple[float, float]] = CAPITAL_SCORE_SHARDS,
                  shard_col: str = "shard") -> DataFrame:
     """F7 + S4 in one scan: one output row per shard whose [lo, hi] holds the score.
 

@@ -73,3 +73,9 @@ def test_daily_run(spark, tmp_path):
         assert spark.read.parquet(paths.land(c)).count() == 0
     archived = spark.read.parquet(f"{paths.archive}/2024/05/02/{SCHOOLS.name}")
     assert archived.count() == 4
+    from laminar.plans.views import register_views
+    assert "datamart_diretoria" in register_views(spark, paths)
+    row = spark.sql("SELECT count(*) AS n, count(DISTINCT ESCOLA) AS e FROM datamart_diretoria "
+                    "WHERE SIGLA_UF = 'SP'").first()
+    assert (row["n"], row["e"]) == (8, 3)
+    assert spark.sql("SELECT count(*) FROM api_escolas_trusted").first()[0] == 4
