@@ -99,3 +99,19 @@ def test_malformed_value_fails_trusted_refresh(spark, tmp_path):
 def test_archive_dir():
     assert layers.archive_dir("/a/raw/flatfile/original", datetime(2024, 3, 7)) == \
         "/a/raw/flatfile/original/2024/03/07"
+
+
+def test_stream_copies_each_land_file_once(spark, tmp_path):
+    from laminar.streaming import stream_land_to_raw
+    root = str(tmp_path / uuid.uuid4().hex)
+    batch = frame(spark, [(1, 1.0, True), (2, 2.0, False)])
+    layers.land(batch, CONTRACT, f"{root}/land", F.lit(T1))
+    stream_land_to_raw(spark, CONTRACT, f"{root}/land", f"{root}/raw", f"{root}/_ckpt")
+    stream_land_to_raw(spark, CONTRACT, f"{root}/land", f"{root}/raw", f"{root}/_ckpt")
+    assert spark.read.parquet(f"{root}/raw").count() == 2      # a re-run copies nothing again
+    layers.land(batch, CONTRACT, f"{root}/land", F.lit(T2))
+    stream_land_to_raw(spark, CONTRACT, f"{root}/land", f"{root}/raw", f"{root}/_ckpt")
+    raw = spark.read.parquet(f"{root}/raw")
+    assert raw.count() == 4
+    assert rows(raw.groupBy("load_month").count(), "load_month", "count") == \
+        [(T1.date().replace(day=1), 2), (T2.date().replace(day=1), 2)]
