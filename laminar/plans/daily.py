@@ -51,14 +51,22 @@ class LayerPaths:
         return f"{self.root}/archive/original"
 
 
-def extract_schools(spark: SparkSession, payload_dir: str, strict: bool = True) -> DataFrame:
-    """U1 without the write: city ids, the two searches, bag union, detail lookup."""
+def extract_schools(spark: SparkSession, payload_dir: str, strict: bool = True,
+                    dedupe: bool = False) -> DataFrame:
+    """U1 without the write: city ids, the two searches, bag union, detail lookup.
+
+    As in the reference, a school on a shared shard endpoint is found twice
+    and lands twice; ``dedupe=True`` keeps one id instead (a shuffle on the
+    id, partially aggregated, so a repeated id costs one row per task).
+    """
     cities = city_ids(read_payloads(spark, f"{payload_dir}/cidades"))
     capital = envelope_ids(read_payloads(spark, f"{payload_dir}/busca_capital"), guard=False)
     searches = read_payloads(spark, f"{payload_dir}/busca_cidades")
     listed = searches.join(cities.distinct(), "cidade", "left_semi")
     rest = envelope_ids(listed, guard=True)
     ids = bag_union([capital, rest])
+    if dedupe:
+        ids = ids.dropDuplicates(["cod"])
     details = read_objects(spark, f"{payload_dir}/escolas", SCHOOLS, strict)
     return id_lookup(ids, details, "cod").select(SCHOOLS.land_columns)
 

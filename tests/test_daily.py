@@ -79,3 +79,10 @@ def test_daily_run(spark, tmp_path):
                     "WHERE SIGLA_UF = 'SP'").first()
     assert (row["n"], row["e"]) == (8, 3)
     assert spark.sql("SELECT count(*) FROM api_escolas_trusted").first()[0] == 4
+
+
+def test_extract_schools_keeps_shard_duplicates_unless_asked(spark, tmp_path):
+    from laminar.plans.daily import extract_schools
+    d = payload_dir(tmp_path)
+    assert sorted(r["cod"] for r in extract_schools(spark, d).collect()) == ["a1", "c1", "c2", "c2"]
+    assert sorted(r["cod"] for r in extract_schools(spark, d, dedupe=True).collect()) == ["a1", "c1", "c2"]
