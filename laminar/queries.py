@@ -278,8 +278,9 @@ def q_latest_batch(spark, sf_dir):
     events = _table(spark, sf_dir, "events")
     contract = _events_contract(events)
     root = workspace(spark, "latest_batch")
-    layers.land(events, contract, f"{root}/land", F.date_trunc("day", F.col("ts")))
-    layers.refresh_raw(spark, contract, f"{root}/land", f"{root}/raw")
+    # RAW holds the stamped text rows (the LAND step itself is covered by raw_append)
+    stamped = layers.land_frame(events, contract, F.date_trunc("day", F.col("ts")))
+    layers.append_raw(stamped, contract, f"{root}/raw")
     layers.refresh_trusted(spark, contract, f"{root}/raw", f"{root}/trusted")
     return spark.read.parquet(f"{root}/trusted").select(*contract.land_columns, "partition_time")
 
