@@ -15,16 +15,19 @@ one wrote, so a failed run is re-run from the failed step.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laminar.functions import SOCIO_LEVELS
+from laminar.operators.bands import DEFAULT_BANDS, Bands
 from laminar.plans import layers
 from laminar.plans.contracts import INFRASTRUCTURE, SCHOOLS, STATISTICS, Contract
 from laminar.plans.marts import write_datamart
-from laminar.sources.payloads import STATE_CODES
+from laminar.sources.payloads import CAPITAL_CITY_ID, STATE_CODES
 from laminar.sources import (bag_union, city_ids, envelope_ids, flatten_infrastructure, id_lookup,
                              read_objects, read_payloads)
 
@@ -52,16 +55,18 @@ class LayerPaths:
 
 
 def extract_schools(spark: SparkSession, payload_dir: str, strict: bool = True,
-                    dedupe: bool = False) -> DataFrame:
+                    dedupe: bool = False, lines: bool = False,
+                    capital: str = CAPITAL_CITY_ID) -> DataFrame:
     """U1 without the write: city ids, the two searches, bag union, detail lookup.
 
     As in the reference, a school on a shared shard endpoint is found twice
     and lands twice; ``dedupe=True`` keeps one id instead (a shuffle on the
     id, partially aggregated, so a repeated id costs one row per task).
     """
-    cities = city_ids(read_payloads(spark, f"{payload_dir}/cidades"))
-    capital = envelope_ids(read_payloads(spark, f"{payload_dir}/busca_capital"), guard=False)
-    searches = read_payloads(spark, f"{payload_dir}/busca_cidades")
+    whole = not lines
+    cities = city_ids(read_payloads(spark, f"{payload_dir}/cidades", whole), exclude=capital)
+    capital = envelope_ids(read_payloads(spark, f"{payload_dir}/busca_capital", whole), guard=False)
+    searches = read_payloads(spark, f"{payload_dir}/busca_cidades", whole)
     listed = searches.join(cities.distinct(), "cidade", "left_semi")
     rest = envelope_ids(listed, guard=True)
     ids = bag_union([capital, rest])
@@ -72,41 +77,51 @@ def extract_schools(spark: SparkSession, payload_dir: str, strict: bool = True,
 
 
 def extract_statistics(spark: SparkSession, payload_dir: str,
-                       states: tuple[str, ...] | None = STATE_CODES, strict: bool = True) -> DataFrame:
+                       states: tuple[str, ...] | None = STATE_CODES, strict: bool = True,
+                       lines: bool = False) -> DataFrame:
     """U2 without the write: one object per requested state code."""
     objects = read_objects(spark, f"{payload_dir}/estatisticas", STATISTICS, strict)
     return objects if states is None else objects.where(F.col("nome_local").isin(*states))
 
 
-def extract_infrastructure(spark: SparkSession, payload_dir: str) -> DataFrame:
+def extract_infrastructure(spark: SparkSession, payload_dir: str, lines: bool = False) -> DataFrame:
     """U3 without the write; ``id`` is never in the payload and lands as NULL."""
-    flat = flatten_infrastructure(read_payloads(spark, f"{payload_dir}/infraestrutura"))
+    flat = flatten_infrastructure(read_payloads(spark, f"{payload_dir}/infraestrutura", not lines))
     return flat.withColumn("id", F.lit(None).cast("string")).select(INFRASTRUCTURE.land_columns)
 
 
-EXTRACTS = ((SCHOOLS, extract_schools), (STATISTICS, extract_statistics),
-            (INFRASTRUCTURE, extract_infrastructure))
-
-
 def run_daily(spark: SparkSession, payload_dir: str, root: str, now: datetime | None = None,
-              archive_day: datetime | None = None) -> LayerPaths:
-    """Land, archive, RAW, TRUSTED, mart, then truncate LAND."""
+              archive_day: datetime | None = None, lines: bool = False,
+              states: tuple[str, ...] | None = STATE_CODES, levels: Sequence[str] = SOCIO_LEVELS,
+              bands: Bands = DEFAULT_BANDS, capital: str = CAPITAL_CITY_ID) -> LayerPaths:
+    """Land, archive, RAW, TRUSTED, mart, then truncate LAND.
+
+    ``lines`` reads payload files as JSON lines (one document per line)
+    instead of one document per file; ``states``, ``levels`` and ``bands``
+    are the requested state codes, the socio-economic labels and the score
+    bands (the reference's fixed values by default).
+    """
     paths = LayerPaths(root)
     stamp = layers.batch_instant(now)
     day = archive_day or now or datetime.now()
-    for contract, extract in EXTRACTS:
+    extracts = (
+        (SCHOOLS, lambda: extract_schools(spark, payload_dir, lines=lines, capital=capital)),
+        (STATISTICS, lambda: extract_statistics(spark, payload_dir, states, lines=lines)),
+        (INFRASTRUCTURE, lambda: extract_infrastructure(spark, payload_dir, lines=lines)),
+    )
+    for contract, extract in extracts:
         # The stamped batch file is written once to the dated archive (K4),
         # then appended to LAND from there (K1-K3), as the reference loads
         # and archives the same file.
-        batch = layers.land_frame(extract(spark, payload_dir), contract, stamp)
+        batch = layers.land_frame(extract(), contract, stamp)
         archived = layers.archive_copy(batch, paths.archive, day, contract.name)
         spark.read.parquet(archived).write.mode("append").parquet(paths.land(contract))
-    for contract, _ in EXTRACTS:
+    for contract, _ in extracts:
         layers.refresh_raw(spark, contract, paths.land(contract), paths.raw(contract))
-    for contract, _ in EXTRACTS:
+    for contract, _ in extracts:
         layers.refresh_trusted(spark, contract, paths.raw(contract), paths.trusted(contract))
     write_datamart(spark.read.parquet(paths.trusted(SCHOOLS)),
-                   spark.read.parquet(paths.trusted(STATISTICS)), paths.mart)
-    for contract, _ in EXTRACTS:
+                   spark.read.parquet(paths.trusted(STATISTICS)), paths.mart, levels, bands)
+    for contract, _ in extracts:
         layers.truncate(spark, contract, paths.land(contract))
     return paths

@@ -51,10 +51,14 @@ _TYPE_SQL = ("CASE WHEN dependencia_administrativa IN (1, 2, 3) THEN 'Pública'
 
 # --------------------------------------------------------------- bands
 
-_TYPE_GROUPS_SQL = f"""
+def _type_groups_sql(schools: str) -> str:
+    return f"""
 SELECT {_TYPE_SQL} AS TIPO_ESCOLA, sigla_uf AS SIGLA_UF,
   {", ".join(f"{c} AS {n}" for c, n in zip(_band_sql("enem_media_geral"), BANDS.names))}
-FROM {_S} s GROUP BY 1, 2"""
+FROM {schools} s GROUP BY 1, 2"""
+
+
+_TYPE_GROUPS_SQL = _type_groups_sql(_S)
 
 
 @query("type_groups", _TYPE_GROUPS_SQL)
@@ -73,16 +77,20 @@ def q_band_totals(spark, sf_dir):
     return band_counts(A.schools(spark, sf_dir), "enem_media_geral", [], BANDS)
 
 
-_BAND_SHARE_SQL = f"""
-WITH g AS ({_TYPE_GROUPS_SQL}),
+def _band_share_sql(schools: str) -> str:
+    return f"""
+WITH g AS ({_type_groups_sql(schools)}),
 t AS (SELECT {", ".join(f"{c} AS {n}" for c, n in zip(_band_sql("enem_media_geral"), BANDS.names))}
-      FROM {_S} s)
+      FROM {schools} s)
 SELECT g.TIPO_ESCOLA, g.SIGLA_UF,
   {", ".join(f"g.{n}, round(g.{n} / NULLIF(t.{n}, 0) * 100, 6) AS {r}"
              for n, r in zip(BANDS.names, BANDS.ratio_names))}
 FROM g, t"""
 
 
+_BAND_SHARE_SQL = _band_share_sql(_S)
+
+
 @query("band_share", _BAND_SHARE_SQL)
 def q_band_share(spark, sf_dir):
     out = band_shares(A.schools(spark, sf_dir), bands=BANDS)
@@ -91,8 +99,9 @@ def q_band_share(spark, sf_dir):
 
 # --------------------------------------------------------------- correlation
 
-_CORR_SQL = f"""
-WITH s AS {_S},
+def _corr_sql(schools: str) -> str:
+    return f"""
+WITH s AS {schools},
 ind AS (SELECT {A.ordinal_sql("socio_economico")} AS x, enem_media_geral AS y
         FROM s WHERE socio_economico IS NOT NULL AND enem_media_geral IS NOT NULL),
 dados AS (SELECT sigla_uf FROM s)
@@ -102,6 +111,9 @@ SELECT round(CASE WHEN count(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN 1 EN
 FROM ind, dados GROUP BY dados.sigla_uf"""
 
 
+_CORR_SQL = _corr_sql(_S)
+
+
 @query("corr_by_group", _CORR_SQL)
 def q_corr_by_group(spark, sf_dir):
     out = socio_correlation(A.schools(spark, sf_dir), levels=A.SEGMENT_LEVELS)
@@ -110,7 +122,8 @@ def q_corr_by_group(spark, sf_dir):
 
 # --------------------------------------------------------------- means and mart
 
-_MEDIAS_SQL = f"""
+def _medias_sql(schools: str, statistics: str) -> str:
+    return f"""
 SELECT es.nome AS ESCOLA, es.nome_municipio AS MUNICIPIO, es.sigla_uf AS SIGLA_UF,
   es.tipo_localizacao_txt AS TIPO_LOCALIZACAO,
   es.dependencia_administrativa_txt AS DEPENDENCIA_ADMINSTRATIVA, es.ano_censo AS ANO_CENSO,
@@ -123,7 +136,10 @@ SELECT es.nome AS ESCOLA, es.nome_municipio AS MUNICIPIO, es.sigla_uf AS SIGLA_U
   st.enem_redacao AS ESTADO_MEDIA_ENEM_REDACAO, st.enem_media_geral AS ESTADO_MEDIA_ENEM_GERAL,
   st.ideb_af AS ESTADO_IDEB_NOTA, es.socio_economico AS SOCIO_ECONOMICO,
   {A.ordinal_sql("es.socio_economico")} AS SOCIO_ECONOMICO_NUMERO
-FROM {_S} es JOIN {_ST} st ON es.sigla_uf = st.nome_local"""
+FROM {schools} es JOIN {statistics} st ON es.sigla_uf = st.nome_local"""
+
+
+_MEDIAS_SQL = _medias_sql(_S, _ST)
 
 
 @query("state_join", _MEDIAS_SQL)
@@ -132,13 +148,18 @@ def q_state_join(spark, sf_dir):
                         levels=A.SEGMENT_LEVELS)
 
 
-_DATAMART_SQL = f"""
-WITH m AS ({_MEDIAS_SQL}), p AS ({_BAND_SHARE_SQL}), i AS ({_CORR_SQL})
+def _datamart_sql(schools: str, statistics: str) -> str:
+    return f"""
+WITH m AS ({_medias_sql(schools, statistics)}), p AS ({_band_share_sql(schools)}),
+  i AS ({_corr_sql(schools)})
 SELECT m.*, i.CORRELACAO_SOCIOECONOMICA_ENEM, p.TIPO_ESCOLA,
   {", ".join(f"p.{n}, p.{r}" for n, r in zip(BANDS.names, BANDS.ratio_names))}
 FROM m JOIN p ON m.SIGLA_UF = p.SIGLA_UF JOIN i ON m.SIGLA_UF = i.SIGLA_UF"""
 
 
+_DATAMART_SQL = _datamart_sql(_S, _ST)
+
+
 @query("datamart", _DATAMART_SQL)
 def q_datamart(spark, sf_dir):
     out = build_datamart(A.schools(spark, sf_dir), A.statistics(spark, sf_dir),
@@ -146,6 +167,34 @@ def q_datamart(spark, sf_dir):
     return _round(out, ["CORRELACAO_SOCIOECONOMICA_ENEM", *BANDS.ratio_names])
 
 
+def _daily_schools_sql() -> str:
+    """The schools the daily run finds: the capital's shard searches (a bag) and every
+    listed city's search, each matched to its detail object."""
+    from laminar.plans.analogue_payloads import CAPITAL_NATION, CAPITAL_SHARDS
+    shards = " UNION ALL ".join(
+        f"SELECT c_custkey AS id FROM customer WHERE c_nationkey = {CAPITAL_NATION} "
+        f"AND c_acctbal BETWEEN {lo} AND {hi}" for lo, hi in CAPITAL_SHARDS)
+    cities = (f"SELECT c_custkey AS id FROM customer JOIN nation ON c_nationkey = n_nationkey "
+              f"WHERE c_nationkey <> {CAPITAL_NATION}")
+    return f"(SELECT s.* FROM ({shards} UNION ALL {cities}) ids JOIN {_S} s ON s.cod = CAST(ids.id AS VARCHAR))"
+
+
+@query("daily_run", _datamart_sql(_daily_schools_sql(), _ST))
+def q_daily_run(spark, sf_dir):
+    """U1-U10 end to end: payload folder derived from the tables -> LAND -> RAW ->
+    TRUSTED (latest batch, strict casts) -> mart, LAND truncated; returns the mart."""
+    from datetime import datetime
+
+    from laminar.plans.analogue_payloads import CAPITAL_ID, write_payloads
+    from laminar.plans.daily import run_daily
+    from laminar.session import workspace
+    root = workspace(spark, "daily_run")
+    payloads = write_payloads(spark, sf_dir, f"{root}/payloads")
+    paths = run_daily(spark, payloads, f"{root}/lake", now=datetime(2024, 5, 2, 12, 0), lines=True,
+                      states=None, levels=A.SEGMENT_LEVELS, bands=BANDS, capital=CAPITAL_ID)
+    return _round(spark.read.parquet(paths.mart), ["CORRELACAO_SOCIOECONOMICA_ENEM", *BANDS.ratio_names])
+
+
 # =============================================================== casts and projections
 
 def _table(spark, sf_dir, name):
