@@ -51,14 +51,14 @@ def strict_bool(c, tolerant: bool = False) -> Column:
             .otherwise(bad))
 
 
-def safe_int(c) -> Column:
+def safe_int(c, tolerant: bool = False) -> Column:
     """SAFE_CAST(CAST(x AS FLOAT64) AS INT64).
 
-    The inner cast is strict; the outer one rounds half away from zero
-    (2.5 -> 3, -2.5 -> -3) and gives NULL for NaN, infinities and values
-    outside the 64-bit range. A bare cast would truncate instead.
+    The inner cast is strict (tolerant: NULL); the outer one rounds half
+    away from zero (2.5 -> 3, -2.5 -> -3) and gives NULL for NaN, infinities
+    and values outside the 64-bit range. A bare cast would truncate instead.
     """
-    return F.round(strict_double(c)).try_cast("bigint")
+    return F.round(strict_double(c, tolerant)).try_cast("bigint")
 
 
 def parse_year(c, tolerant: bool = False) -> Column:
@@ -86,7 +86,7 @@ CASTS = {
     "bool": strict_bool,
     "year": parse_year,
     "dmy": parse_day_month_year,
-    "safe_long": lambda c, tolerant=False: safe_int(c),
+    "safe_long": safe_int,
     "timestamp": lambda c, tolerant=False: (as_col(c).try_cast("timestamp") if tolerant
                                             else as_col(c).cast("timestamp")),
     "date": lambda c, tolerant=False: (as_col(c).try_cast("date") if tolerant
@@ -101,3 +101,33 @@ def cast_to(c, type_word: str, tolerant: bool = False) -> Column:
     except KeyError as exc:
         raise ValueError(f"unknown contract type {type_word!r}") from exc
     return builder(c, tolerant=tolerant)
+
+
+# The same casts as SQL text, for wide projections: a contract of 135 fields
+# becomes one ``selectExpr`` call (parsed in the JVM) instead of thousands of
+# Python-side Column calls. ``tests/test_functions.py`` checks both forms agree.
+
+def quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def cast_sql(name: str, type_word: str, tolerant: bool = False) -> str:
+    """SQL text of ``cast_to(col(name), type_word, tolerant)``."""
+    c = quote(name)
+    cast = "TRY_CAST" if tolerant else "CAST"
+    to_date = "try_to_date" if tolerant else "to_date"
+    if type_word == "bool":
+        bad = "NULL" if tolerant else (
+            f"raise_error(concat('[CAST_INVALID_INPUT] cannot cast to BOOL: ''', {c}, ''''))")
+        return (f"CASE WHEN {c} IS NULL THEN CAST(NULL AS BOOLEAN) WHEN lower({c}) = 'true' THEN true "
+                f"WHEN lower({c}) = 'false' THEN false ELSE {bad} END")
+    simple = {"string": f"CAST({c} AS STRING)", "long": f"{cast}({c} AS BIGINT)",
+              "double": f"{cast}({c} AS DOUBLE)", "timestamp": f"{cast}({c} AS TIMESTAMP)",
+              "date": f"{cast}({c} AS DATE)",
+              "year": f"{to_date}({c}, '{YEAR_PATTERN}')",
+              "dmy": f"{to_date}({c}, '{DAY_MONTH_YEAR_PATTERN}')",
+              "safe_long": f"TRY_CAST(round({cast}({c} AS DOUBLE)) AS BIGINT)"}
+    try:
+        return simple[type_word]
+    except KeyError as exc:
+        raise ValueError(f"unknown contract type {type_word!r}") from exc

@@ -28,9 +28,11 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 def stringify(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Every column as text, except the names in ``keep``."""
-    return df.select([F.col(c) if c in keep else F.col(c).cast("string").alias(c)
-                      for c in df.columns])
+    """Every column as text, except the names in ``keep`` (one ``selectExpr`` call)."""
+    def q(c: str) -> str:
+        return "`" + c.replace("`", "``") + "`"
+    return df.selectExpr(*[q(c) if c in keep else f"CAST({q(c)} AS STRING) AS {q(c)}"
+                           for c in df.columns])
 
 
 def id_prefix(c, width: int = 7) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from laminar.functions import camel_to_snake
-from laminar.functions.casts import cast_to
+from laminar.functions.casts import cast_sql, cast_to, quote
 
 STAMP = "partition_time"
 MONTH = "load_month"
@@ -76,6 +76,14 @@ class Contract:
         """The TRUSTED projection: one strict cast per field."""
         return [cast_to(F.col(f.land), f.kind, tolerant).alias(f.land) for f in self.fields]
 
+    def typed_sql(self, tolerant: bool = False) -> list[str]:
+        """The TRUSTED projection as SQL expressions, for ``DataFrame.selectExpr``."""
+        return [f"{cast_sql(f.land, f.kind, tolerant)} AS {quote(f.land)}" for f in self.fields]
+
+    def typed(self, df: DataFrame, *keep: str, tolerant: bool = False) -> DataFrame:
+        """``df`` with every contract field cast, plus the ``keep`` columns unchanged."""
+        return df.selectExpr(*self.typed_sql(tolerant), *[quote(k) for k in keep])
+
     @classmethod
     def from_text(cls, name: str, spec: str, cluster_key: str,
                   irregular: dict[str, str] | None = None) -> "Contract":

@@ -78,7 +78,7 @@ def refresh_raw(spark: SparkSession, contract: Contract, land_path: str, raw_pat
 def trusted_frame(raw: DataFrame, contract: Contract, tolerant: bool = False) -> DataFrame:
     """Latest batch of RAW with the contract casts."""
     latest = latest_batch(raw, STAMP, MONTH if MONTH in raw.columns else None)
-    return latest.select(*contract.typed_columns(tolerant), STAMP)
+    return contract.typed(latest, STAMP, tolerant=tolerant)
 
 
 def refresh_trusted(spark: SparkSession, contract: Contract, raw_path: str, trusted_path: str,

@@ -313,7 +313,7 @@ def q_raw_append(spark, sf_dir):
         layers.refresh_raw(spark, contract, f"{root}/land", f"{root}/raw")
         layers.truncate(spark, contract, f"{root}/land")
     raw = spark.read.parquet(f"{root}/raw")
-    return raw.select(*contract.typed_columns(), "partition_time", "load_month")
+    return contract.typed(raw, "partition_time", "load_month")
 
 
 @query("latest_batch", f"""
@@ -377,8 +377,8 @@ def q_dated_layout(spark, sf_dir):
                        F.col("o_orderdate").cast("timestamp").alias("partition_time"))
     layers.append_raw(stamped, contract, f"{root}/raw")
     raw = spark.read.parquet(f"{root}/raw")
-    return raw.select(*contract.typed_columns(), "partition_time", "load_month",
-                      layers.archive_path_column("partition_time").alias("archive_dir"))
+    return contract.typed(raw, "partition_time", "load_month").withColumn(
+        "archive_dir", layers.archive_path_column("partition_time"))
 
 
 @query("land_truncate", """
@@ -416,7 +416,7 @@ def q_raw_stream(spark, sf_dir):
         layers.land(events, contract, f"{root}/land", F.lit(_ts(batch)))
         stream_land_to_raw(spark, contract, f"{root}/land", f"{root}/raw", f"{root}/_checkpoint")
     raw = spark.read.parquet(f"{root}/raw")
-    return raw.select(*contract.typed_columns(), "partition_time")
+    return contract.typed(raw, "partition_time")
 
 
 # =============================================================== payload sources

@@ -87,3 +87,28 @@ def test_camel_to_snake():
     assert camel_to_snake("espFundamental8") == "esp_fundamental8"
     assert camel_to_snake("situacaoFuncionamentoExtintaAnoAnterior") == \
         "situacao_funcionamento_extinta_ano_anterior"
+
+
+@pytest.mark.parametrize("kind,values", [
+    ("bool", ["true", "FALSE", "tRuE", None]), ("long", ["1", " 7 ", None]),
+    ("double", ["1.5", "NaN", "-0.25", None]), ("year", ["2015", None]),
+    ("dmy", ["1/2/2015", "01/02/2015", None]), ("safe_long", ["2.5", "-2.5", "nan", "1e30", None]),
+    ("string", ["x", None]), ("timestamp", ["2024-01-02 03:04:05", None]),
+])
+def test_sql_and_column_casts_agree(spark, kind, values):
+    from laminar.functions.casts import cast_sql, cast_to
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    by_column = [r[0] for r in df.select(cast_to(F.col("v"), kind)).collect()]
+    by_sql = [r[0] for r in df.selectExpr(cast_sql("v", kind)).collect()]
+    same = [(a == b) or (a != a and b != b) for a, b in zip(by_column, by_sql)]
+    assert all(same), (by_column, by_sql)
+
+
+@pytest.mark.parametrize("kind,bad", [("bool", "yes"), ("long", "1.0"), ("double", "abc"),
+                                      ("dmy", "31/02/2015"), ("safe_long", "abc")])
+def test_sql_casts_are_strict(spark, kind, bad):
+    from laminar.functions.casts import cast_sql
+    df = spark.createDataFrame([(bad,)], "v string")
+    with pytest.raises(Exception):
+        df.selectExpr(cast_sql("v", kind)).collect()
+    assert df.selectExpr(cast_sql("v", kind, tolerant=True)).first()[0] is None
