@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from laminar.plans import analogue as A
 from laminar.plans.contracts import SCHOOLS, STATISTICS
+from laminar.plans.daily import concurrently
 from laminar.sources.payloads import CAPITAL_SCORE_SHARDS, shard_filter
 
 CAPITAL_NATION = 0
@@ -122,23 +123,29 @@ def write_payloads(spark: SparkSession, sf_dir: str, out: str) -> str:
     c = A.table(spark, sf_dir, "customer")
     n = A.table(spark, sf_dir, "nation")
     label = F.concat(city_id(F.col("n_nationkey")), F.lit(" - "), F.col("n_name"))
-    (n.groupBy(_block("n_nationkey")).agg(F.to_json(F.collect_list(label)).alias("value"))
-      .select("value").write.text(f"{out}/cidades"))
+    cities = (n.groupBy(_block("n_nationkey")).agg(F.to_json(F.collect_list(label)).alias("value"))
+              .select("value"))
 
     capital = shard_filter(c.where(F.col("c_nationkey") == CAPITAL_NATION)
                            .select("c_custkey", "c_acctbal"), "c_acctbal", CAPITAL_SHARDS)
-    (capital.groupBy("shard", _block("c_custkey")).agg(_envelope("c_custkey").alias("value"))
-            .select("value").write.text(f"{out}/busca_capital"))
+    capital_env = (capital.groupBy("shard", _block("c_custkey"))
+                   .agg(_envelope("c_custkey").alias("value")).select("value"))
 
     found = (c.groupBy(city_id(F.col("c_nationkey")).alias("cidade"), _block("c_custkey"))
              .agg(_envelope("c_custkey").alias("value")).select("cidade", "value"))
     with_customers = c.select(F.col("c_nationkey").alias("n_nationkey")).distinct()
     empty = (n.join(with_customers, "n_nationkey", "left_anti")
              .select(city_id(F.col("n_nationkey")).alias("cidade"), F.lit("[0,[]]").alias("value")))
-    found.unionByName(empty).write.partitionBy("cidade").text(f"{out}/busca_cidades")
 
-    school_objects(c, n).write.text(f"{out}/escolas")
-    statistics_objects(A.table(spark, sf_dir, "supplier"), n).write.text(f"{out}/estatisticas")
-    (infrastructure_payloads(A.table(spark, sf_dir, "orders"))
-        .write.partitionBy("ano", "dep").text(f"{out}/infraestrutura"))
+    writes = [
+        lambda: cities.write.text(f"{out}/cidades"),
+        lambda: capital_env.write.text(f"{out}/busca_capital"),
+        lambda: found.unionByName(empty).write.partitionBy("cidade").text(f"{out}/busca_cidades"),
+        lambda: school_objects(c, n).write.text(f"{out}/escolas"),
+        lambda: statistics_objects(A.table(spark, sf_dir, "supplier"), n)
+        .write.text(f"{out}/estatisticas"),
+        lambda: infrastructure_payloads(A.table(spark, sf_dir, "orders"))
+        .write.partitionBy("ano", "dep").text(f"{out}/infraestrutura"),
+    ]
+    concurrently(lambda write: write(), writes)   # independent folders, concurrent jobs
     return out

@@ -16,6 +16,7 @@ one wrote, so a failed run is re-run from the failed step.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -104,24 +105,35 @@ def run_daily(spark: SparkSession, payload_dir: str, root: str, now: datetime |
     paths = LayerPaths(root)
     stamp = layers.batch_instant(now)
     day = archive_day or now or datetime.now()
-    extracts = (
-        (SCHOOLS, lambda: extract_schools(spark, payload_dir, lines=lines, capital=capital)),
-        (STATISTICS, lambda: extract_statistics(spark, payload_dir, states, lines=lines)),
-        (INFRASTRUCTURE, lambda: extract_infrastructure(spark, payload_dir, lines=lines)),
-    )
-    for contract, extract in extracts:
+    extracts = {
+        SCHOOLS: lambda: extract_schools(spark, payload_dir, lines=lines, capital=capital),
+        STATISTICS: lambda: extract_statistics(spark, payload_dir, states, lines=lines),
+        INFRASTRUCTURE: lambda: extract_infrastructure(spark, payload_dir, lines=lines),
+    }
+
+    def refine(contract: Contract) -> None:
         # The stamped batch file is written once to the dated archive (K4),
         # then appended to LAND from there (K1-K3), as the reference loads
-        # and archives the same file.
-        batch = layers.land_frame(extract(), contract, stamp)
+        # and archives the same file; then RAW (U4) and TRUSTED.
+        batch = layers.land_frame(extracts[contract](), contract, stamp)
         archived = layers.archive_copy(batch, paths.archive, day, contract.name)
         spark.read.parquet(archived).write.mode("append").parquet(paths.land(contract))
-    for contract, _ in extracts:
         layers.refresh_raw(spark, contract, paths.land(contract), paths.raw(contract))
-    for contract, _ in extracts:
         layers.refresh_trusted(spark, contract, paths.raw(contract), paths.trusted(contract))
+
+    # The three entities do not depend on each other until the mart: their
+    # chains run as concurrent Spark jobs (one driver thread each).
+    concurrently(refine, list(extracts))
     write_datamart(spark.read.parquet(paths.trusted(SCHOOLS)),
                    spark.read.parquet(paths.trusted(STATISTICS)), paths.mart, levels, bands)
-    for contract, _ in extracts:
-        layers.truncate(spark, contract, paths.land(contract))
+    concurrently(lambda c: layers.truncate(spark, c, paths.land(c)), list(extracts))
     return paths
+
+
+def concurrently(fn, items: list) -> None:
+    """Run ``fn`` on every item in its own thread (Spark schedules the jobs side by
+    side); wait for all and re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=max(1, len(items))) as pool:
+        futures = [pool.submit(fn, item) for item in items]
+        for future in futures:
+            future.result()
