@@ -8,13 +8,26 @@ oracle, because the two engines sum in different orders.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laminar.functions import (ordinal, parse_day_month_year, parse_year, safe_int, school_type,
+                               stringify)
 from laminar.operators import band_counts, band_shares, socio_correlation
+from laminar.operators.indicators import against_overall, growth_vs_total, rank_states
 from laminar.plans import analogue as A
+from laminar.plans import layers
+from laminar.plans.analogue_payloads import (CAPITAL_ID, CAPITAL_NATION, CAPITAL_SHARDS,
+                                             write_payloads)
+from laminar.plans.contracts import Contract, Field
+from laminar.plans.daily import run_daily
 from laminar.plans.marts import build_datamart, school_means
+from laminar.session import workspace
+from laminar.sources import (bag_union, city_ids, envelope_ids, flatten_infrastructure, id_lookup,
+                             parameter_grid, parse_objects, shard_filter)
+from laminar.streaming import stream_land_to_raw
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,7 +76,6 @@ _TYPE_GROUPS_SQL = _type_groups_sql(_S)
 
 @query("type_groups", _TYPE_GROUPS_SQL)
 def q_type_groups(spark, sf_dir):
-    from laminar.functions import school_type
     s = A.schools(spark, sf_dir)
     keyed = s.select(school_type("dependencia_administrativa").alias("TIPO_ESCOLA"),
                      F.col("sigla_uf").alias("SIGLA_UF"), "enem_media_geral")
@@ -170,7 +182,6 @@ def q_datamart(spark, sf_dir):
 def _daily_schools_sql() -> str:
     """The schools the daily run finds: the capital's shard searches (a bag) and every
     listed city's search, each matched to its detail object."""
-    from laminar.plans.analogue_payloads import CAPITAL_NATION, CAPITAL_SHARDS
     shards = " UNION ALL ".join(
         f"SELECT c_custkey AS id FROM customer WHERE c_nationkey = {CAPITAL_NATION} "
         f"AND c_acctbal BETWEEN {lo} AND {hi}" for lo, hi in CAPITAL_SHARDS)
@@ -183,11 +194,6 @@ def _daily_schools_sql() -> str:
 def q_daily_run(spark, sf_dir):
     """U1-U10 end to end: payload folder derived from the tables -> LAND -> RAW ->
     TRUSTED (latest batch, strict casts) -> mart, LAND truncated; returns the mart."""
-    from datetime import datetime
-
-    from laminar.plans.analogue_payloads import CAPITAL_ID, write_payloads
-    from laminar.plans.daily import run_daily
-    from laminar.session import workspace
     root = workspace(spark, "daily_run")
     payloads = write_payloads(spark, sf_dir, f"{root}/payloads")
     paths = run_daily(spark, payloads, f"{root}/lake", now=datetime(2024, 5, 2, 12, 0), lines=True,
@@ -209,7 +215,6 @@ LINEITEM_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_q
 @query("raw_projection", f"SELECT {', '.join(LINEITEM_COLUMNS)} FROM lineitem")
 def q_raw_projection(spark, sf_dir):
     """The explicit RAW column list over a whole table."""
-    from laminar.plans.contracts import Contract
     li = _table(spark, sf_dir, "lineitem")
     contract = Contract.from_schema("lineitem", li.select(*LINEITEM_COLUMNS).schema, "l_orderkey")
     contract.check(li)
@@ -222,8 +227,6 @@ SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_su
 FROM lineitem""")
 def q_typed_cast(spark, sf_dir):
     """Lineitem landed as text, then the strict TRUSTED casts."""
-    from laminar.functions import stringify
-    from laminar.plans.contracts import Contract, Field
     li = _table(spark, sf_dir, "lineitem")
     text = stringify(li.withColumn(
         "l_is_final", F.when(F.col("l_linestatus") == "F", "TRUE").otherwise("false")))
@@ -241,7 +244,6 @@ SELECT l_orderkey, l_linenumber, CAST(round((l_quantity - 25) / 2) AS BIGINT) AS
 FROM lineitem""")
 def q_safe_int(spark, sf_dir):
     """Float text rounded half away from zero to a 64-bit integer."""
-    from laminar.functions import safe_int
     li = _table(spark, sf_dir, "lineitem")
     text = ((F.col("l_quantity") - 25) / 2).cast("string")
     return li.select("l_orderkey", "l_linenumber", safe_int(text).alias("half_qty"))
@@ -253,7 +255,6 @@ SELECT o_orderkey, make_date(CAST(year(o_orderdate) AS INTEGER), 1, 1) AS ano_ce
 FROM orders""")
 def q_parse_dates(spark, sf_dir):
     """P10, P11: '%Y' and '%d/%m/%Y' text, the latter both unpadded and padded."""
-    from laminar.functions import parse_day_month_year, parse_year
     o = _table(spark, sf_dir, "orders")
     return o.select(
         "o_orderkey",
@@ -272,7 +273,6 @@ SELECT o_orderkey, o_orderpriority, {A.ordinal_sql("o_orderpriority", PRIORITY_L
 FROM orders""")
 def q_ordinal_case(spark, sf_dir):
     """Ordinal CASE from one ordered label list; unknown -> NULL."""
-    from laminar.functions import ordinal
     o = _table(spark, sf_dir, "orders")
     return o.select("o_orderkey", "o_orderpriority",
                     ordinal("o_orderpriority", PRIORITY_LEVELS).alias("priority_rank"))
@@ -281,7 +281,6 @@ def q_ordinal_case(spark, sf_dir):
 # =============================================================== layers
 
 def _events_contract(events: DataFrame):
-    from laminar.plans.contracts import Contract
     return Contract.from_schema("events", events.schema, "event_id")
 
 
@@ -291,7 +290,6 @@ _BATCH_2 = "2024-03-01 00:00:00"
 
 
 def _ts(text: str):
-    from datetime import datetime
     return datetime.fromisoformat(text)
 
 
@@ -303,8 +301,6 @@ SELECT {_EVENT_COLS}, TIMESTAMP '{_BATCH_2}' AS partition_time, DATE '2024-03-01
 FROM events""")
 def q_raw_append(spark, sf_dir):
     """Two daily runs (land, copy to RAW, truncate); RAW keeps both."""
-    from laminar.plans import layers
-    from laminar.session import workspace
     events = _table(spark, sf_dir, "events")
     contract = _events_contract(events)
     root = workspace(spark, "raw_append")
@@ -322,8 +318,6 @@ FROM events
 WHERE date_trunc('day', ts) = (SELECT max(date_trunc('day', ts)) FROM events)""")
 def q_latest_batch(spark, sf_dir):
     """RAW holds one batch per day; TRUSTED keeps only the newest, typed."""
-    from laminar.plans import layers
-    from laminar.session import workspace
     events = _table(spark, sf_dir, "events")
     contract = _events_contract(events)
     root = workspace(spark, "latest_batch")
@@ -345,8 +339,6 @@ SELECT event_id, event_type,
 FROM events""")
 def q_stamp_nulls(spark, sf_dir):
     """Rows landed without a stamp get now - 3 h; stamped rows keep theirs."""
-    from laminar.plans import layers
-    from laminar.session import workspace
     events = _table(spark, sf_dir, "events")
     contract = _events_contract(events)
     root = workspace(spark, "stamp_nulls")
@@ -366,9 +358,6 @@ FROM orders""")
 def q_dated_layout(spark, sf_dir):
     """Orders stamped by order date, written month-partitioned and
     sorted by key, read back; the dated archive folder of each stamp."""
-    from laminar.plans import layers
-    from laminar.plans.contracts import Contract, Field
-    from laminar.session import workspace
     o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     contract = Contract("orders", (Field("o_orderkey", "o_orderkey", "long"),
                                    Field("o_custkey", "o_custkey", "long")), "o_orderkey")
@@ -385,8 +374,6 @@ def q_dated_layout(spark, sf_dir):
 SELECT count(*) AS rows_in_raw, CAST(0 AS BIGINT) AS rows_in_land FROM events""")
 def q_land_truncate(spark, sf_dir):
     """K9: after the RAW copy, LAND is emptied but keeps its schema."""
-    from laminar.plans import layers
-    from laminar.session import workspace
     events = _table(spark, sf_dir, "events")
     contract = _events_contract(events)
     root = workspace(spark, "land_truncate")
@@ -406,9 +393,6 @@ SELECT {_EVENT_COLS}, TIMESTAMP '{_BATCH_2}' AS partition_time FROM events""")
 def q_raw_stream(spark, sf_dir):
     """K5 (safe form): LAND -> RAW as an availableNow file stream with a checkpoint;
     two landings, two incremental runs, each LAND file copied exactly once."""
-    from laminar.plans import layers
-    from laminar.session import workspace
-    from laminar.streaming import stream_land_to_raw
     events = _table(spark, sf_dir, "events")
     contract = _events_contract(events)
     root = workspace(spark, "raw_stream")
@@ -422,7 +406,6 @@ def q_raw_stream(spark, sf_dir):
 # =============================================================== payload sources
 
 def _orders_payload_contract():
-    from laminar.plans.contracts import Contract
     return Contract.from_text("orders_payload", "long: orderKey custKey\nstring: orderStatus orderPriority",
                               "order_key")
 
@@ -433,7 +416,6 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_key, CAST(o_custkey AS VARCHAR) AS c
 FROM orders""")
 def q_rename_stringify(spark, sf_dir):
     """JSON objects with camelCase keys -> contract rename -> all text."""
-    from laminar.sources import parse_objects
     o = _table(spark, sf_dir, "orders")
     payloads = o.select(F.to_json(F.struct(
         F.col("o_orderkey").alias("orderKey"), F.col("o_custkey").alias("custKey"),
@@ -455,7 +437,6 @@ def q_nested_explode(spark, sf_dir):
     One payload per (conversation, dependency, block of 64 turns), so no
     payload grows with a long conversation.
     """
-    from laminar.sources import flatten_infrastructure
     c = _table(spark, sf_dir, "conversations")
     dep = F.when(F.col("role") == "assistant", 4).otherwise(5)
     values = F.array(*[F.struct(F.lit(name).alias("entidade"), size.cast("string").alias("value"),
@@ -487,7 +468,6 @@ SELECT o_custkey AS cidade, CAST(o_orderkey AS VARCHAR) AS cod FROM orders""")
 def q_envelope_explode(spark, sf_dir):
     """[count, [ {cod} ]] envelopes (with [0, []] for customers without
     orders), count guard, explode."""
-    from laminar.sources import bag_union, envelope_ids
     o = _table(spark, sf_dir, "orders")
     c = _table(spark, sf_dir, "customer")
     full = (o.groupBy(F.col("o_custkey").alias("cidade"),
@@ -508,7 +488,6 @@ SELECT DISTINCT CAST(year(o_orderdate) AS BIGINT) AS ano, d.dep,
 FROM orders, (VALUES (4), (5)) d(dep)""")
 def q_param_grid(spark, sf_dir):
     """The (year, dependency) request grid over the years present in orders."""
-    from laminar.sources import parameter_grid
     years = _table(spark, sf_dir, "orders").select(
         F.year("o_orderdate").cast("bigint").alias("ano")).distinct()
     return parameter_grid(years, "ano")
@@ -523,7 +502,6 @@ BALANCE_SHARDS = ((-1000, 0), (0, 2500), (2500, 5000), (5000, 7500), (7500, 1000
     for i, (lo, hi) in enumerate(BALANCE_SHARDS)))
 def q_bag_union(spark, sf_dir):
     """Overlapping range requests, bag union (no dedup), in one scan."""
-    from laminar.sources import shard_filter
     c = _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     return shard_filter(c, "c_acctbal", BALANCE_SHARDS).select("shard", "c_custkey", "c_acctbal")
 
@@ -533,7 +511,6 @@ SELECT o_orderkey, c_custkey, c_name, c_acctbal, c_mktsegment
 FROM orders JOIN customer ON o_custkey = c_custkey""")
 def q_id_lookup(spark, sf_dir):
     """One detail row per requested id (order's customer), repeats kept."""
-    from laminar.sources import id_lookup
     ids = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     details = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal",
                                                        "c_mktsegment")
@@ -551,7 +528,6 @@ SELECT c_nationkey, lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS cidade FROM cust
 WHERE lpad(CAST(c_custkey AS VARCHAR), 7, '0') <> '{_EXCLUDED_ID}'""")
 def q_prefix_antifilter(spark, sf_dir):
     """JSON arrays of 'id - name' strings; first 7 chars; one id excluded."""
-    from laminar.sources import city_ids
     c = _table(spark, sf_dir, "customer")
     label = F.concat(F.lpad(F.col("c_custkey").cast("string"), 7, "0"), F.lit(" - "), F.col("c_name"))
     payloads = (c.groupBy("c_nationkey", F.floor(F.col("c_custkey") / _CITY_BLOCK).alias("_blk"))
@@ -577,7 +553,6 @@ SELECT cur.ano, cur.focus AS focus_orders, cur.total AS total_orders,
 FROM y cur JOIN y past ON past.ano = cur.ano - 5""")
 def q_growth_5y(spark, sf_dir):
     """X1 (our definition): 5-year growth of one state's order count against all states."""
-    from laminar.operators.indicators import growth_vs_total
     o = _table(spark, sf_dir, "orders")
     c = _table(spark, sf_dir, "customer")
     n = _table(spark, sf_dir, "nation")
@@ -591,7 +566,6 @@ SELECT n_name AS SIGLA_UF, round(avg(c_acctbal), 6) AS media,
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
 def q_rank_groups(spark, sf_dir):
     """X2 (our definition): states ranked by mean score."""
-    from laminar.operators.indicators import rank_states
     s = A.schools(spark, sf_dir).where(F.col("sigla_uf").isNotNull())
     return _round(rank_states(s, "sigla_uf", "enem_media_geral"), ["media"])
 
@@ -602,6 +576,5 @@ SELECT c_custkey, c_acctbal, round((SELECT avg(c_acctbal) FROM customer), 6) AS
 FROM customer""")
 def q_vs_overall(spark, sf_dir):
     """X3 (our definition): each school's score against the overall mean."""
-    from laminar.operators.indicators import against_overall
     c = _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     return _round(against_overall(c, "c_acctbal"), ["media_geral", "diferenca"])
