@@ -20,6 +20,7 @@ def raises(spark, expr, value):
 
 def test_strict_long(spark):
     assert one(spark, strict_long, "1") == 1
+    assert one(spark, strict_long, " 7 ") == 7   # Spark's ANSI cast trims spaces (README)
     assert one(spark, strict_long, None) is None
     for bad in ("1.0", "abc", ""):
         raises(spark, strict_long, bad)
