@@ -29,6 +29,7 @@ from laminar.plans import layers
 from laminar.plans.contracts import INFRASTRUCTURE, SCHOOLS, STATISTICS, Contract
 from laminar.plans.marts import write_datamart
 from laminar.sources.payloads import CAPITAL_CITY_ID, STATE_CODES
+from laminar.streaming import stream_land_to_raw
 from laminar.sources import (bag_union, city_ids, envelope_ids, flatten_infrastructure, id_lookup,
                              read_objects, read_payloads)
 
@@ -46,6 +47,9 @@ class LayerPaths:
     def trusted(self, c: Contract) -> str:
         return f"{self.root}/trusted/{c.name}"
 
+    def checkpoint(self, c: Contract) -> str:
+        return f"{self.root}/_checkpoints/raw/{c.name}"
+
     @property
     def mart(self) -> str:
         return f"{self.root}/refined/datamart_diretoria"
@@ -94,13 +98,16 @@ def extract_infrastructure(spark: SparkSession, payload_dir: str, lines: bool =
 def run_daily(spark: SparkSession, payload_dir: str, root: str, now: datetime | None = None,
               archive_day: datetime | None = None, lines: bool = False,
               states: tuple[str, ...] | None = STATE_CODES, levels: Sequence[str] = SOCIO_LEVELS,
-              bands: Bands = DEFAULT_BANDS, capital: str = CAPITAL_CITY_ID) -> LayerPaths:
+              bands: Bands = DEFAULT_BANDS, capital: str = CAPITAL_CITY_ID,
+              raw_stream: bool = False) -> LayerPaths:
     """Land, archive, RAW, TRUSTED, mart, then truncate LAND.
 
     ``lines`` reads payload files as JSON lines (one document per line)
     instead of one document per file; ``states``, ``levels`` and ``bands``
     are the requested state codes, the socio-economic labels and the score
-    bands (the reference's fixed values by default).
+    bands (the reference's fixed values by default). ``raw_stream`` copies
+    LAND to RAW with the checkpointed ``availableNow`` stream, so a re-run
+    or a failed truncate never copies a LAND file twice.
     """
     paths = LayerPaths(root)
     stamp = layers.batch_instant(now)
@@ -118,7 +125,11 @@ def run_daily(spark: SparkSession, payload_dir: str, root: str, now: datetime |
         batch = layers.land_frame(extracts[contract](), contract, stamp)
         archived = layers.archive_copy(batch, paths.archive, day, contract.name)
         spark.read.parquet(archived).write.mode("append").parquet(paths.land(contract))
-        layers.refresh_raw(spark, contract, paths.land(contract), paths.raw(contract))
+        if raw_stream:
+            stream_land_to_raw(spark, contract, paths.land(contract), paths.raw(contract),
+                               paths.checkpoint(contract))
+        else:
+            layers.refresh_raw(spark, contract, paths.land(contract), paths.raw(contract))
         layers.refresh_trusted(spark, contract, paths.raw(contract), paths.trusted(contract))
 
     # The three entities do not depend on each other until the mart: their

@@ -86,3 +86,17 @@ def test_extract_schools_keeps_shard_duplicates_unless_asked(spark, tmp_path):
     d = payload_dir(tmp_path)
     assert sorted(r["cod"] for r in extract_schools(spark, d).collect()) == ["a1", "c1", "c2", "c2"]
     assert sorted(r["cod"] for r in extract_schools(spark, d, dedupe=True).collect()) == ["a1", "c1", "c2"]
+
+
+def test_daily_run_with_streamed_raw_copy_is_exactly_once(spark, tmp_path):
+    root = f"{tmp_path}/{uuid.uuid4().hex}"
+    d = payload_dir(tmp_path)
+    paths = run_daily(spark, d, root, now=datetime(2024, 5, 2, 12, 0), raw_stream=True)
+    assert spark.read.parquet(paths.raw(SCHOOLS)).count() == 4
+    # the next day: LAND was truncated, a new batch lands; RAW gains only the new batch
+    paths = run_daily(spark, d, root, now=datetime(2024, 5, 3, 12, 0), raw_stream=True)
+    raw = spark.read.parquet(paths.raw(SCHOOLS))
+    assert raw.count() == 8
+    assert raw.select("partition_time").distinct().count() == 2
+    assert spark.read.parquet(paths.trusted(SCHOOLS)).count() == 4
+    assert spark.read.parquet(paths.mart).count() == 8
