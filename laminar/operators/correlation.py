@@ -21,7 +21,6 @@ from laminar.functions import SOCIO_LEVELS, ordinal
 from laminar.functions._util import as_col
 
 
-
 def guarded_corr(n_pairs, covar_pop, sd_x, sd_y) -> Column:
     """CORR from moments with the reference's edge rules, without raising.
 
@@ -33,7 +32,7 @@ def guarded_corr(n_pairs, covar_pop, sd_x, sd_y) -> Column:
     return F.when(as_col(n_pairs) < 2, F.lit(None).cast("double")).otherwise(value)
 
 
-def pair_moments(df: DataFrame, x: str, y: str) -> list[Column]:
+def pair_moments(x: str, y: str) -> list[Column]:
     """Aggregates over the pairs where both x and y are present (pairwise deletion)."""
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     xs = F.when(both, F.col(x))
@@ -44,7 +43,7 @@ def pair_moments(df: DataFrame, x: str, y: str) -> list[Column]:
 
 def corr_by_group(df: DataFrame, x: str, y: str, keys: Sequence[str]) -> DataFrame:
     """CORR(x, y) grouped by ``keys`` with the edge rules of ``guarded_corr``."""
-    g = df.groupBy(*keys).agg(*pair_moments(df, x, y))
+    g = df.groupBy(*keys).agg(*pair_moments(x, y))
     return g.select(*keys, guarded_corr("pairs", "cov", "sd_x", "sd_y").alias("corr"))
 
 
@@ -67,7 +66,7 @@ def socio_correlation(schools: DataFrame, label: str = "socio_economico",
     agg = keyed.groupingSets([["SIGLA_UF"], []], "SIGLA_UF").agg(
         F.count(F.lit(1)).alias("_k"), F.count_if("_scored").alias("_rows"),
         # _x is NULL outside the scored rows, so (x, y) pairs are exactly the scored pairs
-        *pair_moments(keyed, "_x", "_y"), F.grouping_id().alias("_gid"))
+        *pair_moments("_x", "_y"), F.grouping_id().alias("_gid"))
     whole = Window.partitionBy()            # over one row per state plus the total
     is_total = F.col("_gid") == 1
     spread = agg.select("_gid", "SIGLA_UF", "_k", *[

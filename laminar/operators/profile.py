@@ -50,7 +50,7 @@ def state_profile(schools: DataFrame, score: str = "enem_media_geral", state: st
         *bands.counts("_y"), F.count(F.lit(1)).alias("_n"),
         F.count_if("_scored").alias("_scored_rows"),
         # _x is NULL outside the scored rows, so (x, y) pairs are exactly the scored pairs
-        *pair_moments(keyed, "_x", "_y"),
+        *pair_moments("_x", "_y"),
         F.grouping_id().alias("_gid"))
 
     whole = Window.partitionBy()            # over the aggregate's few rows only

@@ -100,3 +100,14 @@ def test_single_pass_profile_equals_shares_join_indicator(spark, seed):
         return sorted(tuple(round(v, 9) if isinstance(v, float) and not math.isnan(v) else v
                             for v in (r[c] for c in cols)) for r in rows)
     assert key(state_profile(df).collect()) == key(joined.collect())
+
+
+def test_generic_corr_by_group_edge_rules(spark):
+    from laminar.operators import corr_by_group
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 2.0, 4.0), ("a", None, 9.0),
+                                ("b", 1.0, 1.0), ("c", 1.0, 1.0), ("c", 1.0, 2.0)],
+                               "k string, x double, y double")
+    got = {r["k"]: r["corr"] for r in corr_by_group(df, "x", "y", ["k"]).collect()}
+    assert abs(got["a"] - 1.0) < 1e-12      # the NULL pair is skipped
+    assert got["b"] is None                  # one pair
+    assert math.isnan(got["c"])              # zero variance in x
