@@ -1,13 +1,14 @@
 """The refined mart ``datamart_diretoria``.
 
 Plan shape: the school table is the only large input and is never shuffled.
-Every other side is keyed by state and aggregated first (statistics: one
-row per state; band shares: up to three rows per state; correlation: one
-row per state); they are joined to each other while small, counted, and
-broadcast when within the bound (``bounded_broadcast``), so the school scan
-streams through one broadcast hash join. Inner joins drop schools whose state is NULL or
-has no statistics row; a school repeats once per school type present in
-its state (the reference's fan-out, kept on purpose).
+Everything else is keyed by state and small: the statistics (one row per
+state) and the band shares with the correlation (one row per school type
+present in a state, from one grouping-sets pass, ``state_profile``). They
+are joined while small, counted, and broadcast when within the bound
+(``bounded_broadcast``), so the school scan streams through one broadcast
+hash join. Inner joins drop schools whose state is NULL or has no
+statistics row; a school repeats once per school type present in its state
+(the reference's fan-out, kept on purpose).
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 
 from laminar.functions import SOCIO_LEVELS, ordinal
 from laminar.operators import DEFAULT_BANDS, Bands
-from laminar.operators.profile import state_profile
 from laminar.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, bounded_side
+from laminar.operators.profile import state_profile
 
 # Mart column <- school column, in the mart's order (MEDIAS).
 SCHOOL_COLUMNS = (
