@@ -2,7 +2,8 @@
 
 Each query is executed with a no-op sink (the whole plan runs, nothing is
 collected), once to warm up and then $BENCH_REPS times; the median is
-reported. Prints one JSON line:
+reported. ``BENCH_EVENT_LOG=<folder>`` also writes Spark's event log there
+(stage and task times). Prints one JSON line:
 {"metric": ..., "value": total_sec, "unit": "sec", "queries": {...}, "sf": ...}
 """
 
@@ -36,8 +37,12 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     reps = int(os.environ.get("BENCH_REPS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(f"local[{cpus}]", int(cpus), app_name="laminar-bench",
-                          extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")}
+    event_log = os.environ.get("BENCH_EVENT_LOG")   # a scratch folder for stage/task timings
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
+    spark = build_session(f"local[{cpus}]", int(cpus), app_name="laminar-bench", extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     names = only or list(HEADLINE) + [q for q in QUERIES if q not in HEADLINE]
     timings = {}
