@@ -25,11 +25,17 @@ from laminar.session import build_session  # noqa: E402
 HEADLINE = ("datamart", "corr_by_group", "latest_batch", "nested_explode")
 
 
-def run_once(spark, fn, sf_dir) -> float:
+WINDOWS: dict[str, list[tuple[int, int]]] = {}
+
+
+def run_once(spark, fn, sf_dir, name: str = "") -> float:
     spark.catalog.clearCache()  # every run recomputes its cached per-state sides
+    start_ms = int(time.time() * 1000)
     t0 = time.perf_counter()
     fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - t0
+    elapsed = time.perf_counter() - t0
+    WINDOWS.setdefault(name, []).append((start_ms, int(time.time() * 1000)))
+    return elapsed
 
 
 def main() -> None:
@@ -47,9 +53,12 @@ def main() -> None:
     names = only or list(HEADLINE) + [q for q in QUERIES if q not in HEADLINE]
     timings = {}
     for name in names:
-        run_once(spark, QUERIES[name], sf_dir)
-        timings[name] = round(statistics.median(run_once(spark, QUERIES[name], sf_dir)
+        run_once(spark, QUERIES[name], sf_dir, name)
+        timings[name] = round(statistics.median(run_once(spark, QUERIES[name], sf_dir, name)
                                                 for _ in range(reps)), 3)
+    if event_log:   # query windows, to attribute event-log jobs to queries by time
+        with open(os.path.join(event_log, "windows.json"), "w", encoding="utf-8") as fh:
+            json.dump(WINDOWS, fh)
     match = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "sum of median warm query seconds",
