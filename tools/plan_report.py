@@ -18,6 +18,39 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from laminar.queries import QUERIES  # noqa: E402
 from laminar.session import build_session  # noqa: E402
 
+# What each query does at 1000x the data: what grows, what is shuffled, what
+# is broadcast and why that is bounded, and what happens to a hot key.
+AT_SCALE = {
+    "type_groups": "one scan; partial aggregation per (type, state), so the shuffle is tasks x groups rows; nation is a fixed-size dimension (planner broadcast).",
+    "band_totals": "one scan, one global partial aggregate; shuffle is one row per task.",
+    "band_share": "one scan; the totals are a reused scalar subquery over the same exchange; shuffle is tasks x groups rows.",
+    "corr_by_group": "one scan, grouping sets ((state), ()); the window runs over one row per state; never pairs rows (the reference's cross join is O(n^2)).",
+    "state_join": "schools stream through a broadcast of the per-state statistics, broadcast only after a row count within the bound; no shuffle of schools.",
+    "datamart": "two scans of schools (one grouping-sets aggregate, one output scan); the per-state side (<= 3 rows per state) is counted, then broadcast; no shuffle of schools; a hot state only adds rows to a partial aggregate.",
+    "daily_run": "payload parsing is per file/line; detail lookup is a shuffle join on the id (AQE splits a hot id); all refined aggregates as in datamart; layer writes sort inside tasks (no range shuffle).",
+    "raw_projection": "pure projection; the scan reads the listed columns only.",
+    "typed_cast": "pure projection; strict casts in codegen.",
+    "safe_int": "pure projection.",
+    "parse_dates": "pure projection.",
+    "ordinal_case": "pure projection; CASE from one ordered list.",
+    "raw_append": "append writes, partitioned by month, sorted inside each task; no shuffle.",
+    "latest_batch": "the month is found from the partition column, the stamp inside that month; data scans prune to one month's folder.",
+    "stamp_nulls": "projection with coalesce; no shuffle.",
+    "dated_layout": "partitioned write sorted inside tasks; a hot month does not meet one task.",
+    "land_truncate": "two counts as partial aggregates (one row per task).",
+    "raw_stream": "file-stream source reads each new LAND file once (checkpoint); exactly-once file sink.",
+    "rename_stringify": "per-row JSON parse; the strict key check collects only differing key names.",
+    "nested_explode": "payloads are built per (conversation, 64-turn block), so no group grows with the data; flattening is three explodes per row.",
+    "envelope_explode": "envelopes are built per (customer, 64-key block), so no envelope grows with a hot customer; parsing is one VARIANT parse per envelope.",
+    "param_grid": "distinct years (partial aggregation) times a literal array; no join.",
+    "bag_union": "one scan; each row explodes into its matching shards (no union of N scans).",
+    "id_lookup": "shuffle join on the id once the details outgrow the broadcast threshold; AQE skew join splits a hot id (tests/test_skew.py).",
+    "prefix_antifilter": "city lists built per 1000-key block; one explode and filter per row.",
+    "growth_5y": "orders are aggregated per (customer, year) before the customer join; the yearly self-join runs over one row per year.",
+    "rank_groups": "partial aggregate per state; the rank window runs over one row per state.",
+    "vs_overall": "the overall mean is a scalar subquery; no join.",
+}
+
 WATCH = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
          "FlatMapGroupsInPandas", "MapInPandas")
 
@@ -66,6 +99,8 @@ def main():
         out.append("")
         out.append("- operators: " + ", ".join(f"{k}×{v}" for k, v in sorted(s["ops"].items())))
         out.append("- flags: " + (", ".join(s["flags"]) if s["flags"] else "none"))
+        if name in AT_SCALE:
+            out.append("- at scale: " + AT_SCALE[name])
         seen = set()
         for sc in s["scans"]:
             key = tuple(sorted(sc.items()))
