@@ -100,3 +100,12 @@ def test_daily_run_with_streamed_raw_copy_is_exactly_once(spark, tmp_path):
     assert raw.select("partition_time").distinct().count() == 2
     assert spark.read.parquet(paths.trusted(SCHOOLS)).count() == 4
     assert spark.read.parquet(paths.mart).count() == 8
+
+
+def test_command_line_runs_the_daily_job(spark, tmp_path, capsys):
+    from laminar.__main__ import main
+    root = f"{tmp_path}/{uuid.uuid4().hex}"
+    main([payload_dir(tmp_path), root])
+    out = json.loads(capsys.readouterr().out)
+    assert spark.read.parquet(out["mart"]).count() == 8
+    assert spark.read.parquet(out["escolas"]["trusted"]).count() == 4
