@@ -115,3 +115,12 @@ def test_stream_copies_each_land_file_once(spark, tmp_path):
     assert raw.count() == 4
     assert rows(raw.groupBy("load_month").count(), "load_month", "count") == \
         [(T1.date().replace(day=1), 2), (T2.date().replace(day=1), 2)]
+
+
+def test_tolerant_trusted_refresh_nulls_malformed_values(spark, tmp_path):
+    root = str(tmp_path / uuid.uuid4().hex)
+    text = spark.createDataFrame([("1", "x", "yes"), ("2", "2.5", "TRUE")], "k string, v string, ok string")
+    layers.land(text, CONTRACT, f"{root}/land", F.lit(T1))
+    layers.refresh_raw(spark, CONTRACT, f"{root}/land", f"{root}/raw")
+    layers.refresh_trusted(spark, CONTRACT, f"{root}/raw", f"{root}/trusted", tolerant=True)
+    assert rows(spark.read.parquet(f"{root}/trusted"), "k", "v", "ok") == [(1, None, None), (2, 2.5, True)]
