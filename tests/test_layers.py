@@ -22,7 +22,18 @@ def frame(spark, data):
 
 
 def test_contract_counts_match_the_payloads():
+    from collections import Counter
+
+    from laminar.plans.contracts import INFRASTRUCTURE
     assert len(SCHOOLS.fields) == 135 and len(STATISTICS.fields) == 100
+    assert len(INFRASTRUCTURE.fields) == 10
+    # TRUSTED type counts: schools 79 bool, 25 long, 18 string, 10 double, 3 dates
+    assert Counter(f.kind for f in SCHOOLS.fields) == Counter(
+        {"bool": 79, "long": 25, "string": 18, "double": 10, "dmy": 2, "year": 1})
+    assert Counter(f.kind for f in STATISTICS.fields) == Counter({"double": 94, "string": 3, "long": 3})
+    assert Counter(f.kind for f in INFRASTRUCTURE.fields) == Counter(
+        {"string": 6, "long": 2, "safe_long": 1, "double": 1})
+    assert len(set(SCHOOLS.land_columns)) == 135 and len(set(STATISTICS.land_columns)) == 100
     assert "reg_fundamental19" in SCHOOLS.land_columns and "data_shows" in SCHOOLS.land_columns
     assert "datashows" in STATISTICS.land_columns
 
