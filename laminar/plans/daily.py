@@ -1,6 +1,7 @@
 """The daily run: saved payloads -> LAND -> RAW -> TRUSTED -> mart.
 
-Payload folder layout (what the extract step saves, one JSON document per file):
+Payload folder layout (what the extract step saves: one JSON document per
+file, or per line with ``lines=True``):
 
     cidades/                       S1  JSON array of 'id - name' strings
     busca_capital/                 S2  [count, [ {cod, ...} ]] per score shard
@@ -10,7 +11,8 @@ Payload folder layout (what the extract step saves, one JSON document per file):
     infraestrutura/ano=<y>/dep=<d>/ S8  nested sections per request
 
 Plain function calls in dependency order; each step reads what the previous
-one wrote, so a failed run is re-run from the failed step.
+one wrote, so a failed run is re-run from the failed step. The three
+entities are independent until the mart and run as concurrent Spark jobs.
 """
 
 from __future__ import annotations
