@@ -35,6 +35,13 @@ class Bands:
     def counts(self, score) -> list[Column]:
         return [F.count_if(p).alias(n) for p, n in zip(self.predicates(score), self.names)]
 
+    def count_sqls(self, score: str) -> list[str]:
+        """SQL text of ``counts`` (``score`` is SQL text)."""
+        e0, e1, e2, e3 = self.edges
+        preds = [f"{score} BETWEEN {e0} AND {e1}", f"{score} BETWEEN {e1} AND {e2}",
+                 f"{score} BETWEEN {e2} AND {e3}", f"{score} > {e3}"]
+        return [f"count_if({p}) AS {n}" for p, n in zip(preds, self.names)]
+
 
 DEFAULT_BANDS = Bands()
 

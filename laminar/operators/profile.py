@@ -20,12 +20,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laminar.functions import SOCIO_LEVELS, ordinal, percent, school_type
+from laminar.functions import SOCIO_LEVELS
+from laminar.functions.sqltext import (guarded_corr_sql, ordinal_sql, pair_moment_sqls, percent_sql,
+                                       quote, school_type_sql)
 from laminar.operators.bands import DEFAULT_BANDS, Bands
-from laminar.operators.correlation import guarded_corr, pair_moments
 
 _BY_GROUP = 0     # grouping_id of the (type, state) set
 _OVERALL = 3      # grouping_id of the grand total ()
@@ -40,36 +41,30 @@ def state_profile(schools: DataFrame, score: str = "enem_media_geral", state: st
 
     Equal to the reference's inner join of the two on state: a state with no
     scored school anywhere has no correlation row, so then no rows at all.
+    Written as SQL expressions (a handful of driver calls for the whole plan).
     """
-    scored = F.col(label).isNotNull() & F.col(score).isNotNull()
-    keyed = schools.select(
-        school_type(dependency).alias("TIPO_ESCOLA"), F.col(state).alias("SIGLA_UF"),
-        F.col(score).cast("double").alias("_y"), scored.alias("_scored"),
-        F.when(scored, ordinal(label, levels).cast("double")).alias("_x"))
+    sc, lab = quote(score), quote(label)
+    scored = f"({lab} IS NOT NULL AND {sc} IS NOT NULL)"
+    keyed = schools.selectExpr(
+        f"{school_type_sql(quote(dependency))} AS TIPO_ESCOLA", f"{quote(state)} AS SIGLA_UF",
+        f"CAST({sc} AS DOUBLE) AS _y", f"{scored} AS _scored",
+        f"CASE WHEN {scored} THEN CAST({ordinal_sql(lab, levels)} AS DOUBLE) END AS _x")
+    # _x is NULL outside the scored rows, so (x, y) pairs are exactly the scored pairs
+    aggregates = [*bands.count_sqls("_y"), "count(1) AS _n", "count_if(_scored) AS _scored_rows",
+                  *pair_moment_sqls("_x", "_y"), "grouping_id() AS _gid"]
     agg = keyed.groupingSets([["TIPO_ESCOLA", "SIGLA_UF"], []], "TIPO_ESCOLA", "SIGLA_UF").agg(
-        *bands.counts("_y"), F.count(F.lit(1)).alias("_n"),
-        F.count_if("_scored").alias("_scored_rows"),
-        # _x is NULL outside the scored rows, so (x, y) pairs are exactly the scored pairs
-        *pair_moments("_x", "_y"),
-        F.grouping_id().alias("_gid"))
+        *[F.expr(a) for a in aggregates])
 
-    whole = Window.partitionBy()            # over the aggregate's few rows only
-    per_state = Window.partitionBy("SIGLA_UF")
-    is_total = F.col("_gid") == _OVERALL
-
-    def total(c: str) -> F.Column:
-        return F.max(F.when(is_total, F.col(c))).over(whole)
-
-    spread = agg.select(
+    # windows over the aggregate's few rows only: the grand total to every row,
+    # and k_u = schools of the state (sum over its type groups)
+    totals = [*bands.names, "_scored_rows", "pairs", "cov", "sd_x", "sd_y"]
+    spread = agg.selectExpr(
         "_gid", "TIPO_ESCOLA", "SIGLA_UF", *bands.names,
-        *[total(n).alias(f"_t_{n}") for n in bands.names],
-        *[total(c).alias(f"_t{c}") for c in ("_scored_rows", "pairs", "cov", "sd_x", "sd_y")],
-        F.sum(F.when(F.col("_gid") == _BY_GROUP, F.col("_n"))).over(per_state).alias("_k"))
+        *[f"max(CASE WHEN _gid = {_OVERALL} THEN {c} END) OVER () AS _t_{c}" for c in totals],
+        f"sum(CASE WHEN _gid = {_BY_GROUP} THEN _n END) OVER (PARTITION BY SIGLA_UF) AS _k")
     # the reference joins the two CTEs on state: NULL states never match
-    rows = spread.where((F.col("_gid") == _BY_GROUP) & F.col("SIGLA_UF").isNotNull()
-                        & (F.col("_t_scored_rows") > 0))
-    cols = [F.col("TIPO_ESCOLA"), F.col("SIGLA_UF")]
-    for name, ratio in zip(bands.names, bands.ratio_names):
-        cols += [F.col(name), percent(F.col(name), F.col(f"_t_{name}")).alias(ratio)]
-    corr = guarded_corr(F.col("_tpairs") * F.col("_k"), "_tcov", "_tsd_x", "_tsd_y")
-    return rows.select(*cols, corr.alias(corr_name))
+    rows = spread.where(f"_gid = {_BY_GROUP} AND SIGLA_UF IS NOT NULL AND _t__scored_rows > 0")
+    shares = [e for name, ratio in zip(bands.names, bands.ratio_names)
+              for e in (name, f"{percent_sql(name, '_t_' + name)} AS {ratio}")]
+    corr = guarded_corr_sql("_t_pairs * _k", "_t_cov", "_t_sd_x", "_t_sd_y")
+    return rows.selectExpr("TIPO_ESCOLA", "SIGLA_UF", *shares, f"{corr} AS {quote(corr_name)}")

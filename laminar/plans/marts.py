@@ -18,7 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laminar.functions import SOCIO_LEVELS, ordinal
+from laminar.functions import SOCIO_LEVELS
+from laminar.functions.sqltext import ordinal_sql, quote
 from laminar.operators import DEFAULT_BANDS, Bands
 from laminar.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, bounded_side
 from laminar.operators.profile import state_profile
@@ -65,6 +66,13 @@ def mart_columns(bands: Bands = DEFAULT_BANDS) -> list[str]:
     return cols
 
 
+def _school_rows(schools: DataFrame, levels: Sequence[str]) -> DataFrame:
+    """The school side of MEDIAS: renamed columns and the label ordinal (one selectExpr)."""
+    return schools.selectExpr(*[f"{quote(src)} AS {dst}" for dst, src in SCHOOL_COLUMNS],
+                              f"socio_economico AS {SOCIO_COLUMN}",
+                              f"{ordinal_sql('socio_economico', levels)} AS {SOCIO_NUMBER}")
+
+
 def school_means(schools: DataFrame, statistics: DataFrame, levels: Sequence[str] = SOCIO_LEVELS,
                  state_key: str = "nome_local",
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
@@ -72,9 +80,7 @@ def school_means(schools: DataFrame, statistics: DataFrame, levels: Sequence[str
     stats = statistics.select(F.col(state_key).alias("_uf"),
                               *[F.col(src).alias(dst) for dst, src in STATE_COLUMNS])
     stats = bounded_broadcast(stats, max_broadcast_rows)
-    left = schools.select(*[F.col(src).alias(dst) for dst, src in SCHOOL_COLUMNS],
-                          F.col("socio_economico").alias(SOCIO_COLUMN),
-                          ordinal("socio_economico", levels).alias(SOCIO_NUMBER))
+    left = _school_rows(schools, levels)
     joined = left.join(stats, left["SIGLA_UF"] == stats["_uf"], "inner")
     return joined.select([m for m, _ in SCHOOL_COLUMNS] + [m for m, _ in STATE_COLUMNS]
                          + [SOCIO_COLUMN, SOCIO_NUMBER])
@@ -98,9 +104,7 @@ def state_side(schools: DataFrame, statistics: DataFrame, levels: Sequence[str]
 def join_state_side(schools: DataFrame, side: DataFrame, levels: Sequence[str] = SOCIO_LEVELS,
                     bands: Bands = DEFAULT_BANDS) -> DataFrame:
     """The school rows joined with the (broadcast) per-state side -> the 32 mart columns."""
-    left = schools.select(*[F.col(src).alias(dst) for dst, src in SCHOOL_COLUMNS],
-                          F.col("socio_economico").alias(SOCIO_COLUMN),
-                          ordinal("socio_economico", levels).alias(SOCIO_NUMBER))
+    left = _school_rows(schools, levels)
     joined = left.join(side, left["SIGLA_UF"] == side["_uf"], "inner")
     return joined.select(mart_columns(bands))
 
