@@ -14,11 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laminar.functions import SOCIO_LEVELS, ordinal
+from laminar.functions import SOCIO_LEVELS
 from laminar.functions._util import as_col
+from laminar.functions.sqltext import guarded_corr_sql, ordinal_sql, pair_moment_sqls, quote
 
 
 def guarded_corr(n_pairs, covar_pop, sd_x, sd_y) -> Column:
@@ -59,19 +60,18 @@ def socio_correlation(schools: DataFrame, label: str = "socio_economico",
     No rows at all when no school has both a label and a score (the
     reference's cross join is then empty).
     """
-    scored = F.col(label).isNotNull() & F.col(score).isNotNull()
-    keyed = schools.select(F.col(state).alias("SIGLA_UF"), scored.alias("_scored"),
-                           F.col(score).cast("double").alias("_y"),
-                           F.when(scored, ordinal(label, levels).cast("double")).alias("_x"))
-    agg = keyed.groupingSets([["SIGLA_UF"], []], "SIGLA_UF").agg(
-        F.count(F.lit(1)).alias("_k"), F.count_if("_scored").alias("_rows"),
-        # _x is NULL outside the scored rows, so (x, y) pairs are exactly the scored pairs
-        *pair_moments("_x", "_y"), F.grouping_id().alias("_gid"))
-    whole = Window.partitionBy()            # over one row per state plus the total
-    is_total = F.col("_gid") == 1
-    spread = agg.select("_gid", "SIGLA_UF", "_k", *[
-        F.max(F.when(is_total, F.col(c))).over(whole).alias(f"_t{c}")
+    lab, sc = quote(label), quote(score)
+    scored = f"({lab} IS NOT NULL AND {sc} IS NOT NULL)"
+    keyed = schools.selectExpr(
+        f"{quote(state)} AS SIGLA_UF", f"{scored} AS _scored", f"CAST({sc} AS DOUBLE) AS _y",
+        f"CASE WHEN {scored} THEN CAST({ordinal_sql(lab, levels)} AS DOUBLE) END AS _x")
+    # _x is NULL outside the scored rows, so (x, y) pairs are exactly the scored pairs
+    aggregates = ["count(1) AS _k", "count_if(_scored) AS _rows", *pair_moment_sqls("_x", "_y"),
+                  "grouping_id() AS _gid"]
+    agg = keyed.groupingSets([["SIGLA_UF"], []], "SIGLA_UF").agg(*[F.expr(a) for a in aggregates])
+    # a window over one row per state plus the grand total hands the moments to every state
+    spread = agg.selectExpr("_gid", "SIGLA_UF", "_k", *[
+        f"max(CASE WHEN _gid = 1 THEN {c} END) OVER () AS _t{c}"
         for c in ("_rows", "pairs", "cov", "sd_x", "sd_y")])
-    rows = spread.where((F.col("_gid") == 0) & (F.col("_t_rows") > 0))
-    corr = guarded_corr(F.col("_tpairs") * F.col("_k"), "_tcov", "_tsd_x", "_tsd_y")
-    return rows.select(corr.alias(out), "SIGLA_UF")
+    corr = guarded_corr_sql("_tpairs * _k", "_tcov", "_tsd_x", "_tsd_y")
+    return spread.where("_gid = 0 AND _t_rows > 0").selectExpr(f"{corr} AS {quote(out)}", "SIGLA_UF")
