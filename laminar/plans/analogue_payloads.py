@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from laminar.functions.sqltext import literal
 from laminar.plans import analogue as A
 from laminar.plans.contracts import SCHOOLS, STATISTICS
 from laminar.plans.daily import concurrently
@@ -53,46 +54,49 @@ def _envelope(key_col: str) -> Column:
     return F.concat(F.lit("["), F.count(F.lit(1)).cast("string"), F.lit(","), items, F.lit("]"))
 
 
+def _json_object(fields: list[tuple[str, str]]) -> str:
+    """``to_json(named_struct(...))`` of (key, SQL expression) pairs, as SQL text."""
+    return "to_json(named_struct(" + ", ".join(f"{literal(k)}, {e}" for k, e in fields) + ")) AS value"
+
+
 def school_objects(customers: DataFrame, nations: DataFrame) -> DataFrame:
-    """One JSON object per customer with every school key of the contract."""
+    """One JSON object per customer with every school key of the contract (one selectExpr)."""
     c = customers.join(nations, customers["c_nationkey"] == nations["n_nationkey"], "left")
-    bal, key = F.col("c_acctbal"), F.col("c_custkey")
-    dep = F.pmod(key, F.lit(5)) + 1
+    dep = "(pmod(c_custkey, 5) + 1)"
+    labels = " ".join(f"WHEN {dep} = {i} THEN {literal(lab)}"
+                      for i, lab in enumerate(A.DEPENDENCY_LABELS, 1))
     special = {
-        "cod": key.cast("string"), "anoCenso": (2019 + F.col("n_regionkey")).cast("string"),
-        "nome": F.col("c_name"), "siglaUf": F.col("n_name"),
-        "nomeMunicipio": F.col("c_mktsegment"), "socioEconomico": F.col("c_mktsegment"),
-        "tipoLocalizacaoTxt": F.when(bal >= 0, "Urbana").otherwise("Rural"),
-        "dependenciaAdministrativa": dep, "dependenciaAdministrativaTxt": A.dependency_label(dep),
-        "enemMediaGeral": bal, "idebAF": bal / 1000,
+        "cod": "CAST(c_custkey AS STRING)", "anoCenso": "CAST(2019 + n_regionkey AS STRING)",
+        "nome": "c_name", "siglaUf": "n_name",
+        "nomeMunicipio": "c_mktsegment", "socioEconomico": "c_mktsegment",
+        "tipoLocalizacaoTxt": "CASE WHEN c_acctbal >= 0 THEN 'Urbana' ELSE 'Rural' END",
+        "dependenciaAdministrativa": dep, "dependenciaAdministrativaTxt": f"CASE {labels} END",
+        "enemMediaGeral": "c_acctbal", "idebAF": "c_acctbal / 1000",
     }
     for land, divisor in A.SUBJECT_DIVISORS:
         source = next(f.source for f in SCHOOLS.fields if f.land == land)
-        special[source] = bal / divisor
+        special[source] = f"c_acctbal / {divisor}"
     by_kind = {
-        "string": F.col("c_name"), "long": F.pmod(key, F.lit(97)), "double": bal,
-        "bool": F.pmod(key, F.lit(2)) == 0, "year": F.lit("2020"),
-        "dmy": F.date_format(F.make_date(F.lit(2020), F.pmod(key, F.lit(12)) + 1,
-                                         F.pmod(key, F.lit(28)) + 1), "d/M/yyyy"),
+        "string": "c_name", "long": "pmod(c_custkey, 97)", "double": "c_acctbal",
+        "bool": "pmod(c_custkey, 2) = 0", "year": "'2020'",
+        "dmy": "date_format(make_date(2020, pmod(c_custkey, 12) + 1, pmod(c_custkey, 28) + 1), 'd/M/yyyy')",
     }
-    fields = [special.get(f.source, by_kind[f.kind]).alias(f.source) for f in SCHOOLS.fields]
-    return c.select(F.to_json(F.struct(*fields)).alias("value"))
+    fields = [(f.source, special.get(f.source, by_kind[f.kind])) for f in SCHOOLS.fields]
+    return c.selectExpr(_json_object(fields))
 
 
 def statistics_objects(suppliers: DataFrame, nations: DataFrame) -> DataFrame:
     """One JSON object per nation: supplier balances averaged (the analogue's statistics)."""
     stats = (suppliers.join(nations, suppliers["s_nationkey"] == nations["n_nationkey"], "inner")
              .groupBy("n_nationkey", "n_name").agg(F.avg("s_acctbal").alias("_mean")))
-    mean = F.col("_mean")
-    special = {"id": F.col("n_nationkey").cast("string"), "ano": F.lit(2023),
-               "tipoLocal": F.lit("EST"), "nomeLocal": F.col("n_name"),
-               "codMunicipio": F.lit(0), "melhores": F.lit(0),
-               "enemMediaGeral": F.round(mean, 6), "idebAF": F.round(mean / 1000, 6)}
+    special = {"id": "CAST(n_nationkey AS STRING)", "ano": "2023", "tipoLocal": "'EST'",
+               "nomeLocal": "n_name", "codMunicipio": "0", "melhores": "0",
+               "enemMediaGeral": "round(_mean, 6)", "idebAF": "round(_mean / 1000, 6)"}
     for land, divisor in A.SUBJECT_DIVISORS:
         source = next(f.source for f in STATISTICS.fields if f.land == land)
-        special[source] = F.round(mean / divisor, 6)
-    fields = [special.get(f.source, F.round(mean, 6)).alias(f.source) for f in STATISTICS.fields]
-    return stats.select(F.to_json(F.struct(*fields)).alias("value"))
+        special[source] = f"round(_mean / {divisor}, 6)"
+    fields = [(f.source, special.get(f.source, "round(_mean, 6)")) for f in STATISTICS.fields]
+    return stats.selectExpr(_json_object(fields))
 
 
 def infrastructure_payloads(orders: DataFrame) -> DataFrame:
