@@ -33,13 +33,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dependency_label(dep) -> F.Column:
-    expr = None
-    for code, label in enumerate(DEPENDENCY_LABELS, start=1):
-        expr = F.when(dep == code, label) if expr is None else expr.when(dep == code, label)
-    return expr
-
-
 def schools(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer LEFT JOIN nation as a TRUSTED-shaped school table.
 
