@@ -96,7 +96,9 @@ class WordEncoder:
             self.words.clear()
             self.cores.clear()
         parts = {}
-        for w in words - self.words.keys():
+        for w in words:
+            if w in self.words:
+                continue
             try:
                 w.encode("latin-1")
                 key = w if "<|" in w else w.lower()          # special tokens are matched before case is dropped

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from laminar.llm.common import id_remainder, text_bytes
 
 MAX_TOXIC, MAX_CLEAN, HELD_OUT_MOD = 4_000, 6_000, 5
-SPACE_BITS, MIN_ROWS, MIN_G, RIDGE, REJECT = 22, 3, 15.0, 1e-3, 0.5
+SPACE_BITS, MIN_ROWS, MIN_G, RIDGE, REJECT = 22, 3, 15.0, 1e-4, 0.3
 CACHE_WORDS = 300_000
 _EDGES = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
@@ -125,8 +125,9 @@ def margin(model: dict, text: Column) -> Column:
 
         def one(t: bytes) -> float:
             words = set(t.split())
-            for w in words - known.keys():
-                known[w] = tuple(f for f in word_features(w) if f in weights)
+            for w in words:
+                if w not in known:
+                    known[w] = tuple(f for f in word_features(w) if f in weights)
             found = {f for w in words for f in known[w]}
             if len(known) > CACHE_WORDS:
                 known.clear()
