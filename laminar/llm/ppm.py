@@ -22,6 +22,7 @@ table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import Counter
 
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from laminar.llm.common import id_remainder, materialise, text_bytes
 
-ORDER, BLOCK_BYTES = 3, 6 << 20
+ORDER, BLOCK_BYTES = 3, 7 << 20
 START, END = b"\xff" * ORDER, b"\xfe"
 SYMBOLS = 255                       # all bytes but the start mark
 END_TOKEN = b"\n"                   # not a word: it is white space
@@ -121,8 +122,8 @@ def window_log10(windows: DataFrame) -> DataFrame:
     return g.selectExpr("gram", f"log10({rest}) as value")
 
 
-def _answered(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Scores of a block's texts from the answers to its questions."""
+def _answered(smoothed: float, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Scores of a block's texts from the answers to its questions; smoothed: N + V + 1."""
     texts = left.column("t").to_pylist()
     is_gram = right.column("gram").is_valid()
     asked, told = right.filter(is_gram), right.filter(pa.compute.invert(is_gram))
@@ -131,10 +132,9 @@ def _answered(left: pa.Table, right: pa.Table) -> pa.Table:
     ends = np.cumsum(sizes)
     score = np.add.reduceat(asked.column("value").to_numpy()[at], ends - sizes)
     count = told.column("value").to_numpy()
-    # log10((c + 1) / (N + V + 1)), marked as known by its index
     index = dict(zip(told.column("token").to_pylist(), range(len(count)), strict=True))
     base, n_tokens, n_known = [], [], []
-    log = told.column("log").to_numpy()
+    log = np.log10((count + 1) / smoothed)
     for text in texts:
         words = text.lower().split()
         words.append(END_TOKEN)
@@ -162,12 +162,12 @@ def score(docs: DataFrame, mod: int = 7, rest: int = 2, block_bytes: int = BLOCK
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     windows = materialise(window_log10(asked_grams.groupBy("gram").agg(F.sum("n").alias("n"))), "ppm-windows")
     answers = (asked_grams.join(windows, "gram")
-               .select("block", "gram", F.lit(None).cast("binary").alias("token"), "value", F.lit(0.0).alias("log"))
+               .select("block", "gram", F.lit(None).cast("binary").alias("token"), "value")
                .unionByName(asked_tokens.drop("n").join(counts, "token")
-                            .select("block", F.lit(None).cast("bigint").alias("gram"), "token", F.col("c").cast("double").alias("value"),
-                                    F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1))).alias("log"))))
+                            .select("block", F.lit(None).cast("bigint").alias("gram"), "token", F.col("c").cast("double").alias("value"))))
     kind = docs.schema[id_col].dataType.simpleString()
     scored = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _answered, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, n_bytes bigint")
+        functools.partial(_answered, float(total + distinct + 1)),
+        f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, n_bytes bigint")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"),
                          "base_score", "score", "n_bytes")
