@@ -23,13 +23,16 @@ from __future__ import annotations
 
 
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-END_ID, CHUNK_TOKENS, CACHE_WORDS, MAGIC = 1, 1 << 18, 250_000, b"RVB1"
+END_ID, CHUNK_TOKENS, MAGIC = 1, 1 << 18, b"RVB1"
+CACHE_WORDS, CACHE_CORES = 600_000, 800_000       # entries a task remembers, some 200 bytes each
 _PLAIN_TAIL = ".,;:!?*&$%#|)]}\""
 _LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)   # by control byte
 
@@ -73,6 +76,13 @@ def unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     return sizes.astype(np.int64), decode_codes(payload[begin:middle], payload[middle:], n)
 
 
+@functools.cache
+def staged_kind(path: str) -> str:
+    """Type of staged ids: two bytes if the whole vocabulary fits."""
+    from tokenizers import Tokenizer
+    return "<u2" if max(Tokenizer.from_file(path).get_vocab().values()) < 1 << 16 else "<u4"
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, remembering the ids of words.
 
@@ -84,16 +94,18 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.kind = staged_kind(path)
         self.words: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
 
     def learn(self, words: set[str]) -> None:
         if len(self.words) + len(words) > CACHE_WORDS:
             self.words.clear()
+        if len(self.cores) > CACHE_CORES:
             self.cores.clear()
         parts = {}
         for w in words:
@@ -131,7 +143,7 @@ def _split(text: str) -> list[str]:
 
 
 def _stage(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """Chunks in order: (part, chunk, doc_ids, sizes, ids as uint32 bytes)."""
+    """Chunks in order: (part, chunk, doc_ids, n_tokens, sizes, ids as little-endian bytes)."""
     kind = docs.schema["doc_id"].dataType
     arrow_kind = pa.int64() if kind.simpleString() == "bigint" else pa.string()
 
@@ -141,11 +153,12 @@ def _stage(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         from pyspark import TaskContext
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = WordEncoder(tokenizer_path)
-        end, part, chunk = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
+        end, part, chunk = np.array([end_id], encoder.kind).tobytes(), TaskContext.get().partitionId(), 0
+        wide = np.dtype(encoder.kind).itemsize
         ids, data, held = [], [], 0
 
         def flush():
-            sizes = np.array([len(d) // 4 for d in data], np.int64)
+            sizes = np.array([len(d) // wide for d in data], np.int64)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([chunk], pa.int32()), pa.array([ids], pa.list_(arrow_kind)),
                  pa.array([int(sizes.sum())], pa.int64()), pa.array([sizes.astype("<u4").tobytes()], pa.binary()),
@@ -155,7 +168,7 @@ def _stage(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
             for doc_id, encoded in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist(), end), strict=True):
                 ids.append(doc_id)
                 data.append(encoded)
-                held += len(encoded) // 4
+                held += len(encoded) // wide
                 if held >= CHUNK_TOKENS:
                     yield flush()
                     chunk, ids, data, held = chunk + 1, [], [], 0
@@ -179,11 +192,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     staged.write.parquet(f"{path}/staged")
     staged = spark.read.schema(staged.schema).parquet(f"{path}/staged")
 
+    wide = staged_kind(tokenizer_path)
+
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
             for data in batch.column(0):
-                seen = np.bincount(np.frombuffer(data.as_buffer(), "<u4"))
+                seen = np.bincount(np.frombuffer(data.as_buffer(), wide))
                 if len(seen) > len(total):
                     seen, total = total, seen
                 total[:len(seen)] += seen
@@ -201,7 +216,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
 
     def encode(batches):
         for batch in batches:
-            payloads = [pack(np.frombuffer(s.as_buffer(), "<u4"), shared.value[np.frombuffer(d.as_buffer(), "<u4")])
+            payloads = [pack(np.frombuffer(s.as_buffer(), "<u4"), shared.value[np.frombuffer(d.as_buffer(), wide)])
                         for s, d in zip(batch.column(4), batch.column(5), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(payloads, pa.binary())],
                                              ["part", "chunk", "doc_ids", "n_tokens", "payload"])
