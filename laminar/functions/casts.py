@@ -19,6 +19,9 @@ YEAR_PATTERN = "yyyy"
 DAY_MONTH_YEAR_PATTERN = "d/M/yyyy"
 
 
+TYPE_SUFFIX = "[0-9.][dDfF][ ]*$"
+
+
 def to_text(c) -> Column:
     """CAST(x AS STRING)."""
     return as_col(c).cast("string")
@@ -31,9 +34,15 @@ def strict_long(c, tolerant: bool = False) -> Column:
 
 
 def strict_double(c, tolerant: bool = False) -> Column:
-    """CAST(x AS FLOAT64); 'NaN' and 'inf' are accepted, 'abc' fails."""
+    """CAST(x AS FLOAT64); 'NaN' and 'inf' are accepted, 'abc' fails.
+
+    Spark's own cast also takes a type suffix ('1d', '1.5f'); those fail here.
+    """
     c = as_col(c)
-    return c.try_cast("double") if tolerant else c.cast("double")
+    bad = F.lit(None).cast("double") if tolerant else F.raise_error(
+        F.concat(F.lit("[CAST_INVALID_INPUT] cannot cast to FLOAT64: '"), c, F.lit("'")))
+    return F.when(c.cast("string").rlike(TYPE_SUFFIX), bad).otherwise(
+        c.try_cast("double") if tolerant else c.cast("double"))
 
 
 def strict_bool(c, tolerant: bool = False) -> Column:
@@ -58,7 +67,8 @@ def safe_int(c, tolerant: bool = False) -> Column:
     away from zero (2.5 -> 3, -2.5 -> -3) and gives NULL for NaN, infinities
     and values outside the 64-bit range. A bare cast would truncate instead.
     """
-    return F.round(strict_double(c, tolerant)).try_cast("bigint")
+    rounded = F.round(strict_double(c, tolerant))
+    return F.when((rounded >= F.lit(-2.0 ** 63)) & (rounded < F.lit(2.0 ** 63)), rounded.cast("bigint"))
 
 
 def parse_year(c, tolerant: bool = False) -> Column:
@@ -121,12 +131,16 @@ def cast_sql(name: str, type_word: str, tolerant: bool = False) -> str:
             f"raise_error(concat('[CAST_INVALID_INPUT] cannot cast to BOOL: ''', {c}, ''''))")
         return (f"CASE WHEN {c} IS NULL THEN CAST(NULL AS BOOLEAN) WHEN lower({c}) = 'true' THEN true "
                 f"WHEN lower({c}) = 'false' THEN false ELSE {bad} END")
+    bad = "CAST(NULL AS DOUBLE)" if tolerant else (
+        f"raise_error(concat('[CAST_INVALID_INPUT] cannot cast to FLOAT64: ''', {c}, ''''))")
+    double = f"CASE WHEN {c} RLIKE '{TYPE_SUFFIX}' THEN {bad} ELSE {cast}({c} AS DOUBLE) END"
     simple = {"string": f"CAST({c} AS STRING)", "long": f"{cast}({c} AS BIGINT)",
-              "double": f"{cast}({c} AS DOUBLE)", "timestamp": f"{cast}({c} AS TIMESTAMP)",
+              "double": double, "timestamp": f"{cast}({c} AS TIMESTAMP)",
               "date": f"{cast}({c} AS DATE)",
               "year": f"{to_date}({c}, '{YEAR_PATTERN}')",
               "dmy": f"{to_date}({c}, '{DAY_MONTH_YEAR_PATTERN}')",
-              "safe_long": f"TRY_CAST(round({cast}({c} AS DOUBLE)) AS BIGINT)"}
+              "safe_long": (f"CASE WHEN round({double}) >= {-2.0 ** 63:.0f}D AND round({double}) < {2.0 ** 63:.0f}D "
+                            f"THEN CAST(round({double}) AS BIGINT) END")}
     try:
         return simple[type_word]
     except KeyError as exc:

@@ -25,9 +25,10 @@ def growth_vs_total(orders: DataFrame, customers: DataFrame, nations: DataFrame,
     yearly = located.groupBy("ano").agg(
         F.sum(F.when(F.col("n_name") == focus, F.col("n")).otherwise(0)).alias("focus_orders"),
         F.sum("n").alias("total_orders"))
-    past = yearly.select((F.col("ano") + years).alias("ano"), F.col("focus_orders").alias("_pf"),
-                         F.col("total_orders").alias("_pt"))
-    joined = yearly.join(past, "ano", "inner")
+    # one row per year; the frame holds just the row of that year minus ``years``
+    before = Window.orderBy("ano").rangeBetween(-years, -years)
+    joined = yearly.select("*", F.first("focus_orders").over(before).alias("_pf"),
+                           F.first("total_orders").over(before).alias("_pt")).where(F.col("_pt").isNotNull())
     return joined.select(
         "ano", "focus_orders", "total_orders",
         percent(F.col("focus_orders") - F.col("_pf"), F.col("_pf")).alias("focus_growth_pct"),

@@ -11,7 +11,7 @@ file, or per line with ``lines=True``):
     infraestrutura/ano=<y>/dep=<d>/ S8  nested sections per request
 
 Plain function calls in dependency order; each step reads what the previous
-one wrote, so a failed run is re-run from the failed step. The three
+one wrote. The three
 entities are independent until the mart and run as concurrent Spark jobs.
 """
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,13 +74,13 @@ def extract_schools(spark: SparkSession, payload_dir: str, strict: bool = True,
     cities = city_ids(read_payloads(spark, f"{payload_dir}/cidades", whole), exclude=capital)
     capital = envelope_ids(read_payloads(spark, f"{payload_dir}/busca_capital", whole), guard=False)
     searches = read_payloads(spark, f"{payload_dir}/busca_cidades", whole)
-    listed = searches.join(cities.distinct(), "cidade", "left_semi")
-    rest = envelope_ids(listed, guard=True)
+    # every listed city is requested, repeats included; one without a saved search fails
+    rest = envelope_ids(id_lookup(cities, searches, "cidade", required=True), guard=True)
     ids = bag_union([capital, rest])
     if dedupe:
         ids = ids.dropDuplicates(["cod"])
     details = read_objects(spark, f"{payload_dir}/escolas", SCHOOLS, strict)
-    return id_lookup(ids, details, "cod").select(SCHOOLS.land_columns)
+    return id_lookup(ids, details, "cod", required=True).select(SCHOOLS.land_columns)
 
 
 def extract_statistics(spark: SparkSession, payload_dir: str,
@@ -113,13 +113,16 @@ def run_daily(spark: SparkSession, payload_dir: str, root: str, now: datetime |
     """
     paths = LayerPaths(root)
     stamp = layers.batch_instant(now)
-    day = archive_day or now or datetime.now()
+    # the archive day follows the stamp's clock: UTC, shifted by the same hours
+    day = archive_day or now or (datetime.now(timezone.utc) - timedelta(hours=layers.STAMP_SHIFT_HOURS))
     extracts = {
         SCHOOLS: lambda: extract_schools(spark, payload_dir, lines=lines, capital=capital),
         STATISTICS: lambda: extract_statistics(spark, payload_dir, states, lines=lines),
         INFRASTRUCTURE: lambda: extract_infrastructure(spark, payload_dir, lines=lines),
     }
 
+    copied: dict[Contract, list[str]] = {}
+
     def refine(contract: Contract) -> None:
         # The stamped batch file is written once to the dated archive (K4),
         # then appended to LAND from there (K1-K3), as the reference loads
@@ -127,11 +130,14 @@ def run_daily(spark: SparkSession, payload_dir: str, root: str, now: datetime |
         batch = layers.land_frame(extracts[contract](), contract, stamp)
         archived = layers.archive_copy(batch, paths.archive, day, contract.name)
         spark.read.parquet(archived).write.mode("append").parquet(paths.land(contract))
+        # Rows that land from here on stay in LAND for the next run.
+        copied[contract] = layers.landed_files(spark, contract, paths.land(contract))
         if raw_stream:
             stream_land_to_raw(spark, contract, paths.land(contract), paths.raw(contract),
-                               paths.checkpoint(contract))
+                               paths.checkpoint(contract), stamp=stamp)
         else:
-            layers.refresh_raw(spark, contract, paths.land(contract), paths.raw(contract))
+            layers.refresh_raw(spark, contract, paths.land(contract), paths.raw(contract),
+                               copied[contract], stamp)
         layers.refresh_trusted(spark, contract, paths.raw(contract), paths.trusted(contract))
 
     # The three entities do not depend on each other until the mart: their
@@ -139,7 +145,7 @@ def run_daily(spark: SparkSession, payload_dir: str, root: str, now: datetime |
     concurrently(refine, list(extracts))
     write_datamart(spark.read.parquet(paths.trusted(SCHOOLS)),
                    spark.read.parquet(paths.trusted(STATISTICS)), paths.mart, levels, bands)
-    concurrently(lambda c: layers.truncate(spark, c, paths.land(c)), list(extracts))
+    concurrently(lambda c: layers.truncate(spark, c, paths.land(c), copied[c]), list(extracts))
     return paths
 
 

@@ -8,6 +8,7 @@ write overwrites a path the same job reads (TRUSTED reads RAW, never itself).
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,7 @@ from laminar.plans.contracts import MONTH, STAMP, Contract
 # The reference stamps loads with the warehouse clock shifted three hours
 # back (a fixed wall-clock offset, kept as a parameter).
 STAMP_SHIFT_HOURS = 3
+BATCH = "load_batch"        # RAW's second partition column: one folder per committed batch
 
 
 def batch_instant(now: datetime | None = None, shift_hours: int = STAMP_SHIFT_HOURS) -> Column:
@@ -61,18 +63,47 @@ def with_month(df: DataFrame) -> DataFrame:
     return df.withColumn(MONTH, F.trunc(F.col(STAMP), "month"))
 
 
-def append_raw(df: DataFrame, contract: Contract, raw_path: str) -> None:
-    """Append every given row to RAW, partitioned by month and sorted by the
-    clustering key inside each file (K5, K7, K8). A local sort, no shuffle: a
-    hot key cannot pile up in one task."""
-    out = with_month(raw_projection(df, contract))
-    (out.sortWithinPartitions(MONTH, contract.cluster_key)
-        .write.mode("append").partitionBy(MONTH).parquet(raw_path))
+def clustered(df: DataFrame, contract: Contract) -> DataFrame:
+    """Rows dealt into ranges of (month, clustering key) and sorted (K7, K8).
 
+    Files of a month hold separate key ranges, and a month has about as many
+    files as it has ranges. A hash of the whole row ends the range key, so
+    one hot key is still split over several tasks.
+    """
+    out = with_month(df)
+    ranged = out.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(64)))
+    return (ranged.repartitionByRange(MONTH, contract.cluster_key, "_salt")
+            .sortWithinPartitions(MONTH, contract.cluster_key).drop("_salt"))
 
-def refresh_raw(spark: SparkSession, contract: Contract, land_path: str, raw_path: str) -> None:
-    """RAW incremental refresh: all LAND rows, no filter, no unique key (U4)."""
-    append_raw(read_land(spark, contract, land_path), contract, raw_path)
+
+def append_raw(df: DataFrame, contract: Contract, raw_path: str, batch: str | None = None) -> None:
+    """Append every given row to RAW: a folder per month and batch (K5, K7, K8).
+
+    A batch that is written again under the same name replaces its own folders
+    and nothing else, so a replayed write adds no row twice.
+    """
+    (clustered(raw_projection(df, contract), contract)
+        .withColumn(BATCH, F.lit(batch or f"batch-{uuid.uuid4().hex}"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(MONTH, BATCH).parquet(raw_path))
+
+
+def landed_files(spark: SparkSession, contract: Contract, land_path: str) -> list[str]:
+    """The files LAND has now; what lands later is not among them."""
+    return list(read_land(spark, contract, land_path).inputFiles())
+
+
+def refresh_raw(spark: SparkSession, contract: Contract, land_path: str, raw_path: str,
+                files: list[str] | None = None, stamp: Column | None = None) -> None:
+    """RAW incremental refresh: all LAND rows, no filter, no unique key (U4).
+
+    ``files`` limits the copy to a listing taken before, ``stamp`` fills stamps that are NULL (K3).
+    """
+    if files is not None and not files:
+        return
+    rows = read_land(spark, contract, land_path) if files is None else \
+        spark.read.schema(contract.land_schema()).parquet(*files)
+    append_raw(rows if stamp is None else fill_missing_stamps(rows, stamp), contract, raw_path)
 
 
 def trusted_frame(raw: DataFrame, contract: Contract, tolerant: bool = False) -> DataFrame:
@@ -84,13 +115,20 @@ def trusted_frame(raw: DataFrame, contract: Contract, tolerant: bool = False) ->
 def refresh_trusted(spark: SparkSession, contract: Contract, raw_path: str, trusted_path: str,
                     tolerant: bool = False) -> None:
     """TRUSTED full replace from RAW's latest batch, month-partitioned."""
-    typed = with_month(trusted_frame(spark.read.parquet(raw_path), contract, tolerant))
-    (typed.sortWithinPartitions(MONTH, contract.cluster_key)
-          .write.mode("overwrite").partitionBy(MONTH).parquet(trusted_path))
-
-
-def truncate(spark: SparkSession, contract: Contract, land_path: str) -> None:
-    """Empty LAND, keeping its schema (K9)."""
+    typed = trusted_frame(spark.read.parquet(raw_path), contract, tolerant)
+    (clustered(typed, contract).write.mode("overwrite").partitionBy(MONTH).parquet(trusted_path))
+
+
+def truncate(spark: SparkSession, contract: Contract, land_path: str,
+             files: list[str] | None = None) -> None:
+    """Empty LAND, keeping its schema (K9); with ``files`` only those copied files go."""
+    if files is not None:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for name in files:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+            path.getFileSystem(conf).delete(path, False)
+        spark.createDataFrame([], contract.land_schema()).write.mode("append").parquet(land_path)
+        return
     spark.createDataFrame([], contract.land_schema()).write.mode("overwrite").parquet(land_path)
 
 

@@ -386,6 +386,36 @@ def q_land_truncate(spark, sf_dir):
         "rows_in_raw", land.select(F.count(F.lit(1))).scalar().alias("rows_in_land"))
 
 
+@query("raw_mixed", f"""
+SELECT {_EVENT_COLS}, TIMESTAMP '{_BATCH_1}' AS partition_time, CAST(0 AS BIGINT) AS left_in_land FROM events
+UNION ALL
+SELECT {_EVENT_COLS}, TIMESTAMP '{_BATCH_2}' AS partition_time, CAST(0 AS BIGINT) AS left_in_land FROM events
+UNION ALL
+SELECT {_EVENT_COLS}, TIMESTAMP '{_BATCH_2}' AS partition_time, CAST(0 AS BIGINT) AS left_in_land FROM events
+WHERE event_type IS NOT NULL""")
+def q_raw_mixed(spark, sf_dir):
+    """K5, K9: a batch copy, a streamed copy and a batch copy into one RAW folder; rows that
+    land between a copy and its truncation stay in LAND and come with the next copy."""
+    events = _table(spark, sf_dir, "events")
+    contract = _events_contract(events)
+    root = workspace(spark, "raw_mixed")
+    land, raw = f"{root}/land", f"{root}/raw"
+    layers.land(events, contract, land, F.lit(_ts(_BATCH_1)))
+    files = layers.landed_files(spark, contract, land)
+    layers.refresh_raw(spark, contract, land, raw, files)
+    layers.land(events, contract, land, F.lit(_ts(_BATCH_2)))          # late: not among the files
+    layers.truncate(spark, contract, land, files)
+    files = layers.landed_files(spark, contract, land)
+    stream_land_to_raw(spark, contract, land, raw, f"{root}/_checkpoint")
+    layers.truncate(spark, contract, land, files)
+    layers.land(events.where("event_type IS NOT NULL"), contract, land, F.lit(_ts(_BATCH_2)))
+    files = layers.landed_files(spark, contract, land)
+    layers.refresh_raw(spark, contract, land, raw, files)
+    layers.truncate(spark, contract, land, files)
+    left = layers.read_land(spark, contract, land).select(F.count(F.lit(1))).scalar()
+    return contract.typed(spark.read.parquet(raw), "partition_time").withColumn("left_in_land", left)
+
+
 @query("raw_stream", f"""
 SELECT {_EVENT_COLS}, TIMESTAMP '{_BATCH_1}' AS partition_time FROM events
 UNION ALL

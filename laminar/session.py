@@ -52,7 +52,7 @@ def apply_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh
+    Read from the session; only when it is unset on a local master (tests) a fresh
     temporary folder is chosen and registered, so ``checkpoint()`` works too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -62,6 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None)
+    if not root and sc is not None and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
     if not root:
         root = tempfile.mkdtemp(prefix="laminar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)

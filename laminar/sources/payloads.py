@@ -43,6 +43,7 @@ INFRA_ITEM = T.StructType([T.StructField("label", T.StringType()),
 INFRA_SECTION = T.StructType([T.StructField("section", T.StringType()),
                               T.StructField("items", T.ArrayType(INFRA_ITEM))])
 INFRA_PAYLOAD = T.ArrayType(INFRA_SECTION)
+FAIL = {"mode": "FAILFAST"}     # a document that does not decode fails the job, as in the reference
 
 
 def read_payloads(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
@@ -53,7 +54,7 @@ def read_payloads(spark: SparkSession, path: str, whole_files: bool = True) -> D
 def city_ids(payloads: DataFrame, exclude: str = CAPITAL_CITY_ID,
              width: int = CITY_ID_WIDTH, keep: Sequence[str] = ()) -> DataFrame:
     """Explode a JSON array of 'id - name' strings; id = first 7 chars; drop ``exclude``."""
-    names = payloads.select(*keep, F.explode(F.from_json("value", "array<string>")).alias("_s"))
+    names = payloads.select(*keep, F.explode(F.from_json("value", "array<string>", FAIL)).alias("_s"))
     ids = names.select(*keep, id_prefix("_s", width).alias("cidade"))
     return ids.where(F.col("cidade") != exclude)
 
@@ -100,12 +101,19 @@ def shard_filter(df: DataFrame, score: str = "enem_media_geral",
               .withColumn(shard_col, F.col("_hit.i")).drop("_hit"))
 
 
-def id_lookup(ids: DataFrame, details: DataFrame, key: str) -> DataFrame:
-    """One detail row per requested id, repeats kept (inner equi-join).
+def id_lookup(ids: DataFrame, details: DataFrame, key: str, required: bool = False) -> DataFrame:
+    """One detail row per requested id, repeats kept.
 
-    A shuffle join on the key; AQE splits a hot id's partition.
+    A shuffle join on the key; AQE splits a hot id's partition. With
+    ``required`` an id without a detail fails the job (naming the id) when
+    the key is read; otherwise such ids have no row.
     """
-    return ids.join(details, key, "inner")
+    if not required:
+        return ids.join(details, key, "inner")
+    joined = ids.join(details.withColumn("_found", F.lit(True)), key, "left")
+    checked = F.when(F.col("_found"), F.col(key)).otherwise(
+        F.raise_error(F.concat(F.lit(f"no payload for {key} "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))))
+    return joined.withColumn(key, checked).drop("_found")
 
 
 def key_differences(payloads: DataFrame, contract: Contract) -> tuple[list[str], list[str]]:
@@ -119,9 +127,8 @@ def key_differences(payloads: DataFrame, contract: Contract) -> tuple[list[str],
             .withColumn("_seen", F.lit(True)))
     expected = spark.createDataFrame([(f.source, True) for f in contract.fields],
                                      "key string, _expected boolean")
-    # an error report, not a result: the first 100 differing names are enough
     diff = (seen.join(expected, "key", "full_outer")
-            .where(F.col("_seen").isNull() | F.col("_expected").isNull()).limit(100).collect())
+            .where(F.col("_seen").isNull() | F.col("_expected").isNull()).collect())
     missing = sorted(r["key"] for r in diff if r["_seen"] is None)
     unexpected = sorted(r["key"] for r in diff if r["_expected"] is None)
     return missing, unexpected
@@ -139,7 +146,7 @@ def parse_objects(payloads: DataFrame, contract: Contract, strict: bool = False)
     """Flat JSON objects -> contract keys as text, renamed to LAND names."""
     if strict:
         check_keys(payloads, contract)
-    parsed = payloads.select(F.from_json("value", contract.source_schema()).alias("_o")).select("_o.*")
+    parsed = payloads.select(F.from_json("value", contract.source_schema(), FAIL).alias("_o")).select("_o.*")
     return stringify(rename_columns(parsed, contract.rename_map))
 
 
@@ -155,7 +162,7 @@ def flatten_infrastructure(payloads: DataFrame, year: str = "ano", dependency: s
     Empty lists produce no rows.
     """
     sections = payloads.select(F.col(year).alias("_ano"), F.col(dependency).alias("_dep"),
-                               F.explode(F.from_json("value", INFRA_PAYLOAD)).alias("_s"))
+                               F.explode(F.from_json("value", INFRA_PAYLOAD, FAIL)).alias("_s"))
     items = sections.select("_ano", "_dep", F.col("_s.section").alias("secao"),
                             F.explode("_s.items").alias("_i"))
     values = items.select("_ano", "_dep", "secao", F.col("_i.label").alias("tema"),

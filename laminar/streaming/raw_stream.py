@@ -4,31 +4,39 @@ The reference copies every LAND row to RAW on each run and truncates LAND
 afterwards, so rows landed in between are lost and a failed truncate copies
 rows twice. A Structured Streaming file source with a checkpoint reads each
 LAND file exactly once; ``availableNow`` processes what is there and stops,
-so it runs as a daily batch job. The file sink's commit log makes the RAW
-folder exactly-once too, and a restarted job (lost driver or executors)
-resumes from the checkpoint.
+so it runs as a daily batch job. Each micro-batch is written by the same
+append as the batch form, into folders named after the checkpoint and the
+batch id: a replayed micro-batch replaces its own folders, and both forms of
+the copy can write to one RAW folder and are read back together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from laminar.plans.contracts import MONTH, STAMP, Contract
+from laminar.plans.contracts import Contract
+from laminar.plans.layers import append_raw, fill_missing_stamps
 
 
 def stream_land_to_raw(spark: SparkSession, contract: Contract, land_path: str, raw_path: str,
-                       checkpoint: str, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                       checkpoint: str, max_files_per_trigger: int | None = None,
+                       stamp: Column | None = None) -> StreamingQuery:
+    name = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex
     reader = spark.readStream.schema(contract.land_schema())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     land = reader.parquet(land_path)
-    rows = land.select(*contract.land_columns, STAMP).withColumn(MONTH, F.trunc(F.col(STAMP), "month"))
-    query = (rows.writeStream.format("parquet")
+
+    def copy(batch: DataFrame, batch_id: int) -> None:
+        rows = batch if stamp is None else fill_missing_stamps(batch, stamp)
+        append_raw(rows, contract, raw_path, batch=f"stream-{name}-{batch_id}")
+
+    query = (land.writeStream.foreachBatch(copy)
              .option("checkpointLocation", checkpoint)
-             .partitionBy(MONTH)
              .trigger(availableNow=True)
-             .start(raw_path))
+             .start())
     query.awaitTermination()
     return query

@@ -5,6 +5,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from laminar.functions.casts import cast_sql, cast_to
+
 from laminar.functions import (camel_to_snake, ordinal, parse_day_month_year, parse_year, percent,
                                safe_int, school_type, strict_bool, strict_double, strict_long)
 
@@ -133,3 +135,14 @@ def test_sql_text_helpers_agree_with_column_builders(spark):
         for a, b in zip(rc, rs):
             assert (a == b) or (isinstance(a, float) and a != a and b != b), (rc, rs)
     assert spark.sql(f"SELECT {literal(chr(92) + chr(39) + 'x')} AS v").first()["v"] == "\\'x"
+
+
+def test_float_suffixes_fail_and_safe_int_is_bounded(spark):
+    df = spark.createDataFrame([("1d",), ("1.5f",), ("inf",), ("NaN",), ("2.5",), ("9223372036854775808",), ("-9223372036854775808",)], "x string")
+    for build in (lambda t: cast_to("x", t, tolerant=True), lambda t: F.expr(cast_sql("x", t, tolerant=True))):
+        got = [r[0] for r in df.select(build("double")).collect()]
+        assert got[:2] == [None, None] and got[2] == float("inf") and got[4] == 2.5
+        assert [r[0] for r in df.select(build("safe_long")).collect()] == [None, None, None, None, 3, None, -(2 ** 63)]
+    for build in (lambda: cast_to("x", "double"), lambda: F.expr(cast_sql("x", "double"))):
+        with pytest.raises(Exception, match="FLOAT64"):
+            df.limit(1).select(build()).collect()

@@ -135,3 +135,28 @@ def test_tolerant_trusted_refresh_nulls_malformed_values(spark, tmp_path):
     layers.refresh_raw(spark, CONTRACT, f"{root}/land", f"{root}/raw")
     layers.refresh_trusted(spark, CONTRACT, f"{root}/raw", f"{root}/trusted", tolerant=True)
     assert rows(spark.read.parquet(f"{root}/trusted"), "k", "v", "ok") == [(1, None, None), (2, 2.5, True)]
+
+
+def test_a_replayed_batch_replaces_itself_and_a_hot_key_is_split(spark, tmp_path):
+    root = str(tmp_path)
+    df = spark.range(4000).select(F.when(F.col("id") < 3000, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+                                  *[F.col("id").cast("string").alias(c) for c in CONTRACT.land_columns if c != "k"])
+    rows_ = layers.land_frame(df.select(*CONTRACT.land_columns), CONTRACT, F.lit(datetime(2024, 2, 1)))
+    for _ in range(2):
+        layers.append_raw(rows_, CONTRACT, f"{root}/raw", batch="one")
+    layers.append_raw(rows_, CONTRACT, f"{root}/raw", batch="two")
+    raw = spark.read.parquet(f"{root}/raw")
+    assert raw.count() == 8000
+    assert len(raw.inputFiles()) <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_late_rows_survive_truncation(spark, tmp_path):
+    root = str(tmp_path)
+    df = spark.createDataFrame([tuple("x" for _ in CONTRACT.land_columns)], ", ".join(f"{c} string" for c in CONTRACT.land_columns))
+    layers.land(df, CONTRACT, f"{root}/land", None)
+    files = layers.landed_files(spark, CONTRACT, f"{root}/land")
+    layers.land(df, CONTRACT, f"{root}/land", None)
+    layers.refresh_raw(spark, CONTRACT, f"{root}/land", f"{root}/raw", files, F.lit(datetime(2024, 2, 1)))
+    layers.truncate(spark, CONTRACT, f"{root}/land", files)
+    assert layers.read_land(spark, CONTRACT, f"{root}/land").count() == 1
+    assert spark.read.parquet(f"{root}/raw").where("partition_time IS NULL").count() == 0
