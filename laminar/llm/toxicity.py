@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from laminar.llm.common import id_remainder, text_bytes
 
-MAX_TOXIC, MAX_CLEAN, HELD_OUT_MOD = 4_000, 6_000, 5
-SPACE_BITS, MIN_ROWS, MIN_G, RIDGE, REJECT = 22, 3, 15.0, 1e-4, 0.3
+MAX_TOXIC, MAX_CLEAN, HELD_OUT_MOD = 3_000, 4_000, 5
+SPACE_BITS, MIN_ROWS, MIN_G, RIDGE, REJECT = 21, 3, 15.0, 1e-4, 0.3
 CACHE_WORDS = 300_000
 _EDGES = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
@@ -63,29 +63,31 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
             .select("doc_id", "toxic", features(text_bytes(F.col("text"))).alias("f"))
             .limit(2 * (MAX_TOXIC + MAX_CLEAN)).toPandas())
     rows = rows.assign(key=rows["f"].map(lambda f: zlib.crc32(np.asarray(f, np.int32).tobytes()))).sort_values(["doc_id", "key"])
-    return fit_rows([np.asarray(f, np.int64) for f in rows["f"]], rows["toxic"].to_numpy(np.int64))
+    return fit_rows([np.asarray(f, np.int32) for f in rows["f"]], rows["toxic"].to_numpy(np.int64))
 
 
 def fit_rows(features: list[np.ndarray], toxic: np.ndarray) -> dict:
     empty = {"weights": {}, "thresholds": [10.0, 11.0]}
     if len(toxic) == 0 or toxic.min() == toxic.max():
         return empty
-    row = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    column = np.concatenate(features)
+    row = np.repeat(np.arange(len(features), dtype=np.int32), [len(f) for f in features])
+    column = np.concatenate(features).astype(np.int32)
     size, total, mine = 1 << SPACE_BITS, len(toxic), toxic.sum()
-    a = np.bincount(column[toxic[row] == 1], minlength=size).astype(float)
-    n = np.bincount(column, minlength=size).astype(float)
+    n = np.bincount(column, minlength=size)
+    often = np.flatnonzero(n >= MIN_ROWS)
+    n, a = n[often].astype(float), np.bincount(column[toxic[row] == 1], minlength=size)[often].astype(float)
     share = mine / total
     with np.errstate(divide="ignore", invalid="ignore"):
         g = 2 * (np.where(a > 0, a * np.log(a / (n * share)), 0) + np.where(n > a, (n - a) * np.log((n - a) / (n * (1 - share))), 0))
-    chosen = np.flatnonzero((n >= MIN_ROWS) & (g >= MIN_G))
+    clear = g >= MIN_G
+    chosen, a, n = often[clear], a[clear], n[clear]
     if not len(chosen):
         return empty
     index = np.full(size, -1)
     index[chosen] = np.arange(len(chosen))
     use = index[column] >= 0
     row, column = row[use], index[column[use]]
-    speaks = (a[chosen] > n[chosen] * share)[column]
+    speaks = (a > n * share)[column]
     hits = np.bincount(row[speaks], minlength=total)
     cut = np.median(hits[toxic == 1])
     grade = np.where(toxic == 0, 0, np.where(hits > cut, 2, 1))
@@ -116,7 +118,7 @@ def cumulative_link(row, column, grade, n_features: int, steps: int = 400, rate:
 
 
 def margin(model: dict, text: Column) -> Column:
-    """w.x of each text, by a vectorised function over the UTF-8 bytes; the model has at most 2^22 weights."""
+    """w.x of each text, by a vectorised function over the UTF-8 bytes; the model has at most 2^SPACE_BITS weights."""
     weights = model["weights"]
 
     @F.pandas_udf("double")
