@@ -1,17 +1,23 @@
 """Language-model scores by prediction by partial matching over bytes, beside a word unigram base.
 
-Model. The trie of all byte contexts of up to ``ORDER`` = 3 bytes is counted over the training texts
+Model. The trie of all byte contexts of up to ``ORDER`` = 5 bytes is counted over the training texts
 (start of text and end of text are bytes that UTF-8 never uses). The probability of a byte starts at the longest context; an escape
 (method C: distinct symbols against occurrences) leads to the next shorter one, where the symbols of the longer
 context are excluded from the counts; after order 0 the bytes never seen are equally likely. The
 model is fixed before scoring, so a text's code length is the sum over its bytes and its end.
 
-Plan. Texts are dealt into blocks of about ``BLOCK_BYTES``. Each block lists its distinct 4-byte windows (context and byte)
-and distinct tokens with their training counts: that is all the model needs, and all a block needs to look
-up. Counts are summed over the blocks, contexts of all orders follow by summing the windows further, and every
-distinct window gets its log probability by equi-joins. The answers go back to the blocks that asked
-and are summed up per text. No table is collected or broadcast by force, so vocabulary and trie
-may grow with the corpus; what a task holds is one block and its answers.
+Plan. Texts are dealt into blocks of about ``BLOCK_BYTES``, and what blocks ask for into as many buckets, by hash.
+
+1. Each block lists its distinct windows (context and byte) and distinct tokens with their training counts: all the model
+   needs, and all the block needs to look up. A (block, bucket) pair is one packed row, sorted, and is left out if empty.
+2. Token counts are summed per bucket, and each block's piece is answered by the counts in the piece's own order.
+3. Window counts are summed per bucket. The windows that share the two bytes before the last hold all that their contexts of
+   2 bytes and more need, so they get their probabilities together; shorter contexts come from
+   one table of byte pairs (at most 256 x 256 counts, so it is sent to every task).
+4. The bucket's pieces are answered by the values, and a block's answers meet its texts again.
+
+No vocabulary or trie is collected or broadcast, so both may grow with the corpus; a task holds
+one block and its answers, one bucket of pieces, or the distinct windows of one group of byte pairs.
 
 The base is the sum over tokens (words and one end) of log10((c + 1) / (N + V + 1)), c, N and V being counts of training tokens.
 
@@ -24,127 +30,214 @@ from __future__ import annotations
 
 import functools
 import math
+import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laminar.llm.common import id_remainder, materialise, text_bytes
 
-ORDER, BLOCK_BYTES = 3, 7 << 20
+ORDER, BLOCK_BYTES = 5, 24 << 20
 START, END = b"\xff" * ORDER, b"\xfe"
 SYMBOLS = 255                       # all bytes but the start mark
 END_TOKEN = b"\n"                   # not a word: it is white space
+SLAB = 1 << 22                      # windows handled at once
+GROUP_WINDOWS = 500_000             # distinct windows a task gives probabilities to, on average
+TOKENS, WINDOWS = 0, 1              # kinds of pieces
+PIECES = "block bigint, bucket int, kind int, body binary, n binary"
 
 
-def _windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(4-byte windows that end at each byte and at each end, number of windows per text)."""
-    data = np.frombuffer(b"".join(START + t + END for t in texts), np.uint8).astype(np.uint32)
-    sizes = np.array([len(t) + 1 for t in texts], np.int64)
-    grams = (data[:-3] << 24) | (data[1:-2] << 16) | (data[2:-1] << 8) | data[3:]
-    ends = np.cumsum(sizes + ORDER)
-    keep = np.ones(len(grams), bool)
-    for k in range(ORDER):                              # windows that end inside the next text's start marks
-        keep[ends[:-1] + k - ORDER] = False
-    return grams[keep], sizes
+def _windows(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(windows that end at each byte and at each end, number of the text of each), a slab at a time."""
+    data = np.frombuffer(b"".join(START + t + END for t in texts), np.uint8)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1 + ORDER
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+    for a in range(0, len(data) - ORDER, SLAB):
+        b = min(a + SLAB, len(data) - ORDER)
+        grams = np.zeros(b - a, np.int64)
+        for k in range(ORDER + 1):
+            grams = grams << 8 | data[a + k:b + k]
+        inside = owner[a:b] == owner[a + ORDER:b + ORDER]        # the others run into the next text
+        yield grams[inside], owner[a:b][inside]
 
 
-def _blocked(docs: DataFrame, mod: int, rest: int, block_bytes: int, id_col: str, text_col: str) -> DataFrame:
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(F.col(text_col)).alias("t"))
-    total = rows.agg(F.sum(F.length("t") + 1)).first()[0] or 0
-    blocks = max(1, math.ceil(total / block_bytes))
-    return rows.select("doc_id", "t", (id_remainder(F.col("doc_id"), mod) == rest).alias("held_out"),
-                       F.pmod(F.xxhash64("doc_id", "t"), F.lit(blocks)).alias("block"))
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their counts."""
+    if not keys:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    codes, distinct = pd.factorize(np.concatenate(keys))
+    total = np.bincount(codes, np.concatenate(counts), len(distinct)).astype(np.int64)
+    order = np.argsort(distinct)
+    return distinct[order], total[order]
+
+
+def _distinct_windows(texts: list[bytes], train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    parts = [_summed([grams], [train[owner]]) for grams, owner in _windows(texts)]
+    return _summed([k for k, _ in parts], [n for _, n in parts])
+
+
+def _token_bucket(token: bytes, buckets: int) -> int:
+    return zlib.crc32(token) % buckets
+
+
+def _window_bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _window_pieces(grams: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places in ``grams``) of each bucket that has any; places ascend."""
+    bucket = _window_bucket(grams, buckets)
+    order = np.argsort(bucket, kind="stable")
+    used, begin = np.unique(bucket[order], return_index=True)
+    return zip(used.tolist(), np.split(order, begin[1:]), strict=True) if len(used) else iter(())
+
+
+def _packed(grams: np.ndarray) -> bytes:
+    return np.diff(grams, prepend=0).astype("<i8").tobytes()
+
+
+def _unpacked(body: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(body, "<i8"))
+
+
+def _words(text: bytes) -> list[bytes]:
+    words = text.lower().split()
+    words.append(END_TOKEN)
+    return words
+
 
+def _token_pieces(tokens, buckets: int) -> dict[int, list[bytes]]:
+    pieces: dict[int, list[bytes]] = {}
+    for token in sorted(tokens):
+        pieces.setdefault(_token_bucket(token, buckets), []).append(token)
+    return pieces
 
-def _questions(table: pa.Table) -> pa.Table:
-    """Distinct windows and tokens of a block with their training counts."""
+
+def _questions(buckets: int, table: pa.Table) -> pa.Table:
+    """Step 1: the pieces of a block."""
     texts, held = table.column("t").to_pylist(), table.column("held_out").to_numpy()
-    grams, sizes = _windows(texts)
-    codes, distinct = pd.factorize(grams)
-    counts = np.bincount(codes, np.repeat(~held, sizes), len(distinct)).astype(np.int64)
+    rows = []
+    grams, counts = _distinct_windows(texts, ~held)
+    for bucket, places in _window_pieces(grams, buckets):
+        rows.append((bucket, WINDOWS, _packed(grams[places]), counts[places].astype("<i8").tobytes()))
     train, rest = Counter(), set()
     for text, out in zip(texts, held.tolist(), strict=True):
-        words = text.lower().split()
-        words.append(END_TOKEN)
-        rest.update(words) if out else train.update(words)
-    only = list(rest - train.keys())
-    tokens = list(train) + only
-    block = table.column("block")[0].as_py()
-    n = len(distinct) + len(tokens)
-    return pa.table({
-        "block": pa.array(np.full(n, block)),
-        "gram": pa.concat_arrays([pa.array(distinct.astype(np.int64)), pa.nulls(len(tokens), pa.int64())]),
-        "token": pa.concat_arrays([pa.nulls(len(distinct), pa.binary()), pa.array(tokens, pa.binary())]),
-        "n": pa.concat_arrays([pa.array(counts), pa.array(list(train.values()) + [0] * len(only), pa.int64())])})
-
-
-def window_log10(windows: DataFrame) -> DataFrame:
-    """(gram, value): log10 probability of the last byte of each window given the three before; windows: (gram, n)."""
-    def nodes(child: DataFrame, bits: int, name: str) -> DataFrame:
-        """Counts of the windows without their first byte: (k, t)."""
-        return child.groupBy((F.col("k") % (1 << bits)).alias("k")).agg(F.sum("t").alias("t"))
-
-    t3 = windows.filter("n > 0").select(F.col("gram").alias("k"), F.col("n").alias("t"))
-    t2 = nodes(t3, 24, "t2")
-    t1 = nodes(t2, 16, "t1")
-    t0 = nodes(t1, 8, "t0")
-    total, seen = t0.agg(F.coalesce(F.sum("t"), F.lit(0)), F.count(F.lit(1))).first()      # at most 255 symbols
-
-    def contexts(node: DataFrame, lower: DataFrame | None, bits: int, level: int) -> DataFrame:
-        """Per context: occurrences, distinct symbols, and what these symbols hold in the next shorter context."""
-        joined = node.withColumn("x", F.lit(0)) if lower is None else node.join(
-            lower.select(F.col("k").alias("kl"), F.col("t").alias("x")), F.col("k") % (1 << bits) == F.col("kl"))
-        return joined.groupBy(F.floor(F.col("k") / 256).alias(f"c{level}")).agg(
-            F.sum("t").alias(f"n{level}"), F.count(F.lit(1)).alias(f"q{level}"), F.sum("x").alias(f"x{level}"))
-
-    s3, s2, s1 = contexts(t3, t2, 24, 3), contexts(t2, t1, 16, 2), contexts(t1, t0, 8, 1)
-    g = windows.select("gram", "n", F.floor(F.col("gram") / 256).alias("c3"),
-                       (F.col("gram") % (1 << 24)).alias("k2"), (F.col("gram") % (1 << 16)).alias("k1"),
-                       (F.col("gram") % 256).alias("k0"))
-    g = (g.withColumn("c2", F.floor(F.col("k2") / 256)).withColumn("c1", F.floor(F.col("k1") / 256))
-         .join(s3, "c3", "left").join(s2, "c2", "left").join(s1, "c1", "left"))
-    for level, table in ((2, t2), (1, t1), (0, t0)):
-        g = g.join(table.withColumnRenamed("k", f"k{level}").withColumnRenamed("t", f"t{level}"), f"k{level}", "left")
-    g = g.na.fill(0, ["n3", "q3", "x3", "n2", "q2", "x2", "n1", "q1", "x1", "t2", "t1", "t0"])
-    # d: occurrences that are not excluded, e: distinct symbols that are not excluded (the weight of the escape)
-    g = g.selectExpr("gram", "double(n) as t3", "double(t2) as t2", "double(t1) as t1", "double(t0) as t0",
-                     "double(n3) as d3", "double(q3) as e3", "double(n2 - x3) as d2", "double(q2 - q3) as e2",
-                     "double(n1 - x2) as d1", "double(q1 - q2) as e1", f"double({total} - x1) as d0", f"double({seen} - q1) as e0")
-    rest = f"1D / {max(1, SYMBOLS - seen)}D"
-    for level in range(4):
-        step = f"t{level} / (d{level} + e{level})", f"(if(e{level} > 0, e{level} / (d{level} + e{level}), 1D))"
-        rest = f"if(t{level} > 0, {step[0]}, {step[1]} * ({rest}))"
-    return g.selectExpr("gram", f"log10({rest}) as value")
-
-
-def _answered(smoothed: float, left: pa.Table, right: pa.Table) -> pa.Table:
-    """Scores of a block's texts from the answers to its questions; smoothed: N + V + 1."""
+        (rest if out else train).update(_words(text))
+    for bucket, tokens in _token_pieces(train.keys() | rest, buckets).items():
+        rows.append((bucket, TOKENS, b" ".join(tokens), np.array([train[t] for t in tokens], "<i8").tobytes()))
+    bucket, kind, body, n = zip(*rows, strict=True)
+    return pa.table({"block": pa.array([table.column("block")[0].as_py()] * len(rows), pa.int64()), "bucket": pa.array(bucket, pa.int32()),
+                     "kind": pa.array(kind, pa.int32()), "body": pa.array(body, pa.binary()), "n": pa.array(n, pa.binary())})
+
+
+def _count_tokens(table: pa.Table) -> pa.Table:
+    """Step 2: the answers to a bucket's pieces; the first one carries the bucket's occurrences and distinct tokens."""
+    total = Counter()
+    pieces = [body.split(b" ") for body in table.column("body").to_pylist()]
+    for tokens, n in zip(pieces, table.column("n").to_pylist(), strict=True):
+        for token, c in zip(tokens, np.frombuffer(n, "<i8").tolist(), strict=True):
+            total[token] += c
+    bodies = [np.fromiter(map(total.__getitem__, tokens), "<i8", len(tokens)).tobytes() for tokens in pieces]
+    tail = [0] * (len(pieces) - 1)
+    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "kind": table.column("kind"), "body": pa.array(bodies, pa.binary()),
+                     "total": pa.array([sum(total.values()), *tail], pa.int64()),
+                     "seen": pa.array([sum(c > 0 for c in total.values()), *tail], pa.int64())})
+
+
+def _count_windows(table: pa.Table) -> pa.Table:
+    """Step 3: the distinct windows of a bucket."""
+    grams, n = _summed([_unpacked(b) for b in table.column("body").to_pylist()],
+                       [np.frombuffer(x, "<i8") for x in table.column("n").to_pylist()])
+    return pa.table({"gram": grams, "n": n})
+
+
+def _looked_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The value of each asked key, 0 if it is not there; ``keys`` ascend."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, values[at], 0)
+
+
+def _probabilities(pairs: tuple[np.ndarray, np.ndarray], buckets: int, table: pa.Table) -> pa.Table:
+    """Step 3: log10 probabilities of all windows that share the two bytes before the last; pairs: counts of two bytes."""
+    grams, n = table.column("gram").to_numpy(), table.column("n").to_numpy()
+    nodes = {ORDER: _summed([grams[n > 0]], [n[n > 0]]), 1: pairs, 0: _summed([pairs[0] & 0xFF], [pairs[1]])}
+    for level in range(ORDER - 1, 1, -1):
+        longer, counts = nodes[level + 1]
+        nodes[level] = _summed([longer & (1 << 8 * (level + 1)) - 1], [counts])
+    value, todo = np.ones(len(grams)), np.ones(len(grams), bool)
+    less_n = less_q = np.zeros(len(grams), np.int64)             # what the longer context excludes
+    for level in range(ORDER, -1, -1):
+        keys, counts = nodes[level]
+        contexts, begin = np.unique(keys >> 8, return_index=True)
+        held = _looked_up(*nodes[level - 1], keys & (1 << 8 * level) - 1) if level else np.zeros_like(counts)
+        asked = grams & (1 << 8 * (level + 1)) - 1
+        t = _looked_up(keys, counts, asked)
+        total, distinct, below = (
+            _looked_up(contexts, x, asked >> 8) for x in
+            (np.add.reduceat(counts, begin) if len(begin) else counts, np.diff(begin, append=len(keys)),
+             np.add.reduceat(held, begin) if len(begin) else held))
+        left, escapes = (total - less_n).astype(float), (distinct - less_q).astype(float)
+        hit, miss = todo & (t > 0), todo & (t == 0) & (escapes > 0)
+        value[hit] *= t[hit] / (left + escapes)[hit]
+        value[miss] *= escapes[miss] / (left + escapes)[miss]
+        todo &= t == 0
+        less_n, less_q = below, distinct
+    value[todo] /= max(1, SYMBOLS - len(nodes[0][0]))
+    return pa.table({"gram": grams, "bucket": _window_bucket(grams, buckets).astype(np.int32), "value": np.log10(value)})
+
+
+def window_log10(windows: DataFrame, buckets: int = 1) -> DataFrame:
+    """(gram, bucket, value): log10 probability of the last byte of each window given those before; windows: (gram, n)."""
+    rows = (windows.filter("n > 0").groupBy((F.col("gram") % (1 << 16)).alias("pair")).agg(F.sum("n").alias("n"))
+            .toPandas().sort_values("pair"))                     # at most 256 x 256 rows
+    pairs = rows["pair"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+    groups = max(1, math.ceil(windows.count() / GROUP_WINDOWS))
+    before = F.shiftright("gram", 8) % (1 << 16)
+    return (windows.groupBy(F.pmod(F.xxhash64(before), F.lit(groups)))
+            .applyInArrow(lambda group: _probabilities(pairs, buckets, group), "gram bigint, bucket int, value double"))
+
+
+def _answer_windows(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Step 4: the values of each piece of a bucket."""
+    grams, value = right.column("gram").to_numpy(), right.column("value").to_numpy()
+    order = np.argsort(grams)
+    grams, value = grams[order], value[order]
+    bodies = [value[np.searchsorted(grams, _unpacked(b))].astype("<f8").tobytes() for b in left.column("body").to_pylist()]
+    return pa.table({"block": left.column("block"), "bucket": left.column("bucket"), "kind": left.column("kind"), "body": pa.array(bodies, pa.binary())})
+
+
+def _answered(buckets: int, smoothed: float, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Scores of a block's texts from the answers to its pieces; smoothed: N + V + 1."""
     texts = left.column("t").to_pylist()
-    is_gram = right.column("gram").is_valid()
-    asked, told = right.filter(is_gram), right.filter(pa.compute.invert(is_gram))
-    grams, sizes = _windows(texts)
-    at = pd.Index(asked.column("gram").to_numpy().astype(np.uint32)).get_indexer(grams)
-    ends = np.cumsum(sizes)
-    score = np.add.reduceat(asked.column("value").to_numpy()[at], ends - sizes)
-    count = told.column("value").to_numpy()
-    index = dict(zip(told.column("token").to_pylist(), range(len(count)), strict=True))
+    told = {(k, b): body for k, b, body in zip(*(right.column(c).to_pylist() for c in ("kind", "bucket", "body")), strict=True)}
+    grams, _ = _distinct_windows(texts, np.zeros(len(texts), bool))
+    value = np.empty(len(grams))
+    for bucket, places in _window_pieces(grams, buckets):
+        value[places] = np.frombuffer(told[WINDOWS, bucket], "<f8")
+    index, score = pd.Index(grams), np.zeros(len(texts))
+    for slab, owner in _windows(texts):
+        score += np.bincount(owner, value[index.get_indexer(slab)], len(texts))
+    count = {}
+    for bucket, tokens in _token_pieces(set().union(*map(_words, texts)), buckets).items():
+        count.update(zip(tokens, np.frombuffer(told[TOKENS, bucket], "<i8").tolist(), strict=True))
     base, n_tokens, n_known = [], [], []
-    log = np.log10((count + 1) / smoothed)
     for text in texts:
-        words = text.lower().split()
-        words.append(END_TOKEN)
-        where = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        base.append(float(log[where].sum()))
+        words = _words(text)
+        c = np.fromiter(map(count.__getitem__, words), np.int64, len(words))
+        base.append(float(np.log10((c + 1) / smoothed).sum()))
         n_tokens.append(len(words))
-        n_known.append(int((count[where] > 0).sum()))
+        n_known.append(int((c > 0).sum()))
     return pa.table({"doc_id": left.column("doc_id"), "held_out": left.column("held_out"), "n_tokens": pa.array(n_tokens, pa.int64()),
                      "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base, pa.float64()),
-                     "score": pa.array(score, pa.float64()), "n_bytes": pa.array(sizes - 1)})
+                     "score": pa.array(score, pa.float64()), "n_bytes": pa.array([len(t) for t in texts], pa.int64())})
 
 
 def score(docs: DataFrame, mod: int = 7, rest: int = 2, block_bytes: int = BLOCK_BYTES,
@@ -153,21 +246,23 @@ def score(docs: DataFrame, mod: int = 7, rest: int = 2, block_bytes: int = BLOCK
 
     Rows whose crc32(doc_id as text) mod ``mod`` is ``rest`` are held out of training.
     """
-
-    blocked = _blocked(docs, mod, rest, block_bytes, id_col, text_col)
-    asked = materialise(blocked.groupBy("block").applyInArrow(_questions, "block bigint, gram bigint, token binary, n bigint"), "ppm")
-    asked_tokens = asked.filter("token is not null").select("block", "token", "n")
-    asked_grams = asked.filter("gram is not null").select("block", "gram", "n")
-    counts = asked_tokens.groupBy("token").agg(F.sum("n").alias("c"))
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    windows = materialise(window_log10(asked_grams.groupBy("gram").agg(F.sum("n").alias("n"))), "ppm-windows")
-    answers = (asked_grams.join(windows, "gram")
-               .select("block", "gram", F.lit(None).cast("binary").alias("token"), "value")
-               .unionByName(asked_tokens.drop("n").join(counts, "token")
-                            .select("block", F.lit(None).cast("bigint").alias("gram"), "token", F.col("c").cast("double").alias("value"))))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(F.col(text_col)).alias("t"))
+    blocks = max(1, math.ceil((rows.agg(F.sum(F.length("t") + 1)).first()[0] or 0) / block_bytes))
+    blocked = rows.select("doc_id", "t", (id_remainder(F.col("doc_id"), mod) == rest).alias("held_out"),
+                          F.pmod(F.xxhash64("doc_id", "t"), F.lit(blocks)).alias("block"))
+    asked = materialise(blocked.groupBy("block").applyInArrow(lambda block: _questions(blocks, block), PIECES), "ppm")
+    windows, tokens = asked.filter(F.col("kind") == WINDOWS), asked.filter(F.col("kind") == TOKENS)
+    counts = materialise(tokens.groupBy("bucket").applyInArrow(
+        _count_tokens, "block bigint, bucket int, kind int, body binary, total bigint, seen bigint"), "ppm-tokens")
+    total, distinct = counts.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("seen"), F.lit(0))).first()
+    counted = materialise(windows.groupBy("bucket").applyInArrow(_count_windows, "gram bigint, n bigint"), "ppm-windows")
+    values = window_log10(counted, blocks)
+    answers = (windows.drop("n").groupBy("bucket").cogroup(values.groupBy("bucket"))
+               .applyInArrow(_answer_windows, "block bigint, bucket int, kind int, body binary")
+               .unionByName(counts.drop("total", "seen")))
     kind = docs.schema[id_col].dataType.simpleString()
     scored = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        functools.partial(_answered, float(total + distinct + 1)),
+        functools.partial(_answered, blocks, float(total + distinct + 1)),
         f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, n_bytes bigint")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"),
                          "base_score", "score", "n_bytes")

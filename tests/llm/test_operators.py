@@ -312,7 +312,7 @@ def test_components_of_long_chains_and_stars(spark):
 
 # ---------------------------------------------------------------- 7 language model
 
-def brute_ppm(train, text, order=3):
+def brute_ppm(train, text, order=ppm.ORDER):
     tree = defaultdict(Counter)
     for t in train:
         data = b"\xff" * order + t + b"\xfe"
@@ -355,14 +355,20 @@ def test_ppm_and_base_equal_brute_force(spark):
 
 
 def test_ppm_probabilities_sum_to_one(spark):
-    train = [b"abab", b"abc", b"\xc3\xa9a"]
-    grams = Counter(g for t in train for g in ppm._windows([t])[0].tolist())
-    asked = [(ctx << 8 | s, grams.get(ctx << 8 | s, 0)) for ctx in (0xFFFFFF, 0x616261, 0x7A7A61, 0x7A7A7A) for s in range(255)]
-    asked += [(g, n) for g, n in grams.items() if g >> 8 not in (0xFFFFFF, 0x616261)]
+    train = [b"abab", b"abcabd", b"\xc3\xa9abab"]
+    grams = Counter(g for t in train for slab, _ in ppm._windows([t]) for g in slab.tolist())
+    contexts = [int.from_bytes(c, "big") for c in (b"\xff" * 5, b"\xff\xffaba", b"abcab", b"zzzab", b"zzzza", b"zzzzz")]
+    asked = [(ctx << 8 | s, grams.get(ctx << 8 | s, 0)) for ctx in contexts for s in range(255)]
+    asked += [(g, n) for g, n in grams.items() if g >> 8 not in contexts]
     sums = defaultdict(float)
     for r in ppm.window_log10(spark.createDataFrame(asked, "gram long, n long")).collect():
         sums[r.gram >> 8] += 10 ** r.value
-    assert all(abs(sums[c] - 1) < 1e-9 for c in (0xFFFFFF, 0x616261, 0x7A7A61, 0x7A7A7A))
+    assert all(abs(sums[c] - 1) < 1e-9 for c in contexts)
+
+
+def test_ppm_beats_the_base_on_held_out_texts(spark):
+    out = ppm.score(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert out[0] > out[1]
 
 
 # ---------------------------------------------------------------- 8 token files
