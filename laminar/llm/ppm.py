@@ -42,23 +42,23 @@ from pyspark.sql import functions as F
 
 from laminar.llm.common import id_remainder, materialise, text_bytes
 
-ORDER, BLOCK_BYTES = 5, 24 << 20
+ORDER, BLOCK_BYTES = 5, 12 << 20
 START, END = b"\xff" * ORDER, b"\xfe"
 SYMBOLS = 255                       # all bytes but the start mark
 END_TOKEN = b"\n"                   # not a word: it is white space
-SLAB = 1 << 22                      # windows handled at once
+SLAB = 1 << 20                      # windows handled at once
 GROUP_WINDOWS = 500_000             # distinct windows a task gives probabilities to, on average
 TOKENS, WINDOWS = 0, 1              # kinds of pieces
 PIECES = "block bigint, bucket int, kind int, body binary, n binary"
 
 
-def _windows(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _windows(texts: list[bytes], slab: int = SLAB) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(windows that end at each byte and at each end, number of the text of each), a slab at a time."""
     data = np.frombuffer(b"".join(START + t + END for t in texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1 + ORDER
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
-    for a in range(0, len(data) - ORDER, SLAB):
-        b = min(a + SLAB, len(data) - ORDER)
+    for a in range(0, len(data) - ORDER, slab):
+        b = min(a + slab, len(data) - ORDER)
         grams = np.zeros(b - a, np.int64)
         for k in range(ORDER + 1):
             grams = grams << 8 | data[a + k:b + k]
@@ -77,8 +77,18 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 
 def _distinct_windows(texts: list[bytes], train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    parts = [_summed([grams], [train[owner]]) for grams, owner in _windows(texts)]
-    return _summed([k for k, _ in parts], [n for _, n in parts])
+    """Distinct windows of a block and how often they occur in the texts marked ``train``."""
+    keys, counts, held = [], [], 0
+    for grams, owner in _windows(texts):
+        marked = np.sort(grams << 1 | train[owner])               # a plain sort is the fastest way to group
+        begin = np.flatnonzero(np.diff(marked, prepend=-1))
+        keys.append(marked[begin] >> 1)
+        counts.append(np.diff(begin, append=len(marked)) * (marked[begin] & 1))
+        held += len(begin)
+        if held > 4 * SLAB:                                       # bounded memory for many slabs
+            keys, counts = ([x] for x in _summed(keys, counts))
+            held = len(keys[0])
+    return _summed(keys, counts)
 
 
 def _token_bucket(token: bytes, buckets: int) -> int:
@@ -219,14 +229,21 @@ def _answered(buckets: int, smoothed: float, left: pa.Table, right: pa.Table) ->
     texts = left.column("t").to_pylist()
     told = {(k, b): body for k, b, body in zip(*(right.column(c).to_pylist() for c in ("kind", "bucket", "body")), strict=True)}
     grams, _ = _distinct_windows(texts, np.zeros(len(texts), bool))
-    value = np.empty(len(grams))
+    value, score = np.empty(len(grams)), np.zeros(len(texts))
     for bucket, places in _window_pieces(grams, buckets):
         value[places] = np.frombuffer(told[WINDOWS, bucket], "<f8")
-    index, score = pd.Index(grams), np.zeros(len(texts))
-    for slab, owner in _windows(texts):
-        score += np.bincount(owner, value[index.get_indexer(slab)], len(texts))
-    count = {}
-    for bucket, tokens in _token_pieces(set().union(*map(_words, texts)), buckets).items():
+    for slab, owner in _windows(texts, 1 << 16):                  # 48 bits of window and 16 bits of place are sorted as one number
+        marked = np.sort(slab.astype(np.uint64) << np.uint64(16) | np.arange(len(slab), dtype=np.uint64))
+        sorted_grams = (marked >> np.uint64(16)).astype(np.int64)
+        begin = np.flatnonzero(np.diff(sorted_grams, prepend=-1))
+        found = np.repeat(value[np.searchsorted(grams, sorted_grams[begin])], np.diff(begin, append=len(marked)))
+        first = owner[0] if len(owner) else 0                     # owners ascend: only the texts of this slab
+        sums = np.bincount(owner[(marked & np.uint64(0xFFFF)).astype(np.int64)] - first, found)
+        score[first:first + len(sums)] += sums
+    words, count = set(), {}
+    for text in texts:
+        words.update(_words(text))
+    for bucket, tokens in _token_pieces(words, buckets).items():
         count.update(zip(tokens, np.frombuffer(told[TOKENS, bucket], "<i8").tolist(), strict=True))
     base, n_tokens, n_known = [], [], []
     for text in texts:
