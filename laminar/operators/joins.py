@@ -5,8 +5,8 @@ aggregates whose row count is bounded by the number of distinct states, a
 property of the data, not of the code. Spark's static estimate for an
 aggregate is the size of its input, so the planner would pick a sort-merge
 join and shuffle the large school table. Instead the small side is cached,
-counted, and broadcast only if the count is within the bound; beyond it the
-cache is dropped and the join stays a shuffle join (where AQE still splits
+counted, and broadcast only if the count is within the bound; beyond it
+the join stays a shuffle join (where AQE still splits
 skewed partitions). A lost executor only loses cache blocks, which Spark
 recomputes from the (short) lineage of the aggregate.
 """
@@ -36,7 +36,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
 
 @contextmanager
 def bounded_side(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> Iterator[DataFrame]:
-    """``bounded_broadcast`` whose cache is released when the block ends.
+    """``bounded_broadcast`` whose cache is released when the block ends (beyond the bound, too, the
+    side is read from the cache and not computed again).
 
     Use it around the action (a write) that consumes the join::
 
@@ -45,6 +46,6 @@ def bounded_side(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> I
     """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield F.broadcast(cached) if cached.count() <= max_rows else df
+        yield F.broadcast(cached) if cached.count() <= max_rows else cached
     finally:
         cached.unpersist()

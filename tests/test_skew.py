@@ -84,3 +84,12 @@ def test_hot_id_lookup_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_side_beyond_the_bound_is_read_from_the_cache(spark):
+    from laminar.operators.joins import bounded_side
+    big, per_key = spark.range(100).selectExpr("id % 5 as k", "id"), spark.range(5).selectExpr("id as k", "id * 2 as v")
+    with bounded_side(per_key, max_rows=2) as side:
+        joined = big.join(side, "k")
+        assert side.is_cached and joined.count() == 100
+    assert not per_key.is_cached
