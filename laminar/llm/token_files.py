@@ -1,7 +1,7 @@
 """Token ids in byte-aligned variable-length files, with ids ranked by frequency.
 
 Writing. Documents are dealt into ranges of ascending id, tokenized, and staged as chunks of whole
-documents (about ``CHUNK_TOKENS`` ids each). Ids are counted over all chunks; the most frequent id
+documents (about ``CHUNK_BYTES`` of text each). Ids are counted over all chunks; the most frequent id
 gets code 0, and so on. A code takes 1 to 4 bytes, little end first; the lengths (2 bits each, four
 to a control byte) stand apart from the data bytes, so a table of 256 entries decodes four
 lengths at once and numpy gathers the codes without a loop.
@@ -21,18 +21,18 @@ document of one chunk. Other columns are ignored.
 
 from __future__ import annotations
 
-
-
 import functools
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-END_ID, CHUNK_TOKENS, MAGIC = 1, 1 << 18, b"RVB1"
-CACHE_WORDS, CACHE_CORES = 600_000, 800_000       # entries a task remembers, some 200 bytes each
+END_ID, CHUNK_BYTES, MAGIC = 1, 1 << 23, b"RVB1"
+CACHE_WORDS = 1_000_000                           # entries a worker remembers, some 150 bytes each
 _PLAIN_TAIL = ".,;:!?*&$%#|)]}\""
 _LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)   # by control byte
 
@@ -83,63 +83,93 @@ def staged_kind(path: str) -> str:
     return "<u2" if max(Tokenizer.from_file(path).get_vocab().values()) < 1 << 16 else "<u4"
 
 
+def split_marks(words: pa.StringArray) -> tuple[pa.StringArray, pa.StringArray]:
+    """Each word's core in ASCII lower case, and the ASCII marks after its last letter ("": none).
+
+    Words with ``<|`` stay whole and in their case: special tokens are matched before case is dropped.
+    """
+    lowered = pc.ascii_lower(words)
+    bare = pc.utf8_rtrim(lowered, _PLAIN_TAIL)
+    cut = pc.and_(pc.match_substring_regex(bare, r"\p{L}$"), pc.invert(pc.match_substring(words, "<|")))
+    core = pc.if_else(cut, bare, pc.if_else(pc.match_substring(words, "<|"), words, lowered))
+    size = pc.binary_length(lowered).to_numpy() - pc.binary_length(core).to_numpy()
+    ends = pc.binary_length(lowered).to_numpy().cumsum()
+    data = np.frombuffer(lowered.buffers()[2] or b"", np.uint8)   # a new array: it begins with its first word
+    past = size.cumsum()
+    marks = data[np.repeat(ends - past, size) + np.arange(past[-1] if len(past) else 0)]
+    offsets = np.concatenate(([0], past)).astype(np.int32)
+    return core, pa.StringArray.from_buffers(len(words), pa.py_buffer(offsets), pa.py_buffer(marks))
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, remembering the ids of words.
 
     Used only where words between ASCII white space are tokenized apart (the tokenizer drops white space
-    before it looks at words). Case and closing marks are split off
-    only where that cannot change the ids: ASCII or Latin-1 words that end in marks after a letter.
+    before it looks at words) and case is dropped. ASCII case and ASCII marks after a last letter are split
+    off first, which cannot change the ids; what is left is tokenized once.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = staged_kind(path)
-        self.words: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.kind_code = "H" if self.kind == "<u2" else "I"
+        self.known: dict[str, bytes] = {"": b""}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _ids(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.cores) > CACHE_CORES:
-            self.cores.clear()
-        parts = {}
-        for w in words:
-            if w in self.words:
-                continue
-            try:
-                w.encode("latin-1")
-                key = w if "<|" in w else w.lower()          # special tokens are matched before case is dropped
-            except UnicodeEncodeError:
-                key = w
-            core = key.rstrip(_PLAIN_TAIL) if "<|" not in key else key
-            parts[w] = (core, key[len(core):]) if core and core[-1].isalpha() else (key, "")
-        new = list({p for pair in parts.values() for p in pair if p} - self.cores.keys())
-        self.cores.update(zip(new, self._ids(new), strict=True))
-        for w, (core, tail) in parts.items():
-            self.words[w] = self.cores[core] + (self.cores[tail] if tail else b"")
-
-    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        out, step, begin, held = [], 1 << 22, 0, 0
-        for k, t in enumerate(texts):                        # a few megabytes at once
-            held += len(t)
-            if held >= step or k == len(texts) - 1:
-                split = [x.split() if x.isascii() else _split(x) for x in texts[begin:k + 1]]
-                self.learn(set().union(*split))
-                out += [b"".join(map(self.words.__getitem__, ws)) + end for ws in split]
-                begin, held = k + 1, 0
-        return out
-
-
-_ASCII_SPACE = {ord(c): " " for c in "\t\n\r\x0b\x0c"}
-
-
-def _split(text: str) -> list[str]:
-    return [w for w in text.translate(_ASCII_SPACE).split(" ") if w]
+    def _letter_ids(self, word: str) -> bytes:
+        """Ids of lower-case ASCII letters: normalising and splitting leave such a word as it is."""
+        return array(self.kind_code, [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+
+    def look_up(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, as bytes; new words are tokenized and remembered."""
+        if len(self.known) > CACHE_WORDS:
+            self.known = {"": b""}
+        known = self.known
+        new = [w for w in words if w not in known]
+        plain = [w for w in new if w.isascii() and w.isalpha() and w.islower()]
+        known.update(zip(plain, map(self._letter_ids, plain), strict=True))
+        other = [w for w in new if w not in known]
+        known.update(zip(other, self._ids(other), strict=True))
+        return [known[w] for w in words]
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids per text, ids of all texts), each text followed by ``end``."""
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        core, marks = (x.dictionary_encode() for x in split_marks(words.dictionary))
+        found = self.look_up(core.dictionary.to_pylist()) + self.look_up(marks.dictionary.to_pylist())
+        found.append(np.array([end], self.kind).tobytes())
+        length = np.fromiter(map(len, found), np.int64, len(found)) // np.dtype(self.kind).itemsize
+        pool, begin = np.frombuffer(b"".join(found), self.kind), np.cumsum(length) - length
+        # pieces of the texts in order: each word's core and marks, and the end after a text's last word
+        pieces = np.stack((core.indices.to_numpy(), marks.indices.to_numpy() + len(core.dictionary)))[:, words.indices.to_numpy()]
+        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+        at = np.insert(pieces.T.ravel(), 2 * offsets[1:], len(found) - 1)
+        n = length[at]
+        past = np.cumsum(n)
+        ids = pool[np.repeat(begin[at] - past + n, n) + np.arange(past[-1] if len(past) else 0)]
+        return np.diff(past[2 * offsets[1:] + np.arange(len(texts))], prepend=0), ids
+
+
+@functools.cache
+def encoder(path: str) -> WordEncoder:
+    """One encoder per Python worker: Spark's tasks reuse workers, and with them the words they know."""
+    return WordEncoder(path)
+
+
+def slices(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Runs of whole texts of about ``most`` bytes: a run ends with the text that reaches it."""
+    out, begin, held = [], 0, 0
+    for k, n in enumerate(sizes.tolist()):
+        held += n
+        if held >= most or k == len(sizes) - 1:
+            out.append((begin, k + 1))
+            begin, held = k + 1, 0
+    return out
 
 
 def _stage(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
@@ -152,28 +182,17 @@ def _stage(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 
         from pyspark import TaskContext
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = WordEncoder(tokenizer_path)
-        end, part, chunk = np.array([end_id], encoder.kind).tobytes(), TaskContext.get().partitionId(), 0
-        wide = np.dtype(encoder.kind).itemsize
-        ids, data, held = [], [], 0
-
-        def flush():
-            sizes = np.array([len(d) // wide for d in data], np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([chunk], pa.int32()), pa.array([ids], pa.list_(arrow_kind)),
-                 pa.array([int(sizes.sum())], pa.int64()), pa.array([sizes.astype("<u4").tobytes()], pa.binary()),
-                 pa.array([b"".join(data)], pa.binary())], ["part", "chunk", "doc_ids", "n_tokens", "sizes", "ids"])
-
+        known, part, chunk = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for doc_id, encoded in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist(), end), strict=True):
-                ids.append(doc_id)
-                data.append(encoded)
-                held += len(encoded) // wide
-                if held >= CHUNK_TOKENS:
-                    yield flush()
-                    chunk, ids, data, held = chunk + 1, [], [], 0
-        if ids:
-            yield flush()
+            doc_ids, texts = batch.columns
+            for a, b in slices(pc.binary_length(texts).to_numpy(), CHUNK_BYTES):
+                sizes, ids = known.encode(texts[a:b], end_id)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part], pa.int32()), pa.array([chunk], pa.int32()),
+                     pa.array([doc_ids[a:b].to_pylist()], pa.list_(arrow_kind)), pa.array([len(ids)], pa.int64()),
+                     pa.array([sizes.astype("<u4").tobytes()], pa.binary()), pa.array([ids.tobytes()], pa.binary())],
+                    ["part", "chunk", "doc_ids", "n_tokens", "sizes", "ids"])
+                chunk += 1
 
     ordered = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
                .repartitionByRange(F.col("doc_id").asc_nulls_first())
