@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-END_ID, CHUNK_BYTES, MAGIC = 1, 1 << 23, b"RVB1"
-CACHE_WORDS = 1_000_000                           # entries a worker remembers, some 150 bytes each
+END_ID, CHUNK_BYTES, MAGIC = 1, 1 << 22, b"RVB1"
+CACHE_WORDS = 600_000                             # entries a worker remembers, some 150 bytes each
 _PLAIN_TAIL = ".,;:!?*&$%#|)]}\""
 _LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)   # by control byte
 
