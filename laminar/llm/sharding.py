@@ -1,7 +1,7 @@
 """Shards and slots by a Feistel permutation of global row numbers (the ``rows`` law).
 
 Rows are numbered 0..N-1 in an order that depends on their values only (bucket
-of a hash of the row, then id and hash). A keyed Feistel network over the smallest
+of the key's md5, then the key: id and text). A keyed Feistel network over the smallest
 even power of two that holds N permutes the numbers; numbers that land outside [0, N)
 walk the cycle until they are inside, so the result is a permutation of [0, N)
 and any row's place can be computed alone:
@@ -58,16 +58,16 @@ def permute(numbers, total: int, seed: int = 0) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def numbered(df: DataFrame, key: list[str], buckets: int | None = None, name: str = "row_number") -> DataFrame:
-    """``df`` with gapless row numbers from 0, ordered by a hash bucket of ``key`` and then ``key``.
+def numbered(df: DataFrame, key: tuple[str, ...], bucket_digits: int = 3, name: str = "row_number") -> DataFrame:
+    """``df`` with gapless row numbers from 0, ordered by a bucket (first hex digits of an md5) of ``key`` and then ``key``.
 
-    ``buckets`` only sets how finely rows are dealt out (numbers depend on it, so keep it fixed for a
+    ``bucket_digits`` only sets how finely rows are dealt out (numbers depend on it, so keep it fixed for a
     reproducible order); a bucket is numbered in one task with a sort that spills.
     """
-    buckets = buckets or 4096
-    marked = df.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
+    marked = df.withColumn("_bucket", F.substring(F.md5(text.cast("binary")), 1, bucket_digits))
     counts = marked.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)   # one row per bucket: at most ``buckets``
+    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)   # one row per bucket: at most 16 ** ``bucket_digits``
     offsets = counts.select(F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     inside = W.partitionBy("_bucket").orderBy(*[F.col(k).asc_nulls_first() for k in key])
     return (marked.withColumn("_at", F.row_number().over(inside))
@@ -76,21 +76,22 @@ def numbered(df: DataFrame, key: list[str], buckets: int | None = None, name: st
             .drop("_bucket", "_b", "_before", "_at"))
 
 
-def shard(docs: DataFrame, shards: int = 8, seed: int = 0, buckets: int | None = None,
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with row_number, shard and slot (existing columns of these names are replaced)."""
+def shard(docs: DataFrame, shards: int = 8, seed: int = 0, bucket_digits: int = 3,
+          key: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """``docs`` with row_number, shard and slot (existing columns of these names are replaced).
+
+    Rows are numbered by ``key``; rows that agree on it may take each other's place.
+    """
     if shards < 1:
         raise ValueError("shards must be at least 1")
-    plain = docs.drop("row_number", "shard", "slot", "_crc")
+    plain = docs.drop("row_number", "shard", "slot")
     total = plain.count()
 
     @F.pandas_udf("bigint")
     def place(numbers: pd.Series) -> pd.Series:
         return pd.Series(permute(numbers.to_numpy(), total, seed))
 
-    keyed = plain.withColumn("_crc", F.xxhash64(id_col, text_col))
-    ordered = numbered(keyed, [id_col, "_crc"], buckets).drop("_crc")
-    placed = ordered.withColumn("_place", place("row_number"))
+    placed = numbered(plain, key, bucket_digits).withColumn("_place", place("row_number"))
     return (placed.withColumn("shard", F.pmod("_place", F.lit(shards)).cast("int"))
             .withColumn("slot", F.floor(F.col("_place") / shards).cast("bigint") if shards > 1 else F.col("_place"))
             .drop("_place"))
