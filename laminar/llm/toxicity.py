@@ -8,7 +8,9 @@ Labels are binary, so grade 0 is the label 0, and the rows of label 1 are split
 how many label-1 features they hold: grade 1 up to it, grade 2 above.
 
 Training uses at most ``MAX_TOXIC`` rows of label 1 and ``MAX_CLEAN`` of label 0 (the smallest hashes
-of the id). Ids with crc32 mod 5 = 0 are held out. Features that the labels do not separate (G statistic) are left out.
+of the id). Each class is weighted by its labelled rows over its sampled rows, counted over all training labels, so
+that the probabilities are those at the labels' own class shares whatever the input's size.
+Ids with crc32 mod 5 = 0 are held out. Features that the labels do not separate (G statistic) are left out.
 
 A row is rejected when P(grade >= 1) >= ``REJECT``.
 
@@ -44,9 +46,13 @@ def word_features(word: bytes) -> tuple[int, ...]:
     return tuple(zlib.crc32(f) >> (32 - SPACE_BITS) for f in named)
 
 
-def _sample(labels: DataFrame) -> DataFrame:
-    one = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (id_remainder(F.col("doc_id"), HELD_OUT_MOD) != 0))
-           .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+def _training(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic): one label for each id that is not held out."""
+    return (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (id_remainder(F.col("doc_id"), HELD_OUT_MOD) != 0))
+            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+
+
+def _sample(one: DataFrame) -> DataFrame:
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     return (one.filter("toxic = 1").orderBy(*order).limit(MAX_TOXIC)
             .unionByName(one.filter("toxic = 0").orderBy(*order).limit(MAX_CLEAN)))
@@ -58,15 +64,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     def features(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: sorted({f for w in set(t.split()) for f in word_features(w)}))
 
-    sample = F.broadcast(_sample(labels))                     # at most MAX_TOXIC + MAX_CLEAN narrow rows
+    one = _training(labels)
+    counts = {r.toxic: r["count"] for r in one.filter("toxic in (0, 1)").groupBy("toxic").count().collect()}
+    # labelled rows for each sampled one, by class
+    odds = np.array([max(1.0, counts.get(k, 0) / most) for k, most in enumerate((MAX_CLEAN, MAX_TOXIC))])
+    sample = F.broadcast(_sample(one))                        # at most MAX_TOXIC + MAX_CLEAN narrow rows
     rows = (docs.select("doc_id", "text").join(sample, "doc_id")
             .select("doc_id", "toxic", features(text_bytes(F.col("text"))).alias("f"))
             .limit(2 * (MAX_TOXIC + MAX_CLEAN)).toPandas())
     rows = rows.assign(key=rows["f"].map(lambda f: zlib.crc32(np.asarray(f, np.int32).tobytes()))).sort_values(["doc_id", "key"])
-    return fit_rows([np.asarray(f, np.int32) for f in rows["f"]], rows["toxic"].to_numpy(np.int64))
+    toxic = rows["toxic"].to_numpy(np.int64)
+    return fit_rows([np.asarray(f, np.int32) for f in rows["f"]], toxic, odds[toxic])
 
 
-def fit_rows(features: list[np.ndarray], toxic: np.ndarray) -> dict:
+def fit_rows(features: list[np.ndarray], toxic: np.ndarray, stands_for: np.ndarray | None = None) -> dict:
+    """``stands_for``: how many labelled rows each row stands for (one, if not given)."""
     empty = {"weights": {}, "thresholds": [10.0, 11.0]}
     if len(toxic) == 0 or toxic.min() == toxic.max():
         return empty
@@ -91,15 +103,17 @@ def fit_rows(features: list[np.ndarray], toxic: np.ndarray) -> dict:
     hits = np.bincount(row[speaks], minlength=total)
     cut = np.median(hits[toxic == 1])
     grade = np.where(toxic == 0, 0, np.where(hits > cut, 2, 1))
-    weights, thresholds = cumulative_link(row, column, grade, len(chosen))
+    weights, thresholds = cumulative_link(row, column, grade, len(chosen), stands_for=stands_for)
     keep = np.abs(weights) > 1e-3
     return {"weights": dict(zip(chosen[keep].tolist(), weights[keep].tolist(), strict=True)), "thresholds": thresholds}
 
 
-def cumulative_link(row, column, grade, n_features: int, steps: int = 400, rate: float = 0.05) -> tuple[np.ndarray, list[float]]:
-    """Shared weights and two ordered thresholds by full-batch Adam; theta_2 = theta_1 + exp(gap)."""
+def cumulative_link(row, column, grade, n_features: int, steps: int = 400, rate: float = 0.05,
+                    stands_for: np.ndarray | None = None) -> tuple[np.ndarray, list[float]]:
+    """Shared weights and two ordered thresholds by full-batch Adam on the weighted mean; theta_2 = theta_1 + exp(gap)."""
     params, first, second = np.zeros(n_features + 2), np.zeros(n_features + 2), np.zeros(n_features + 2)
     params[-2], total = 2.0, len(grade)
+    part = np.ones(total) if stands_for is None else stands_for / stands_for.mean()
     sigmoid = lambda v: 1 / (1 + np.exp(-np.clip(v, -30, 30)))
     for k in range(1, steps + 1):
         w, t1, t2 = params[:-2], params[-2], params[-2] + np.exp(params[-1])
@@ -107,8 +121,8 @@ def cumulative_link(row, column, grade, n_features: int, steps: int = 400, rate:
         low, high = sigmoid(t1 - x), sigmoid(t2 - x)
         p = np.clip(np.choose(grade, [low, high - low, 1 - high]), 1e-9, None)
         d1, d2 = low * (1 - low), high * (1 - high)
-        by1 = np.choose(grade, [d1, -d1, 0 * d1]) / p            # d log p / d theta_1, theta_2
-        by2 = np.choose(grade, [0 * d2, d2, -d2]) / p
+        by1 = part * np.choose(grade, [d1, -d1, 0 * d1]) / p     # d log p / d theta_1, theta_2
+        by2 = part * np.choose(grade, [0 * d2, d2, -d2]) / p
         grad_x = -(by1 + by2)
         slope = np.concatenate((np.bincount(column, grad_x[row], minlength=n_features) / total - RIDGE * w,
                                 [(by1 + by2).mean(), by2.mean() * np.exp(params[-1])]))
