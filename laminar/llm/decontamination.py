@@ -2,10 +2,11 @@
 
 Words: runs of non-space characters, A-Z lower-cased. Shingles: five words in a
 row, a shingle's weight is how often it occurs (an item of fewer words is one shingle).
-For an item of n words the windows are n words long.
+For an item of n words the windows are n words long; a document of fewer words is one window as a whole.
 
 1. Seeds. A window whose weighted similarity (sum of minima / sum of maxima of the weights) to an item
-   is at least s shares at least ceil(2 s m / (1 + s)) of its m shingles with it. So
+   is at least s shares at least ceil(2 s m / (1 + s)) of its m shingles with it (a whole document of k
+   shingles: ceil(s (k + m) / (1 + s))). So
    texts that share no shingle cannot match. They are left out first, by the shingles on a grid so
    wide that every passing window has a shared one on it (``lossless_stride``). In the
    others every shingle shared with an item opens a window that begins with it, and windows that cover too few hits of the item are
@@ -13,8 +14,8 @@ For an item of n words the windows are n words long.
    loses no hit, so the bound drops no window class that could pass.
 2. SimHash of each window that is left, and of each item.
 3. Multi-index: fingerprints are cut into ``radius`` + 1 blocks; two within
-   ``radius`` bits agree on a whole block, so the equi-join on (words, block, value)
-   finds all of them. Their Hamming distance is then checked.
+   ``radius`` bits agree on a whole block, so the equi-join on (item, block, value) of windows and the
+   items whose hits opened them finds all of them. Their Hamming distance is then checked.
 4. The exact weighted-shingle similarity, on the words themselves, verifies the candidates.
 
 The radius is wide enough for the similarity: at 0.8 the cosine of two windows of equal size
@@ -58,18 +59,21 @@ def _shingle_texts(words: Column, width: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(words) - width + 1), lambda i: F.array_join(F.slice(words, i, width), " "))
 
 
-def _least(m: int, similarity: float) -> int:
-    """Shingles that two sets of m have to share to be at least so similar."""
-    return math.ceil(2 * similarity / (1 + similarity) * m - 1e-6)
+def _least(m: int, similarity: float, other: int | None = None) -> int:
+    """Shingles that two sets of m (or of m and ``other``) have to share to be at least so similar."""
+    return math.ceil(similarity / (1 + similarity) * (m + (m if other is None else other)) - 1e-6)
 
 
 def lossless_stride(sizes: list[int], similarity: float, most: int = 8) -> int:
     """The widest stride at which every window that can pass still has a shared shingle on the grid.
 
     A window of m shingles has at least floor(m / stride) of them on the grid, of which at most
-    m - least(m) are not shared.
+    m - least(m) are not shared. The grid of a document that is one window begins with it, so of k shingles
+    ceil(k / stride) are on it.
     """
-    return max(d for d in range(1, most + 1) if d == 1 or all(m // d - (m - _least(m, similarity)) >= 1 for m in sizes))
+    def whole(d: int, m: int) -> bool:
+        return all(-(-k // d) - (k - _least(k, similarity, m)) >= 1 for k in range(max(1, math.ceil(similarity * m - 1e-6)), m))
+    return max(d for d in range(1, most + 1) if d == 1 or all(m // d - (m - _least(m, similarity)) >= 1 and whole(d, m) for m in sizes))
 
 
 LANES = 22                                          # three counters of 22 bits in one long: bits j, j + 22, j + 44
@@ -140,24 +144,25 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, similarity: float = 0.8
     seeds = side(item_shingles.distinct().withColumnRenamed("n", "item_n"))
     hits = (near.select("doc_id", "text_hash", F.size("words").alias("length"), F.explode(hashes).alias("s"))
             .select("doc_id", "text_hash", "length", "s.at", "s.h")
-            .join(seeds, "h").filter("length >= item_n").select("doc_id", "text_hash", "length", "at", "item_id", "item_n", "width")
+            .join(seeds, "h").select("doc_id", "text_hash", "length", "at", "item_id", "item_n", "width")
             .distinct())
     m = F.col("item_n") - F.col("width") + 1
+    n = F.least("length", "item_n")                               # words of the window
     # positions in units of m, so that one literal frame covers the m shingles of a window whatever the item's size
     covered = F.expr("count(1) over (partition by doc_id, text_hash, item_id, item_n "
                      "order by at / m range between current row and 0.9999999D following)")
-    least = F.ceil(F.lit(2 * similarity / (1 + similarity)) * m - F.lit(1e-6))
+    least = F.ceil(F.lit(similarity / (1 + similarity)) * (m + n - F.col("width") + 1) - F.lit(1e-6))
     windows = (hits.withColumn("m", m).withColumn("covered", covered).filter(F.col("covered") >= least)
-               .select("doc_id", "text_hash", F.least("at", F.col("length") - F.col("item_n")).alias("start"),
-                       F.col("item_n").alias("n"), "width").distinct())
+               .select("doc_id", "text_hash", F.least("at", F.col("length") - n).alias("start"),
+                       n.alias("n"), F.col("item_id").alias("opener"), F.col("item_n").alias("opener_n"), "width").distinct())
 
     # 2. fingerprints of windows and items; both are few and written, so the steps below start from tables
     cut = (windows.join(near.withColumnRenamed("doc_id", "d").withColumnRenamed("text_hash", "t"),
                         F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")))
-           .select("doc_id", "text_hash", "start", "n", "width", F.slice("words", F.col("start") + 1, F.col("n")).alias("words"))
+           .select("doc_id", "text_hash", "start", "n", "opener", "opener_n", "width", F.slice("words", F.col("start") + 1, F.col("n")).alias("words"))
            .distinct())
     window_hashes = F.coalesce(*[F.when(F.col("width") == k, _shingles(F.col("words"), k)) for k in widths])
-    key = ["doc_id", "text_hash", "start", "n", "width", "words"]
+    key = ["doc_id", "text_hash", "start", "n", "opener", "opener_n", "width", "words"]
     prints = materialise(_simhash(cut.select(*key, F.explode(window_hashes).alias("h")), key)
                          .withColumn("words", _shingle_texts(F.col("words"), F.col("width"))), "windows")
     item_prints = (_simhash(item_shingles, ["item_id", "n"])
@@ -171,13 +176,13 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, similarity: float = 0.8
     left = prints.select("*", _blocks(radius))
     right = item_prints.withColumn("fp", F.col("item_fp")).select("item_id", "item_n", "item_fp", "item_words", _blocks(radius)) \
         .withColumnRenamed("block", "item_block").withColumnRenamed("value", "item_value")
-    candidates = (left.join(side(right), F.expr("n = item_n and block = item_block and value = item_value"))
+    candidates = (left.join(side(right), F.expr("opener <=> item_id and opener_n = item_n and block = item_block and value = item_value"))
                   .withColumn("hamming", F.expr("bit_count(fp ^ item_fp)")).filter(F.col("hamming") <= radius)
                   # of the blocks on which they agree, the first one speaks for the pair
                   .filter(F.col("block") == _first_equal_block(radius)))
 
     # 4. exact check: weights of each shingle on either side
-    pair = ["doc_id", "text_hash", "item_id", "start", "n", "hamming"]
+    pair = ["doc_id", "text_hash", "item_id", "item_n", "start", "hamming"]
     weights = (candidates.select(*pair, F.expr("explode(concat(transform(words, s -> struct(s as s, 1 as mine, 0 as theirs)), "
                                                "transform(item_words, s -> struct(s as s, 0 as mine, 1 as theirs)))) as w"))
                .groupBy(*pair, "w.s").agg(F.sum("w.mine").alias("mine"), F.sum("w.theirs").alias("theirs")))

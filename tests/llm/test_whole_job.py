@@ -1,10 +1,11 @@
 """Cases of the second review: inputs on which an operator once did less than the whole job."""
 
-import binascii
+import random
+from collections import Counter
 
 import numpy as np
 
-from laminar.llm import toxicity
+from laminar.llm import decontamination, toxicity
 
 
 # ---------------------------------------------------------------- 9 toxicity
@@ -37,3 +38,45 @@ def test_toxicity_decision_does_not_depend_on_the_sample_sizes(spark, monkeypatc
     for model in (want, got):
         assert {r.doc_id: r.toxic for r in toxicity.score(asked, model).collect()} == {1: False, 2: False, 3: True}
     assert abs(want["thresholds"][0] - got["thresholds"][0]) < 0.7
+
+
+# ---------------------------------------------------------------- 10 decontamination
+
+def brute_matches(docs, items, similarity=0.8):
+    """As in test_operators, and a document of fewer words than the item is one window."""
+    found = {}
+    for d, t in docs.items():
+        w = t.lower().split()
+        for i, b in items.items():
+            v = b.lower().split()
+            n, k = min(len(v), len(w)), min(5, len(v))
+            item = Counter(tuple(v[j:j + k]) for j in range(len(v) - k + 1))
+            for s in range(len(w) - n + 1):
+                window = Counter(tuple(w[j:j + k]) for j in range(s, s + n - k + 1))
+                share = sum((item & window).values()) / sum((item | window).values())
+                if share >= similarity - 1e-12:
+                    found[d, i] = max(found.get((d, i), 0), share)
+    return found
+
+
+def default_matches(spark, docs, items):
+    return {(r.doc_id, r.item_id): r.similarity for r in decontamination.benchmark_matches(
+        spark.createDataFrame(list(docs.items()), "doc_id long, text string"),
+        spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+
+
+def test_documents_shorter_than_the_item_are_one_window(spark):
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(400)]
+    items = {i: " ".join(rng.choices(words, k=n)) for i, n in enumerate((15, 16, 23, 40, 59, 59, 3, 6))}
+    docs = {}
+    for i, b in items.items():
+        v = b.split()
+        for cut in range(1, min(14, len(v))):
+            docs |= {1000 * i + 10 * cut: " ".join(v[:-cut]), 1000 * i + 10 * cut + 1: " ".join(v[cut:]), 1000 * i + 10 * cut + 2: " ".join(v[cut // 2:len(v) - (cut + 1) // 2])}
+        changed = v[:-1]
+        changed[len(changed) // 2] = "changed"
+        docs |= {1000 * i + 900: " ".join(changed), 1000 * i + 901: b + " and more"}
+    got, want = default_matches(spark, docs, items), brute_matches(docs, items)
+    assert set(got) == set(want) and (4090, 4) in want
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
