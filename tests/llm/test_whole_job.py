@@ -80,3 +80,18 @@ def test_documents_shorter_than_the_item_are_one_window(spark):
     got, want = default_matches(spark, docs, items), brute_matches(docs, items)
     assert set(got) == set(want) and (4090, 4) in want
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_the_default_radius_keeps_windows_with_a_repeated_shingle(spark):
+    rng = random.Random(22)
+    words = [f"w{i}" for i in range(5_000)]
+    items = {i: " ".join(rng.choices(words, k=n)) for i, n in enumerate((49, 94, 200, *[900] * 20))}
+    docs = {}
+    for i, b in items.items():
+        v = b.split()
+        for k, part in enumerate((10, 18)):
+            tail = (len(v) - 4) // part
+            docs[10 * i + k] = " ".join(["before", *v[:len(v) - tail], *["la"] * tail])
+    got, want = default_matches(spark, docs, items), brute_matches(docs, items)
+    assert set(got) == set(want) and len(want) == len(docs)
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
