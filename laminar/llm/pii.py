@@ -5,7 +5,9 @@ Kinds, each matched leftmost and non-overlapping within its kind:
 * email, ip (parts at most 255), card (16 to 19 digits, Luhn), phone (8 to 15 digits after a plus),
 * iban (two letters, two check digits, up to 30 letters or digits in groups; mod-97).
 
-A match that fails its check is dropped and not retried inside. Every confirmed
+A match that fails its check is dropped and not retried inside. Only an iban is: the pattern also takes the
+capital words and numbers after it, so all ends at its word boundaries are tried (the country's length
+first, then the longest), and after a failure the search goes on behind the first group. Every confirmed
 span gets a score: a base by kind, plus for words that speak for the kind, minus
 for words that speak against it, within ``CONTEXT`` code points on either side.
 The four base kinds stay whatever their score, an iban needs ``MIN_SCORE``.
@@ -47,6 +49,10 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _DIGIT = re.compile(r"[0-9]")
+_IBAN_LENGTH = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 "
+    "GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 MC27 MD24 ME22 MK19 "
+    "MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SE24 SI19 SK24 SM27 TN24 TR26 UA29 VG24 XK20").split()}
 
 
 def luhn(digits: str) -> bool:
@@ -82,6 +88,19 @@ def _matches(pattern, check):
     return find
 
 
+def _ibans(text: str):
+    at = 0
+    while m := _IBAN.search(text, at):
+        first, size = m[0].find(" "), len(m[0].replace(" ", ""))
+        ends = [len(m[0])] + [k for k in range(len(m[0]) - 1, 0, -1) if m[0][k] == " "]
+        groups = {end: m[0][:end].replace(" ", "") for end in ends}
+        ends.sort(key=lambda end: len(groups[end]) != _IBAN_LENGTH.get(m[0][:2], size))
+        good = next((end for end in ends if len(groups[end]) >= 15 and mod97(groups[end])), None)
+        if good:
+            yield m.start(), m.start() + good
+        at = m.start() + (good or (first if first > 0 else len(m[0])))
+
+
 def _digits(text: str) -> str:
     return text.replace(" ", "").replace("-", "")
 
@@ -92,7 +111,7 @@ _FIND = {
     "ip": _matches(_IP, lambda s: all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in s.split("."))),
     "card": _matches(_CARD, lambda s: 16 <= len(d := _digits(s)) <= 19 and luhn(d)),
     "phone": _matches(_PHONE, lambda s: 8 <= len(_DIGIT.findall(s)) <= 15),
-    "iban": _matches(_IBAN, lambda s: mod97(s.replace(" ", ""))),
+    "iban": lambda text: list(_ibans(text)),
 }
 
 

@@ -4,8 +4,14 @@ import random
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from laminar.llm import decontamination, toxicity
+from laminar.llm import decontamination, pii, ppm, token_files, toxicity
+from laminar.llm.common import text_bytes
 
 
 # ---------------------------------------------------------------- 9 toxicity
@@ -95,3 +101,17 @@ def test_the_default_radius_keeps_windows_with_a_repeated_shingle(spark):
     got, want = default_matches(spark, docs, items), brute_matches(docs, items)
     assert set(got) == set(want) and len(want) == len(docs)
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+# ---------------------------------------------------------------- 2 personal data
+
+def test_iban_before_capitals_and_numbers():
+    plain, grouped = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    for before in ("IBAN ", "", "REF AB12 ", "IBAN AB12 CDEF "):
+        for iban in (plain, grouped, "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"):
+            for after in ("", " BIC COBADEFFXXX", " EUR 50", " 2024", " A", " AND " + "X" * 40, " or 12", "\n2024"):
+                spans = [s[:3] for s in pii.find_spans(before + iban + after) if s[0] == "iban"]
+                assert spans == [("iban", len(before), len(before + iban))], (before, iban, after)
+    two = [s[1:3] for s in pii.find_spans(f"{grouped} {plain} 2024") if s[0] == "iban"]
+    assert two == [(0, len(grouped)), (len(grouped) + 1, len(grouped) + 1 + len(plain))]
+    assert not [s for s in pii.find_spans("IBAN DE88 3704 0044 0532 0130 00") if s[0] == "iban"]
