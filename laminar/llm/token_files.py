@@ -22,6 +22,7 @@ document of one chunk. Other columns are ignored.
 from __future__ import annotations
 
 import functools
+import json
 from array import array
 
 import numpy as np
@@ -34,6 +35,12 @@ from pyspark.sql import functions as F
 END_ID, CHUNK_BYTES, MAGIC = 1, 1 << 22, b"RVB1"
 CACHE_WORDS = 600_000                             # entries a worker remembers, some 150 bytes each
 _PLAIN_TAIL = ".,;:!?*&$%#|)]}\""
+#: Tokenizers of this shape treat words between ASCII white space apart and drop case; others get whole texts.
+_WORD_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_WORD_SPLIT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 _LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)   # by control byte
 
 
@@ -83,12 +90,24 @@ def staged_kind(path: str) -> str:
     return "<u2" if max(Tokenizer.from_file(path).get_vocab().values()) < 1 << 16 else "<u4"
 
 
+def splits_words(tokenizer_json: str) -> bool:
+    """Whether a tokenizer is of the shape that the word cache supports."""
+    shape = json.loads(tokenizer_json)
+    model, added = shape["model"], shape.get("added_tokens") or []
+    return (shape.get("normalizer") == _WORD_NORMALIZER and shape.get("pre_tokenizer") == _WORD_SPLIT
+            and model.get("type") == "BPE" and not model.get("dropout")
+            # special tokens are looked for inside words that hold "<|"
+            and all("<|" in t["content"] and not any(c.isspace() for c in t["content"])
+                    and not any(t.get(k) for k in ("normalized", "single_word", "lstrip", "rstrip")) for t in added))
+
+
 def split_marks(words: pa.StringArray) -> tuple[pa.StringArray, pa.StringArray]:
-    """Each word's core in ASCII lower case, and the ASCII marks after its last letter ("": none).
+    """Each word's core, in lower case if the word is ASCII, and the ASCII marks after its last letter ("": none).
 
+    Other words keep their case: the tokenizer composes (NFC) before it drops case, and some letters are composed in lower case only.
     Words with ``<|`` stay whole and in their case: special tokens are matched before case is dropped.
     """
-    lowered = pc.ascii_lower(words)
+    lowered = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
     bare = pc.utf8_rtrim(lowered, _PLAIN_TAIL)
     cut = pc.and_(pc.match_substring_regex(bare, r"\p{L}$"), pc.invert(pc.match_substring(words, "<|")))
     core = pc.if_else(cut, bare, pc.if_else(pc.match_substring(words, "<|"), words, lowered))
@@ -104,14 +123,17 @@ def split_marks(words: pa.StringArray) -> tuple[pa.StringArray, pa.StringArray]:
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, remembering the ids of words.
 
-    Used only where words between ASCII white space are tokenized apart (the tokenizer drops white space
-    before it looks at words) and case is dropped. ASCII case and ASCII marks after a last letter are split
-    off first, which cannot change the ids; what is left is tokenized once.
+    Words are remembered only where words between ASCII white space are tokenized apart (the tokenizer drops white space
+    before it looks at words) and case is dropped (``splits_words``); other tokenizers get whole texts. The case of ASCII words
+    and ASCII marks after a last letter are split off first, which cannot change the ids; what is left is tokenized once.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_words = splits_words(self.tokenizer.to_str())
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
         self.kind = staged_kind(path)
         self.kind_code = "H" if self.kind == "<u2" else "I"
         self.known: dict[str, bytes] = {"": b""}
@@ -138,6 +160,10 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids per text, ids of all texts), each text followed by ``end``."""
+        if not self.by_words:
+            tail = np.array([end], self.kind).tobytes()
+            found = [ids + tail for ids in self._ids(texts.to_pylist())]
+            return np.fromiter(map(len, found), np.int64, len(found)) // len(tail), np.frombuffer(b"".join(found), self.kind)
         split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
         core, marks = (x.dictionary_encode() for x in split_marks(words.dictionary))

@@ -115,3 +115,18 @@ def test_iban_before_capitals_and_numbers():
     two = [s[1:3] for s in pii.find_spans(f"{grouped} {plain} 2024") if s[0] == "iban"]
     assert two == [(0, len(grouped)), (len(grouped) + 1, len(grouped) + 1 + len(plain))]
     assert not [s for s in pii.find_spans("IBAN DE88 3704 0044 0532 0130 00") if s[0] == "iban"]
+
+
+# ---------------------------------------------------------------- 8 token files
+
+ODD = ["Hello World  two\n\nlines", "H̱ALLO J̌x T̈. Y̊, W̊", "ÉTÉ Été. ΣΑΣ İ", "<|ENDOFTEXT|> a<|endoftext|>B. c", "", "̸ a̸= ≠ 12.5%."]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_word_cache_equals_the_tokenizer(name):
+    path = public_tokenizers.path(name)
+    library, ours = Tokenizer.from_file(path), token_files.WordEncoder(path)
+    sizes, ids = ours.encode(pa.array(ODD), 1)
+    want = [library.encode(t, add_special_tokens=False).ids + [1] for t in ODD]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+    assert ours.by_words == (name == "word_bpe_49k.json")
