@@ -7,6 +7,7 @@ context are excluded from the counts; after order 0 the bytes never seen are equ
 model is fixed before scoring, so a text's code length is the sum over its bytes and its end.
 
 Plan. Texts are dealt into blocks of about ``BLOCK_BYTES``, and what blocks ask for into as many buckets, by hash.
+Copies of a row (same id and text) that would fill a good part of a block are one row with a count.
 
 1. Each block lists its distinct windows (context and byte) and distinct tokens with their training counts: all the model
    needs, and all the block needs to look up. A (block, bucket) pair is one packed row, sorted, and is left out if empty.
@@ -131,14 +132,22 @@ def _token_pieces(tokens, buckets: int) -> dict[int, list[bytes]]:
 
 def _questions(buckets: int, table: pa.Table) -> pa.Table:
     """Step 1: the pieces of a block."""
-    texts, held = table.column("t").to_pylist(), table.column("held_out").to_numpy()
+    texts, held, copies = table.column("t").to_pylist(), table.column("held_out").to_numpy(), table.column("copies").to_numpy()
     rows = []
     grams, counts = _distinct_windows(texts, ~held)
+    # each text is counted once above, and its further copies here
+    further = [(texts[k], int(copies[k]) - 1) for k in np.flatnonzero((copies > 1) & ~held).tolist()]
+    for text, n in further:
+        more, c = _distinct_windows([text], np.ones(1, bool))
+        counts[np.searchsorted(grams, more)] += c * n
     for bucket, places in _window_pieces(grams, buckets):
         rows.append((bucket, WINDOWS, _packed(grams[places]), counts[places].astype("<i8").tobytes()))
     train, rest = Counter(), set()
     for text, out in zip(texts, held.tolist(), strict=True):
         (rest if out else train).update(_words(text))
+    for text, n in further:
+        for token, c in Counter(_words(text)).items():
+            train[token] += c * n
     for bucket, tokens in _token_pieces(train.keys() | rest, buckets).items():
         rows.append((bucket, TOKENS, b" ".join(tokens), np.array([train[t] for t in tokens], "<i8").tobytes()))
     bucket, kind, body, n = zip(*rows, strict=True)
@@ -252,11 +261,29 @@ def _answered(buckets: int, smoothed: float, left: pa.Table, right: pa.Table) ->
         base.append(float(np.log10((c + 1) / smoothed).sum()))
         n_tokens.append(len(words))
         n_known.append(int((c > 0).sum()))
-    return pa.table({"doc_id": left.column("doc_id"), "held_out": left.column("held_out"), "n_tokens": pa.array(n_tokens, pa.int64()),
+    return pa.table({"doc_id": left.column("doc_id"), "copies": left.column("copies"), "held_out": left.column("held_out"), "n_tokens": pa.array(n_tokens, pa.int64()),
                      "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base, pa.float64()),
                      "score": pa.array(score, pa.float64()), "n_bytes": pa.array([len(t) for t in texts], pa.int64())})
 
 
+def dealt(rows: DataFrame, mod: int, rest: int, block_bytes: int) -> tuple[DataFrame, int]:
+    """((doc_id, t, copies, held_out, block), number of blocks); rows: (doc_id, t).
+
+    Equal rows have one hash and so one block. Where they hold over a quarter of a block they become one row with a count.
+    """
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "t"))
+    size = F.sum(F.length("t") + 1)
+    blocks = max(1, math.ceil((rows.agg(size).first()[0] or 0) / block_bytes))
+    # at most four keys for each block's worth of text
+    many = materialise(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), size.alias("size"))
+                       .filter((F.col("n") > 1) & (F.col("size") > block_bytes // 4)).select("key"), "ppm-copies")
+    single = rows.join(F.broadcast(many), "key", "left_anti").select("doc_id", "t", F.lit(1).cast("bigint").alias("copies"))
+    counted = rows.join(F.broadcast(many), "key", "left_semi").groupBy("doc_id", "t").agg(F.count(F.lit(1)).alias("copies"))
+    return (single.unionByName(counted)
+            .select("doc_id", "t", "copies", (id_remainder(F.col("doc_id"), mod) == rest).alias("held_out"),
+                    F.pmod(F.xxhash64("doc_id", "t"), F.lit(blocks)).alias("block"))), blocks
+
+
 def score(docs: DataFrame, mod: int = 7, rest: int = 2, block_bytes: int = BLOCK_BYTES,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes) per row.
@@ -264,9 +291,7 @@ def score(docs: DataFrame, mod: int = 7, rest: int = 2, block_bytes: int = BLOCK
     Rows whose crc32(doc_id as text) mod ``mod`` is ``rest`` are held out of training.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(F.col(text_col)).alias("t"))
-    blocks = max(1, math.ceil((rows.agg(F.sum(F.length("t") + 1)).first()[0] or 0) / block_bytes))
-    blocked = rows.select("doc_id", "t", (id_remainder(F.col("doc_id"), mod) == rest).alias("held_out"),
-                          F.pmod(F.xxhash64("doc_id", "t"), F.lit(blocks)).alias("block"))
+    blocked, blocks = dealt(rows, mod, rest, block_bytes)
     asked = materialise(blocked.groupBy("block").applyInArrow(lambda block: _questions(blocks, block), PIECES), "ppm")
     windows, tokens = asked.filter(F.col("kind") == WINDOWS), asked.filter(F.col("kind") == TOKENS)
     counts = materialise(tokens.groupBy("bucket").applyInArrow(
@@ -280,6 +305,7 @@ def score(docs: DataFrame, mod: int = 7, rest: int = 2, block_bytes: int = BLOCK
     kind = docs.schema[id_col].dataType.simpleString()
     scored = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         functools.partial(_answered, blocks, float(total + distinct + 1)),
-        f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, n_bytes bigint")
+        f"doc_id {kind}, copies bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, n_bytes bigint")
+    scored = scored.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"),
                          "base_score", "score", "n_bytes")

@@ -130,3 +130,18 @@ def test_word_cache_equals_the_tokenizer(name):
     want = [library.encode(t, add_special_tokens=False).ids + [1] for t in ODD]
     assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
     assert ours.by_words == (name == "word_bpe_49k.json")
+
+
+# ---------------------------------------------------------------- 7 language model
+
+def test_copies_of_one_row_do_not_share_a_block_beyond_its_size(spark):
+    hot = [(None, "one text that comes again and again " * 3)] * 400 + [(7, "another hot text, 0123456789 " * 4)] * 300
+    rows = hot + [(1000 + i, f"text {i} of its own, {i * i}") for i in range(300)] + [(5, None), (5, None), (6, "held in two copies")] + [(6, "held in two copies")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    blocked, blocks = ppm.dealt(frame.select("doc_id", text_bytes(F.col("text")).alias("t")), 7, 2, 4_000)
+    held = blocked.groupBy("block").agg(F.sum(F.length("t") + 1).alias("size")).collect()
+    assert blocks > 10 and max(r["size"] for r in held) < 3 * 4_000
+    assert blocked.agg(F.sum("copies")).first()[0] == len(rows)
+    value = lambda r: (r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6), r.n_bytes)
+    few, one = (Counter(map(value, ppm.score(frame, block_bytes=b).collect())) for b in (4_000, 1 << 30))
+    assert few == one and sum(few.values()) == len(rows)
