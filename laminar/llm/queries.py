@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm import decontamination, line_rules, mixing, pii, ppm, quality, sharding, simhash_dedup, token_files, toxicity
+from laminar.llm import (decontamination, divergence, line_rules, merkle, mixing, pii, ppm, quality, sharding, simhash_dedup,
+                         substring_dedup, token_files, toxicity)
 from laminar.llm.common import id_remainder, read_table
 from laminar.llm.oracles import ORACLES  # noqa: F401  (the entry point reads it here)
 from laminar.session import workspace
@@ -68,6 +69,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.benchmark_matches(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaves = merkle.tampered_leaves(read_table(spark, sf_dir, "documents"))
+    proven = merkle.proofs(merkle.build(leaves, "lang", ["doc_id"]), ["doc_id", "claim"])
+    return merkle.verify(proven).drop("idx", "claim")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_pii": op2_pii,
@@ -79,4 +94,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_merkle": op12_merkle,
+    "op13_divergence": op13_divergence,
 }
