@@ -56,7 +56,6 @@ def tuples(df, *cols):
 
 def brute_dedup(rows, window):
     """rows: (id, text); ties of an id are ordered by the operator's text hash, equal rows in any order."""
-    hashes = {}
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[2]))
     seen, out = set(), []
     for doc, text, _ in rows:
@@ -69,7 +68,6 @@ def brute_dedup(rows, window):
             seen.add(key)
         kept = [w for w, c in zip(words, covered, strict=True) if not c]
         out.append((doc, len(words), len(words) - len(kept), hashlib.sha256(" ".join(kept).encode()).hexdigest()))
-    del hashes
     return sorted(out, key=repr)
 
 
@@ -98,7 +96,8 @@ def test_text_ids_and_many_copies(spark):
     docs = spark.createDataFrame([(f"d{i:03d}", text if i % 3 else f"{text} tail {i}") for i in range(200)], "doc_id string, text string").repartition(7)
     rows = tuples(substring_dedup.dedup(docs), "doc_id", "n_removed", "kept")
     assert rows[0] == ("d000", 0, f"{text} tail 0")
-    assert all(kept == ("" if i % 3 else f"tail {i}") for i, (_, _, kept) in enumerate(rows) if i)
+    # "tail" too ends a window of d000
+    assert all(kept == ("" if i % 3 else str(i)) for i, (_, _, kept) in enumerate(rows) if i)
 
 
 def test_estimates_never_lie_below_the_count():
