@@ -1,4 +1,4 @@
-"""DuckDB SQL of the training-data queries that SQL can express (mixing, sharding, line rules)."""
+"""DuckDB SQL of the training-data queries that SQL can express (mixing, sharding, line rules, substring dedup, Merkle, divergence)."""
 
 from __future__ import annotations
 
@@ -124,4 +124,104 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
 FROM counts
 """
 
-ORACLES = {"op3_mixing": OP3_MIXING, "op4_sharding": OP4_SHARDING, "op5_line_rules": OP5_LINE_RULES}
+OP11_SUBSTRING_DEDUP = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
+w AS (SELECT row, doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+windows AS (
+  SELECT *, string_agg(w, ' ') OVER o AS k, count(*) OVER o = 20 AS whole
+  FROM w WINDOW o AS (PARTITION BY row ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+judged AS (
+  SELECT row, i, w, whole AND row_number() OVER (PARTITION BY whole, k ORDER BY doc_id NULLS FIRST, row, i) > 1 AS later FROM windows),
+covered AS (
+  SELECT row, i, w, bool_or(later) OVER (PARTITION BY row ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM judged),
+left_over AS (SELECT row, count(*) FILTER (gone) AS n_removed, string_agg(w, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM covered GROUP BY row)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (row)
+"""
+
+
+def _field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _levels(name: str, start: str) -> str:
+    """Every node of the trees over ``start`` (g, pos, node), level by level."""
+    return f"""{name} AS (
+  SELECT g, 0 AS level, pos, node, count(*) OVER (PARTITION BY g) AS width FROM {start}
+  UNION ALL
+  SELECT g, level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (width + 1) // 2
+  FROM {name} WHERE width > 1 GROUP BY g, level, pos // 2, width)"""
+
+
+# crc32 of the id's text as in the sharding query; g is the language as text that keeps NULL first.
+OP12_MERKLE = f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+           lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tbl),
+d AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce('v' || lang, 'n') AS g, {_leaf("n_chars")} AS leaf, {_leaf("(n_chars + 1)")} AS altered,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'),
+               lambda h: ('0x' || h)::BIGINT)),
+             lambda c, b: xor(c >> 8, tbl[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) % 7 = 0 AS tampered
+  FROM documents, crc),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, leaf AS node FROM d),
+{_levels("tree", "leaves")},
+subroots AS (SELECT '' AS g, g AS member, row_number() OVER (ORDER BY g) - 1 AS pos, node FROM tree WHERE width = 1),
+{_levels("top", "subroots")},
+heights AS (SELECT g, max(level) AS height FROM tree GROUP BY g),
+steps AS (
+  SELECT l.row, t.level AS step, (l.pos >> t.level) % 2 AS side, s.node AS sibling
+  FROM leaves l JOIN (SELECT DISTINCT g, level, width FROM tree WHERE width > 1) t USING (g)
+  LEFT JOIN tree s ON s.g = l.g AND s.level = t.level AND s.pos = xor(l.pos >> t.level, 1)
+  UNION ALL
+  SELECT l.row, height + t.level, (r.pos >> t.level) % 2, s.node
+  FROM leaves l JOIN heights h USING (g) JOIN subroots r ON r.member = l.g
+  CROSS JOIN (SELECT DISTINCT level, width FROM top WHERE width > 1) t
+  LEFT JOIN top s ON s.level = t.level AND s.pos = xor(r.pos >> t.level, 1)),
+folded AS (
+  SELECT row, 0 AS step, CASE WHEN tampered AND altered IS NOT NULL THEN altered ELSE leaf END AS digest FROM d
+  UNION ALL
+  SELECT f.row, f.step + 1, sha256(CASE WHEN sibling IS NULL THEN digest WHEN side = 1 THEN sibling || digest ELSE digest || sibling END)
+  FROM folded f JOIN steps s ON s.row = f.row AND s.step = f.step),
+ends AS (SELECT row, arg_max(digest, step) AS folded_root FROM folded GROUP BY row),
+proof AS (SELECT row, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256 FROM steps GROUP BY row)
+SELECT doc_id, leaf, s.node AS subroot, r.node AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = r.node AS verified
+FROM d JOIN subroots s ON s.member = d.g JOIN (SELECT node FROM top WHERE width = 1) r ON true
+JOIN ends USING (row) LEFT JOIN proof USING (row)
+"""
+
+_P = "(1 + 1000000000::HUGEINT * ({n} + 2) // ({total} + 2 * v))::BIGINT"
+
+OP13_DIVERGENCE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+t AS (SELECT row, lang, source, unnest(ts) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY ALL HAVING count(DISTINCT row) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS (
+  SELECT g.lang, g.source, k.term, k.lang_n, v, lang_total, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+  FROM groups g JOIN kept k USING (lang) JOIN langs USING (lang)
+  LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) c USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, {_P.format(n="n", total="total")} AS p, {_P.format(n="lang_n", total="lang_total")} AS q FROM counts),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 10
+"""
+
+ORACLES = {"op3_mixing": OP3_MIXING, "op4_sharding": OP4_SHARDING, "op5_line_rules": OP5_LINE_RULES, "op11_substring_dedup": OP11_SUBSTRING_DEDUP,
+           "op12_merkle": OP12_MERKLE, "op13_divergence": OP13_DIVERGENCE}

@@ -17,10 +17,10 @@ earlier (in an earlier document, or earlier in the same one) is removed; windows
    that a task meets in one flush only the first is sent, so a group of copies, however large, costs a row per flush.
    The first occurrence of each window stays; the starts of the others go back to their documents.
 
-Order: by id (NULL first), then by a hash of the text; equal rows follow each other in any order, which gives
-the same rows out.
+Order: by id (NULL first), then by a hash of id and text. Equal rows count as one document in step 3; at the end one
+of them gets its words, the others none.
 
-Edge cases: NULL, empty and short texts (fewer words than a window) lose nothing; of repeated rows the first
+Edge cases: NULL, empty and short texts (fewer words than a window) lose nothing; of repeated rows one
 keeps its words; a very long text is hashed and judged as a whole; an empty table gives no rows. Other columns are ignored.
 """
 
@@ -33,13 +33,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from laminar.llm.common import materialise
 
 WINDOW, GRAM, DEPTH, FAN_IN, SLICES, FULL = 20, 10, 2, 32, 16, 15
-FLUSH_WINDOWS = 2_000_000
+FLUSH_WINDOWS, CHUNK_BYTES = 400_000, 1 << 20
 _M = np.uint64(0x9E3779B97F4A7C15)
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -49,35 +52,68 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """A 64-bit hash of each word, vectorised over the words' bytes."""
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    data = np.frombuffer(b"".join(words), np.uint8)
-    starts = np.cumsum(lengths) - lengths
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, start) of every word in some bytes of text."""
+    space = _SPACE[data]
+    starts = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts
+    ends = np.flatnonzero(~space & np.concatenate((space[1:], [True]))) + 1
+    lengths = ends - starts
+    letters = data[~space]
+    begins = np.cumsum(lengths) - lengths
     with np.errstate(over="ignore"):
         power = np.cumprod(np.full(int(lengths.max()), _M))
-        place = np.arange(len(data)) - np.repeat(starts, lengths)
-        return _mix(np.add.reduceat(_BYTE[data] * power[place], starts) + lengths.astype(np.uint64))
-
-
-def anchors(words: list[bytes], window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, windows) of each run of neighbouring windows with one anchor; at least ``window`` words."""
-    with np.errstate(over="ignore"):
-        hashes = np.concatenate([word_hashes(words[i:i + 200_000]) for i in range(0, len(words), 200_000)])
-        grams, n = np.zeros(len(words) - gram + 1, np.uint64), len(words) - gram + 1
-        for j in range(gram):
-            grams = grams * _M + hashes[j:j + n]
-        grams = _mix(grams)
-    # smallest of ``window - gram + 1`` neighbours, leftmost of equals: hash in the upper, place in the lower half
-    key = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
-    span, width = 1, window - gram + 1
-    while span < width:
-        step = min(span, width - span)
-        key = np.minimum(key[:len(key) - step], key[step:])
-        span += step
-    place = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    return grams[place[first]], first, np.diff(np.append(first, len(place)))
+        place = np.arange(len(letters)) - np.repeat(begins, lengths)
+        return _mix(np.add.reduceat(_BYTE[letters] * power[place], begins) + lengths.astype(np.uint64)), starts
+
+
+class Anchors:
+    """Anchors of a chunk of texts: for each run of neighbouring windows with one anchor its hash, its text's place in the
+    chunk, its first window and the number of its windows; and the words of each text."""
+
+    def __init__(self, texts: list[bytes], window: int, gram: int):
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        hashes, starts = word_hashes(np.frombuffer(b" ".join(texts) + b" ", np.uint8))
+        begins = np.searchsorted(starts, np.cumsum(sizes) - sizes)          # first word of each text
+        self.words = np.diff(np.append(begins, len(starts)))
+        self.hash, self.text, self.first, self.windows = np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3
+        total, n = len(hashes), len(hashes) - gram + 1
+        if total < window:
+            return
+        with np.errstate(over="ignore"):
+            grams = np.zeros(n, np.uint64)
+            for j in range(gram):
+                grams = grams * _M + hashes[j:j + n]
+            grams = _mix(grams)
+        # smallest of ``window - gram + 1`` neighbours, leftmost of equals: hash in the upper, place in the lower half
+        key = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
+        span, width = 1, window - gram + 1
+        while span < width:
+            step = min(span, width - span)
+            key = np.minimum(key[:len(key) - step], key[step:])
+            span += step
+        text = np.repeat(np.arange(len(texts)), self.words)
+        at = np.flatnonzero(text[:total - window + 1] == text[window - 1:])     # windows inside one text
+        if not len(at):
+            return
+        place, text = (key[at] & np.uint64(0xFFFFFFFF)).astype(np.int64), text[at]
+        run = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (text[1:] != text[:-1]))))
+        self.hash, self.text, self.windows = grams[place[run]], text[run], np.diff(np.append(run, len(at)))
+        self.first = at[run] - begins[self.text]
+
+
+def chunks(texts: pa.Array):
+    """(first place, texts) in chunks of about CHUNK_BYTES."""
+    begin, held, size = 0, [], 0
+    for k, text in enumerate(texts):
+        held.append(text.as_buffer().to_pybytes())
+        size += len(held[-1])
+        if size >= CHUNK_BYTES:
+            yield begin, held
+            begin, held, size = k + 1, [], 0
+    if held:
+        yield begin, held
 
 
 def cells(anchor: np.ndarray, width: int) -> list[np.ndarray]:
@@ -133,17 +169,12 @@ def build_sketch(texts: DataFrame, width: int, window: int, gram: int) -> np.nda
         from pyspark import TaskContext
         part, parts, size = TaskContext.get().partitionId(), [], 0
         for batch in batches:
-            for text in batch.column(0):
-                words = text.as_buffer().to_pybytes().split() if text.is_valid else []
-                if len(words) < window:
-                    continue
-                found = anchors(words, window, gram)[0]
-                at = np.sort(np.concatenate(cells(found, width)))
+            for _, texts in chunks(batch.column(0)):
+                at = np.sort(np.concatenate(cells(Anchors(texts, window, gram).hash, width)))
                 parts.append((at, np.ones(len(at), np.uint8)))
                 size += len(at)
-                if size > FLUSH_WINDOWS:
-                    parts = [_counted(parts)]
-                    size = 0
+                if size > 8 * FLUSH_WINDOWS:
+                    parts, size = [_counted(parts)], 0
         if parts:
             at, counts = _counted(parts)
             cut = np.searchsorted(at, np.arange(SLICES + 1) * per_slice)
@@ -156,7 +187,7 @@ def build_sketch(texts: DataFrame, width: int, window: int, gram: int) -> np.nda
         return pa.table({"slice": table.column("slice")[:1], "part": table.column("part")[:1], "data": pa.array([_pack(at, counts)], pa.binary())})
 
     schema = "slice int, part int, data binary"
-    parts = materialise(texts.mapInArrow(count, schema), "sketch")
+    parts = materialise(texts.mapInArrow(count, schema), "sketch")      # texts: one column, no NULL
     most = (parts.agg(F.max("part")).first()[0] or 0) + 1
     while most > 1:
         parts = parts.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")).groupBy("slice", "part").applyInArrow(merge, schema)
@@ -172,76 +203,71 @@ def build_sketch(texts: DataFrame, width: int, window: int, gram: int) -> np.nda
 
 
 class _Flush:
-    """Windows of one flush: (document, start, digest), and the runs that they travel in."""
+    """The windows of some documents that are estimated repeated: start, digest and the key that deals them out."""
 
     def __init__(self, window: int):
-        self.window = window
-        self.docs, self.doc, self.start, self.digest, self.key, self.n = [], [], [], [], [], 0
+        self.window, self.docs, self.blocks, self.keys, self.n = window, [], [], set(), 0
 
-    def add(self, doc: tuple, words: list[bytes], anchor, first, runs, counts) -> None:
-        joined, window = b" ".join(words), self.window
+    def add(self, doc: tuple, text: bytes, anchor, first, windows, counts) -> None:
+        if doc[1:] in self.keys:                # an equal row
+            return
+        self.keys.add(doc[1:])
+        words = text.split()
+        joined = b" ".join(words)
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        chosen = np.flatnonzero(counts > 1)
-        sizes = runs[chosen]
-        starts = np.repeat(first[chosen] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-        begins, stops = np.where(starts > 0, ends[starts - 1], 0), ends[starts + window - 1] - 1
+        starts = np.repeat(first - (np.cumsum(windows) - windows), windows) + np.arange(int(windows.sum()))
+        begins, stops = np.where(starts > 0, ends[starts - 1], 0), ends[starts + self.window - 1] - 1
         digest = xxhash.xxh3_128_digest
         digests = np.frombuffer(b"".join([digest(joined[a:b]) for a, b in zip(begins.tolist(), stops.tolist(), strict=True)]), np.uint64).reshape(-1, 2)
-        full = np.repeat(counts[chosen] >= FULL, sizes)
-        self.key.append(np.where(full, digests[:, 1], np.repeat(anchor[chosen], sizes)))
-        self.start.append(starts)
-        self.digest.append(digests)
-        self.doc.append(np.full(len(starts), len(self.docs)))
+        self.blocks.append((starts, digests, np.where(np.repeat(counts >= FULL, windows), digests[:, 1], np.repeat(anchor, windows))))
         self.docs.append(doc)
         self.n += len(starts)
 
 
 def _first_of_equals(digest: np.ndarray, rank: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Whether each window is the first, by (rank, start), of those with its digest."""
-    order = np.lexsort((start, rank, digest[:, 1], digest[:, 0]))
-    same = (digest[order[1:]] == digest[order[:-1]]).all(axis=1)
-    first = np.ones(len(order), bool)
-    first[order[1:]] = ~same
+    """Whether each window is the first, by (rank, start), of those with its digest; the windows come in that order."""
+    order = np.argsort(digest[:, 0], kind="stable")
+    ordered, same = digest[order], np.zeros(len(order), bool)
+    same[1:] = (ordered[1:] == ordered[:-1]).all(axis=1)
+    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))      # place of the first of the run
+    first = np.empty(len(order), bool)
+    rank, start = rank[order], start[order]
+    first[order] = (rank == rank[head]) & (start == start[head])
     return first
 
 
-def _ranks(docs: pa.Table) -> np.ndarray:
-    order = pc.sort_indices(docs, [("id", "ascending"), ("text_hash", "ascending"), ("row", "ascending")], null_placement="at_start").to_numpy()
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    return rank
-
-
-def _runs(id_type: pa.DataType, flush: _Flush, buckets: int) -> pa.RecordBatch | None:
-    """Rows for the exact pass: one per document and key with the first windows of this flush, one per document with
-    the starts that an earlier window of this flush makes superfluous (no digests)."""
-    if not flush.n:
-        return None
-    docs = pa.table({"id": pa.array([d[0] for d in flush.docs], id_type), "text_hash": pa.array([d[1] for d in flush.docs], pa.int64()),
-                     "row": pa.array([d[2] for d in flush.docs], pa.int64())})
-    doc, start, digest, key = (np.concatenate(x) for x in (flush.doc, flush.start, flush.digest, flush.key))
-    first = _first_of_equals(digest, _ranks(docs)[doc], start)
-    bucket = (_mix(key) % np.uint64(buckets)).astype(np.int32)
-    out = []
-    for own, sends in ((np.flatnonzero(first), True), (np.flatnonzero(~first), False)):
-        where = bucket[own] if sends else (doc[own] % buckets).astype(np.int32)
-        own = own[np.lexsort((start[own], doc[own], where))]
-        where = bucket[own] if sends else (doc[own] % buckets).astype(np.int32)
-        if len(own):
-            cut = np.flatnonzero(np.concatenate(([True], (where[1:] != where[:-1]) | (doc[own[1:]] != doc[own[:-1]]))))
-            out.append((own, where, np.append(cut, len(own)), sends))
-    parts = []
-    for own, where, cut, sends in out:
-        starts = start[own].astype(np.int32).tobytes()
-        data = digest[own].tobytes() if sends else b""
-        spans = list(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))
-        rows = docs.take(pa.array(doc[own][cut[:-1]]))
-        parts.append(pa.RecordBatch.from_arrays(
-            [pa.array(where[cut[:-1]], pa.int32()), *[rows.column(c).combine_chunks() for c in ("id", "text_hash", "row")],
-             pa.array([starts[4 * a:4 * b] for a, b in spans], pa.binary()),
-             pa.array([data[16 * a:16 * b] for a, b in spans], pa.binary())],
-            names=["bucket", "id", "text_hash", "row", "starts", "digests"]))
-    return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+def _ranked(docs: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(order, rank) of rows (id, k1, k2): their sorted places, and in that order a number that equal rows share."""
+    order = pc.sort_indices(docs, [("id", "ascending"), ("k1", "ascending"), ("k2", "ascending")], null_placement="at_start").to_numpy()
+    keys = np.stack([docs.column(c).to_numpy()[order] for c in ("k1", "k2")])
+    return order, np.cumsum(np.concatenate(([0], (keys[:, 1:] != keys[:, :-1]).any(axis=0))))
+
+
+_SENT = ("bucket", "id", "k1", "k2", "starts", "digests")
+
+
+def _rows(id_type: pa.DataType, flush: _Flush, buckets: int) -> pa.RecordBatch:
+    """Rows for the exact pass: one per document and bucket with the first windows of this flush, and one with the
+    starts that an earlier window of this flush makes superfluous (no digests)."""
+    docs = pa.table({"id": pa.array([d[0] for d in flush.docs], id_type), "k1": pa.array([d[1] for d in flush.docs], pa.int64()),
+                     "k2": pa.array([d[2] for d in flush.docs], pa.int64())})
+    order, rank = _ranked(docs)
+    start, digest, key = (np.concatenate([flush.blocks[k][i] for k in order]) for i in range(3))
+    doc = np.repeat(order, [len(flush.blocks[k][0]) for k in order])
+    rank = np.repeat(rank, [len(flush.blocks[k][0]) for k in order])
+    first = _first_of_equals(digest, rank, start)
+    bucket = np.where(first, (_mix(key) % np.uint64(buckets)).astype(np.int64), doc % buckets)
+    group = (bucket * 2 + first) * len(order) + doc
+    by = np.argsort(group, kind="stable")
+    cut = np.flatnonzero(np.concatenate(([True], group[by[1:]] != group[by[:-1]])))
+    heads, spans = by[cut], list(zip(cut.tolist(), np.append(cut[1:], len(by)).tolist(), strict=True))
+    starts, digests = start[by].astype(np.int32).tobytes(), digest[by].tobytes()
+    rows = docs.take(pa.array(doc[heads]))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[heads], pa.int32()), *[rows.column(c).combine_chunks() for c in ("id", "k1", "k2")],
+         pa.array([starts[4 * a:4 * b] for a, b in spans], pa.binary()),
+         pa.array([digests[16 * a:16 * b] if sends else b"" for (a, b), sends in zip(spans, first[heads].tolist(), strict=True)], pa.binary())],
+        names=_SENT)
 
 
 def kept_words(words: list[bytes], starts: np.ndarray, window: int) -> list[bytes]:
@@ -252,6 +278,10 @@ def kept_words(words: list[bytes], starts: np.ndarray, window: int) -> list[byte
     return [words[i] for i in np.flatnonzero(np.cumsum(steps[:-1]) == 0)]
 
 
+def _strings(parts: list[bytes]) -> pa.Array:
+    return pa.array(parts, pa.binary()).cast(pa.string())
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
           max_sketch_bytes: int = 64 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): one row per row of ``docs``, ``kept`` being the words left, joined by one space."""
@@ -262,83 +292,103 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     width, buckets = sketch_width(size, max_sketch_bytes), max(1, -(-size // bucket_bytes))
     sketch = docs.sparkSession.sparkContext.broadcast(build_sketch(plain.select("text"), width, window, gram))
     id_type = plain.schema["id"].dataType.simpleString()
-
-    def judged(text: bytes):
-        """Words, and the anchors' runs with their estimates if any is repeated."""
-        words = text.split()
-        if len(words) < window:
-            return words, None
-        anchor, first, runs = anchors(words, window, gram)
-        counts = estimate(sketch.value, anchor, width)
-        return words, (anchor, first, runs, counts) if (counts > 1).any() else None
-
-    def finished(batches):
-        for batch in batches:
-            own = [(k, judged(t.as_buffer().to_pybytes())) for k, t in enumerate(batch.column("text"))]
-            own = [(k, words) for k, (words, found) in own if found is None]
-            n = pa.array([len(words) for _, words in own], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array([k for k, _ in own], pa.int64())), n, pa.array([0] * len(own), pa.int64()),
-                 pa.array([b" ".join(words) for _, words in own], pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
-
-    def suspect(batches):
-        for batch in batches:
-            yield batch.filter(pa.array([judged(t.as_buffer().to_pybytes())[1] is not None for t in batch.column("text")], pa.bool_()))
-
-    rest = materialise(plain.mapInArrow(suspect, plain.schema).withColumn("row", F.monotonically_increasing_id())
-                       .withColumn("text_hash", F.xxhash64("text")), "suspects")
+    # a 128-bit key of the row's content; NULL and other ids differ by the second part
+    keyed = plain.select("id", F.xxhash64("id", "text").alias("k1"), F.xxhash64(F.col("id").isNull(), "id", "text").alias("k2"), "text")
 
     def windows(batches):
         flush, kind = _Flush(window), None
         for batch in batches:
             kind = batch.schema.field("id").type
-            for i, h, r, t in zip(batch.column("id").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("row").to_pylist(),
-                                  batch.column("text"), strict=True):
-                words, found = judged(t.as_buffer().to_pybytes())
-                flush.add((i, h, r), words, *found)
-                if flush.n > FLUSH_WINDOWS:
-                    yield _runs(kind, flush, buckets)
-                    flush = _Flush(window)
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("id", "k1", "k2")), strict=True))
+            for begin, texts in chunks(batch.column("text")):
+                found = Anchors(texts, window, gram)
+                counts = estimate(sketch.value, found.hash, width)
+                own = np.flatnonzero(counts > 1)
+                text = found.text[own]
+                cut = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1]))) if len(own) else own
+                for part in np.split(own, cut[1:]) if len(own) else ():
+                    k = int(found.text[part[0]])
+                    flush.add(keys[begin + k], texts[k], found.hash[part], found.first[part], found.windows[part], counts[part])
+                    if flush.n > FLUSH_WINDOWS:
+                        yield _rows(kind, flush, buckets)
+                        flush = _Flush(window)
         if flush.n:
-            yield _runs(kind, flush, buckets)
+            yield _rows(kind, flush, buckets)
 
     def repeated(table: pa.Table) -> pa.Table:
         sent = pc.greater(pc.binary_length(table.column("digests")), 0)
         known, table = table.filter(pc.invert(sent)), table.filter(sent)
-        rows, starts = known.column("row").to_pylist(), known.column("starts").to_pylist()
+        out = {c: known.column(c).to_pylist() for c in ("k1", "k2", "starts")}
         if table.num_rows:
-            rank = _ranks(table.select(["id", "text_hash", "row"]))
+            order, rank = _ranked(table)
+            table = table.take(pa.array(order))
             start = np.frombuffer(b"".join(table.column("starts").to_pylist()), np.int32)
             digest = np.frombuffer(b"".join(table.column("digests").to_pylist()), np.uint64).reshape(-1, 2)
-            count = pc.binary_length(table.column("starts")).to_numpy() // 4
-            owner = np.repeat(np.arange(table.num_rows), count)
-            later = ~_first_of_equals(digest, rank[owner], start)       # a document has one row in a bucket
-            row = table.column("row").to_numpy()
+            owner = np.repeat(np.arange(table.num_rows), pc.binary_length(table.column("starts")).to_numpy() // 4)
+            later = ~_first_of_equals(digest, rank[owner], start)
             cut = np.searchsorted(owner[later], np.arange(table.num_rows + 1))
-            data = start[later].tobytes()
-            for k in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
-                rows.append(int(row[k]))
-                starts.append(data[4 * cut[k]:4 * cut[k + 1]])
-        return pa.table({"row": pa.array(rows, pa.int64()), "starts": pa.array(starts, pa.binary())})
+            data, some = start[later].tobytes(), np.flatnonzero(cut[1:] > cut[:-1])
+            for c in ("k1", "k2"):
+                out[c] += table.column(c).to_numpy()[some].tolist()
+            out["starts"] += [data[4 * cut[k]:4 * cut[k + 1]] for k in some.tolist()]
+        return pa.table({"k1": pa.array(out["k1"], pa.int64()), "k2": pa.array(out["k2"], pa.int64()), "starts": pa.array(out["starts"], pa.binary())})
+
+    sent = keyed.mapInArrow(windows, f"bucket int, id {id_type}, k1 bigint, k2 bigint, starts binary, digests binary")
+    marks = (sent.groupBy("bucket").applyInArrow(repeated, "k1 bigint, k2 bigint, starts binary")
+             .groupBy("k1", "k2").agg(F.collect_list("starts").alias("starts")))
+
+    def short(batches):
+        for batch in batches:
+            own = [(k, words) for k, words in ((k, t.as_buffer().to_pybytes().split()) for k, t in enumerate(batch.column("text"))) if len(words) < window]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(pa.array([k for k, _ in own], pa.int64())), pa.array([len(w) for _, w in own], pa.int64()),
+                 pa.array([0] * len(own), pa.int64()), _strings([b" ".join(w) for _, w in own])], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    sent = rest.mapInArrow(windows, f"bucket int, id {id_type}, text_hash bigint, row bigint, starts binary, digests binary")
-    marks = (sent.groupBy("bucket").applyInArrow(repeated, "row bigint, starts binary")
-             .groupBy("row").agg(F.collect_list("starts").alias("starts")))
+    def long(batches):
+        """The first of this task's equal rows with its text, one more row without for all others."""
+        seen: dict[tuple, list] = {}
+        names, kind = ["id", "k1", "k2", "n_words", "copies", "text"], None
+        for batch in batches:
+            kind, rows = batch.schema.field("id").type, []
+            n = [len(t.as_buffer().to_pybytes().split()) for t in batch.column("text")]
+            for k, (key, words) in enumerate(zip(zip(*(batch.column(c).to_pylist() for c in ("k1", "k2")), strict=True), n, strict=True)):
+                if words < window:
+                    continue
+                if key in seen:
+                    more = seen[key] = seen[key] or [batch.column("id")[k].as_py(), words, 0]
+                    more[2] += 1
+                else:
+                    seen[key] = None
+                    rows.append(k)
+            part = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names[:3]], pa.array([n[k] for k in rows], pa.int64()),
+                                              pa.array([1] * len(rows), pa.int64()), part.column("text")], names=names)
+        if more := [(key, x) for key, x in seen.items() if x]:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for _, x in more], kind), *[pa.array([key[i] for key, _ in more], pa.int64()) for i in (0, 1)],
+                 *[pa.array([x[i] for _, x in more], pa.int64()) for i in (1, 2)], pa.nulls(len(more), pa.string())], names=names)
 
     def rebuilt(batches):
         for batch in batches:
-            n, removed, kept = [], [], []
-            for text, starts in zip(batch.column("text"), batch.column("starts").to_pylist(), strict=True):
-                words = text.as_buffer().to_pybytes().split()
-                left = kept_words(words, np.unique(np.frombuffer(b"".join(starts or ()), np.int32)), window)
-                n.append(len(words))
-                removed.append(len(words) - len(left))
-                kept.append(b" ".join(left))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
-                                              pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
+            removed, kept = [], []
+            for text, starts, n in zip(*(batch.column(c) for c in ("text", "starts", "n_words")), strict=True):
+                words = text.as_buffer().to_pybytes().split() if text.is_valid else []
+                if starts.is_valid:
+                    words = kept_words(words, np.unique(np.frombuffer(b"".join(starts.as_py()), np.int32)), window)
+                removed.append(n.as_py() - len(words))
+                kept.append(b" ".join(words))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_words"), pa.array(removed, pa.int64()), _strings(kept)],
+                                             names=["doc_id", "n_words", "n_removed", "kept"])
 
     out = f"doc_id {id_type}, n_words bigint, n_removed bigint, kept string"
-    return plain.mapInArrow(finished, out).unionByName(rest.join(marks, "row", "left").select("id", "text", "starts").mapInArrow(rebuilt, out))
+    rows = (keyed.mapInArrow(long, f"id {id_type}, k1 bigint, k2 bigint, n_words bigint, copies bigint, text string")
+            .join(marks, ["k1", "k2"], "left"))
+    # at most two rows of a task share a key: a repeated row gets its words once, its other copies none
+    nth = F.row_number().over(W.partitionBy("k1", "k2").orderBy(F.col("text").isNull()))
+    once = (rows.withColumn("extra", nth > 1)
+            .withColumns({"text": F.when(~F.col("extra"), F.col("text")), "starts": F.when(~F.col("extra"), F.col("starts"))})
+            .select("id", "n_words", "text", "starts", "extra", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))))
+    return plain.mapInArrow(short, out).unionByName(once.mapInArrow(rebuilt, out))
 
 
 def digest(found: DataFrame) -> DataFrame:

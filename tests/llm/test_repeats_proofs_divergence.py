@@ -55,7 +55,7 @@ def tuples(df, *cols):
 # ---------------------------------------------------------------- 11 substring dedup
 
 def brute_dedup(rows, window):
-    """rows: (id, text); ties of an id are ordered by the operator's text hash, equal rows in any order."""
+    """rows: (id, text, hash); rows of one id are ordered by the operator's hash, equal rows in any order."""
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[2]))
     seen, out = set(), []
     for doc, text, _ in rows:
@@ -72,7 +72,7 @@ def brute_dedup(rows, window):
 
 
 def check_dedup(docs, **options):
-    rows = [(r.doc_id, r.text, r.h) for r in docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()]
+    rows = [(r.doc_id, r.text, r.h) for r in docs.select("doc_id", "text", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("h")).collect()]
     found = substring_dedup.digest(substring_dedup.dedup(docs, **options))
     assert tuples(found, "doc_id", "n_words", "n_removed", "kept_sha256") == brute_dedup(rows, options.get("window", 20))
 
@@ -91,6 +91,11 @@ def test_a_full_sketch_and_tiny_flushes_lose_nothing(small, awkward, monkeypatch
     check_dedup(awkward, window=1, gram=1)
 
 
+def test_repeated_rows_over_many_tasks_keep_their_words_once(spark):
+    docs = spark.createDataFrame([(1 if i % 2 else None, _long(i % 2, 50)) for i in range(101)], "doc_id long, text string").repartition(9)
+    check_dedup(docs)
+
+
 def test_text_ids_and_many_copies(spark):
     text = _long(5, 60)
     docs = spark.createDataFrame([(f"d{i:03d}", text if i % 3 else f"{text} tail {i}") for i in range(200)], "doc_id string, text string").repartition(7)
@@ -103,8 +108,9 @@ def test_text_ids_and_many_copies(spark):
 def test_estimates_never_lie_below_the_count():
     rng = np.random.default_rng(3)
     found = rng.integers(0, 300, 5_000).astype(np.uint64)
-    width, sketch = 64, np.zeros(64, np.uint8)
-    at, counts = substring_dedup._counted([(np.concatenate(substring_dedup.cells(found, width)), np.ones(10_000, np.uint8))])
+    width, sketch = 64, np.zeros(32 * substring_dedup.DEPTH, np.uint8)
+    at = np.concatenate(substring_dedup.cells(found, width))
+    at, counts = substring_dedup._counted([(at, np.ones(len(at), np.uint8))])
     for half, shift in ((0, 0), (1, 4)):
         own = at & 1 == half
         sketch[at[own] >> 1] |= (counts[own] << shift).astype(np.uint8)
