@@ -1,7 +1,7 @@
 """``python -m laminar <payload_dir> <lake_root>``: run the daily job once.
 
 Uses the session spark-submit provides (or a local one); layer tables go
-under ``<lake_root>``; prints the written paths.
+under ``<lake_root>``; prints the folders to read (of the tables: the current versions).
 """
 
 from __future__ import annotations
@@ -9,8 +9,9 @@ from __future__ import annotations
 import argparse
 import json
 
-from laminar.plans.daily import run_daily
+from laminar.plans import tables
 from laminar.plans.contracts import INFRASTRUCTURE, SCHOOLS, STATISTICS
+from laminar.plans.daily import run_daily
 from laminar.session import build_session
 
 
@@ -23,9 +24,9 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = build_session(args.master, args.shuffle_partitions)
     paths = run_daily(spark, args.payload_dir, args.lake_root)
-    out = {c.name: {"raw": paths.raw(c), "trusted": paths.trusted(c)}
+    out = {c.name: {"raw": paths.raw(c), "trusted": tables.current(spark, paths.trusted(c))}
            for c in (SCHOOLS, STATISTICS, INFRASTRUCTURE)}
-    out["mart"] = paths.mart
+    out["mart"] = tables.current(spark, paths.mart)
     print(json.dumps(out, indent=2))
 
 

@@ -3,15 +3,15 @@
 The LAND and RAW layers hold every field as text; TRUSTED casts each one.
 A malformed value fails the whole refresh, as in the reference's dialect;
 ``tolerant=True`` gives the ``try_`` form (NULL instead of failure).
-All are JVM expressions, so they stay inside whole-stage codegen.
+There is one implementation, SQL text of built-in expressions: a contract of 135 fields becomes one
+``selectExpr`` call instead of thousands of Python-side Column calls, and it stays inside whole-stage codegen.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-
-from laminar.functions._util import as_col
+from pyspark.sql import types as T
 
 # The text forms of the date formats the reference parses,
 # written as Spark datetime patterns ('%Y' and '%d/%m/%Y').
@@ -19,129 +19,66 @@ YEAR_PATTERN = "yyyy"
 DAY_MONTH_YEAR_PATTERN = "d/M/yyyy"
 
 
-TYPE_SUFFIX = "[0-9.][dDfF][ ]*$"
-
-
-def to_text(c) -> Column:
-    """CAST(x AS STRING)."""
-    return as_col(c).cast("string")
-
-
-def strict_long(c, tolerant: bool = False) -> Column:
-    """CAST(x AS INT64): '1.0', 'abc' and '' are malformed and fail."""
-    c = as_col(c)
-    return c.try_cast("bigint") if tolerant else c.cast("bigint")
-
-
-def strict_double(c, tolerant: bool = False) -> Column:
-    """CAST(x AS FLOAT64); 'NaN' and 'inf' are accepted, 'abc' fails.
+# Spark's cast to double also takes what its Java parser takes: a type suffix ('1d', '1.5f ', '2D<tab>') and hexadecimal
+# forms ('0x1p3'). Only a text with one of these letters needs the slow test of its whole form.
+_ODD_LETTER = "[dDfFxX]"
+_DECIMAL = r"^\\s*[+-]?(?:\\d+\\.?\\d*(?:[eE][+-]?\\d+)?|\\.\\d+(?:[eE][+-]?\\d+)?|(?i:inf|infinity|nan))\\s*$"
 
-    Spark's own cast also takes a type suffix ('1d', '1.5f'); those fail here.
-    """
-    c = as_col(c)
-    bad = F.lit(None).cast("double") if tolerant else F.raise_error(
-        F.concat(F.lit("[CAST_INVALID_INPUT] cannot cast to FLOAT64: '"), c, F.lit("'")))
-    return F.when(c.cast("string").rlike(TYPE_SUFFIX), bad).otherwise(
-        c.try_cast("double") if tolerant else c.cast("double"))
+_TYPES = {"string": T.StringType(), "long": T.LongType(), "double": T.DoubleType(), "bool": T.BooleanType(), "year": T.DateType(),
+          "dmy": T.DateType(), "safe_long": T.LongType(), "timestamp": T.TimestampType(), "date": T.DateType()}
 
 
-def strict_bool(c, tolerant: bool = False) -> Column:
-    """CAST(x AS BOOL): only 'true' / 'false' in any letter case.
-
-    Spark's own cast also takes 'yes', 't', '1'; those are rejected here.
-    """
-    c = as_col(c)
-    lowered = F.lower(c)
-    bad = F.lit(None).cast("boolean") if tolerant else F.raise_error(
-        F.concat(F.lit("[CAST_INVALID_INPUT] cannot cast to BOOL: '"), c, F.lit("'")))
-    return (F.when(c.isNull(), F.lit(None).cast("boolean"))
-            .when(lowered == "true", F.lit(True))
-            .when(lowered == "false", F.lit(False))
-            .otherwise(bad))
-
-
-def safe_int(c, tolerant: bool = False) -> Column:
-    """SAFE_CAST(CAST(x AS FLOAT64) AS INT64).
+def quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-    The inner cast is strict (tolerant: NULL); the outer one rounds half
-    away from zero (2.5 -> 3, -2.5 -> -3) and gives NULL for NaN, infinities
-    and values outside the 64-bit range. A bare cast would truncate instead.
-    """
-    rounded = F.round(strict_double(c, tolerant))
-    return F.when((rounded >= F.lit(-2.0 ** 63)) & (rounded < F.lit(2.0 ** 63)), rounded.cast("bigint"))
 
+def result_type(type_word: str) -> T.DataType:
+    """Spark type of a contract type word."""
+    try:
+        return _TYPES[type_word]
+    except KeyError as exc:
+        raise ValueError(f"unknown contract type {type_word!r}") from exc
 
-def parse_year(c, tolerant: bool = False) -> Column:
-    """PARSE_DATE('%Y', x): 1 January of the year."""
-    return _parse_date(c, YEAR_PATTERN, tolerant)
 
+def _bad(c: str, kind: str, sql_type: str, tolerant: bool) -> str:
+    if tolerant:
+        return f"CAST(NULL AS {sql_type})"
+    return f"CAST(raise_error(concat('[CAST_INVALID_INPUT] cannot cast to {kind}: \"', {c}, '\"')) AS {sql_type})"
 
-def parse_day_month_year(c, tolerant: bool = False) -> Column:
-    """PARSE_DATE('%d/%m/%Y', x): takes '1/2/2015' and '01/02/2015', rejects 31/02."""
-    return _parse_date(c, DAY_MONTH_YEAR_PATTERN, tolerant)
 
+def _double(c: str, tolerant: bool) -> str:
+    """CAST(x AS FLOAT64): decimal forms, 'NaN' and infinities; anything else is malformed."""
+    cast = "TRY_CAST" if tolerant else "CAST"
+    return (f"CASE WHEN {c} RLIKE '{_ODD_LETTER}' AND NOT {c} RLIKE '{_DECIMAL}' THEN {_bad(c, 'FLOAT64', 'DOUBLE', tolerant)} "
+            f"ELSE {cast}({c} AS DOUBLE) END")
 
-def _parse_date(c, pattern: str, tolerant: bool) -> Column:
-    c = as_col(c)
-    if tolerant:
-        return F.try_to_date(c, pattern)
-    return F.to_date(c, pattern)
-
-
-# TRUSTED type name -> cast builder. The names are the contract's type words.
-CASTS = {
-    "string": lambda c, tolerant=False: to_text(c),
-    "long": strict_long,
-    "double": strict_double,
-    "bool": strict_bool,
-    "year": parse_year,
-    "dmy": parse_day_month_year,
-    "safe_long": safe_int,
-    "timestamp": lambda c, tolerant=False: (as_col(c).try_cast("timestamp") if tolerant
-                                            else as_col(c).cast("timestamp")),
-    "date": lambda c, tolerant=False: (as_col(c).try_cast("date") if tolerant
-                                       else as_col(c).cast("date")),
-}
-
-
-def cast_to(c, type_word: str, tolerant: bool = False) -> Column:
-    """Cast a text column to the contract type ``type_word``."""
-    try:
-        builder = CASTS[type_word]
-    except KeyError as exc:
-        raise ValueError(f"unknown contract type {type_word!r}") from exc
-    return builder(c, tolerant=tolerant)
 
+def _bool(c: str, tolerant: bool) -> str:
+    """CAST(x AS BOOL): only 'true' / 'false' in any letter case (Spark's cast also takes 'yes', 't', '1')."""
+    return (f"CASE lower({c}) WHEN 'true' THEN true WHEN 'false' THEN false ELSE "
+            f"CASE WHEN {c} IS NOT NULL THEN {_bad(c, 'BOOL', 'BOOLEAN', tolerant)} END END")
 
-# The same casts as SQL text, for wide projections: a contract of 135 fields
-# becomes one ``selectExpr`` call (parsed in the JVM) instead of thousands of
-# Python-side Column calls. ``tests/test_functions.py`` checks both forms agree.
 
-def quote(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+def _safe_long(c: str, tolerant: bool) -> str:
+    """SAFE_CAST(CAST(x AS FLOAT64) AS INT64): the inner cast is strict (tolerant: NULL); the outer one rounds half away
+    from zero (2.5 -> 3, -2.5 -> -3; a bare cast truncates) and gives NULL for NaN, infinities and values out of range.
+    2^63 itself, which Spark would clamp, is out of range; the double is computed once."""
+    return f"TRY_CAST(nullif(round({_double(c, tolerant)}), {2.0 ** 63:.0f}D) AS BIGINT)"
 
 
 def cast_sql(name: str, type_word: str, tolerant: bool = False) -> str:
-    """SQL text of ``cast_to(col(name), type_word, tolerant)``."""
+    """SQL text of the cast of column ``name`` to the contract type ``type_word``."""
+    result_type(type_word)
     c = quote(name)
-    cast = "TRY_CAST" if tolerant else "CAST"
-    to_date = "try_to_date" if tolerant else "to_date"
-    if type_word == "bool":
-        bad = "NULL" if tolerant else (
-            f"raise_error(concat('[CAST_INVALID_INPUT] cannot cast to BOOL: ''', {c}, ''''))")
-        return (f"CASE WHEN {c} IS NULL THEN CAST(NULL AS BOOLEAN) WHEN lower({c}) = 'true' THEN true "
-                f"WHEN lower({c}) = 'false' THEN false ELSE {bad} END")
-    bad = "CAST(NULL AS DOUBLE)" if tolerant else (
-        f"raise_error(concat('[CAST_INVALID_INPUT] cannot cast to FLOAT64: ''', {c}, ''''))")
-    double = f"CASE WHEN {c} RLIKE '{TYPE_SUFFIX}' THEN {bad} ELSE {cast}({c} AS DOUBLE) END"
-    simple = {"string": f"CAST({c} AS STRING)", "long": f"{cast}({c} AS BIGINT)",
-              "double": double, "timestamp": f"{cast}({c} AS TIMESTAMP)",
-              "date": f"{cast}({c} AS DATE)",
-              "year": f"{to_date}({c}, '{YEAR_PATTERN}')",
-              "dmy": f"{to_date}({c}, '{DAY_MONTH_YEAR_PATTERN}')",
-              "safe_long": (f"CASE WHEN round({double}) >= {-2.0 ** 63:.0f}D AND round({double}) < {2.0 ** 63:.0f}D "
-                            f"THEN CAST(round({double}) AS BIGINT) END")}
-    try:
-        return simple[type_word]
-    except KeyError as exc:
-        raise ValueError(f"unknown contract type {type_word!r}") from exc
+    cast, to_date = ("TRY_CAST", "try_to_date") if tolerant else ("CAST", "to_date")
+    if type_word in ("bool", "double", "safe_long"):
+        return {"bool": _bool, "double": _double, "safe_long": _safe_long}[type_word](c, tolerant)
+    return {"string": f"CAST({c} AS STRING)", "long": f"{cast}({c} AS BIGINT)",     # '1.0', 'abc' and '' are malformed
+            "timestamp": f"{cast}({c} AS TIMESTAMP)", "date": f"{cast}({c} AS DATE)",
+            "year": f"{to_date}({c}, '{YEAR_PATTERN}')",                             # 1 January of the year
+            "dmy": f"{to_date}({c}, '{DAY_MONTH_YEAR_PATTERN}')"}[type_word]         # takes 1/2/2015 and 01/02/2015, rejects 31/02
+
+
+def cast_to(name: str, type_word: str, tolerant: bool = False) -> Column:
+    """``cast_sql`` as a Column."""
+    return F.expr(cast_sql(name, type_word, tolerant))

@@ -2,10 +2,8 @@
 
 from laminar.operators.bands import DEFAULT_BANDS, Bands, band_counts, band_shares
 from laminar.operators.correlation import corr_by_group, guarded_corr, socio_correlation
-from laminar.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, bounded_side
 from laminar.operators.latest import latest_batch
 from laminar.operators.profile import state_profile
 
 __all__ = ["DEFAULT_BANDS", "Bands", "band_counts", "band_shares", "corr_by_group",
-           "guarded_corr", "socio_correlation", "DEFAULT_MAX_BROADCAST_ROWS",
-           "bounded_broadcast", "bounded_side", "latest_batch", "state_profile"]
+           "guarded_corr", "socio_correlation", "latest_batch", "state_profile"]

@@ -1,10 +1,8 @@
 """Latest batch selection.
 
-Keeps the rows whose stamp equals the table's maximum stamp; NULL stamps are
-never kept and an all-NULL table gives no rows. When the table is
-partitioned by month, the month of the maximum is found first from the
-partition column alone, so both scalar subqueries and the final scan read
-only that month's directory (the filter lands in PartitionFilters).
+Keeps the rows whose stamp equals the frame's maximum stamp; NULL stamps are
+never kept and an all-NULL table gives no rows. RAW's newest month is found from its
+folder names before (``layers.newest_month``), so only that month is read.
 """
 
 from __future__ import annotations
@@ -13,12 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_batch(raw: DataFrame, stamp: str = "partition_time",
-                 month: str | None = None) -> DataFrame:
-    if month is None:
-        newest = raw.select(F.max(stamp)).scalar()
-        return raw.where(F.col(stamp) == newest)
-    newest_month = raw.select(F.max(month)).scalar()
-    in_month = raw.where(F.col(month) == newest_month)
-    newest = in_month.select(F.max(stamp)).scalar()
-    return in_month.where(F.col(stamp) == newest)
+def latest_batch(raw: DataFrame, stamp: str = "partition_time") -> DataFrame:
+    newest = raw.select(F.max(stamp)).scalar()
+    return raw.where(F.col(stamp) == newest)

@@ -29,7 +29,7 @@ from laminar.functions.sqltext import literal
 from laminar.plans import analogue as A
 from laminar.plans.contracts import SCHOOLS, STATISTICS
 from laminar.plans.daily import concurrently
-from laminar.sources.payloads import CAPITAL_SCORE_SHARDS, shard_filter
+from laminar.sources.payloads import CAPITAL_SCORE_SHARDS, parameter_grid, shard_filter
 
 CAPITAL_NATION = 0
 SCORE_SCALE = 10
@@ -99,8 +99,14 @@ def statistics_objects(suppliers: DataFrame, nations: DataFrame) -> DataFrame:
     return stats.selectExpr(_json_object(fields))
 
 
+def request_grid(orders: DataFrame) -> DataFrame:
+    """The (ano, dep) requests: every year of the orders with every dependency."""
+    years = orders.where("o_orderdate IS NOT NULL").select(F.year("o_orderdate").alias("ano")).distinct()
+    return parameter_grid(years, "ano")
+
+
 def infrastructure_payloads(orders: DataFrame) -> DataFrame:
-    """Per (year, dependency) request: priorities -> statuses -> one value each."""
+    """Per (year, dependency) request: priorities -> statuses -> one value each (an empty list without orders)."""
     req = orders.select(F.year("o_orderdate").alias("ano"),
                         F.when(F.col("o_orderstatus") == "F", 4).otherwise(5).alias("dep"),
                         "o_orderpriority", "o_orderstatus")
@@ -119,7 +125,8 @@ def infrastructure_payloads(orders: DataFrame) -> DataFrame:
                 .agg(F.collect_list("item").alias("items"))
                 .select("ano", "dep", F.struct(F.col("o_orderpriority").alias("section"),
                                                "items").alias("sec")))
-    return sections.groupBy("ano", "dep").agg(F.to_json(F.collect_list("sec")).alias("value"))
+    filled = sections.groupBy("ano", "dep").agg(F.to_json(F.collect_list("sec")).alias("value"))
+    return request_grid(orders).select("ano", "dep").join(filled, ["ano", "dep"], "left").withColumn("value", F.coalesce("value", F.lit("[]")))
 
 
 def write_payloads(spark: SparkSession, sf_dir: str, out: str) -> str:

@@ -12,12 +12,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from laminar.functions import camel_to_snake
-from laminar.functions.casts import cast_sql, cast_to, quote
+from laminar.functions.casts import cast_sql, quote, result_type
 
 STAMP = "partition_time"
 MONTH = "load_month"
@@ -72,9 +71,9 @@ class Contract:
         if missing or extra:
             raise ContractError(f"{self.name}: missing {missing}, unexpected {extra}")
 
-    def typed_columns(self, tolerant: bool = False) -> list[Column]:
-        """The TRUSTED projection: one strict cast per field."""
-        return [cast_to(F.col(f.land), f.kind, tolerant).alias(f.land) for f in self.fields]
+    def trusted_schema(self) -> T.StructType:
+        """Types after the casts, plus the stamp."""
+        return T.StructType([T.StructField(f.land, result_type(f.kind)) for f in self.fields] + [T.StructField(STAMP, T.TimestampType())])
 
     def typed_sql(self, tolerant: bool = False) -> list[str]:
         """The TRUSTED projection as SQL expressions, for ``DataFrame.selectExpr``."""

@@ -4,9 +4,10 @@ Plan shape: the school table is the only large input and is never shuffled.
 Everything else is keyed by state and small: the statistics (one row per
 state) and the band shares with the correlation (one row per school type
 present in a state, from one grouping-sets pass, ``state_profile``). They
-are joined while small, counted, and broadcast when within the bound
-(``bounded_broadcast``), so the school scan streams through one broadcast
-hash join. Inner joins drop schools whose state is NULL or has no
+are joined while small. ``write_datamart`` writes that side first: its bytes are then known to
+the planner, which broadcasts it up to ``spark.sql.autoBroadcastJoinThreshold`` (the school scan
+streams through one hash join, unshuffled) and shuffles both sides beyond it. ``build_datamart`` is the lazy form:
+one plan in which adaptive execution decides by the measured bytes. Inner joins drop schools whose state is NULL or has no
 statistics row; a school repeats once per school type present in its state
 (the reference's fan-out, kept on purpose).
 """
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 from laminar.functions import SOCIO_LEVELS
 from laminar.functions.sqltext import ordinal_sql, quote
 from laminar.operators import DEFAULT_BANDS, Bands
-from laminar.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, bounded_side
 from laminar.operators.profile import state_profile
+from laminar.plans import tables
+from laminar.session import workspace
 
 # Mart column <- school column, in the mart's order (MEDIAS).
 SCHOOL_COLUMNS = (
@@ -74,12 +76,10 @@ def _school_rows(schools: DataFrame, levels: Sequence[str]) -> DataFrame:
 
 
 def school_means(schools: DataFrame, statistics: DataFrame, levels: Sequence[str] = SOCIO_LEVELS,
-                 state_key: str = "nome_local",
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 state_key: str = "nome_local") -> DataFrame:
     """MEDIAS: each school with its state's statistics (inner join on state) and the label ordinal."""
     stats = statistics.select(F.col(state_key).alias("_uf"),
                               *[F.col(src).alias(dst) for dst, src in STATE_COLUMNS])
-    stats = bounded_broadcast(stats, max_broadcast_rows)
     left = _school_rows(schools, levels)
     joined = left.join(stats, left["SIGLA_UF"] == stats["_uf"], "inner")
     return joined.select([m for m, _ in SCHOOL_COLUMNS] + [m for m, _ in STATE_COLUMNS]
@@ -103,33 +103,32 @@ def state_side(schools: DataFrame, statistics: DataFrame, levels: Sequence[str]
 
 def join_state_side(schools: DataFrame, side: DataFrame, levels: Sequence[str] = SOCIO_LEVELS,
                     bands: Bands = DEFAULT_BANDS) -> DataFrame:
-    """The school rows joined with the (broadcast) per-state side -> the 32 mart columns."""
+    """The school rows joined with the per-state side -> the 32 mart columns."""
     left = _school_rows(schools, levels)
     joined = left.join(side, left["SIGLA_UF"] == side["_uf"], "inner")
     return joined.select(mart_columns(bands))
 
 
 def build_datamart(schools: DataFrame, statistics: DataFrame, levels: Sequence[str] = SOCIO_LEVELS,
-                   bands: Bands = DEFAULT_BANDS, state_key: str = "nome_local",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """MEDIAS x PORCENTAGEM_MEDIAS x INDICADOR on state -> the 32-column mart, lazily.
+                   bands: Bands = DEFAULT_BANDS, state_key: str = "nome_local") -> DataFrame:
+    """MEDIAS x PORCENTAGEM_MEDIAS x INDICADOR on state -> the 32-column mart, lazily (no job, no cache).
 
     The school table is scanned for the per-state aggregates (column-pruned,
-    partially aggregated) and once more for the output rows, which stream
-    through a single broadcast hash join against the per-state side. The
-    side stays cached for the returned DataFrame; ``write_datamart``
-    releases it after writing.
+    partially aggregated) and once more for the output rows.
     """
-    side = bounded_broadcast(state_side(schools, statistics, levels, bands, state_key),
-                             max_broadcast_rows)
-    return join_state_side(schools, side, levels, bands)
+    return join_state_side(schools, state_side(schools, statistics, levels, bands, state_key), levels, bands)
 
 
 def write_datamart(schools: DataFrame, statistics: DataFrame, path: str,
                    levels: Sequence[str] = SOCIO_LEVELS, bands: Bands = DEFAULT_BANDS,
-                   state_key: str = "nome_local",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> None:
+                   state_key: str = "nome_local") -> None:
     """Build the mart and write it as a full replace, no partitioning."""
-    with bounded_side(state_side(schools, statistics, levels, bands, state_key),
-                      max_broadcast_rows) as side:
-        join_state_side(schools, side, levels, bands).write.mode("overwrite").parquet(path)
+    spark = schools.sparkSession
+    written = workspace(spark, "state-side")
+    side = state_side(schools, statistics, levels, bands, state_key)
+    side.coalesce(1).write.parquet(written)         # at most three rows per state
+    try:
+        known = spark.read.schema(side.schema).parquet(written)
+        tables.replace(join_state_side(schools, known, levels, bands), path)
+    finally:
+        tables.remove(spark, written)

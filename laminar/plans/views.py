@@ -3,15 +3,18 @@
 After ``register_views(spark, paths)`` the reference's table names work in
 ``spark.sql``: ``api_escolas_raw``, ``api_escolas_trusted`` (and the same
 for estatisticas / infraestrutura) and ``datamart_diretoria``. The views are
-plain Parquet reads, so filters and projections in the SQL reach the scans.
+Parquet reads of what is committed when they are made, so filters and projections in the SQL reach the scans;
+register them again after a run.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from laminar.plans import tables
 from laminar.plans.contracts import INFRASTRUCTURE, SCHOOLS, STATISTICS
 from laminar.plans.daily import LayerPaths
+from laminar.plans.layers import read_raw, read_trusted
 
 # The reference's table names per entity and layer.
 VIEW_NAMES = {
@@ -27,9 +30,10 @@ def register_views(spark: SparkSession, paths: LayerPaths) -> list[str]:
     names = []
     for contract in (SCHOOLS, STATISTICS, INFRASTRUCTURE):
         raw_name, trusted_name = VIEW_NAMES[contract.name]
-        for name, path in ((raw_name, paths.raw(contract)), (trusted_name, paths.trusted(contract))):
-            spark.read.parquet(path).createOrReplaceTempView(name)
+        for name, table in ((raw_name, read_raw(spark, contract, paths.raw(contract))),
+                            (trusted_name, read_trusted(spark, contract, paths.trusted(contract)))):
+            table.createOrReplaceTempView(name)
             names.append(name)
-    spark.read.parquet(paths.mart).createOrReplaceTempView(MART_VIEW)
+    tables.read(spark, paths.mart).createOrReplaceTempView(MART_VIEW)
     names.append(MART_VIEW)
     return names

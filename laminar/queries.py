@@ -13,19 +13,18 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.functions import (ordinal, parse_day_month_year, parse_year, safe_int, school_type,
-                               stringify)
+from laminar.functions import ordinal, school_type, stringify
 from laminar.operators import band_counts, band_shares, socio_correlation
 from laminar.operators.indicators import against_overall, growth_vs_total, rank_states
 from laminar.plans import analogue as A
-from laminar.plans import layers
-from laminar.plans.analogue_payloads import (CAPITAL_ID, CAPITAL_NATION, CAPITAL_SHARDS,
+from laminar.plans import layers, tables
+from laminar.plans.analogue_payloads import (CAPITAL_ID, CAPITAL_NATION, CAPITAL_SHARDS, request_grid,
                                              write_payloads)
-from laminar.plans.contracts import Contract, Field
-from laminar.plans.daily import run_daily
+from laminar.plans.contracts import INFRASTRUCTURE, Contract, Field
+from laminar.plans.daily import LayerPaths, run_daily
 from laminar.plans.marts import build_datamart, school_means
 from laminar.session import workspace
-from laminar.sources import (bag_union, city_ids, envelope_ids, flatten_infrastructure, id_lookup,
+from laminar.sources import (KeyAudit, bag_union, city_ids, envelope_ids, flatten_infrastructure, id_lookup,
                              parameter_grid, parse_objects, shard_filter)
 from laminar.streaming import stream_land_to_raw
 
@@ -190,15 +189,40 @@ def _daily_schools_sql() -> str:
     return f"(SELECT s.* FROM ({shards} UNION ALL {cities}) ids JOIN {_S} s ON s.cod = CAST(ids.id AS VARCHAR))"
 
 
+def _daily(spark, sf_dir, name: str, **options) -> LayerPaths:
+    """The whole daily job over a payload folder derived from the tables: every nation's statistics and every (year,
+    dependency) of the orders' years is requested."""
+    root = workspace(spark, name)
+    payloads = write_payloads(spark, sf_dir, f"{root}/payloads")
+    states = _table(spark, sf_dir, "supplier").join(_table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    return run_daily(spark, payloads, f"{root}/lake", now=datetime(2024, 5, 2, 12, 0), lines=True,
+                     states=states.select(F.col("n_name").alias("nome_local")).distinct(),
+                     requests=request_grid(_table(spark, sf_dir, "orders")),
+                     levels=A.SEGMENT_LEVELS, bands=BANDS, capital=CAPITAL_ID, **options)
+
+
 @query("daily_run", _datamart_sql(_daily_schools_sql(), _ST))
 def q_daily_run(spark, sf_dir):
     """U1-U10 end to end: payload folder derived from the tables -> LAND -> RAW ->
     TRUSTED (latest batch, strict casts) -> mart, LAND truncated; returns the mart."""
-    root = workspace(spark, "daily_run")
-    payloads = write_payloads(spark, sf_dir, f"{root}/payloads")
-    paths = run_daily(spark, payloads, f"{root}/lake", now=datetime(2024, 5, 2, 12, 0), lines=True,
-                      states=None, levels=A.SEGMENT_LEVELS, bands=BANDS, capital=CAPITAL_ID)
-    return _round(spark.read.parquet(paths.mart), ["CORRELACAO_SOCIOECONOMICA_ENEM", *BANDS.ratio_names])
+    paths = _daily(spark, sf_dir, "daily_run")
+    return _round(tables.read(spark, paths.mart), ["CORRELACAO_SOCIOECONOMICA_ENEM", *BANDS.ratio_names])
+
+
+@query("daily_infrastructure", """
+WITH n AS (
+  SELECT CAST(year(o_orderdate) AS BIGINT) AS ano, CASE WHEN o_orderstatus = 'F' THEN 4 ELSE 5 END AS dep, o_orderpriority, o_orderstatus,
+         count(*) AS n FROM orders GROUP BY ALL),
+t AS (SELECT *, sum(n) OVER (PARTITION BY ano, dep) AS total FROM n)
+SELECT CAST(NULL AS VARCHAR) AS id, o_orderpriority AS secao, o_orderstatus AS tema, o_orderstatus AS entidade,
+  round(n * 100 / total, 4) AS porcentagem, CAST(n + 1 AS BIGINT) AS escolas, lower(o_orderstatus) AS sigla_uf,
+  CAST(total AS BIGINT) AS total_escolas, ano, CASE WHEN dep = 4 THEN 'Privada' ELSE 'Pública' END AS tipo_escolas
+FROM t""")
+def q_daily_infrastructure(spark, sf_dir):
+    """TRUSTED infrastructure after the daily run (copied to RAW by the stream), driven by the request
+    table of every order year and dependency."""
+    paths = _daily(spark, sf_dir, "daily_infrastructure", raw_stream=True)
+    return layers.read_trusted(spark, INFRASTRUCTURE, paths.trusted(INFRASTRUCTURE)).select(INFRASTRUCTURE.land_columns)
 
 
 # =============================================================== casts and projections
@@ -236,7 +260,7 @@ def q_typed_cast(spark, sf_dir):
              "l_linestatus": "string", "l_is_final": "bool"}
     contract = Contract("lineitem_text", tuple(Field(c, c, k) for c, k in kinds.items()),
                         "l_orderkey")
-    return text.select(*contract.typed_columns())
+    return contract.typed(text)
 
 
 @query("safe_int", """
@@ -245,8 +269,9 @@ FROM lineitem""")
 def q_safe_int(spark, sf_dir):
     """Float text rounded half away from zero to a 64-bit integer."""
     li = _table(spark, sf_dir, "lineitem")
-    text = ((F.col("l_quantity") - 25) / 2).cast("string")
-    return li.select("l_orderkey", "l_linenumber", safe_int(text).alias("half_qty"))
+    text = li.select("l_orderkey", "l_linenumber", ((F.col("l_quantity") - 25) / 2).cast("string").alias("half_qty"))
+    contract = Contract("half_quantities", (Field("half_qty", "half_qty", "safe_long"),), "half_qty")
+    return contract.typed(text, "l_orderkey", "l_linenumber")
 
 
 @query("parse_dates", """
@@ -256,11 +281,10 @@ FROM orders""")
 def q_parse_dates(spark, sf_dir):
     """P10, P11: '%Y' and '%d/%m/%Y' text, the latter both unpadded and padded."""
     o = _table(spark, sf_dir, "orders")
-    return o.select(
-        "o_orderkey",
-        parse_year(F.date_format("o_orderdate", "yyyy")).alias("ano_censo"),
-        parse_day_month_year(F.date_format("o_orderdate", "d/M/yyyy")).alias("inicio_ano"),
-        parse_day_month_year(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("fim_ano"))
+    text = o.select("o_orderkey", *[F.date_format("o_orderdate", pattern).alias(name) for name, pattern in
+                                    (("ano_censo", "yyyy"), ("inicio_ano", "d/M/yyyy"), ("fim_ano", "dd/MM/yyyy"))])
+    contract = Contract.from_text("order_dates", "year: anoCenso\ndmy: inicioAno fimAno", "ano_censo")
+    return contract.typed(text, "o_orderkey")
 
 
 # Fixed values of the analogue: order priorities, lowest first; '4-NOT SPECIFIED'
@@ -307,9 +331,8 @@ def q_raw_append(spark, sf_dir):
     for batch in (_BATCH_1, _BATCH_2):
         layers.land(events, contract, f"{root}/land", F.lit(_ts(batch)))
         layers.refresh_raw(spark, contract, f"{root}/land", f"{root}/raw")
-        layers.truncate(spark, contract, f"{root}/land")
-    raw = spark.read.parquet(f"{root}/raw")
-    return contract.typed(raw, "partition_time", "load_month")
+        layers.truncate(spark, f"{root}/land")
+    return contract.typed(layers.read_raw(spark, contract, f"{root}/raw"), "partition_time", "load_month")
 
 
 @query("latest_batch", f"""
@@ -325,7 +348,7 @@ def q_latest_batch(spark, sf_dir):
     stamped = layers.land_frame(events, contract, F.date_trunc("day", F.col("ts")))
     layers.append_raw(stamped, contract, f"{root}/raw")
     layers.refresh_trusted(spark, contract, f"{root}/raw", f"{root}/trusted")
-    return spark.read.parquet(f"{root}/trusted").select(*contract.land_columns, "partition_time")
+    return layers.read_trusted(spark, contract, f"{root}/trusted").select(*contract.land_columns, "partition_time")
 
 
 _NOW = "2024-02-01 12:00:00"
@@ -365,7 +388,7 @@ def q_dated_layout(spark, sf_dir):
     stamped = o.select(F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"),
                        F.col("o_orderdate").cast("timestamp").alias("partition_time"))
     layers.append_raw(stamped, contract, f"{root}/raw")
-    raw = spark.read.parquet(f"{root}/raw")
+    raw = layers.read_raw(spark, contract, f"{root}/raw")
     return contract.typed(raw, "partition_time", "load_month").withColumn(
         "archive_dir", layers.archive_path_column("partition_time"))
 
@@ -379,41 +402,70 @@ def q_land_truncate(spark, sf_dir):
     root = workspace(spark, "land_truncate")
     layers.land(events, contract, f"{root}/land", F.lit(_ts(_BATCH_1)))
     layers.refresh_raw(spark, contract, f"{root}/land", f"{root}/raw")
-    layers.truncate(spark, contract, f"{root}/land")
+    layers.truncate(spark, f"{root}/land")
     land = layers.read_land(spark, contract, f"{root}/land")
-    raw = spark.read.parquet(f"{root}/raw")
+    raw = layers.read_raw(spark, contract, f"{root}/raw")
     return raw.agg(F.count(F.lit(1)).alias("rows_in_raw")).select(
         "rows_in_raw", land.select(F.count(F.lit(1))).scalar().alias("rows_in_land"))
 
 
-@query("raw_mixed", f"""
-SELECT {_EVENT_COLS}, TIMESTAMP '{_BATCH_1}' AS partition_time, CAST(0 AS BIGINT) AS left_in_land FROM events
-UNION ALL
-SELECT {_EVENT_COLS}, TIMESTAMP '{_BATCH_2}' AS partition_time, CAST(0 AS BIGINT) AS left_in_land FROM events
-UNION ALL
-SELECT {_EVENT_COLS}, TIMESTAMP '{_BATCH_2}' AS partition_time, CAST(0 AS BIGINT) AS left_in_land FROM events
-WHERE event_type IS NOT NULL""")
+_MIXED_LOADS = [f"SELECT {_EVENT_COLS}, TIMESTAMP '{stamp}' AS partition_time, CAST({left} AS BIGINT) AS left_in_land FROM events WHERE event_id % 5 = {k}"
+                for k, (stamp, left) in enumerate(((_BATCH_1, 0), (_BATCH_2, 0), (_BATCH_2, 0), (_BATCH_1, 0), (_BATCH_2, 0)))]
+
+
+@query("raw_mixed", " UNION ALL ".join(_MIXED_LOADS))
 def q_raw_mixed(spark, sf_dir):
-    """K5, K9: a batch copy, a streamed copy and a batch copy into one RAW folder; rows that
-    land between a copy and its truncation stay in LAND and come with the next copy."""
+    """K5, K9: the batch copy and the streamed copy into one RAW in every order (batch, late landing, stream, late landing,
+    batch, a stop before the truncation, stream, truncation): each of five loads is in RAW once, and LAND is empty."""
     events = _table(spark, sf_dir, "events")
     contract = _events_contract(events)
     root = workspace(spark, "raw_mixed")
     land, raw = f"{root}/land", f"{root}/raw"
-    layers.land(events, contract, land, F.lit(_ts(_BATCH_1)))
-    files = layers.landed_files(spark, contract, land)
-    layers.refresh_raw(spark, contract, land, raw, files)
-    layers.land(events, contract, land, F.lit(_ts(_BATCH_2)))          # late: not among the files
-    layers.truncate(spark, contract, land, files)
-    files = layers.landed_files(spark, contract, land)
-    stream_land_to_raw(spark, contract, land, raw, f"{root}/_checkpoint")
-    layers.truncate(spark, contract, land, files)
-    layers.land(events.where("event_type IS NOT NULL"), contract, land, F.lit(_ts(_BATCH_2)))
-    files = layers.landed_files(spark, contract, land)
-    layers.refresh_raw(spark, contract, land, raw, files)
-    layers.truncate(spark, contract, land, files)
+
+    def landing(k: int, stamp: str) -> None:
+        layers.land(events.where(F.col("event_id") % 5 == k), contract, land, F.lit(_ts(stamp)))
+
+    def stream() -> None:
+        stream_land_to_raw(spark, contract, land, raw, f"{root}/_checkpoint")
+
+    landing(0, _BATCH_1)
+    copied = layers.refresh_raw(spark, contract, land, raw)
+    landing(1, _BATCH_2)                                    # late: comes with the stream
+    layers.truncate(spark, land, copied)
+    stream()
+    landing(2, _BATCH_2)                                    # late: comes with the next batch, the stream's load not again
+    layers.refresh_raw(spark, contract, land, raw)
+    landing(3, _BATCH_1)
+    layers.refresh_raw(spark, contract, land, raw)          # stopped before its truncation
+    landing(4, _BATCH_2)
+    stream()                                                # copies the last load only
+    layers.truncate(spark, land)
     left = layers.read_land(spark, contract, land).select(F.count(F.lit(1))).scalar()
-    return contract.typed(spark.read.parquet(raw), "partition_time").withColumn("left_in_land", left)
+    return contract.typed(layers.read_raw(spark, contract, raw), "partition_time").withColumn("left_in_land", left)
+
+
+@query("empty_batch", f"""
+SELECT 'all stamps NULL' AS input, 0 AS trusted_rows, 'event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string' AS columns,
+  count(*) AS raw_rows FROM events
+UNION ALL
+SELECT 'empty LAND', 0, 'event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string', 0""")
+def q_empty_batch(spark, sf_dir):
+    """An empty LAND and a RAW whose stamps are all NULL give TRUSTED tables without rows that can be read."""
+    events = _table(spark, sf_dir, "events")
+    contract = _events_contract(events)
+    out = []
+    for name, rows in (("all stamps NULL", events), ("empty LAND", None)):
+        root = workspace(spark, "empty_batch")
+        if rows is not None:
+            layers.land(rows, contract, f"{root}/land", None)
+        layers.refresh_raw(spark, contract, f"{root}/land", f"{root}/raw")
+        layers.refresh_trusted(spark, contract, f"{root}/raw", f"{root}/trusted")
+        trusted = layers.read_trusted(spark, contract, f"{root}/trusted").select(contract.land_columns)
+        raw = layers.read_raw(spark, contract, f"{root}/raw")
+        out.append(trusted.agg(F.count(F.lit(1)).cast("int").alias("trusted_rows")).select(
+            F.lit(name).alias("input"), "trusted_rows", F.lit(", ".join(f"{c} {t}" for c, t in trusted.dtypes)).alias("columns"),
+            raw.select(F.count(F.lit(1))).scalar().alias("raw_rows")))
+    return bag_union(out)
 
 
 @query("raw_stream", f"""
@@ -429,8 +481,7 @@ def q_raw_stream(spark, sf_dir):
     for batch in (_BATCH_1, _BATCH_2):
         layers.land(events, contract, f"{root}/land", F.lit(_ts(batch)))
         stream_land_to_raw(spark, contract, f"{root}/land", f"{root}/raw", f"{root}/_checkpoint")
-    raw = spark.read.parquet(f"{root}/raw")
-    return contract.typed(raw, "partition_time")
+    return contract.typed(layers.read_raw(spark, contract, f"{root}/raw"), "partition_time")
 
 
 # =============================================================== payload sources
@@ -451,7 +502,11 @@ def q_rename_stringify(spark, sf_dir):
         F.col("o_orderkey").alias("orderKey"), F.col("o_custkey").alias("custKey"),
         F.col("o_orderstatus").alias("orderStatus"),
         F.col("o_orderpriority").alias("orderPriority"))).alias("value"))
-    return parse_objects(payloads, _orders_payload_contract(), strict=True)
+    contract, root = _orders_payload_contract(), workspace(spark, "rename_stringify")
+    audit = KeyAudit(contract)
+    audit.watch(parse_objects(payloads, contract, audit)).write.parquet(root)
+    audit.check()
+    return spark.read.schema(contract.land_schema()).parquet(root).drop("partition_time")
 
 
 @query("nested_explode", """

@@ -1,6 +1,7 @@
 from datetime import date
 
-from laminar.plans.marts import build_datamart, mart_columns
+from laminar.plans import tables
+from laminar.plans.marts import build_datamart, mart_columns, school_means
 
 SCHOOLS = ("nome string, nome_municipio string, sigla_uf string, tipo_localizacao_txt string, "
            "dependencia_administrativa long, dependencia_administrativa_txt string, ano_censo date, "
@@ -45,22 +46,56 @@ def test_repeated_statistics_rows_repeat_schools(spark):
     assert mart.count() == 18
 
 
-def test_mart_plan_broadcasts_every_side(spark, tmp_path):
+def jobs_of(spark, fn):
+    """What ``fn`` returns, and the Spark jobs that it ran."""
+    sc, group = spark.sparkContext, f"g-{id(fn)}"
+    sc.setJobGroup(group, "test")
+    try:
+        return fn(), len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_the_mart_runs_nothing_and_keeps_nothing(spark, tmp_path):
     s, st = fixture(spark)
-    path = str(tmp_path / "schools")
-    s.write.parquet(path)
-    mart = build_datamart(spark.read.parquet(path), st)
-    mart.collect()
+    s.write.parquet(str(tmp_path / "schools"))
+    s = spark.read.schema(s.schema).parquet(str(tmp_path / "schools"))
+    spark.catalog.clearCache()
+    (mart, means), jobs = jobs_of(spark, lambda: (build_datamart(s, st), school_means(s, st)))
+    assert jobs == 0 and spark._jsparkSession.sharedState().cacheManager().isEmpty()
+    assert (mart.count(), means.count()) == (9, 3)
     plan = mart._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "BroadcastHashJoin" in plan
-    assert "SortMergeJoin" not in plan
 
 
-def test_write_datamart_releases_its_cache(spark, tmp_path):
-    from laminar.plans.marts import write_datamart
+def written_plan(spark, monkeypatch, s, st, path):
+    from laminar.plans import marts
+    seen = []
+    real = marts.tables.replace
+    monkeypatch.setattr(marts.tables, "replace", lambda df, *a: (df.collect(), seen.append(df._jdf.queryExecution().executedPlan().toString()), real(df, *a)))
+    marts.write_datamart(s, st, path)
+    return seen[0]
+
+
+def test_written_mart_broadcasts_the_side_by_its_bytes(spark, tmp_path, monkeypatch):
     s, st = fixture(spark)
-    spark.catalog.clearCache()
-    write_datamart(s, st, str(tmp_path / "mart"))
-    assert spark.read.parquet(str(tmp_path / "mart")).count() == 9
+    s.write.parquet(str(tmp_path / "schools"))
+    s = spark.read.schema(s.schema).parquet(str(tmp_path / "schools"))
+    plan = written_plan(spark, monkeypatch, s, st, str(tmp_path / "mart"))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert tables.read(spark, str(tmp_path / "mart")).count() == 9
     assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
+
+
+def test_a_side_beyond_the_bound_is_shuffled(spark, tmp_path, monkeypatch):
+    s, st = fixture(spark)
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "10")
+    try:
+        plan = written_plan(spark, monkeypatch, s, st, str(tmp_path / "mart"))
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert tables.read(spark, str(tmp_path / "mart")).count() == 9

@@ -1,7 +1,11 @@
+import json
+import uuid
+
+import pytest
 from pyspark.sql import functions as F
 
-from laminar.plans.contracts import SCHOOLS
-from laminar.sources import (city_ids, envelope_ids, flatten_infrastructure, literal_grid,
+from laminar.plans.contracts import SCHOOLS, Contract, ContractError
+from laminar.sources import (KeyAudit, city_ids, envelope_ids, flatten_infrastructure, id_lookup, literal_grid,
                              parse_objects, shard_filter)
 from tests.conftest import rows
 
@@ -68,17 +72,44 @@ def test_literal_grid(spark):
     assert rows(g.where("ano = 2012"), "dep", "tipo_escolas") == [(4, "Privada"), (5, "Pública")]
 
 
-def test_strict_keys_report_missing_and_unexpected(spark):
-    import pytest
-
-    from laminar.plans.contracts import Contract, ContractError
-    from laminar.sources.payloads import key_differences, parse_objects
-    c = Contract.from_text("t", "long: orderKey\nstring: orderStatus", "order_key")
-    ok = texts(spark, '{"orderKey": 1, "orderStatus": "F"}', '{"orderKey": 2}')
-    assert key_differences(ok, c) == ([], [])
-    assert rows(parse_objects(ok, c, strict=True), "order_key", "order_status") == \
-        [("1", "F"), ("2", None)]
-    bad = texts(spark, '{"orderKey": 1, "extraField": 3}')
-    assert key_differences(bad, c) == (["orderStatus"], ["extraField"])
-    with pytest.raises(ContractError, match="extraField"):
-        parse_objects(bad, c, strict=True)
+def test_strict_keys_in_the_pass_that_writes(spark, tmp_path):
+    contract = Contract.from_text("t", "long: " + " ".join(f"key{i}" for i in range(130)) + "\nstring: orderStatus", "key0")
+
+    def landed(*objects):
+        audit = KeyAudit(contract)
+        found = parse_objects(texts(spark, *map(json.dumps, objects)), contract, audit)
+        out = audit.watch(found)
+        assert out.columns == contract.land_columns
+        out.write.parquet(path := f"{tmp_path}/{uuid.uuid4().hex}")
+        audit.check()
+        return rows(spark.read.parquet(path), "key0", "key129", "order_status")
+
+    full = {f.source: 1 for f in contract.fields}
+    assert landed(full) == [("1", "1", "1")]
+    # every key is in one object at least, nulls count as present
+    halves = [{k: None for i, k in enumerate(full) if i % 2 == half} for half in (0, 1)]
+    assert landed(*halves) == [(None, None, None)] * 2
+    with pytest.raises(ContractError, match=r"missing from every object \['key64', 'orderStatus'\]"):
+        landed(*[{k: 1 for k in full if k not in ("key64", "orderStatus")}] * 3)
+    with pytest.raises(Exception, match="keys outside the contract extraField"):
+        landed(full, full | {"extraField": 3})
+    assert landed() == []
+
+
+def test_envelopes_of_another_shape_fail(spark):
+    for bad in ('{"error": 1}', "[]", "[3]", '"x"', "7", "null", '[1, {"cod": 2}]', "[1, "):
+        with pytest.raises(Exception):
+            envelope_ids(texts(spark, "[0,[]]", bad), guard=False).collect()
+    with pytest.raises(Exception):
+        envelope_ids(texts(spark, '["many", []]')).collect()
+
+
+def test_checks_survive_pruning(spark):
+    ids = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    details = spark.createDataFrame([("a", "x")], "k string, v string")
+    with pytest.raises(Exception, match="no payload for k b"):
+        id_lookup(ids, details, "k", required_ids=True).select("v").collect()
+    with pytest.raises(Exception, match="no payload for k b"):
+        id_lookup(ids, details, "k", required_ids=True).select(F.lit(1)).collect()
+    with pytest.raises(Exception, match="no payload for k b"):
+        id_lookup(ids, details, "k", required_ids=True).count()
