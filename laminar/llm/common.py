@@ -6,6 +6,7 @@ import functools
 import operator
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from laminar.session import workspace
@@ -44,6 +45,59 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keyed(df: DataFrame, *drop: str) -> tuple[DataFrame, list[str]]:
+    """(frame, columns): each row of ``df`` without ``drop`` as a struct ``_row`` with a 128-bit key of its whole content
+    (``_k1``, ``_k2``; NULLs count, so rows share a key only if they are equal), and the struct's columns.
+
+    Operators that number rows work on narrow rows with this key and fetch the contents at the end: no column
+    name of the input can clash with theirs, and texts are not sorted with the numbers.
+    """
+    columns = [c for c in df.columns if c not in drop]
+    kinds = dict(df.dtypes)
+    values = [F.to_json(_plain(c)) if "map<" in kinds[c] else _plain(c) for c in columns]
+    nulls = F.concat(F.lit(""), *[_plain(c).isNull().cast("string") for c in columns])
+    return df.select(F.struct(*[_plain(c) for c in columns]).alias("_row"), F.xxhash64(nulls, *values).alias("_k1"),
+                     F.xxhash64(F.lit(1), nulls, *values).alias("_k2")), columns
+
+
+def _plain(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def field(name: str) -> Column:
+    """A column of ``keyed``'s rows."""
+    return F.col("_row.`" + name.replace("`", "``") + "`")
+
+
+def fetched(rows: DataFrame, columns: list[str], narrow: DataFrame, *own: str, repeated: bool = True) -> DataFrame:
+    """The contents of ``narrow``'s rows (``_k1``, ``_k2`` and their ``own`` columns) from ``keyed``'s ``rows``.
+
+    ``repeated``: some rows may be equal; each content is then taken once (with partial aggregation), ``narrow`` having a
+    row for each copy.
+    """
+    once = rows.groupBy("_k1", "_k2").agg(F.first("_row").alias("_row")) if repeated else rows
+    return once.join(narrow, ["_k1", "_k2"]).select(*[field(c).alias(c) for c in columns], *[_plain(c) for c in own])
+
+
+def running(df: DataFrame, group: list[str], order: list[str], amount: str, name: str) -> DataFrame:
+    """``df`` with ``before``, the sum of ``amount`` over the earlier rows of the row's group (NULLs first), and the group's ``total``.
+
+    Rows are dealt out in ranges of (group, order) and written once; sums per range and group give each range its
+    offset, so a group that holds all rows is as many sorts as there are ranges. No two rows may tie.
+    """
+    by = [F.col(c).asc_nulls_first() for c in (*group, *order)]
+    dealt = materialise(df.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), name)
+    past = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    ranges = dealt.groupBy("_part", *group).agg(F.sum(amount).alias("_sum"))        # a row per range and group in it
+    ranges = ranges.select(F.col("_part").alias("_p"), *[F.col(c).alias(f"_of_{c}") for c in group],
+                           F.coalesce(F.sum("_sum").over(past), F.lit(0)).alias("_offset"), F.sum("_sum").over(W.partitionBy(*group)).alias("total"))
+    inside = W.partitionBy("_part", *group).orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(W.unboundedPreceding, -1)
+    same = all_of([F.col("_part") == F.col("_p"), *[F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group]])
+    return (dealt.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0))).join(ranges, same)
+            .withColumn("before", F.col("_offset") + F.col("_inside"))
+            .drop("_part", "_p", "_offset", "_inside", *[f"_of_{c}" for c in group]))
+
+
 def any_of(conditions: list[Column]) -> Column:
     return functools.reduce(operator.or_, conditions)
 

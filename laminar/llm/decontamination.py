@@ -39,7 +39,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laminar.llm.common import materialise, word_array
+from laminar.llm.common import field, keyed, materialise, word_array
 
 SHINGLE = 5
 RADIUS = 62
@@ -114,9 +114,11 @@ def _first_equal_block(radius: int) -> Column:
 
 
 def benchmark_matches(docs: DataFrame, items: DataFrame, similarity: float = 0.8, radius: int = RADIUS,
-                      broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                      broadcast_rows: int = BROADCAST_ROWS, by: tuple[str, ...] = ("doc_id", "item_id")) -> DataFrame:
     """(doc_id, item_id, similarity, hamming, start, windows): each document and item that match.
 
+    ``by`` may name ``text_hash`` too, which keeps the texts of one id apart.
+
     The most similar window is named by its first word (``start``, from 0; ties: fewest
     differing bits, then the earliest), ``windows`` counts the windows that matched.
     """
@@ -191,12 +193,16 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, similarity: float = 0.8
                .groupBy(*pair, "w.s").agg(F.sum("w.mine").alias("mine"), F.sum("w.theirs").alias("theirs")))
     best = F.struct((-F.col("similarity")).alias("less"), "hamming", "start")
     return (weights.groupBy(*pair).agg((F.sum(F.least("mine", "theirs")) / F.sum(F.greatest("mine", "theirs"))).alias("similarity"))
-            .filter(F.col("similarity") >= similarity).groupBy("doc_id", "item_id")
+            .filter(F.col("similarity") >= similarity).groupBy(*by)
             .agg(F.min(best).alias("best"), F.count(F.lit(1)).alias("windows"))
-            .select("doc_id", "item_id", (-F.col("best.less")).alias("similarity"), "best.hamming", "best.start", "windows"))
+            .select(*by, (-F.col("best.less")).alias("similarity"), "best.hamming", "best.start", "windows"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without those that match an item; rows whose doc_id is NULL are compared as one document."""
-    found = benchmark_matches(docs, items, **options).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    """``docs`` without those that match an item. Rows count by id and text: of rows that share an id, or have none, only those
+    whose own text matches go."""
+    found = benchmark_matches(docs, items, by=("doc_id", "text_hash"), **options)
+    rows, columns = keyed(docs)
+    leaks = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    same = field("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(field("text")) == F.col("_hash"))
+    return rows.join(leaks, same, "left_anti").select(*[field(c).alias(c) for c in columns])

@@ -155,7 +155,7 @@ def pair_divergences(groups: DataFrame, entries: DataFrame) -> DataFrame:
     return partial.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
 
 
-def audit(docs: DataFrame, min_docs: int = 10, top: int = 10, block_groups: int = 16, block_terms: int = 1 << 15) -> DataFrame:
+def audit(docs: DataFrame, min_docs: int = 10, top: int = 10, block_groups: int = 16, block_terms: int = 1 << 12) -> DataFrame:
     """(lang, source, part, item, value, rank): ``pair`` rows for all other sources, ``term`` rows for the ``top`` terms
     that a source holds more of than its language."""
     counts = materialise(term_counts(docs), "terms")

@@ -14,14 +14,16 @@ piecewise quadratic. Copies beyond the target get no time and are not taken, so
 source misses its target by half a document at most. ``mixture`` sorts copies by time
 into ranges.
 
-Running sums per source come from fixed hash buckets: sizes are summed per
-(source, bucket) first, and only the rows of one bucket are sorted together, so a
-source with a third of all rows is spread over 16 ** ``bucket_digits`` sorts.
+Running sums per source come from ranges of (source, md5): each range is summed up on its own and gets its
+offset from the sums of the ranges before it, so a
+source or an id with a third of all rows is spread over many sorts. Equal rows are one narrow row with a count, however
+many they are, and get their places by arithmetic. Texts are fetched by the rows' content keys at the end.
 
 Edge cases: NULL or empty texts have size 0 and are never taken; a NULL source is a
 source of its own, last in order; sources of size 0 have target 0; repeated rows
-count each; an empty table gives no rows. Other columns are kept by
-``mixture`` under their names (those the operator adds replace columns of the same name).
+count each; rows of one id and size are ordered by a hash of their content, so reruns agree whatever the input's order; an empty
+table gives no rows. Other columns are kept under their names, whatever they are (those the operator adds replace columns of
+the same name).
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from laminar.llm.common import fetched, field, keyed, running
+
 WEIGHTS = (5, 2, 1)
 # One schedule per weight class, (time, weight) knots: the heavy sources fade, the light ones grow.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.25), (0.5, 0.75), (1.0, 2.0)))
@@ -79,49 +83,45 @@ def source_targets(per_source: DataFrame, weights=WEIGHTS, budget: float = 1.5,
                     F.coalesce(F.least(F.col("cap"), F.col("level") * F.col("w")), F.col("cap")).alias("target")))
 
 
-def positions(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, budget: float = 1.5, max_epochs: int = 2,
-              bucket_digits: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``docs`` with size, source_size, target, taken and times (one per copy taken, ascending).
+def placements(rows: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, budget: float = 1.5, max_epochs: int = 2,
+               id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """id, size, source_size, target, taken, times and the content key for each of ``keyed``'s rows, and in ``copies`` how many equal it.
 
-    A source's stream is in order of the md5 of the id; its first ``bucket_digits`` hex digits are the bucket.
+    ``times`` has one time per copy taken, ascending. A source's stream is in order of the md5 of the id.
     """
-    own = ("size", "source_size", "target", "taken", "times")
-    base = (docs.drop(*own)
-            .withColumn("_key", F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")))
-            .withColumn("_bucket", F.substring("_key", 1, bucket_digits))
-            .withColumn("size", word_count(F.col(text_col)))
-            .withColumn("_source", F.col(source_col)))
-    return _placed(base, weights, schedules, budget, max_epochs, id_col)
-
-
-def _placed(base: DataFrame, weights, schedules, budget, max_epochs, id_col) -> DataFrame:
-    per_bucket = base.groupBy(F.col("_source").alias("source"), F.col("_bucket").alias("bucket")).agg(F.sum("size").alias("n"))
-    sums = (per_bucket.withColumn("before", F.coalesce(F.sum("n").over(
-        W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))))
-    targets = source_targets(per_bucket.groupBy("source").agg(F.sum("n").alias("source_size")), weights, budget, max_epochs)
-    info = (sums.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-            .select(F.col("source").alias("_s"), F.col("bucket").alias("_b"), "before", "source_size", "class", "target"))
-    inside = W.partitionBy("_source", "_bucket").orderBy("_key", F.col(id_col).asc_nulls_first(), "size")
-    placed = (base.withColumn("_upto", F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, 0)))
-              .join(info, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b"))))
-    middle = F.col("before") + F.col("_upto") - F.col("size") / F.lit(2.0)
+    narrow = rows.select("_k1", "_k2", field(id_col).alias("id"), field(source_col).alias("source"), word_count(field(text_col)).alias("size"))
+    classes = (narrow.groupBy("_k1", "_k2", "id", "source", "size").agg(F.count(F.lit(1)).alias("copies"))
+               .withColumn("key", F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")))
+               .withColumn("words", F.col("size") * F.col("copies")))
+    placed = running(classes, ["source"], ["key", "id", "size", "_k1", "_k2"], "words", "mixing")
+    sizes = placed.groupBy("source").agg(F.first("total").alias("source_size"))
+    targets = source_targets(sizes, weights, budget, max_epochs).withColumnRenamed("source", "s")
+    each = (placed.join(targets, F.col("source").eqNullSafe(F.col("s")))
+            .withColumn("nth", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1))))
+    middle = F.col("before") + F.col("nth") * F.col("size") + F.col("size") / F.lit(2.0)
     share = [(middle + F.col("source_size") * F.lit(float(k))) / F.nullif(F.col("target"), F.lit(0.0))
              for k in range(max_epochs)]
+
     def when(x):
         chosen = time_at(x, schedules[0])
         for i, knots in enumerate(schedules[1:], 1):
             chosen = F.when(F.col("class") % len(schedules) == i, time_at(x, knots)).otherwise(chosen)
         return F.when((F.col("size") > 0) & (x < 1), chosen)
+
     times = F.filter(F.array(*[when(x) for x in share]), lambda t: t.isNotNull())
-    return (placed.withColumn("times", times)
-            .withColumn("taken", F.size("times") * F.col("size"))
-            .drop("_key", "_source", "_bucket", "_upto", "_s", "_b", "before", "class"))
+    return (each.withColumn("times", times).withColumn("taken", F.size("times") * F.col("size"))
+            .select("_k1", "_k2", "id", "size", "source_size", "target", "taken", "times", "copies"))
 
 
-def mixture(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: one row per copy taken, with its ``position`` (training time), range-sorted by it."""
-    placed = positions(docs.drop("position"), **options).withColumn("position", F.explode("times"))
-    return (placed.drop("times", "taken", "target", "source_size", "size")
-            .repartitionByRange("position").sortWithinPartitions("position"))
+def positions(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with size, source_size, target, taken and times (one per copy taken, ascending)."""
+    own = ("size", "source_size", "target", "taken", "times")
+    rows, columns = keyed(docs, *own)
+    return fetched(rows, columns, placements(rows, **options), *own)
 
 
+def mixture(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: one row per copy taken, with its ``position`` (training time), range-sorted by it."""
+    rows, columns = keyed(docs, "position")
+    taken = placements(rows, **options).withColumn("position", F.explode("times"))
+    return fetched(rows, columns, taken, "position").repartitionByRange("position").sortWithinPartitions("position")

@@ -38,7 +38,12 @@ SELECT doc_id, size, source_size, target,
          WHEN 0 THEN 1.5 - sqrt(2.25 - 2 * x0)
          WHEN 1 THEN x0
          ELSE CASE WHEN x0 * 0.9375 <= 0.25 THEN sqrt(0.0625 + 2 * 0.9375 * x0) - 0.25
-                   ELSE 0.5 + (sqrt(0.5625 + 5 * (0.9375 * x0 - 0.25)) - 0.75) / 2.5 END END END, 6) AS "position"
+                   ELSE 0.5 + (sqrt(0.5625 + 5 * (0.9375 * x0 - 0.25)) - 0.75) / 2.5 END END END, 6) AS "position",
+       round(CASE WHEN size > 0 AND x1 < 1 THEN CASE class
+         WHEN 0 THEN 1.5 - sqrt(2.25 - 2 * x1)
+         WHEN 1 THEN x1
+         ELSE CASE WHEN x1 * 0.9375 <= 0.25 THEN sqrt(0.0625 + 2 * 0.9375 * x1) - 0.25
+                   ELSE 0.5 + (sqrt(0.5625 + 5 * (0.9375 * x1 - 0.25)) - 0.75) / 2.5 END END END, 6) AS position_2
 FROM shares
 """
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from laminar.llm import (decontamination, divergence, line_rules, merkle, mixing, pii, ppm, quality, sharding, simhash_dedup,
                          substring_dedup, token_files, toxicity)
-from laminar.llm.common import id_remainder, read_table
+from laminar.llm.common import id_remainder, keyed, read_table
 from laminar.llm.oracles import ORACLES  # noqa: F401  (the entry point reads it here)
 from laminar.session import workspace
 
@@ -25,9 +25,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return (mixing.positions(docs)
-            .select("doc_id", "size", "source_size", "target", "taken", F.round(F.get("times", F.lit(0)), 6).alias("position")))
+    rows, _ = keyed(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    placed = mixing.placements(rows)
+    first, second = (F.round(F.get("times", F.lit(k)), 6) for k in (0, 1))
+    return (placed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", first.alias("position"), second.alias("position_2"))
+            .repartitionByRange("position").sortWithinPartitions("position"))
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,19 +1,20 @@
 """Shards and slots by a Feistel permutation of global row numbers (the ``rows`` law).
 
-Rows are numbered 0..N-1 in an order that depends on their values only (bucket
-of the key's md5, then the key: id and text). A keyed Feistel network over the smallest
+Rows are numbered 0..N-1 in an order that depends on their values only (a hash, then the
+key). A keyed Feistel network over the smallest
 even power of two that holds N permutes the numbers; numbers that land outside [0, N)
 walk the cycle until they are inside, so the result is a permutation of [0, N)
 and any row's place can be computed alone:
 shard = p mod shards, slot = p div shards. Shard sizes differ by one at most.
 
-The numbering needs no global sort: rows are counted per bucket, the bucket
-counts are summed up, and rows are numbered inside their bucket.
+The numbering needs no global sort: narrow rows are counted in ranges of the order, and the ranges' counts give each its
+offset. Equal rows are one narrow row with a count, however many they are. Texts are fetched by the rows' content
+keys at the end and are not sorted.
 
 Edge cases: NULL text counts no bytes and has the crc32 of the empty text; NULL
-ids sort first; equal rows take neighbouring numbers in any order, which gives
+keys sort first; equal rows take neighbouring numbers in any order, which gives
 the same rows out; an empty table gives no rows. Extra columns keep
-their names; the operator's own columns replace columns of the same name.
+their names, whatever they are; the operator's own columns replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -21,10 +22,9 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from laminar.llm.common import text_bytes
+from laminar.llm.common import fetched, field, keyed, materialise, running, text_bytes
 
 ROUNDS = 6
 
@@ -58,43 +58,37 @@ def permute(numbers, total: int, seed: int = 0) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def numbered(df: DataFrame, key: tuple[str, ...], bucket_digits: int = 3, name: str = "row_number") -> DataFrame:
-    """``df`` with gapless row numbers from 0, ordered by a bucket (first hex digits of an md5) of ``key`` and then ``key``.
-
-    ``bucket_digits`` only sets how finely rows are dealt out (numbers depend on it, so keep it fixed for a
-    reproducible order); a bucket is numbered in one task with a sort that spills.
-    """
-    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
-    marked = df.withColumn("_bucket", F.substring(F.md5(text.cast("binary")), 1, bucket_digits))
-    counts = marked.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)   # one row per bucket: at most 16 ** ``bucket_digits``
-    offsets = counts.select(F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = W.partitionBy("_bucket").orderBy(*[F.col(k).asc_nulls_first() for k in key])
-    return (marked.withColumn("_at", F.row_number().over(inside))
-            .join(F.broadcast(offsets), F.col("_bucket") == F.col("_b"))
-            .withColumn(name, F.col("_before") + F.col("_at") - 1)
-            .drop("_bucket", "_b", "_before", "_at"))
-
-
-def shard(docs: DataFrame, shards: int = 8, seed: int = 0, bucket_digits: int = 3,
-          key: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 8, seed: int = 0, key: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` with row_number, shard and slot (existing columns of these names are replaced).
 
-    Rows are numbered by ``key``; rows that agree on it may take each other's place.
+    Rows are numbered by a hash of the columns ``key``, then by their values; without ``key`` by a hash of their whole
+    content. Rows that agree on all that are equal and may take each other's place.
     """
     if shards < 1:
         raise ValueError("shards must be at least 1")
-    plain = docs.drop("row_number", "shard", "slot")
-    total = plain.count()
+    own = ("row_number", "shard", "slot")
+    rows, columns = keyed(docs, *own)
+    # narrow rows: the content key and the key columns, renamed
+    names = [f"key{i}" for i in range(len(key))]
+    text = F.concat_ws("|", *[F.coalesce(field(c).cast("string"), F.lit("")) for c in key]) if key else F.hex("_k1")
+    bucket = F.substring(F.md5(text.cast("binary")), 1, 3) if key else F.hex("_k1")
+    narrow = rows.select("_k1", "_k2", bucket.alias("bucket"), *[field(c).alias(n) for c, n in zip(key, names, strict=True)])
+    classes = materialise(narrow.groupBy("_k1", "_k2", "bucket", *names).agg(F.count(F.lit(1)).alias("copies")), "rows")
+    total, most = classes.agg(F.sum("copies"), F.max("copies")).first()
+    total = total or 0
 
     @F.pandas_udf("bigint")
     def place(numbers: pd.Series) -> pd.Series:
         return pd.Series(permute(numbers.to_numpy(), total, seed))
 
-    placed = numbered(plain, key, bucket_digits).withColumn("_place", place("row_number"))
-    return (placed.withColumn("shard", F.pmod("_place", F.lit(shards)).cast("int"))
-            .withColumn("slot", F.floor(F.col("_place") / shards).cast("bigint") if shards > 1 else F.col("_place"))
-            .drop("_place"))
+    counted = running(classes, [], ["bucket", *names, "_k1", "_k2"], "copies", "numbers")
+    each = (counted.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
+            .withColumn("row_number", F.col("before") + F.col("nth")).withColumn("place", place("row_number")))
+    placed = (each.withColumn("shard", F.pmod("place", F.lit(shards)).cast("int"))
+              .withColumn("slot", F.floor(F.col("place") / shards).cast("bigint") if shards > 1 else F.col("place")))
+    if set(key) == set(columns):            # the key is the whole row
+        return placed.select(*[F.col(names[key.index(c)]).alias(c) for c in columns], *own)
+    return fetched(rows, columns, placed.select("_k1", "_k2", *own), *own, repeated=(most or 0) > 1)
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from laminar.llm.common import connected_components, materialise, text_bytes
+from laminar.llm.common import connected_components, field, keyed, materialise, text_bytes
 
 PIVOTS = [value - (1 << 63) for value in map(random.Random(20).getrandbits, [64] * 8)]
 CELL_PIVOTS = 4
@@ -132,34 +132,42 @@ def links(distinct_fps: DataFrame, max_distance: int = 2) -> DataFrame:
             .select(F.col("fp").alias("u"), F.col("other").alias("v")).distinct())
 
 
+def _rooted(marked: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, root) for each fingerprint of ``marked``."""
+    distinct = marked.select("fp").distinct()
+    roots = materialise(connected_components(links(distinct, max_distance)), "roots")
+    return materialise(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+                       .select("fp", F.coalesce("root", "fp").alias("root")), "rooted")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per row of ``docs``."""
     marked = materialise(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    classes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = materialise(connected_components(links(classes.select("fp"), max_distance)), "roots")
-    rooted = (classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    rooted = materialise(rooted, "rooted")
+    rooted = _rooted(marked, max_distance).join(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "fp")
     firsts = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(firsts, "root").select("fp", "component_id")
     return marked.join(named, "fp", "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, max_distance: int = 2) -> DataFrame:
-    """``docs`` without the near-duplicates: of each component the row with the smallest doc_id stays.
+def keep_one(docs: DataFrame, shingle: int = 3, max_distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the near-duplicates: one row of each component stays, that with the smallest id (NULL last; then by
+    a hash of the whole row).
 
-    Of rows that share that doc_id one stays (the smallest text hash, then text).
-    Rows with a NULL doc_id stay: they cannot be named as copies.
+    Rows count by their content, not by their ids: different texts under one id, or without an id, are
+    different documents, and all are compared. Of equal rows one stays.
     """
-    found = near_duplicates(docs, shingle, max_distance)
-    stay = found.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi")
-    repeated = materialise(kept.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
-    single = kept.join(repeated, "doc_id", "left_anti")
-    value = F.struct(F.xxhash64("text").alias("h"), *[F.col(c) for c in docs.columns])
-    one = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(value).alias("row"))
-    return (single.select(*docs.columns)
-            .unionByName(one.select(*[F.col(f"row.{c}").alias(c) for c in docs.columns]))
-            .unionByName(docs.filter("doc_id is null")))
+    rows, columns = keyed(docs)
+    named = rows.select("_k1", "_k2", field(id_col).alias("id"), field(text_col).alias("text"))
+    # the fingerprint step carries the key of the row as its id
+    prints = fingerprints(named.withColumn("row", F.concat_ws(",", "_k1", "_k2")), shingle, "row", "text")
+    key = F.split("doc_id", ",")
+    marked = materialise(prints.select(key[0].cast("bigint").alias("_k1"), key[1].cast("bigint").alias("_k2"), "fp").distinct(), "simhash")
+    ids = named.select("_k1", "_k2", "id").distinct()
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "_k1", "_k2")
+    stay = (marked.join(_rooted(marked, max_distance), "fp").join(ids, ["_k1", "_k2"])
+            .groupBy("root").agg(F.min(first).alias("first")).select("first._k1", "first._k2"))
+    kept = rows.join(stay, ["_k1", "_k2"], "left_semi")
+    one = kept.groupBy("_k1", "_k2").agg(F.first("_row").alias("_row"))
+    return one.select(*[field(c).alias(c) for c in columns])

@@ -198,10 +198,14 @@ def slices(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
     return out
 
 
+# Ids of these types keep their type and order; others are kept as text, in code point order.
+INTEGERS = {"tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64()}
+
+
 def _stage(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """Chunks in order: (part, chunk, doc_ids, n_tokens, sizes, ids as little-endian bytes)."""
     kind = docs.schema["doc_id"].dataType
-    arrow_kind = pa.int64() if kind.simpleString() == "bigint" else pa.string()
+    arrow_kind = INTEGERS.get(kind.simpleString(), pa.string())
 
     def run(batches):
         import os
@@ -230,7 +234,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     """Tokenize ``docs`` and write the files under ``path`` (a new folder all executors share)."""
     spark = docs.sparkSession
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    if named.schema["doc_id"].dataType.simpleString() != "bigint":
+    if named.schema["doc_id"].dataType.simpleString() not in INTEGERS:
         named = named.withColumn("doc_id", F.col("doc_id").cast("string"))
     # chunk rows are large: few of them belong into one batch
     staged = _stage(named, tokenizer_path, end_id)
