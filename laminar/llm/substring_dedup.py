@@ -11,7 +11,8 @@ earlier (in an earlier document, or earlier in the same one) is removed; windows
    size follows the corpus up to ``max_sketch_bytes``, the proven bound. The smallest counter of an anchor never
    lies below its true count, nor below the count of any window anchored there. A fuller sketch lets more
    windows through to step 3 and never loses one.
-3. Exact pass. Windows whose anchor is estimated repeated are grouped by the 128-bit digest of their words. Runs of windows with
+3. Exact pass. Windows whose anchor is estimated repeated are grouped by a 96-bit digest of their words (among 10^13 different
+   windows two share one with a chance of 1 in 1,000). Runs of windows with
    one anchor travel as one row, dealt out by the anchor; where the anchor's counter is full (it may be a very
    common phrase in different surroundings) each window travels alone, dealt out by its own digest. Of equal windows
    that a task meets in one flush only the first is sent, so a group of copies, however large, costs a row per flush.
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from laminar.llm.common import materialise
 
-WINDOW, GRAM, DEPTH, FAN_IN, SLICES, FULL = 20, 10, 2, 32, 16, 15
+WINDOW, GRAM, DEPTH, FAN_IN, SLICES, FULL, DIGEST = 20, 10, 2, 32, 16, 15, 12
 FLUSH_WINDOWS, CHUNK_BYTES = 400_000, 1 << 20
 _M = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
@@ -202,6 +203,13 @@ def build_sketch(texts: DataFrame, width: int, window: int, gram: int) -> np.nda
     return sketch
 
 
+def _digests(data: bytes) -> np.ndarray:
+    """Digests of DIGEST bytes as rows of two numbers."""
+    wide = np.zeros((len(data) // DIGEST, 16), np.uint8)
+    wide[:, :DIGEST] = np.frombuffer(data, np.uint8).reshape(-1, DIGEST)
+    return wide.view(np.uint64)
+
+
 class _Flush:
     """The windows of some documents that are estimated repeated: start, digest and the key that deals them out."""
 
@@ -218,8 +226,8 @@ class _Flush:
         starts = np.repeat(first - (np.cumsum(windows) - windows), windows) + np.arange(int(windows.sum()))
         begins, stops = np.where(starts > 0, ends[starts - 1], 0), ends[starts + self.window - 1] - 1
         digest = xxhash.xxh3_128_digest
-        digests = np.frombuffer(b"".join([digest(joined[a:b]) for a, b in zip(begins.tolist(), stops.tolist(), strict=True)]), np.uint64).reshape(-1, 2)
-        self.blocks.append((starts, digests, np.where(np.repeat(counts >= FULL, windows), digests[:, 1], np.repeat(anchor, windows))))
+        digests = _digests(b"".join([digest(joined[a:b])[:DIGEST] for a, b in zip(begins.tolist(), stops.tolist(), strict=True)]))
+        self.blocks.append((starts, digests, np.where(np.repeat(counts >= FULL, windows), digests[:, 0], np.repeat(anchor, windows))))
         self.docs.append(doc)
         self.n += len(starts)
 
@@ -261,12 +269,12 @@ def _rows(id_type: pa.DataType, flush: _Flush, buckets: int) -> pa.RecordBatch:
     by = np.argsort(group, kind="stable")
     cut = np.flatnonzero(np.concatenate(([True], group[by[1:]] != group[by[:-1]])))
     heads, spans = by[cut], list(zip(cut.tolist(), np.append(cut[1:], len(by)).tolist(), strict=True))
-    starts, digests = start[by].astype(np.int32).tobytes(), digest[by].tobytes()
+    starts, digests = start[by].astype(np.int32).tobytes(), digest[by].view(np.uint8).reshape(-1, 16)[:, :DIGEST].tobytes()
     rows = docs.take(pa.array(doc[heads]))
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket[heads], pa.int32()), *[rows.column(c).combine_chunks() for c in ("id", "k1", "k2")],
          pa.array([starts[4 * a:4 * b] for a, b in spans], pa.binary()),
-         pa.array([digests[16 * a:16 * b] if sends else b"" for (a, b), sends in zip(spans, first[heads].tolist(), strict=True)], pa.binary())],
+         pa.array([digests[DIGEST * a:DIGEST * b] if sends else b"" for (a, b), sends in zip(spans, first[heads].tolist(), strict=True)], pa.binary())],
         names=_SENT)
 
 
@@ -283,7 +291,7 @@ def _strings(parts: list[bytes]) -> pa.Array:
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
-          max_sketch_bytes: int = 64 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+          max_sketch_bytes: int = 64 << 20, bucket_bytes: int = 2 << 20) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): one row per row of ``docs``, ``kept`` being the words left, joined by one space."""
     if not 1 <= gram <= window:
         raise ValueError("gram is 1 to window")
@@ -323,7 +331,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
             order, rank = _ranked(table)
             table = table.take(pa.array(order))
             start = np.frombuffer(b"".join(table.column("starts").to_pylist()), np.int32)
-            digest = np.frombuffer(b"".join(table.column("digests").to_pylist()), np.uint64).reshape(-1, 2)
+            digest = _digests(b"".join(table.column("digests").to_pylist()))
             owner = np.repeat(np.arange(table.num_rows), pc.binary_length(table.column("starts")).to_numpy() // 4)
             later = ~_first_of_equals(digest, rank[owner], start)
             cut = np.searchsorted(owner[later], np.arange(table.num_rows + 1))
