@@ -6,23 +6,20 @@ For an item of n words the windows are n words long; a document of fewer words i
 
 1. Seeds. A window whose weighted similarity (sum of minima / sum of maxima of the weights) to an item
    is at least s shares at least ceil(2 s m / (1 + s)) of its m shingles with it (a whole document of k
-   shingles: ceil(s (k + m) / (1 + s))). So
-   texts that share no shingle cannot match. They are left out first, by the shingles on a grid so
-   wide that every passing window has a shared one on it (``lossless_stride``). In the
-   others every shingle shared with an item opens a window that begins with it, and windows that cover too few hits of the item are
-   dropped. Moving a window right to its first hit (and left to the end of the text)
-   loses no hit, so the bound drops no window class that could pass.
-2. SimHash of each window that is left, and of each item.
+   shingles: ceil(s (k + m) / (1 + s))). So texts that share no shingle cannot match. They are left out first, by the shingles on
+   a grid so wide that every passing window has a shared one on it (``lossless_stride``). In the
+   others every shingle shared with an item opens the item-sized window that begins with it (moving a window right to its first
+   shared shingle, and left to the end of the text, loses none), but for windows with less than half of the shared shingles that passing takes.
+2. SimHash of each opened window, and of each item, over (shingle, number of its occurrence) pairs: the share of
+   common pairs is the weighted similarity, and a shingle that is repeated often counts as many pairs instead of outvoting all others.
 3. Multi-index: fingerprints are cut into ``radius`` + 1 blocks; two within
    ``radius`` bits agree on a whole block, so the equi-join on (item, block, value) of windows and the
-   items whose hits opened them finds all of them. Their Hamming distance is then checked.
+   items that opened them finds all of them. Their Hamming distance is then checked. No words go through this join.
 4. The exact weighted-shingle similarity, on the words themselves, verifies the candidates.
 
-The default radius loses no match that the exact check accepts. At 0.8 the cosine of two windows of equal size
-is 8/9, an expected 9.7 differing bits with a deviation of 2.9, but only if the unshared shingles are distinct: a
-shingle repeated a ninth of m times outweighs the others, and the fingerprints of a long item
-and its window then differ like unrelated ones (32 bits, deviation 4). Of those, 65 in 2^64 are beyond 62 bits. The seeds keep the
-candidates few, so the exact check stays small.
+The radius. At similarity 0.8 the cosine of two windows of equal size is 8/9, which makes an expected 9.7 differing bits with a deviation
+of 2.9 (a whole shorter document: 9.4); the default of 22 lies 4.4 deviations above, so of windows that just pass about 4 in a million are beyond it, and
+more similar ones are closer. Unrelated windows differ in 32 bits, deviation 4.
 
 The items are broadcast only after a count of their shingles (``BROADCAST_ROWS``); beyond
 that the same plan runs as a shuffle join, which adaptive execution splits on hot shingles.
@@ -42,7 +39,8 @@ from pyspark.sql import functions as F
 from laminar.llm.common import field, keyed, materialise, word_array
 
 SHINGLE = 5
-RADIUS = 62
+RADIUS = 22
+SEED_SHARE = 0.5            # of the shared shingles that a passing window must have; under 1 it loses none
 BROADCAST_ROWS = 200_000
 
 
@@ -79,19 +77,17 @@ def lossless_stride(sizes: list[int], similarity: float, most: int = 8) -> int:
     return max(d for d in range(1, most + 1) if d == 1 or all(m // d - (m - _least(m, similarity)) >= 1 and whole(d, m) for m in sizes))
 
 
-LANES = 22                                          # three counters of 22 bits in one long: bits j, j + 22, j + 44
-
-
 def _simhash(frame: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, m, fp) from one row per shingle hash ``h``: bit set in over half of the hashes.
+    """(keys, m, fp) from one row per shingle hash ``h`` (repeats count): bit set in over half of the pairs (shingle, occurrence).
 
-    Three bit counters share a long, which holds up to half a million shingles a window.
+    Two bit counters share a long, which holds windows of up to two billion shingles.
     """
-    lane_mask = 1 | 1 << LANES | 1 << 2 * LANES
-    sums = [F.expr(f"sum(shiftrightunsigned(h, {j}) & {lane_mask}L)").alias(f"s{j}") for j in range(LANES)]
-    counted = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("m"), *sums)
-    bits = [f"if(2 * (shiftrightunsigned(s{j % LANES}, {LANES * (j // LANES)}) & {(1 << LANES) - 1}L) > m, shiftleft(1L, {j}), 0L)"
-            for j in range(64)]
+    pairs = (frame.groupBy(*keys, "h").agg(F.count(F.lit(1)).alias("times"))
+             .select(*keys, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))).alias("nth"), "h")
+             .withColumn("h", F.xxhash64("h", "nth")))
+    sums = [F.expr(f"sum(shiftrightunsigned(h, {j}) & {1 | 1 << 32}L)").alias(f"s{j}") for j in range(32)]
+    counted = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("m"), *sums)
+    bits = [f"if(2 * (shiftrightunsigned(s{j % 32}, {32 * (j // 32)}) & 4294967295L) > m, shiftleft(1L, {j}), 0L)" for j in range(64)]
     while len(bits) > 1:                            # a balanced tree of ORs
         bits = [f"({a} | {b})" for a, b in zip(bits[::2], bits[1::2], strict=True)]
     return counted.select(*keys, F.expr(bits[0]).alias("fp"))
@@ -99,6 +95,8 @@ def _simhash(frame: DataFrame, keys: list[str]) -> DataFrame:
 
 def _block_values(fp: str, radius: int) -> list[str]:
     """SQL of each of the radius + 1 blocks of a fingerprint."""
+    if radius == 0:
+        return [fp]
     edges = [64 * k // (radius + 1) for k in range(radius + 2)]
     return [f"shiftrightunsigned({fp}, {a}) & {(1 << (b - a)) - 1}L" for a, b in zip(edges, edges[1:], strict=False)]
 
@@ -151,40 +149,43 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, similarity: float = 0.8
             .select("doc_id", "text_hash", "length", "s.at", "s.h")
             .join(seeds, "h").select("doc_id", "text_hash", "length", "at", "item_id", "item_n", "width")
             .distinct())
-    m = F.col("item_n") - F.col("width") + 1
     n = F.least("length", "item_n")                               # words of the window
+    key = ["doc_id", "text_hash", "start", "n", "opener", "opener_n", "width"]
     # positions in units of m, so that one literal frame covers the m shingles of a window whatever the item's size
+    m = F.col("item_n") - F.col("width") + 1
     covered = F.expr("count(1) over (partition by doc_id, text_hash, item_id, item_n "
                      "order by at / m range between current row and 0.9999999D following)")
-    least = F.ceil(F.lit(similarity / (1 + similarity)) * (m + n - F.col("width") + 1) - F.lit(1e-6))
-    windows = (hits.withColumn("m", m).withColumn("covered", covered).filter(F.col("covered") >= least)
-               .select("doc_id", "text_hash", F.least("at", F.col("length") - n).alias("start"),
-                       n.alias("n"), F.col("item_id").alias("opener"), F.col("item_n").alias("opener_n"), "width").distinct())
+    least = F.lit(similarity / (1 + similarity)) * (m + n - F.col("width") + 1)
+    windows = (hits.withColumn("m", m).withColumn("covered", covered).filter(F.col("covered") >= least * SEED_SHARE)
+               .select("doc_id", "text_hash", F.least("at", F.col("length") - n).alias("start"), n.alias("n"),
+                       F.col("item_id").alias("opener"), F.col("item_n").alias("opener_n"), "width").distinct())
 
     # 2. fingerprints of windows and items; both are few and written, so the steps below start from tables
-    cut = (windows.join(near.withColumnRenamed("doc_id", "d").withColumnRenamed("text_hash", "t"),
-                        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")))
-           .select("doc_id", "text_hash", "start", "n", "opener", "opener_n", "width", F.slice("words", F.col("start") + 1, F.col("n")).alias("words"))
-           .distinct())
-    window_hashes = F.coalesce(*[F.when(F.col("width") == k, _shingles(F.col("words"), k)) for k in widths])
-    key = ["doc_id", "text_hash", "start", "n", "opener", "opener_n", "width", "words"]
-    prints = materialise(_simhash(cut.select(*key, F.explode(window_hashes).alias("h")), key)
-                         .withColumn("words", _shingle_texts(F.col("words"), F.col("width"))), "windows")
-    item_prints = (_simhash(item_shingles, ["item_id", "n"])
-                   .join(item_words.withColumnRenamed("item_id", "i").withColumnRenamed("n", "item_n"),
-                         F.col("item_id").eqNullSafe(F.col("i")) & (F.col("n") == F.col("item_n")))
-                   .select("item_id", "item_n", F.col("fp").alias("item_fp"),
-                           _shingle_texts(F.col("item_words"), F.col("width")).alias("item_words")))
-    item_prints = materialise(item_prints, "items")
+    text = [F.col("doc_id").eqNullSafe(F.col("d")), F.col("text_hash") == F.col("t")]
+    named = near.withColumnRenamed("doc_id", "d").withColumnRenamed("text_hash", "t")
+    cut = F.slice("words", F.col("start") + 1, F.col("n"))
+    # windows of one place and size have one fingerprint, whichever items opened them
+    places = windows.select("doc_id", "text_hash", "start", "n", "width").distinct()
+    window_hashes = F.coalesce(*[F.when(F.col("width") == k, _shingles(F.col("cut"), k)) for k in widths])
+    place = ["doc_id", "text_hash", "start", "n", "width"]
+    prints = _simhash(places.join(named, text).select(*place, cut.alias("cut")).select(*place, F.explode(window_hashes).alias("h")), place)
+    again = prints.select(*[F.col(c).alias(f"p_{c}") for c in place], "fp")
+    prints = materialise(windows.join(again, [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in place]).select(*key, "fp"), "windows")
+    item_prints = materialise(_simhash(item_shingles, ["item_id", "n"]).select("item_id", F.col("n").alias("item_n"), F.col("fp").alias("item_fp")), "items")
 
     # 3. multi-index Hamming join
     left = prints.select("*", _blocks(radius))
-    right = item_prints.withColumn("fp", F.col("item_fp")).select("item_id", "item_n", "item_fp", "item_words", _blocks(radius)) \
+    right = item_prints.withColumn("fp", F.col("item_fp")).select("item_id", "item_n", "item_fp", _blocks(radius)) \
         .withColumnRenamed("block", "item_block").withColumnRenamed("value", "item_value")
     candidates = (left.join(side(right), F.expr("opener <=> item_id and opener_n = item_n and block = item_block and value = item_value"))
                   .withColumn("hamming", F.expr("bit_count(fp ^ item_fp)")).filter(F.col("hamming") <= radius)
                   # of the blocks on which they agree, the first one speaks for the pair
-                  .filter(F.col("block") == _first_equal_block(radius)))
+                  .filter(F.col("block") == _first_equal_block(radius))
+                  .select("doc_id", "text_hash", "item_id", "item_n", "start", "n", "width", "hamming"))
+    its_words = item_words.select(F.col("item_id").alias("i"), F.col("n").alias("i_n"), "item_words")
+    candidates = (candidates.join(named, text).withColumn("words", _shingle_texts(cut, F.col("width")))
+                  .join(side(its_words), F.expr("item_id <=> i and item_n = i_n"))
+                  .withColumn("item_words", _shingle_texts(F.col("item_words"), F.col("width"))))
 
     # 4. exact check: weights of each shingle on either side
     pair = ["doc_id", "text_hash", "item_id", "item_n", "start", "hamming"]

@@ -462,7 +462,7 @@ def test_decontamination_equals_brute_force(spark, small, texts):
             docs[10_000 + 10 * k + edits] = "Some words before. " + "  ".join(e).upper() + "\nand some after it, too."
     got = {(r.doc_id, r.item_id): r.similarity for r in decontamination.benchmark_matches(
         spark.createDataFrame(list(docs.items()), "doc_id long, text string"),
-        spark.createDataFrame(list(some.items()), "item_id long, text string"), radius=40).collect()}
+        spark.createDataFrame(list(some.items()), "item_id long, text string")).collect()}
     want = brute_matches(docs, some)
     assert set(got) == set(want) and len(want) > 12
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)

@@ -132,3 +132,17 @@ def test_integral_ids_keep_their_type_and_order(spark, tmp_path, kind):
     found = token_files.read_tokens(spark, f"{tmp_path}/t")
     assert dict(found.dtypes)["doc_id"] == kind
     assert [r.doc_id for r in found.orderBy("start").collect()] == [None, 2, 9, 10]
+
+
+def test_fingerprints_decide_among_the_opened_windows(spark):
+    """The Hamming step drops most windows that share half of the shingles, and none that the exact check accepts."""
+    item = words(50, 100)
+    v = item.split()
+    docs = spark.createDataFrame([(k, " ".join([*words(k, 120).split(), *v[k:], *words(k + 500, 120).split()])) for k in range(0, 60, 3)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    want = {k for k, _ in brute_matches({r.doc_id: r.text for r in docs.collect()}, {1: item})}
+    tight, loose = (decontamination.benchmark_matches(docs, items, radius=r, similarity=0.8) for r in (decontamination.RADIUS, 62))
+    assert {r.doc_id for r in tight.collect()} == {r.doc_id for r in loose.collect()} == want and 0 < len(want) < 20
+    assert {(r.doc_id, r.windows) for r in tight.collect()} == {(r.doc_id, r.windows) for r in loose.collect()}
+    exact = decontamination.benchmark_matches(docs, items, radius=0).collect()
+    assert [(r.doc_id, r.hamming) for r in exact] == [(0, 0)]
