@@ -5,7 +5,7 @@ A line (split at ``\n``) fails by one of these rules; empty lines never fail:
 * punctuation: more than ``MAX_PUNCTUATION`` of its non-space characters are neither letters nor
   digits, or it is a fragment (under ``MIN_WORDS`` words without a closing mark) in a text of several lines;
 * navigation: at least ``MIN_SEPARATORS`` words are bare separators, one for every ``WORDS_PER_SEPARATOR`` words;
-* boilerplate: it contains a licence, cookie, copyright or script phrase.
+* boilerplate: it contains a licence, cookie, copyright or script phrase (English, German, French or Spanish).
 
 A document is rejected by the base rules (under 20 words, or more than 30 % of its words in 8-word
 windows found twice) or if its failed lines hold more than ``MAX_LOST`` of its words.
@@ -33,7 +33,10 @@ SEPARATORS = frozenset((b"|", b">", b">>", "»".encode(), "·".encode(), "•".e
 CLOSING = (b".", b"!", b"?", b":", b";", b'"', b"'", b")", "…".encode(), "»".encode(), "”".encode())
 BOILERPLATE = re.compile(
     rb"all rights reserved|licensed under|general public license|terms of (?:use|service)|privacy policy|cookie(?:s| policy)"
-    rb"|copyright|\(c\) ?[0-9]{4}|lorem ipsum|javascript|subscribe to our|click here|sign up|log in", re.IGNORECASE)
+    rb"|copyright|\(c\) ?[0-9]{4}|lorem ipsum|javascript|subscribe to our|click here|sign up|log in"
+    rb"|alle rechte vorbehalten|nutzungsbedingungen|datenschutzerkl|newsletter abonnieren|hier klicken"
+    rb"|tous droits r(?:e|\xc3[\xa9\x89])serv|mentions l(?:e|\xc3[\xa9\x89])gales|politique de confidentialit|conditions d'utilisation|cliquez ici"
+    rb"|todos los derechos reservados|pol(?:i|\xc3[\xad\x8d])tica de privacidad|aviso legal|t(?:e|\xc3[\xa9\x89])rminos de uso|haga clic", re.IGNORECASE)
 _ASCII_PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _SPACES = b" \t\r\x0b\x0c"
 

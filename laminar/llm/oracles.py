@@ -112,7 +112,10 @@ judged AS (
             AND 4 * len(list_filter(ws, lambda x: x IN ('|', '>', '>>', '»', '·', '•', '/', '-'))) >= len(ws)
          OR regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
               'all rights reserved|licensed under|general public license|terms of (?:use|service)|privacy policy|cookie'
-              || '|copyright|\(c\) ?[0-9]{{4}}|lorem ipsum|javascript|subscribe to our|click here|sign up|log in') AS fails
+              || '|copyright|\(c\) ?[0-9]{{4}}|lorem ipsum|javascript|subscribe to our|click here|sign up|log in'
+              || '|alle rechte vorbehalten|nutzungsbedingungen|datenschutzerkl|newsletter abonnieren|hier klicken'
+              || '|tous droits r[eéÉ]serv|mentions l[eéÉ]gales|politique de confidentialit|conditions d''utilisation|cliquez ici'
+              || '|todos los derechos reservados|pol[iíÍ]tica de privacidad|aviso legal|t[eéÉ]rminos de uso|haga clic') AS fails
   FROM lines WHERE len(ws) > 0),
 lost AS (
   SELECT row, sum(CASE WHEN fails THEN n ELSE 0 END)::BIGINT AS lost_words, count(*) - count(DISTINCT line) AS n_dup_lines

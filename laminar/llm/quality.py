@@ -136,8 +136,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_sample:
     """[(rule, weight)], the empty rule being the intercept."""
     sample = F.broadcast(training_rows(labels, label, max_sample))       # at most max_sample narrow rows
     rows = with_statistics(docs.select("doc_id", "text").join(sample, "doc_id", "left_semi")).join(sample, "doc_id")
-    # a repeated id could bring more rows than labels; the bound holds for rows
-    table = rows.limit(2 * max_sample).toPandas().sort_values(["doc_id", *STATISTICS])
+    # of texts that share an id one is learnt from, the least by its statistics: at most max_sample rows, the same in each run
+    least = rows.groupBy("doc_id", "label").agg(F.min(F.struct(*STATISTICS)).alias("s")).select("doc_id", "label", "s.*")
+    table = least.toPandas().sort_values(["doc_id", *STATISTICS])
     x, y = table[list(STATISTICS)].to_numpy(float), table["label"].to_numpy(float)
     if len(y) == 0 or y.min() == y.max():
         return [((), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))))]

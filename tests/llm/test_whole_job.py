@@ -145,3 +145,31 @@ def test_copies_of_one_row_do_not_share_a_block_beyond_its_size(spark):
     value = lambda r: (r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6), r.n_bytes)
     few, one = (Counter(map(value, ppm.score(frame, block_bytes=b).collect())) for b in (4_000, 1 << 30))
     assert few == one and sum(few.values()) == len(rows)
+
+
+def test_added_kinds_are_checked():
+    spans = lambda text: [(k, text[a:b]) for k, a, b, _ in pii.find_spans(text) if k in ("ipv6", "natid", "secret")]
+    assert spans("host 2001:db8::8a2e:370:7334 and ::1:2, at 12:30:45 or a::b::c") == [("ipv6", "2001:db8::8a2e:370:7334"), ("ipv6", "::1:2")]
+    assert spans("DNI 12345678Z, DNI 12345678A, CPF 529.982.247-25, CPF 529.982.247-24, CPF 111.111.111-11") == [
+        ("natid", "12345678Z"), ("natid", "529.982.247-25")]
+    assert spans('password=hunter22; api_key: "sk-1234567890" token = abc password: required') == [("secret", "hunter22"), ("secret", "sk-1234567890")]
+    assert pii.find_spans("example order 4111 1111 1111 1111")[0][3] == 0.4 < pii.find_spans("visa card 4111 1111 1111 1111")[0][3]
+
+
+def test_mask_and_scores(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.cd now, password=hunter22!"), (2, None), (3, "")], "doc_id int, text string")
+    assert [tuple(r) for r in pii.mask(docs).orderBy("doc_id").collect()] == [(1, "mail <email> now, password=<secret>"), (2, None), (3, "")]
+    rows = {r.doc_id: r for r in pii.digest(pii.detect(docs)).collect()}
+    assert rows[1].scores == "1.00,0.80" and rows[1].n_secret == 1 and rows[2].scores == rows[3].scores == ""
+
+
+def test_samples_of_repeated_ids_are_the_same_in_each_run(spark):
+    from laminar.llm import quality, toxicity
+    rng = random.Random(4)
+    rows = [(i % 40, " ".join(rng.choices("good text with some words. bad hateful idiot stuff".split(), k=30))) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2, i % 3 == 0) for i in range(40)], "doc_id long, quality int, t boolean").withColumn("toxic", F.col("t").cast("int"))
+    docs = [spark.createDataFrame(random.Random(s).sample(rows, len(rows)), "doc_id long, text string").repartition(p) for s, p in ((1, 2), (2, 7))]
+    a, b = (quality.fit(d, labels) for d in docs)
+    assert a == b
+    a, b = (toxicity.fit(d, labels) for d in docs)
+    assert a == b
