@@ -24,7 +24,7 @@ from laminar.functions.sqltext import ordinal_sql, quote
 from laminar.operators import DEFAULT_BANDS, Bands
 from laminar.operators.profile import state_profile
 from laminar.plans import tables
-from laminar.session import workspace
+from laminar.session import release, workspace
 
 # Mart column <- school column, in the mart's order (MEDIAS).
 SCHOOL_COLUMNS = (
@@ -131,4 +131,4 @@ def write_datamart(schools: DataFrame, statistics: DataFrame, path: str,
         known = spark.read.schema(side.schema).parquet(written)
         tables.replace(join_state_side(schools, known, levels, bands), path)
     finally:
-        tables.remove(spark, written)
+        release(spark, [written])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
@@ -62,7 +63,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root and sc is not None and not sc.master.startswith("local"):
+    if not root and (sc is None or not sc.master.startswith("local")):      # a remote session cannot be told to be local
         raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
     if not root:
         root = tempfile.mkdtemp(prefix="laminar-ckpt-")
@@ -72,9 +73,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_MADE: list[str] = []
+
+
 def workspace(spark: SparkSession, name: str) -> str:
-    """A new, never reused folder for the layer tables of one run."""
-    return f"{checkpoint_root(spark)}/laminar/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, never reused folder for the layer tables of one run; it stays until ``release``."""
+    path = f"{checkpoint_root(spark)}/laminar/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(path)
+    return path
+
+
+def workspaces() -> list[str]:
+    """The folders that this process has asked for and not released, oldest first."""
+    return list(_MADE)
+
+
+def release(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Remove folders of ``workspace``; frames that still read them must not be used again."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        if path in _MADE:
+            _MADE.remove(path)
 
 
-__all__ = ["SESSION_CONF", "build_session", "apply_conf", "checkpoint_root", "workspace"]
+__all__ = ["SESSION_CONF", "build_session", "apply_conf", "checkpoint_root", "workspace", "workspaces", "release"]

@@ -25,21 +25,24 @@ AT_SCALE = {
     "band_totals": "one scan, one global partial aggregate; shuffle is one row per task.",
     "band_share": "one scan; the totals are a reused scalar subquery over the same exchange; shuffle is tasks x groups rows.",
     "corr_by_group": "one scan, grouping sets ((state), ()); the window runs over one row per state; never pairs rows (the reference's cross join is O(n^2)).",
-    "state_join": "schools stream through a broadcast of the per-state statistics, broadcast only after a row count within the bound; no shuffle of schools.",
-    "datamart": "two scans of schools (one grouping-sets aggregate, one output scan); the per-state side (<= 3 rows per state) is counted, then broadcast; no shuffle of schools; a hot state only adds rows to a partial aggregate.",
-    "daily_run": "payload parsing is per file/line; detail lookup is a shuffle join on the id (AQE splits a hot id); all refined aggregates as in datamart; layer writes sort inside tasks (no range shuffle).",
+    "state_join": "the statistics (a row per state) are broadcast by their bytes, decided by the planner or by AQE; no job and no cache when the frame is built.",
+    "datamart": "two scans of schools (one grouping-sets aggregate, one output scan); `write_datamart` writes the per-state side (<= 3 rows per state) first and reads it back, so the planner broadcasts it by its known bytes and schools are not shuffled; beyond the threshold both sides are. A hot state only adds rows to a partial aggregate.",
+    "daily_run": "payload parsing is per file/line, school objects are parsed once (their keys are audited in the landing write); detail lookup is a shuffle join on the id (AQE splits a hot id); request tables drive the read by full outer joins on the request keys; layer writes are range-shuffled by (month, key, hash) once per layer.",
     "raw_projection": "pure projection; the scan reads the listed columns only.",
     "typed_cast": "pure projection; strict casts in codegen.",
     "safe_int": "pure projection.",
     "parse_dates": "pure projection.",
     "ordinal_case": "pure projection; CASE from one ordered list.",
-    "raw_append": "append writes, partitioned by month, sorted inside each task; no shuffle.",
-    "latest_batch": "the month is found from the partition column, the stamp inside that month; data scans prune to one month's folder.",
+    "raw_append": "a folder per load and per (month, batch); rows are dealt into ranges of (month, key, hash), so files hold separate key ranges.",
+    "latest_batch": "the month is found from RAW's folder names (no scan), the stamp inside that month; scans open one month's footers.",
     "stamp_nulls": "projection with coalesce; no shuffle.",
-    "dated_layout": "partitioned write sorted inside tasks; a hot month does not meet one task.",
-    "land_truncate": "two counts as partial aggregates (one row per task).",
-    "raw_stream": "file-stream source reads each new LAND file once (checkpoint); exactly-once file sink.",
-    "rename_stringify": "per-row JSON parse; the strict key check collects only differing key names.",
+    "dated_layout": "rows dealt into ranges of (month, key, hash): about as many files as tasks, a hot month or key is split.",
+    "land_truncate": "two calls per load, whatever its number of files; counts are partial aggregates.",
+    "raw_stream": "file-stream source reads each new LAND file once (checkpoint); micro-batches write parts of loads, the ledger admits each load once.",
+    "raw_mixed": "batch and stream copies share one ledger (a commit file per load); listings are of loads and folders, never of files.",
+    "empty_batch": "metadata only: an empty table is a committed version with one empty file.",
+    "daily_infrastructure": "as daily_run, with the streamed RAW copy; the request table is joined on (year, dependency).",
+    "rename_stringify": "objects are parsed once; keys are checked per object and or-ed as bitmaps by an Observation of the same write.",
     "nested_explode": "payloads are built per (conversation, 64-turn block), so no group grows with the data; flattening is three explodes per row.",
     "envelope_explode": "envelopes are built per (customer, 64-key block), so no envelope grows with a hot customer; parsing is one VARIANT parse per envelope.",
     "param_grid": "distinct years (partial aggregation) times a literal array; no join.",
