@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from laminar.llm import decontamination, mixing, sharding, simhash_dedup, toxicity
 from laminar.llm.common import materialise, read_table
+from laminar.session import release, workspaces
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -22,7 +23,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by SimHash (3-word shingles, 2 bits) the one with the smallest id stays."""
+    """Of documents linked by SimHash (3-word shingles, 2 bits) the one with the smallest id stays (NULL last)."""
     return simhash_dedup.keep_one(docs, shingle=3, max_distance=2).select(*COLUMNS)
 
 
@@ -54,7 +55,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The rows of the last stage. A stage's working folders and its input go when its result is written."""
+    docs, before = read_table(spark, sf_dir, "documents"), set(workspaces())
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        release(spark, [path for path in workspaces() if path not in before and f"pipeline-{name}-" not in path])
     return STAGES[-1][1](spark, docs, sf_dir)
