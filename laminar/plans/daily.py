@@ -22,7 +22,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laminar.functions import SOCIO_LEVELS
@@ -110,6 +110,27 @@ def extract_infrastructure(spark: SparkSession, payload_dir: str, requests: Data
     return flat.withColumn("id", F.lit(None).cast("string")).select(INFRASTRUCTURE.land_columns)
 
 
+def refine(spark: SparkSession, contract: Contract, extracted: DataFrame, paths: LayerPaths, stamp: Column, day: datetime,
+           audit: KeyAudit | None = None, raw_stream: bool = False) -> list[str]:
+    """One entity from its extract to TRUSTED; returns the LAND loads that are now in RAW.
+
+    The stamped batch file is written once to the dated archive (K4), then appended to LAND from there (K1-K3),
+    as the reference loads and archives the same file; then RAW (U4) and TRUSTED (U5).
+    """
+    archived = layers.archive_copy(layers.land_frame(extracted, contract, stamp), paths.archive, day, contract.name)
+    if audit is not None:
+        audit.check()
+    layers.land_batch(spark.read.schema(contract.land_schema()).parquet(archived), paths.land(contract))
+    # Rows that land from here on stay in LAND for the next run.
+    loads = layers.landed(spark, paths.land(contract))
+    if raw_stream:
+        stream_land_to_raw(spark, contract, paths.land(contract), paths.raw(contract), paths.checkpoint(contract), stamp=stamp)
+    else:
+        layers.refresh_raw(spark, contract, paths.land(contract), paths.raw(contract), loads, stamp)
+    layers.refresh_trusted(spark, contract, paths.raw(contract), paths.trusted(contract))
+    return loads
+
+
 def run_daily(spark: SparkSession, payload_dir: str, root: str, now: datetime | None = None,
               archive_day: datetime | None = None, lines: bool = False,
               states: DataFrame | None = None, requests: DataFrame | None = None,
@@ -137,28 +158,12 @@ def run_daily(spark: SparkSession, payload_dir: str, root: str, now: datetime |
 
     copied: dict[Contract, list[str]] = {}
 
-    def refine(contract: Contract) -> None:
-        # The stamped batch file is written once to the dated archive (K4),
-        # then appended to LAND from there (K1-K3), as the reference loads
-        # and archives the same file; then RAW (U4) and TRUSTED.
-        batch = layers.land_frame(extracts[contract](), contract, stamp)
-        archived = layers.archive_copy(batch, paths.archive, day, contract.name)
-        if contract in audits:
-            audits[contract].check()
-        layers.land_batch(spark.read.schema(contract.land_schema()).parquet(archived), paths.land(contract))
-        # Rows that land from here on stay in LAND for the next run.
-        loads = layers.landed(spark, paths.land(contract))
-        if raw_stream:
-            stream_land_to_raw(spark, contract, paths.land(contract), paths.raw(contract),
-                               paths.checkpoint(contract), stamp=stamp)
-        else:
-            layers.refresh_raw(spark, contract, paths.land(contract), paths.raw(contract), loads, stamp)
-        copied[contract] = loads
-        layers.refresh_trusted(spark, contract, paths.raw(contract), paths.trusted(contract))
+    def chain(contract: Contract) -> None:
+        copied[contract] = refine(spark, contract, extracts[contract](), paths, stamp, day, audits.get(contract), raw_stream)
 
     # The three entities do not depend on each other until the mart: their
     # chains run as concurrent Spark jobs (one driver thread each).
-    concurrently(refine, list(extracts))
+    concurrently(chain, list(extracts))
     write_datamart(layers.read_trusted(spark, SCHOOLS, paths.trusted(SCHOOLS)),
                    layers.read_trusted(spark, STATISTICS, paths.trusted(STATISTICS)), paths.mart, levels, bands)
     concurrently(lambda c: layers.truncate(spark, paths.land(c), copied[c]), list(extracts))

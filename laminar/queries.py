@@ -20,8 +20,9 @@ from laminar.plans import analogue as A
 from laminar.plans import layers, tables
 from laminar.plans.analogue_payloads import (CAPITAL_ID, CAPITAL_NATION, CAPITAL_SHARDS, request_grid,
                                              write_payloads)
-from laminar.plans.contracts import INFRASTRUCTURE, Contract, Field
-from laminar.plans.daily import LayerPaths, run_daily
+from laminar.plans.contracts import INFRASTRUCTURE, SCHOOLS, STATISTICS, Contract, Field
+from laminar.plans.daily import (LayerPaths, extract_infrastructure, extract_schools, extract_statistics, refine,
+                                 run_daily)
 from laminar.plans.marts import build_datamart, school_means
 from laminar.session import workspace
 from laminar.sources import (KeyAudit, bag_union, city_ids, envelope_ids, flatten_infrastructure, id_lookup,
@@ -189,23 +190,24 @@ def _daily_schools_sql() -> str:
     return f"(SELECT s.* FROM ({shards} UNION ALL {cities}) ids JOIN {_S} s ON s.cod = CAST(ids.id AS VARCHAR))"
 
 
-def _daily(spark, sf_dir, name: str, **options) -> LayerPaths:
-    """The whole daily job over a payload folder derived from the tables: every nation's statistics and every (year,
-    dependency) of the orders' years is requested."""
-    root = workspace(spark, name)
-    payloads = write_payloads(spark, sf_dir, f"{root}/payloads")
-    states = _table(spark, sf_dir, "supplier").join(_table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return run_daily(spark, payloads, f"{root}/lake", now=datetime(2024, 5, 2, 12, 0), lines=True,
-                     states=states.select(F.col("n_name").alias("nome_local")).distinct(),
-                     requests=request_grid(_table(spark, sf_dir, "orders")),
-                     levels=A.SEGMENT_LEVELS, bands=BANDS, capital=CAPITAL_ID, **options)
+def _states(spark, sf_dir) -> DataFrame:
+    """The states whose statistics are requested: the nations that have suppliers."""
+    s, n = _table(spark, sf_dir, "supplier"), _table(spark, sf_dir, "nation")
+    return s.join(n, s["s_nationkey"] == n["n_nationkey"]).select(F.col("n_name").alias("nome_local")).distinct()
+
+
+_RUN_AT = datetime(2024, 5, 2, 12, 0)
 
 
 @query("daily_run", _datamart_sql(_daily_schools_sql(), _ST))
 def q_daily_run(spark, sf_dir):
     """U1-U10 end to end: payload folder derived from the tables -> LAND -> RAW ->
     TRUSTED (latest batch, strict casts) -> mart, LAND truncated; returns the mart."""
-    paths = _daily(spark, sf_dir, "daily_run")
+    root = workspace(spark, "daily_run")
+    payloads = write_payloads(spark, sf_dir, f"{root}/payloads")
+    paths = run_daily(spark, payloads, f"{root}/lake", now=_RUN_AT, lines=True, states=_states(spark, sf_dir),
+                      requests=request_grid(_table(spark, sf_dir, "orders")),
+                      levels=A.SEGMENT_LEVELS, bands=BANDS, capital=CAPITAL_ID)
     return _round(tables.read(spark, paths.mart), ["CORRELACAO_SOCIOECONOMICA_ENEM", *BANDS.ratio_names])
 
 
@@ -219,10 +221,50 @@ SELECT CAST(NULL AS VARCHAR) AS id, o_orderpriority AS secao, o_orderstatus AS t
   CAST(total AS BIGINT) AS total_escolas, ano, CASE WHEN dep = 4 THEN 'Privada' ELSE 'Pública' END AS tipo_escolas
 FROM t""")
 def q_daily_infrastructure(spark, sf_dir):
-    """TRUSTED infrastructure after the daily run (copied to RAW by the stream), driven by the request
-    table of every order year and dependency."""
-    paths = _daily(spark, sf_dir, "daily_infrastructure", raw_stream=True)
-    return layers.read_trusted(spark, INFRASTRUCTURE, paths.trusted(INFRASTRUCTURE)).select(INFRASTRUCTURE.land_columns)
+    """TRUSTED infrastructure, copied to RAW by the stream, driven by the request table of every order
+    year and dependency."""
+    requests = request_grid(_table(spark, sf_dir, "orders"))
+    return _trusted(spark, sf_dir, INFRASTRUCTURE, lambda d, _: extract_infrastructure(spark, d, requests, lines=True), raw_stream=True)
+
+
+def _trusted(spark, sf_dir, contract, extract, **options) -> DataFrame:
+    """One entity's chain, payloads -> LAND -> RAW -> TRUSTED, over a payload folder derived from the tables."""
+    root = workspace(spark, f"daily_{contract.name}")
+    payloads, paths = write_payloads(spark, sf_dir, f"{root}/payloads"), LayerPaths(f"{root}/lake")
+    audit = KeyAudit(contract) if contract is not INFRASTRUCTURE else None
+    refine(spark, contract, extract(payloads, audit), paths, layers.batch_instant(_RUN_AT), _RUN_AT, audit, **options)
+    return layers.read_trusted(spark, contract, paths.trusted(contract)).select(contract.land_columns)
+
+
+def _wide_sql(contract: Contract, special: dict[str, str], by_kind: dict[str, str], source: str) -> str:
+    return "SELECT " + ", ".join(f"{special.get(f.land, by_kind[f.kind])} AS {f.land}" for f in contract.fields) + f" FROM {source}"
+
+
+_SCHOOL_KINDS = {"string": "c_name", "long": "CAST((c_custkey % 97 + 97) % 97 AS BIGINT)", "double": "c_acctbal", "bool": "c_custkey % 2 = 0",
+                 "year": "DATE '2020-01-01'",
+                 "dmy": "make_date(2020, CAST((c_custkey % 12 + 12) % 12 + 1 AS INTEGER), CAST((c_custkey % 28 + 28) % 28 + 1 AS INTEGER))"}
+_SCHOOL_FIELDS = {c: f"s.{c}" for c in ("cod", "nome", "nome_municipio", "sigla_uf", "tipo_localizacao_txt", "dependencia_administrativa",
+                                        "dependencia_administrativa_txt", "ano_censo", "enem_media_geral", "ideb_af", "socio_economico",
+                                        *(name for name, _ in A.SUBJECT_DIVISORS))}
+
+
+@query("daily_schools", _wide_sql(SCHOOLS, _SCHOOL_FIELDS, _SCHOOL_KINDS,
+                                  f"{_daily_schools_sql()} s JOIN customer ON s.cod = CAST(c_custkey AS VARCHAR)"))
+def q_daily_schools(spark, sf_dir):
+    """All 135 TRUSTED school columns, capital shards with their repeats, every listed city searched."""
+    return _trusted(spark, sf_dir, SCHOOLS, lambda d, audit: extract_schools(spark, d, audit, lines=True, capital=CAPITAL_ID))
+
+
+_STATE_MEAN = "(SELECT n_nationkey, n_name, avg(s_acctbal) AS m FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL)"
+_STATE_FIELDS = ({"id": "CAST(n_nationkey AS VARCHAR)", "ano": "CAST(2023 AS BIGINT)", "tipo_local": "'EST'", "nome_local": "n_name",
+                  "cod_municipio": "CAST(0 AS BIGINT)", "melhores": "CAST(0 AS BIGINT)", "ideb_af": "round(m / 1000, 6)"}
+                 | {name: f"round(m / {d}, 6)" for name, d in A.SUBJECT_DIVISORS})
+
+
+@query("daily_statistics", _wide_sql(STATISTICS, _STATE_FIELDS, {"double": "round(m, 6)"} | dict.fromkeys(("string", "long"), "NULL"), _STATE_MEAN))
+def q_daily_statistics(spark, sf_dir):
+    """All 100 TRUSTED statistics columns of the requested states."""
+    return _trusted(spark, sf_dir, STATISTICS, lambda d, audit: extract_statistics(spark, d, _states(spark, sf_dir), audit))
 
 
 # =============================================================== casts and projections

@@ -4,6 +4,7 @@ import random
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from laminar.functions import SOCIO_LEVELS
 from laminar.operators import socio_correlation
@@ -102,12 +103,13 @@ def test_single_pass_profile_equals_shares_join_indicator(spark, seed):
     assert key(state_profile(df).collect()) == key(joined.collect())
 
 
-def test_generic_corr_by_group_edge_rules(spark):
-    from laminar.operators import corr_by_group
+def test_correlation_edge_rules_from_moments(spark):
+    from laminar.functions.sqltext import guarded_corr_sql, pair_moment_sqls
     df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 2.0, 4.0), ("a", None, 9.0),
                                 ("b", 1.0, 1.0), ("c", 1.0, 1.0), ("c", 1.0, 2.0)],
                                "k string, x double, y double")
-    got = {r["k"]: r["corr"] for r in corr_by_group(df, "x", "y", ["k"]).collect()}
+    moments = df.groupBy("k").agg(*[F.expr(e) for e in pair_moment_sqls("x", "y")])
+    got = {r["k"]: r["corr"] for r in moments.selectExpr("k", f"{guarded_corr_sql('pairs', 'cov', 'sd_x', 'sd_y')} AS corr").collect()}
     assert abs(got["a"] - 1.0) < 1e-12      # the NULL pair is skipped
     assert got["b"] is None                  # one pair
     assert math.isnan(got["c"])              # zero variance in x

@@ -41,7 +41,9 @@ AT_SCALE = {
     "raw_stream": "file-stream source reads each new LAND file once (checkpoint); micro-batches write parts of loads, the ledger admits each load once.",
     "raw_mixed": "batch and stream copies share one ledger (a commit file per load); listings are of loads and folders, never of files.",
     "empty_batch": "metadata only: an empty table is a committed version with one empty file.",
-    "daily_infrastructure": "as daily_run, with the streamed RAW copy; the request table is joined on (year, dependency).",
+    "daily_infrastructure": "one entity of daily_run, with the streamed RAW copy; the request table is joined on (year, dependency).",
+    "daily_schools": "one entity of daily_run; the city searches and the details are shuffle joins on their ids.",
+    "daily_statistics": "one entity of daily_run; one object per state.",
     "rename_stringify": "objects are parsed once; keys are checked per object and or-ed as bitmaps by an Observation of the same write.",
     "nested_explode": "payloads are built per (conversation, 64-turn block), so no group grows with the data; flattening is three explodes per row.",
     "envelope_explode": "envelopes are built per (customer, 64-key block), so no envelope grows with a hot customer; parsing is one VARIANT parse per envelope.",
