@@ -29,7 +29,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = mixing.placements(rows)
     first, second = (F.round(F.get("times", F.lit(k)), 6) for k in (0, 1))
     return (placed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", first.alias("position"), second.alias("position_2"))
-            .repartitionByRange("position").sortWithinPartitions("position"))
+            .repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id"))     # what is not taken comes first
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
