@@ -14,7 +14,8 @@ Copies of a row (same id and text) that would fill a good part of a block are on
 2. Token counts are summed per bucket, and each block's piece is answered by the counts in the piece's own order.
 3. Window counts are summed per bucket. The windows that share the two bytes before the last hold all that their contexts of
    2 bytes and more need, so they get their probabilities together; shorter contexts come from
-   one table of byte pairs (at most 256 x 256 counts, so it is sent to every task).
+   one table of byte pairs (at most 256 x 256 counts, so it is sent to every task). A pair that holds very many windows is
+   split by the byte before it; what its 2-byte context needs (at most 256 counts) goes along with each part.
 4. The bucket's pieces are answered by the values, and a block's answers meet its texts again.
 
 No vocabulary or trie is collected or broadcast, so both may grow with the corpus; a task holds
@@ -49,6 +50,7 @@ SYMBOLS = 255                       # all bytes but the start mark
 END_TOKEN = b"\n"                   # not a word: it is white space
 SLAB = 1 << 20                      # windows handled at once
 GROUP_WINDOWS = 500_000             # distinct windows a task gives probabilities to, on average
+HOT_WINDOWS = 4 * GROUP_WINDOWS     # a pair of bytes with more is split by the byte before it
 TOKENS, WINDOWS = 0, 1              # kinds of pieces
 PIECES = "block bigint, bucket int, kind int, body binary, n binary"
 
@@ -185,12 +187,22 @@ def _looked_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.nd
 
 
 def _probabilities(pairs: tuple[np.ndarray, np.ndarray], buckets: int, table: pa.Table) -> pa.Table:
-    """Step 3: log10 probabilities of all windows that share the two bytes before the last; pairs: counts of two bytes."""
+    """Step 3: log10 probabilities of all windows that share the two bytes before the last; pairs: counts of two bytes.
+
+    With a column ``whole`` the windows share three bytes, and the rows marked so are the counts of their 2-byte contexts.
+    """
+    given = None
+    if "whole" in table.column_names:
+        marked = table.column("whole").to_numpy()
+        given, table = table.filter(pa.array(marked)), table.filter(pa.array(~marked))
     grams, n = table.column("gram").to_numpy(), table.column("n").to_numpy()
     nodes = {ORDER: _summed([grams[n > 0]], [n[n > 0]]), 1: pairs, 0: _summed([pairs[0] & 0xFF], [pairs[1]])}
     for level in range(ORDER - 1, 1, -1):
         longer, counts = nodes[level + 1]
         nodes[level] = _summed([longer & (1 << 8 * (level + 1)) - 1], [counts])
+    if given is not None:                                        # once, where several parts of a pair met in this group
+        keys, at = np.unique(given.column("gram").to_numpy(), return_index=True)
+        nodes[2] = keys, given.column("n").to_numpy()[at]
     value, todo = np.ones(len(grams)), np.ones(len(grams), bool)
     less_n = less_q = np.zeros(len(grams), np.int64)             # what the longer context excludes
     for level in range(ORDER, -1, -1):
@@ -218,10 +230,26 @@ def window_log10(windows: DataFrame, buckets: int = 1) -> DataFrame:
     rows = (windows.filter("n > 0").groupBy((F.col("gram") % (1 << 16)).alias("pair")).agg(F.sum("n").alias("n"))
             .toPandas().sort_values("pair"))                     # at most 256 x 256 rows
     pairs = rows["pair"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
-    groups = max(1, math.ceil(windows.count() / GROUP_WINDOWS))
     before = F.shiftright("gram", 8) % (1 << 16)
-    return (windows.groupBy(F.pmod(F.xxhash64(before), F.lit(groups)))
-            .applyInArrow(lambda group: _probabilities(pairs, buckets, group), "gram bigint, bucket int, value double"))
+    held = windows.groupBy(before.alias("before")).agg(F.count(F.lit(1)).alias("n")).toPandas()     # at most 256 x 256 rows
+    groups = max(1, math.ceil(held["n"].sum() / GROUP_WINDOWS))
+    hot = held.loc[held["n"] > HOT_WINDOWS, "before"].tolist()
+    schema = "gram bigint, bucket int, value double"
+
+    def run(group: pa.Table) -> pa.Table:
+        return _probabilities(pairs, buckets, group)
+
+    if not hot:
+        return windows.groupBy(F.pmod(F.xxhash64(before), F.lit(groups))).applyInArrow(run, schema)
+    is_hot, three = before.isin(hot), F.shiftright("gram", 8) % (1 << 24)
+    split = windows.filter(is_hot).select("gram", "n", three.alias("three"), F.lit(False).alias("whole"))
+    # the counts of a hot pair's 2-byte context, for each of its parts
+    own = (windows.filter(is_hot & (F.col("n") > 0)).groupBy((F.col("gram") % (1 << 24)).alias("gram")).agg(F.sum("n").alias("n"))
+           .withColumn("pair", F.shiftright("gram", 8)))
+    parts = split.select("three", (F.col("three") % (1 << 16)).alias("pair")).distinct()
+    along = own.join(parts, "pair").select("gram", "n", "three", F.lit(True).alias("whole"))
+    cold = windows.filter(~is_hot).groupBy(F.pmod(F.xxhash64(before), F.lit(groups))).applyInArrow(run, schema)
+    return cold.unionByName(split.unionByName(along).groupBy(F.pmod(F.xxhash64("three"), F.lit(groups))).applyInArrow(run, schema))
 
 
 def _answer_windows(left: pa.Table, right: pa.Table) -> pa.Table:

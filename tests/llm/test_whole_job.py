@@ -173,3 +173,14 @@ def test_samples_of_repeated_ids_are_the_same_in_each_run(spark):
     assert a == b
     a, b = (toxicity.fit(d, labels) for d in docs)
     assert a == b
+
+
+def test_hot_byte_pairs_are_split_without_changing_a_score(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = lambda: sorted((r.doc_id, r.held_out, round(r.score, 6)) for r in ppm.score(docs).collect())
+    want = rows()
+    monkeypatch.setattr(ppm, "HOT_WINDOWS", 40)
+    monkeypatch.setattr(ppm, "GROUP_WINDOWS", 2_000)
+    assert rows() == want
+    monkeypatch.setattr(ppm, "HOT_WINDOWS", 0)              # every pair
+    assert rows() == want
