@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laminar.llm.common import id_remainder, text_bytes
+from laminar.llm.common import id_remainder, materialise, text_bytes
 
 MAX_TOXIC, MAX_CLEAN, HELD_OUT_MOD = 3_000, 4_000, 5
 SPACE_BITS, MIN_ROWS, MIN_G, RIDGE, REJECT = 21, 3, 15.0, 1e-4, 0.3
@@ -70,12 +70,27 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     odds = np.array([max(1.0, counts.get(k, 0) / most) for k, most in enumerate((MAX_CLEAN, MAX_TOXIC))])
     sample = F.broadcast(_sample(one))                        # at most MAX_TOXIC + MAX_CLEAN narrow rows
     # of texts that share an id one is learnt from, that of the least hash: a row per label, the same in each run
-    rows = (docs.select("doc_id", "text").join(sample, "doc_id")
-            .select("doc_id", "toxic", features(text_bytes(F.col("text"))).alias("f"), F.xxhash64("text").alias("h"))
-            .groupBy("doc_id", "toxic").agg(F.min_by("f", "h").alias("f")).toPandas())
-    rows = rows.assign(key=rows["f"].map(lambda f: zlib.crc32(np.asarray(f, np.int32).tobytes()))).sort_values(["doc_id", "key"])
-    toxic = rows["toxic"].to_numpy(np.int64)
-    return fit_rows([np.asarray(f, np.int32) for f in rows["f"]], toxic, odds[toxic])
+    rows = materialise(docs.select("doc_id", "text").join(sample, "doc_id")
+                       .select("doc_id", "toxic", features(text_bytes(F.col("text"))).alias("f"), F.xxhash64("text").alias("h"))
+                       .groupBy("doc_id", "toxic").agg(F.min_by("f", "h").alias("f")), "toxicity-sample")
+    # only features that may be kept come to the driver
+    seen = rows.select("doc_id", "toxic", F.explode("f").alias("x"))
+    total, mine = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    share = mine / total if total else 0.5
+    clear = (seen.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("a"))
+             .filter((F.col("n") >= MIN_ROWS) & (separation(F.col("a"), F.col("n"), share) >= MIN_G - 1e-6)).select("x"))
+    kept = seen.join(clear, "x").groupBy("doc_id").agg(F.sort_array(F.collect_list("x")).alias("f"))
+    small = (rows.select("doc_id", "toxic").join(kept, "doc_id", "left")
+             .withColumn("f", F.coalesce("f", F.array().cast("array<int>"))).toPandas().sort_values("doc_id"))
+    toxic = small["toxic"].to_numpy(np.int64)
+    return fit_rows([np.asarray(f, np.int32) for f in small["f"]], toxic, odds[toxic])
+
+
+def separation(a: Column, n: Column, share: float) -> Column:
+    """The G statistic of a feature in n rows, a of them toxic, where a share of all rows is."""
+    toxic, clean = F.lit(float(share)), F.lit(float(1 - share))
+    return 2 * (F.when((a > 0) & (toxic > 0), a * F.log(a / (n * toxic))).otherwise(0.0)
+                + F.when((n > a) & (clean > 0), (n - a) * F.log((n - a) / (n * clean))).otherwise(0.0))
 
 
 def fit_rows(features: list[np.ndarray], toxic: np.ndarray, stands_for: np.ndarray | None = None) -> dict:
