@@ -121,7 +121,7 @@ def write_raw(df: DataFrame, contract: Contract, raw_path: str) -> None:
 
 def drop_batches(spark: SparkSession, raw_path: str, pattern: str) -> None:
     """Remove the folders of RAW batches, in whatever month."""
-    for folder in tables.matching(spark, f"{raw_path}/{MONTH}=*/{BATCH}={pattern}"):
+    for folder in tables.matching(spark, raw_path, f"{MONTH}=*/{BATCH}={pattern}"):
         tables.remove(spark, folder)
 
 
@@ -148,7 +148,7 @@ def claims(spark: SparkSession, raw_path: str) -> dict[str, set[str]]:
 def settle(spark: SparkSession, raw_path: str, load: str) -> None:
     """Enter a wholly copied load in the ledger; its claims go."""
     tables.commit(spark, raw_path, load)
-    for folder in tables.matching(spark, f"{raw_path}/{CLAIMS}/{load}{PART}*"):
+    for folder in tables.matching(spark, f"{raw_path}/{CLAIMS}", f"{load}{PART}*"):
         tables.remove(spark, folder)
 
 

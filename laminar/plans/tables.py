@@ -8,6 +8,7 @@ Everything here is metadata on the driver: one call per listing or entry, none p
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 
@@ -33,9 +34,9 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
-def matching(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that a glob pattern matches."""
-    fs, target = _at(spark, pattern)
+def matching(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Paths in a folder that a glob pattern matches (the folder's own name is taken literally)."""
+    fs, target = _at(spark, re.sub(r"([\\\[\]{}*?])", r"\\\1", folder) + f"/{pattern}")
     return [status.getPath().toString() for status in fs.globStatus(target) or []]
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from laminar.functions import ordinal, school_type, stringify
@@ -435,6 +435,36 @@ def q_dated_layout(spark, sf_dir):
         "archive_dir", layers.archive_path_column("partition_time"))
 
 
+@query("archived_batch", f"""
+SELECT {_EVENT_COLS}, TIMESTAMP '{_BATCH_1}' AS partition_time, '2024/02/01' AS archive_dir FROM events""")
+def q_archived_batch(spark, sf_dir):
+    """The stamped batch file under the dated archive folder, read back with the folder of each row's file."""
+    events = _table(spark, sf_dir, "events")
+    contract = _events_contract(events)
+    stamped = layers.land_frame(events, contract, F.lit(_ts(_BATCH_1)))
+    path = layers.archive_copy(stamped, workspace(spark, "archived_batch"), _ts(_BATCH_1), contract.name)
+    rows = spark.read.schema(contract.land_schema()).parquet(path)
+    folder = F.regexp_extract(F.input_file_name(), "/([0-9]{4}/[0-9]{2}/[0-9]{2})/events/[^/]*$", 1)
+    return contract.typed(rows.withColumn("archive_dir", folder), "partition_time", "archive_dir")
+
+
+@query("key_ranges", """
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS load_month, count(*) AS n_rows, CAST(0 AS BIGINT) AS overlaps
+FROM orders GROUP BY 1""")
+def q_key_ranges(spark, sf_dir):
+    """K7, K8: files of a RAW month hold separate ranges of the clustering key (overlaps: files that begin before another one ends)."""
+    o = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string"), F.col("o_orderdate").cast("timestamp").alias("partition_time"))
+    contract = Contract("orders", (Field("o_orderkey", "o_orderkey", "long"),), "o_orderkey")
+    root = workspace(spark, "key_ranges")
+    layers.append_raw(o, contract, f"{root}/raw")
+    files = (layers.read_raw(spark, contract, f"{root}/raw").groupBy("load_month", F.input_file_name().alias("file"))
+             .agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last")))
+    # a window over one row per file of the month
+    before = F.max("last").over(Window.partitionBy("load_month").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))
+    return (files.withColumn("overlap", F.col("first") < before).groupBy("load_month")
+            .agg(F.sum("n").alias("n_rows"), F.count_if("overlap").alias("overlaps")))
+
+
 @query("land_truncate", """
 SELECT count(*) AS rows_in_raw, CAST(0 AS BIGINT) AS rows_in_land FROM events""")
 def q_land_truncate(spark, sf_dir):

@@ -37,6 +37,8 @@ AT_SCALE = {
     "latest_batch": "the month is found from RAW's folder names (no scan), the stamp inside that month; scans open one month's footers.",
     "stamp_nulls": "projection with coalesce; no shuffle.",
     "dated_layout": "rows dealt into ranges of (month, key, hash): about as many files as tasks, a hot month or key is split.",
+    "archived_batch": "one write and one read of the batch; no shuffle.",
+    "key_ranges": "as dated_layout; the check aggregates to one row per file before its window.",
     "land_truncate": "two calls per load, whatever its number of files; counts are partial aggregates.",
     "raw_stream": "file-stream source reads each new LAND file once (checkpoint); micro-batches write parts of loads, the ledger admits each load once.",
     "raw_mixed": "batch and stream copies share one ledger (a commit file per load); listings are of loads and folders, never of files.",
