@@ -5,7 +5,7 @@ import math
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from laminar.functions import SOCIO_LEVELS
+from laminar.functions import SOCIO_LEVELS, cast_to
 from laminar.operators import band_counts, socio_correlation
 
 SETTINGS = settings(max_examples=20, deadline=None, derandomize=True, database=None,
@@ -78,11 +78,8 @@ def test_correlation_rewrite_matches_brute_force(spark, data):
 @given(st.lists(st.one_of(st.sampled_from(["true", "FALSE", "True", "tRuE", "false"]),
                           st.text(max_size=6)), min_size=1, max_size=15))
 def test_strict_bool_accepts_exactly_true_false(spark, values):
-    from pyspark.sql import functions as F
-
-    from laminar.functions import strict_bool
     df = spark.createDataFrame([(v,) for v in values], "v string")
-    got = [r["b"] for r in df.select(strict_bool(F.col("v"), tolerant=True).alias("b")).collect()]
+    got = [r["b"] for r in df.select(cast_to("v", "bool", tolerant=True).alias("b")).collect()]
     want = [{"true": True, "false": False}.get(v.lower()) for v in values]
     assert got == want
 
@@ -92,11 +89,8 @@ def test_strict_bool_accepts_exactly_true_false(spark, values):
 def test_safe_int_rounds_half_away_from_zero(spark, tenths):
     from decimal import ROUND_HALF_UP, Decimal
 
-    from pyspark.sql import functions as F
-
-    from laminar.functions import safe_int
     texts = [str(Decimal(t) / 10) for t in tenths]          # values with .5 among them
     df = spark.createDataFrame([(t,) for t in texts], "v string")
-    got = [r["i"] for r in df.select(safe_int(F.col("v")).alias("i")).collect()]
+    got = [r["i"] for r in df.select(cast_to("v", "safe_long").alias("i")).collect()]
     want = [int(Decimal(t).quantize(Decimal(1), rounding=ROUND_HALF_UP)) for t in texts]
     assert got == want
