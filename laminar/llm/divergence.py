@@ -24,6 +24,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -96,48 +97,49 @@ def cell_sums(sources: list[list[str]], tables: list[np.ndarray], same: bool) ->
 
 
 def distributions(counts: DataFrame, min_docs: int, block_groups: int, block_terms: int) -> tuple[DataFrame, DataFrame]:
-    """(groups, entries): the groups with their place and the p of an absent term; the p of every present kept term."""
+    """(heads, entries): each group with its place and the p of an absent term, once per term block of its language; the p
+    of every present kept term."""
     words = counts.where("term IS NOT NULL")
-    kept = (words.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"))
-            .where(F.col("docs") >= min_docs).drop("docs"))
-    per_lang = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
-    langs = (counts.select("lang").distinct().join(per_lang, "lang", "left")
-             .select("lang", F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("lang_total", F.lit(0)).alias("lang_total"))
-             .withColumn("t_blocks", F.greatest(F.lit(1), F.ceil(F.col("v") / block_terms)).cast("int")))
-    # a term's block by hash and its number inside the block, of about ``block_terms`` terms each
-    placed = (kept.join(langs, "lang").withColumn("t", F.pmod(F.xxhash64("term"), F.col("t_blocks")).cast("int"))
-              .withColumn("tid", F.row_number().over(W.partitionBy("lang", "t").orderBy("term")) - 1))
-    present = words.where("n > 0").join(placed, ["lang", "term"])
+    kept = materialise(words.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"))
+                       .where(F.col("docs") >= min_docs).drop("docs"), "kept")
+    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
+    # as many term blocks as the largest language needs, so that a term finds its block alone
+    blocks = max(1, -(-(langs.agg(F.max("v")).first()[0] or 0) // block_terms))
+    dealt = kept.withColumn("t", F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int"))
+    placed = dealt.withColumn("tid", F.row_number().over(W.partitionBy("lang", "t").orderBy("term")) - 1)
+    present = materialise(words.where("n > 0").join(placed, ["lang", "term"])
+                          .select("lang", "source", "term", "n", "lang_n", "t", "tid"), "present")
     totals = present.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = (counts.where("term IS NULL").select("lang", "source").join(totals, ["lang", "source"], "left")
-              .withColumn("total", F.coalesce("total", F.lit(0))).join(langs, "lang")
-              .withColumn("g", F.row_number().over(W.partitionBy("lang").orderBy("source")) - 1)
-              .withColumn("g_blocks", F.ceil(F.count(F.lit(1)).over(W.partitionBy("lang")) / block_groups).cast("int"))
+    own = W.partitionBy("lang")                                  # over a row per group
+    groups = (counts.where("term IS NULL").select("lang", "source").join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
+              .fillna(0, ["total", "v", "lang_total"])
+              .withColumn("g", F.row_number().over(own.orderBy("source")) - 1)
+              .withColumn("g_blocks", F.ceil(F.count(F.lit(1)).over(own) / block_groups).cast("int"))
               .withColumn("block", F.floor(F.col("g") / block_groups).cast("int"))
               .withColumn("p0", F.coalesce(_p("0", "total", "v"), F.lit(0))))
-    groups = materialise(groups.select("lang", "source", "total", "v", "lang_total", "t_blocks", "g", "g_blocks", "block", "p0"), "groups")
-    entries = (present.select("lang", "source", "term", "n", "lang_n", "t", "tid")
-               .join(groups.select("lang", "source", "total", "v", "lang_total", "g", "g_blocks", "block"), ["lang", "source"])
+    groups = materialise(groups, "groups")
+    widths = dealt.groupBy("lang", "t").agg(F.count(F.lit(1)).alias("width"))
+    heads = (groups.join(widths, "lang", "left").fillna(0, ["t", "width"])
+             .select("lang", "t", "block", "g_blocks", "g", "p0", "source", "width"))
+    entries = (present.join(groups.select("lang", "source", "total", "v", "lang_total", "g", "g_blocks", "block"), ["lang", "source"])
                .withColumn("p", _p("n", "total", "v")).withColumn("q", _p("lang_n", "lang_total", "v")))
-    return groups, materialise(entries.select("lang", "source", "term", "t", "tid", "g", "g_blocks", "block", "p", "q"), "entries")
+    return heads, entries.select("lang", "source", "term", "t", "tid", "g", "g_blocks", "block", "p", "q")
 
 
-def pair_divergences(groups: DataFrame, entries: DataFrame) -> DataFrame:
+def pair_divergences(heads: DataFrame, entries: DataFrame) -> DataFrame:
     """(lang, a, b, value) once per unordered pair of sources of a language."""
-    head = (groups.withColumn("t", F.explode(F.sequence(F.lit(0), F.col("t_blocks") - 1)))
-            .select("lang", "t", "block", "g_blocks", "g", F.lit(-1).alias("tid"), F.col("p0").alias("p"), "source"))
-    slices = head.unionByName(entries.select("lang", "t", "block", "g_blocks", "g", "tid", "p", F.lit(None).cast("string").alias("source")))
-    # the number of terms of each term block, with the slices' heads
-    size = entries.groupBy("lang", "t").agg((F.max("tid") + 1).alias("width"))
-    slices = slices.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g_blocks") - 1)))
-    cells = (slices.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-             .join(size, ["lang", "t"], "left").withColumn("width", F.coalesce("width", F.lit(0)))
-             .select("lang", "i", "j", "t", "block", "g", "tid", "p", "source", "width"))
+    slices = (heads.select("lang", "t", "block", "g_blocks", "g", F.lit(-1).alias("tid"), F.col("p0").alias("p"), "source", "width")
+              .unionByName(entries.select("lang", "t", "block", "g_blocks", "g", "tid", "p", F.lit(None).cast("string").alias("source"),
+                                          F.lit(None).cast("bigint").alias("width"))))
+    # each slice goes to the cells of its block and every other one
+    cells = (slices.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g_blocks") - 1)))
+             .select("lang", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "t", "block", "g", "tid", "p",
+                     "source", "width"))
 
     def cell(table: pa.Table) -> pa.Table:
         lang, i, j = (table.column(c)[0].as_py() for c in ("lang", "i", "j"))
         block, g, tid, p = (table.column(c).to_numpy() for c in ("block", "g", "tid", "p"))
-        source, width = table.column("source"), table.column("width")[0].as_py()
+        source, width = table.column("source"), pc.max(table.column("width")).as_py()       # of the heads
         sides, arrays = [], []
         for b in dict.fromkeys((i, j)):
             heads = np.flatnonzero((block == b) & (tid < 0))
@@ -159,8 +161,8 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10, block_groups: int
     """(lang, source, part, item, value, rank): ``pair`` rows for all other sources, ``term`` rows for the ``top`` terms
     that a source holds more of than its language."""
     counts = materialise(term_counts(docs), "terms")
-    groups, entries = distributions(counts, min_docs, block_groups, block_terms)
-    pairs = pair_divergences(groups, entries)
+    heads, entries = distributions(counts, min_docs, block_groups, block_terms)
+    pairs = pair_divergences(heads, entries)
     both = pairs.select("lang", F.explode(F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item")),
                                                   F.struct(F.col("b").alias("source"), F.col("a").alias("item")))).alias("x"), "value")
     order = [F.col("value").desc(), F.col("item").asc()]
