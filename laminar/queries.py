@@ -23,7 +23,7 @@ from laminar.plans.analogue_payloads import (CAPITAL_ID, CAPITAL_NATION, CAPITAL
 from laminar.plans.contracts import INFRASTRUCTURE, SCHOOLS, STATISTICS, Contract, Field
 from laminar.plans.daily import (LayerPaths, extract_infrastructure, extract_schools, extract_statistics, refine,
                                  run_daily)
-from laminar.plans.marts import build_datamart, school_means
+from laminar.plans.marts import school_means, write_datamart
 from laminar.session import workspace
 from laminar.sources import (KeyAudit, bag_union, city_ids, envelope_ids, flatten_infrastructure, id_lookup,
                              parameter_grid, parse_objects, shard_filter)
@@ -174,9 +174,10 @@ _DATAMART_SQL = _datamart_sql(_S, _ST)
 
 @query("datamart", _DATAMART_SQL)
 def q_datamart(spark, sf_dir):
-    out = build_datamart(A.schools(spark, sf_dir), A.statistics(spark, sf_dir),
-                         levels=A.SEGMENT_LEVELS, bands=BANDS)
-    return _round(out, ["CORRELACAO_SOCIOECONOMICA_ENEM", *BANDS.ratio_names])
+    """The mart as the daily job writes it (per-state side first, then one probe per school), read back."""
+    path = f"{workspace(spark, 'datamart')}/mart"
+    write_datamart(A.schools(spark, sf_dir), A.statistics(spark, sf_dir), path, A.SEGMENT_LEVELS, BANDS)
+    return _round(tables.read(spark, path), ["CORRELACAO_SOCIOECONOMICA_ENEM", *BANDS.ratio_names])
 
 
 def _daily_schools_sql() -> str:
